@@ -1,0 +1,106 @@
+"""Several outputs of one batch become visible together, through a commit marker.
+
+A table folder holds ``<output>/batch_id=N`` folders, two cursor slots and one marker per finished
+batch. Everything of a batch is written first and its marker last; readers admit only batches with
+a marker. A batch that is run again replaces its own folders, so keep a stream's checkpoint together
+with its table: with a new checkpoint, batches must be cut as before.
+"""
+
+from __future__ import annotations
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tallybook import schemas
+from tallybook.operators.outbox import checked_events, upsert_cursor
+
+_MARKER = T.StructType([
+    T.StructField("committed_at", T.TimestampType()),
+    T.StructField("cursor_slot", T.IntegerType()),
+    T.StructField("batch_id", T.LongType()),
+])
+
+
+class NoBatchError(RuntimeError):
+    """An append was attempted outside a batch."""
+
+
+def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _require_batch(batch_id: int | None) -> int:
+    if batch_id is None:
+        raise NoBatchError("append needs the id of the batch it belongs to")
+    return batch_id
+
+
+def markers(spark: SparkSession, path: str) -> DataFrame:
+    return _read_or_empty(spark, f"{path}/commits", _MARKER)
+
+
+def last_batch(spark: SparkSession, path: str) -> int | None:
+    return markers(spark, path).agg(F.max("batch_id")).first()[0]
+
+
+def commit_unit(
+    outputs: dict[str, DataFrame],
+    batch_id: int | None,
+    path: str,
+    cursor: DataFrame | None = None,
+) -> None:
+    """Write every output of a batch, then the cursor, then the marker that makes them count."""
+    batch_id = _require_batch(batch_id)
+    spark = next(iter(outputs.values())).sparkSession
+    for name, df in outputs.items():
+        df.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
+    slot = None if cursor is None else _write_cursor(spark, cursor, batch_id, path)
+    marker = spark.range(1).select(
+        F.current_timestamp().alias("committed_at"), F.lit(slot).cast("int").alias("cursor_slot")
+    )
+    marker.write.mode("overwrite").parquet(f"{path}/commits/batch_id={batch_id}")
+
+
+def append(state: DataFrame, events: DataFrame, batch_id: int | None, path: str) -> None:
+    """Record a state change and its outbox events, both or neither.
+
+    An event that breaks the outbox rules fails the whole unit; nothing of it becomes visible.
+    """
+    batch_id = _require_batch(batch_id)
+    commit_unit({"state": state, "events": checked_events(events)}, batch_id, path)
+
+
+def committed(spark: SparkSession, path: str, output: str) -> DataFrame:
+    """Rows of an output from finished batches only."""
+    rows = spark.read.parquet(f"{path}/{output}")
+    return rows.join(markers(spark, path).select("batch_id"), "batch_id", "left_semi")
+
+
+def _cursor_slot(spark: SparkSession, path: str, before: int | None) -> int | None:
+    done = markers(spark, path).filter("cursor_slot IS NOT NULL")
+    if before is not None:
+        done = done.filter(F.col("batch_id") < before)
+    return done.agg(F.max_by("cursor_slot", "batch_id")).first()[0]
+
+
+def _write_cursor(spark: SparkSession, updates: DataFrame, batch_id: int, path: str) -> int:
+    # Two slots in turn: the one being written is never the one an earlier marker points to.
+    slot = 0 if _cursor_slot(spark, path, batch_id) == 1 else 1
+    saved = upsert_cursor(read_cursor(spark, path, before=batch_id), updates)
+    saved.write.mode("overwrite").parquet(f"{path}/cursor/slot={slot}")
+    return slot
+
+
+def read_cursor(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """Cursor rows as of the last finished batch (or of the last one before a batch)."""
+    slot = _cursor_slot(spark, path, before)
+    if slot is None:
+        return spark.createDataFrame([], schemas.CURSOR)
+    return spark.read.schema(schemas.CURSOR).parquet(f"{path}/cursor/slot={slot}")

@@ -1,0 +1,221 @@
+"""Streams over event logs: ingest, deduplicate, route, match, window, audit, quarantine.
+
+Every stream runs to the end of what is there (``availableNow``) and resumes from its checkpoint;
+a new checkpoint replays the log from its beginning.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator, Sequence
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from tallybook.functions.text import elapsed_millis
+from tallybook.operators.outbox import included, latest
+from tallybook.streaming.commit import commit_unit, committed
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def run_batches(
+    stream: DataFrame,
+    checkpoint: str,
+    on_batch: Callable[[DataFrame, int], None],
+    mode: str = "append",
+) -> None:
+    """Run a stream to its current end, handing each micro-batch to ``on_batch``."""
+    query = (
+        stream.writeStream.outputMode(mode)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(on_batch)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def write_committed(
+    stream: DataFrame, path: str, checkpoint: str, output: str = "rows", mode: str = "append"
+) -> None:
+    """Run a stream into a committed output of a table folder."""
+    run_batches(stream, checkpoint, lambda df, n: commit_unit({output: df}, n, path), mode)
+
+
+def ingest(
+    stream: DataFrame, path: str, checkpoint: str, source: Column, token: Column, updated: Column
+) -> None:
+    """Land a feed batch by batch; each source's cursor moves only with the page it belongs to."""
+
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        page = df.persist()
+        saved = latest(
+            page.select(
+                source.cast("string").alias("source"),
+                token.cast("string").alias("last_token"),
+                updated.alias("updated_at"),
+                token.alias("_token"),
+            ),
+            ["source"],
+            ["updated_at", "_token"],
+        )
+        commit_unit({"rows": page}, batch_id, path, cursor=saved)
+        page.unpersist()
+
+    run_batches(stream, checkpoint, on_batch)
+
+
+def after_token(df: DataFrame, key: str, last_token) -> DataFrame:
+    """Batch form of resuming: rows beyond the last token, a predicate the scan can use."""
+    return df if last_token is None else df.filter(F.col(key) > F.lit(last_token))
+
+
+def captured(stream: DataFrame, tables: Sequence[str], time: str, delay: str) -> DataFrame:
+    """Change stream of the listed tables, each event once."""
+    return dedup(included(stream, tables), "id", time, delay)
+
+
+def dedup(df: DataFrame, key: str, time: str, delay: str, spread: bool = False) -> DataFrame:
+    """Drop repeated keys that arrive within ``delay`` of each other.
+
+    With ``spread``, copies are first dropped per input partition, so that a key with very many
+    copies reaches the second step as one row per partition; this keeps a second state store.
+    """
+    marked = df.withWatermark(time, delay)
+    if spread:
+        marked = marked.withColumn("_part", F.spark_partition_id())
+        marked = marked.dropDuplicatesWithinWatermark([key, "_part"]).drop("_part")
+    return marked.dropDuplicatesWithinWatermark([key])
+
+
+def windowed_spend(
+    df: DataFrame, time: str, value: Column, keys: Sequence[str], width: str, delay: str
+) -> DataFrame:
+    """Rows and total value per key and tumbling window; rows later than ``delay`` are dropped."""
+    return (
+        df.withWatermark(time, delay)
+        .groupBy(F.window(time, width), *keys)
+        .agg(F.count(F.lit(1)).alias("row_count"), F.sum(value).alias("total"))
+        .select(
+            F.col("window.start").alias("window_start"),
+            F.col("window.end").alias("window_end"),
+            *keys,
+            "row_count",
+            "total",
+        )
+    )
+
+
+def latest_windows(spark: SparkSession, path: str, keys: Sequence[str], output: str = "rows") -> DataFrame:
+    """Current value of each window from an update-mode stream written by ``write_committed``."""
+    rows = committed(spark, path, output)
+    return latest(rows, ["window_start", *keys], ["batch_id"]).drop("batch_id")
+
+
+def round_trip(
+    published: DataFrame, consumed: DataFrame, key: str, bound_seconds: int, delay: str
+) -> DataFrame:
+    """Match messages with their consumption within a bound; unmatched ones come out as timed out.
+
+    Message ids are unique; repeats within ``delay`` are dropped on both sides, so a message meets
+    at most one consumption. The time bucket spreads a key that recurs over long times.
+    """
+    width = bound_seconds * 1_000_000
+    bucket = lambda time: F.floor(F.unix_micros(time) / width)
+    sent = (
+        published.withWatermark("published_at", delay)
+        .dropDuplicatesWithinWatermark([key])
+        .withColumn("_bucket", bucket(F.col("published_at")))
+        .alias("sent")
+    )
+    # A consumption can answer messages of its own bucket and of the one before.
+    seen = (
+        consumed.select(key, "consumed_at")
+        .withWatermark("consumed_at", delay)
+        .dropDuplicatesWithinWatermark([key])
+        .withColumn("_bucket", bucket(F.col("consumed_at")))
+        .withColumn("_bucket", F.explode(F.array("_bucket", F.col("_bucket") - 1)))
+        .alias("seen")
+    )
+    limit = F.col("sent.published_at") + F.expr(f"INTERVAL {bound_seconds} SECONDS")
+    match = (
+        (F.col(f"sent.{key}") == F.col(f"seen.{key}"))
+        & (F.col("sent._bucket") == F.col("seen._bucket"))
+        & (F.col("seen.consumed_at") >= F.col("sent.published_at"))
+        & (F.col("seen.consumed_at") <= limit)
+    )
+    return sent.join(seen, match, "left_outer").select(
+        *(F.col(f"sent.{c}") for c in published.columns),
+        F.col("seen.consumed_at").alias("consumed_at"),
+        elapsed_millis(F.col("sent.published_at"), F.col("seen.consumed_at")).alias("latency_ms"),
+        F.col("seen.consumed_at").isNull().alias("timed_out"),
+    )
+
+
+def quarantine(df: DataFrame, schema: T.StructType, column: str = "payload") -> tuple[DataFrame, DataFrame]:
+    """Split rows into those whose JSON fits ``schema``, expanded, and those kept as they came."""
+    with_fault = T.StructType([*schema.fields, T.StructField("_fault", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_fault"}
+    parsed = df.withColumn("_body", F.from_json(column, with_fault, options))
+    bad = F.col("_body").isNull() | F.col("_body._fault").isNotNull()
+    rest = [c for c in df.columns if c != column]
+    good_rows = parsed.filter(~bad).select(*rest, *(f"_body.{f.name}" for f in schema))
+    return good_rows, parsed.filter(bad).select(*df.columns)
+
+
+def parse_strictly(df: DataFrame, schema: T.StructType, column: str = "payload") -> DataFrame:
+    """Expand JSON; one malformed row fails the whole batch."""
+    body = F.from_json(column, schema, {"mode": "FAILFAST"})
+    rest = [c for c in df.columns if c != column]
+    return df.withColumn("_body", body).select(*rest, "_body.*")
+
+
+class _ArrivalAudit(StatefulProcessor):
+    """Per key: how many events arrived, and the newest creation time among them."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        fields = [T.StructField("arrived", T.LongType()), T.StructField("newest", T.LongType())]
+        self._seen = handle.getValueState("seen", T.StructType(fields))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        # A key's rows of one micro-batch, whose size the source's batch limit bounds.
+        batch = pd.concat(list(rows)).sort_values("arrival", kind="stable")
+        arrived, newest = self._seen.get() if self._seen.exists() else (0, None)
+        created = batch["created_us"]
+        before = created.cummax().shift(1).astype("Int64")
+        if newest is not None:
+            before = before.fillna(newest).clip(lower=newest)
+        late = (created < before).fillna(False).astype(bool)
+        gap = ((created - before) // 1000).mask(late)
+        yield pd.DataFrame({
+            "id": batch["id"],
+            "key": batch["key"],
+            "arrival_no": range(arrived + 1, arrived + len(batch) + 1),
+            "out_of_order": late,
+            "gap_ms": gap,
+        })
+        top = int(created.max())
+        self._seen.update((arrived + len(batch), top if newest is None else max(top, newest)))
+
+    def close(self) -> None:
+        pass
+
+
+_AUDIT_SCHEMA = "id string, key string, arrival_no long, out_of_order boolean, gap_ms long"
+
+
+def sequence_audit(df: DataFrame, identity: str, key: str, created: str, arrival: str) -> DataFrame:
+    """Streaming form of the arrival audit; each key's state is two numbers."""
+    narrow = df.select(
+        F.col(identity).cast("string").alias("id"),
+        F.col(key).cast("string").alias("key"),
+        F.unix_micros(created).alias("created_us"),
+        F.col(arrival).cast("bigint").alias("arrival"),
+    )
+    narrow.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return narrow.groupBy("key").transformWithStateInPandas(
+        _ArrivalAudit(), _AUDIT_SCHEMA, outputMode="append", timeMode="none"
+    )
