@@ -33,9 +33,12 @@ def _sold(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    sellers = suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
-    return items.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
-        sellers, F.col("l_suppkey") == F.col("s_suppkey")
+    # One dimension at a time: Spark knows each table's size and broadcasts those that are small,
+    # while it would overrate a join of two of them and shuffle the line items instead.
+    return (
+        items.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
     )
 
 
