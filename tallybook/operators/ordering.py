@@ -78,37 +78,37 @@ def global_row_number(
     )
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[tuple]:
-    """The MAX_HOT_KEYS largest keys among those with more than ``hot_rows`` rows."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
-    found = sizes.orderBy(F.desc("_rows"), *keys).limit(MAX_HOT_KEYS).collect()
-    return [tuple(row[k] for k in keys) for row in found]
+def _key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*keys)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[int]:
+    """Hashes of the MAX_HOT_KEYS largest keys among those with more than ``hot_rows`` rows.
+
+    Counts are combined per task first. A key that shares a hot key's hash is merely treated alike.
+    """
+    sizes = df.groupBy(_key_hash(keys).alias("_hash")).agg(F.count(F.lit(1)).alias("_rows"))
+    large = sizes.filter(F.col("_rows") > hot_rows).orderBy(F.desc("_rows"), "_hash")
+    return [row["_hash"] for row in large.limit(MAX_HOT_KEYS).collect()]
 
 
 def split_hot(
     df: DataFrame,
     keys: Sequence[str],
     usual: Callable[[DataFrame], DataFrame],
-    heavy: Callable[[DataFrame], DataFrame],
+    heavy: Callable[[DataFrame, Column], DataFrame],
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Apply ``usual`` to rows of ordinary keys and ``heavy`` to rows of hot ones.
 
-    Both must return the same columns. Without hot keys, the plan is the usual one alone.
+    Both must return the same columns; ``heavy`` also gets the condition that selects hot keys.
+    Without hot keys, the plan is the usual one alone.
     """
     hot = hot_keys(df, keys, hot_rows)
     if not hot:
         return usual(df)
-    schema = df.select(*keys).schema
-    listed = F.broadcast(df.sparkSession.createDataFrame(hot, schema))
-    match = None
-    left, right = df.alias("rows"), listed.alias("hot")
-    for k in keys:
-        same = F.col(f"rows.{k}").eqNullSafe(F.col(f"hot.{k}"))
-        match = same if match is None else match & same
-    ordinary = left.join(right, match, "left_anti")
-    crowded = left.join(right, match, "left_semi")
-    return usual(ordinary).unionByName(heavy(crowded))
+    is_hot = _key_hash(keys).isin(hot)
+    return usual(df.filter(~is_hot)).unionByName(heavy(df.filter(is_hot), is_hot))
 
 
 def number_within(
@@ -124,7 +124,7 @@ def number_within(
         w = Window.partitionBy(*keys).orderBy(*order)
         return rows.withColumn(out, F.row_number().over(w).cast("bigint"))
 
-    def heavy(rows: DataFrame) -> DataFrame:
+    def heavy(rows: DataFrame, _: Column) -> DataFrame:
         cut = chunked(rows, [*keys, *order])
         spans = span_summary(cut, keys, F.count(F.lit(1)).alias("_rows"))
         before = span_window(keys).rowsBetween(Window.unboundedPreceding, -1)
@@ -150,7 +150,7 @@ def span_window(keys: Sequence[str]):
 
 
 def span_summary(cut: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
-    """One row per chunk and key. For hot keys that is at most MAX_HOT_KEYS plus the chunks."""
+    """One row per chunk and key: for hot keys, no more than their number plus that of the chunks."""
     return cut.groupBy(CHUNK, *keys).agg(*aggregates)
 
 

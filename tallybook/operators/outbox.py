@@ -155,7 +155,3 @@ def upsert_cursor(current: DataFrame, updates: DataFrame) -> DataFrame:
     both = current.select(*columns).unionByName(updates.select(*columns))
     return latest(both, ["source"], ["updated_at", "last_token"])
 
-
-def lookup(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows whose key is among ``keys``."""
-    return df.join(keys.select(*on), list(on), "left_semi")

@@ -22,9 +22,27 @@ from tallybook.operators.ordering import (
 )
 
 
-def drop_seen(df: DataFrame, seen: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows whose key is not among those already processed."""
-    return df.join(seen.select(*on), list(on), "left_anti")
+def drop_seen(
+    df: DataFrame, seen: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Rows whose key is not among those already processed; all copies of a new key stay.
+
+    Rows of hot keys are matched where they are, against the few of those keys that were seen.
+    """
+    ids = seen.select(*on)
+
+    def usual(rows: DataFrame) -> DataFrame:
+        return rows.join(ids.distinct(), list(on), "left_anti")
+
+    def heavy(rows: DataFrame, is_hot: Column) -> DataFrame:
+        return rows.join(F.broadcast(ids.filter(is_hot).distinct()), list(on), "left_anti")
+
+    return split_hot(df, on, usual, heavy, hot_rows)
+
+
+def lookup(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows whose key is among ``keys``."""
+    return df.join(keys.select(*on), list(on), "left_semi")
 
 
 def _where(condition: Column, column: str) -> Column:
@@ -153,7 +171,7 @@ def round_trip(
         w = w.rowsBetween(Window.unboundedPreceding, 0)
         return rows.withColumn("_next", F.min("_consumed").over(w))
 
-    def heavy(rows: DataFrame) -> DataFrame:
+    def heavy(rows: DataFrame, _: Column) -> DataFrame:
         cut = chunked(rows, [*keys, *place])
         spans = span_summary(cut, keys, F.min("_consumed").alias("_first"))
         later = Window.partitionBy(*keys).orderBy(F.desc(CHUNK))
@@ -179,49 +197,73 @@ def round_trip(
 
 
 def sequence_audit(
-    events: DataFrame, key: str, created: str, arrival: str, hot_rows: int = HOT_ROWS
+    events: DataFrame,
+    key: str,
+    created: str,
+    arrival: str,
+    earlier: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Per event, its number of arrival within the key and how it relates to the newest before it.
 
     ``arrival`` is the position in the log. An event created before one that arrived earlier is out
-    of order; otherwise ``gap_ms`` tells how long the key was silent.
+    of order; otherwise ``gap_ms`` tells how long the key was silent. ``earlier`` is the summary of
+    what arrived before (see ``arrival_summary``); it sorts ahead of the events as one more row.
     """
     keys = [key]
+    rows = events.withColumn("_arrived", F.lit(1).cast("bigint"))
+    if earlier is not None:
+        before = earlier.select(
+            F.col("key").alias(key), F.col("newest").alias(created), F.col("arrived").alias("_arrived")
+        ).join(events.select(key).distinct(), key, "left_semi")
+        rows = rows.unionByName(before, allowMissingColumns=True)
 
     def usual(rows: DataFrame) -> DataFrame:
-        w = Window.partitionBy(key).orderBy(arrival)
+        w = Window.partitionBy(key).orderBy(F.asc_nulls_first(arrival))
         return rows.withColumns({
-            "arrival_no": F.row_number().over(w).cast("bigint"),
+            "arrival_no": F.sum("_arrived").over(w.rowsBetween(Window.unboundedPreceding, 0)),
             "_newest": F.max(created).over(_before(w)),
         })
 
-    def heavy(rows: DataFrame) -> DataFrame:
-        cut = chunked(rows, [key, arrival])
+    def heavy(rows: DataFrame, _: Column) -> DataFrame:
+        cut = chunked(rows, [F.col(key), F.asc_nulls_first(arrival)])
         spans = span_summary(
-            cut, keys, F.count(F.lit(1)).alias("_rows"), F.max(created).alias("_top")
+            cut, keys, F.sum("_arrived").alias("_rows"), F.max(created).alias("_top")
         )
-        earlier = _before(span_window(keys))
+        previous = _before(span_window(keys))
         spans = spans.withColumns({
-            "_rows_before": F.coalesce(F.sum("_rows").over(earlier), F.lit(0)),
-            "_top_before": F.max("_top").over(earlier),
+            "_rows_before": F.coalesce(F.sum("_rows").over(previous), F.lit(0)),
+            "_top_before": F.max("_top").over(previous),
         }).drop("_rows", "_top")
         w = chunk_window(keys)
         near = cut.withColumns({
-            "_row": F.row_number().over(w),
+            "_row": F.sum("_arrived").over(w.rowsBetween(Window.unboundedPreceding, 0)),
             "_near": F.max(created).over(_before(w)),
         })
         return (
             join_spans(near, spans, keys)
             .withColumns({
-                "arrival_no": (F.col("_rows_before") + F.col("_row")).cast("bigint"),
+                "arrival_no": F.col("_rows_before") + F.col("_row"),
                 "_newest": F.greatest("_near", "_top_before"),
             })
             .drop("_row", "_near", "_rows_before", "_top_before", CHUNK, PLACE)
         )
 
-    numbered = split_hot(events, keys, usual, heavy, hot_rows)
+    numbered = split_hot(rows, keys, usual, heavy, hot_rows).filter(F.col(arrival).isNotNull())
     late = F.coalesce(F.col(created) < F.col("_newest"), F.lit(False))
     gap = elapsed_millis(F.col("_newest"), F.col(created))
-    return numbered.withColumns({"out_of_order": late, "gap_ms": F.when(~late, gap)}).drop("_newest")
+    audited = numbered.withColumns({"out_of_order": late, "gap_ms": F.when(~late, gap)})
+    return audited.drop("_newest", "_arrived")
 
 
+def arrival_summary(events: DataFrame, key: str, created: str) -> DataFrame:
+    """Per key, how many events arrived and the newest creation time among them."""
+    return events.groupBy(F.col(key).alias("key")).agg(
+        F.count(F.lit(1)).alias("arrived"), F.max(created).alias("newest")
+    )
+
+
+def merge_summaries(old: DataFrame, new: DataFrame) -> DataFrame:
+    return old.unionByName(new).groupBy("key").agg(
+        F.sum("arrived").alias("arrived"), F.max("newest").alias("newest")
+    )

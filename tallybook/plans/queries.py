@@ -271,7 +271,7 @@ def billing_row_pages(spark, sf_dir):
     """Nested feed landed as page envelopes, read back, flattened and costed."""
     size = schemas.BILLING_ROW_PAGE_SIZE
     rows = gcp_like(spark, sf_dir)
-    whole_row = F.to_json(F.struct(*rows.columns))
+    whole_row = F.xxhash64(*rows.columns)
     order = [F.col("project.id"), F.col("sku.id"), F.col("usage_start_time"), F.col("cost"), whole_row]
     paged = paging.assign_pages(rows, order, size)
     path = new_table_path(spark, "billing-row-pages")
@@ -391,7 +391,7 @@ def cursor_latest(spark, sf_dir):
 def cursor_lookup(spark, sf_dir):
     """The events the cursors point at."""
     tokens = _cursors(spark, sf_dir).select(F.col("last_token").alias("id"))
-    return outbox.lookup(outbox_like(spark, sf_dir), tokens, ["id"])
+    return reconcile.lookup(outbox_like(spark, sf_dir), tokens, ["id"])
 
 
 @query
@@ -514,6 +514,10 @@ def _arrivals(events):
 def sequence_audit(spark, sf_dir):
     arrivals = _arrivals(table(spark, sf_dir, "events"))
     audit = reconcile.sequence_audit(arrivals, "aggregate_id", "created_at", "arrival")
+    return _audit_columns(audit)
+
+
+def _audit_columns(audit):
     return audit.select("id", F.col("aggregate_id").alias("key"), "arrival_no", "out_of_order", "gap_ms")
 
 
@@ -619,11 +623,11 @@ def stream_ingest(spark, sf_dir):
 
 @query
 def stream_sequence(spark, sf_dir):
+    """The arrival audit over a stream, batch by batch."""
     path, checkpoint = _paths(spark, "sequence")
     arrivals = _arrivals(adapters.event_stream(spark, sf_dir))
-    audit = pipelines.sequence_audit(arrivals, "id", "aggregate_id", "created_at", "arrival")
-    pipelines.write_committed(audit, path, checkpoint)
-    return commit.committed(spark, path, "rows").drop("batch_id")
+    pipelines.sequence_audit(arrivals, path, checkpoint, "aggregate_id", "created_at", "arrival")
+    return _audit_columns(commit.committed(spark, path, "rows"))
 
 
 @query

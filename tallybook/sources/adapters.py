@@ -27,9 +27,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share rows among all cores where a table has fewer splits than there are cores.
+
+    A file of one row group is read by a single task, which would then do all per-row work alone.
+    A large table has splits enough and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _sold(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
     """Line items of one status with their part, supplier and nation."""
-    items = table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == status)
+    items = spread(table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == status))
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")

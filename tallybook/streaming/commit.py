@@ -1,8 +1,8 @@
 """Several outputs of one batch become visible together, through a commit marker.
 
-A table folder holds ``<output>/batch_id=N`` folders, two cursor slots and one marker per finished
-batch. Everything of a batch is written first and its marker last; readers admit only batches with
-a marker. A batch that is run again replaces its own folders, so keep a stream's checkpoint together
+A table folder holds ``<output>/batch_id=N`` folders, two slots for each small table that a batch
+replaces as a whole (the cursor, say), and one marker per finished batch. Everything of a batch is
+written first and its marker last; readers admit only batches with a marker. A batch that is run again replaces its own folders, so keep a stream's checkpoint together
 with its table: with a new checkpoint, batches must be cut as before.
 """
 
@@ -18,7 +18,7 @@ from tallybook.operators.outbox import checked_events, upsert_cursor
 
 _MARKER = T.StructType([
     T.StructField("committed_at", T.TimestampType()),
-    T.StructField("cursor_slot", T.IntegerType()),
+    T.StructField("slot", T.IntegerType()),
     T.StructField("batch_id", T.LongType()),
 ])
 
@@ -54,16 +54,21 @@ def commit_unit(
     outputs: dict[str, DataFrame],
     batch_id: int | None,
     path: str,
-    cursor: DataFrame | None = None,
+    replaced: dict[str, DataFrame] | None = None,
 ) -> None:
-    """Write every output of a batch, then the cursor, then the marker that makes them count."""
+    """Write every output of a batch, then the tables it replaces, then the marker that counts them."""
     batch_id = _require_batch(batch_id)
     spark = next(iter(outputs.values())).sparkSession
     for name, df in outputs.items():
         df.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
-    slot = None if cursor is None else _write_cursor(spark, cursor, batch_id, path)
+    slot = None
+    if replaced:
+        # Two slots in turn: the one being written is never the one an earlier marker points to.
+        slot = 0 if _last_slot(spark, path, batch_id) == 1 else 1
+        for name, df in replaced.items():
+            df.write.mode("overwrite").parquet(f"{path}/{name}/slot={slot}")
     marker = spark.range(1).select(
-        F.current_timestamp().alias("committed_at"), F.lit(slot).cast("int").alias("cursor_slot")
+        F.current_timestamp().alias("committed_at"), F.lit(slot).cast("int").alias("slot")
     )
     marker.write.mode("overwrite").parquet(f"{path}/commits/batch_id={batch_id}")
 
@@ -83,24 +88,27 @@ def committed(spark: SparkSession, path: str, output: str) -> DataFrame:
     return rows.join(markers(spark, path).select("batch_id"), "batch_id", "left_semi")
 
 
-def _cursor_slot(spark: SparkSession, path: str, before: int | None) -> int | None:
-    done = markers(spark, path).filter("cursor_slot IS NOT NULL")
+def _last_slot(spark: SparkSession, path: str, before: int | None) -> int | None:
+    done = markers(spark, path).filter("slot IS NOT NULL")
     if before is not None:
         done = done.filter(F.col("batch_id") < before)
-    return done.agg(F.max_by("cursor_slot", "batch_id")).first()[0]
+    return done.agg(F.max_by("slot", "batch_id")).first()[0]
 
 
-def _write_cursor(spark: SparkSession, updates: DataFrame, batch_id: int, path: str) -> int:
-    # Two slots in turn: the one being written is never the one an earlier marker points to.
-    slot = 0 if _cursor_slot(spark, path, batch_id) == 1 else 1
-    saved = upsert_cursor(read_cursor(spark, path, before=batch_id), updates)
-    saved.write.mode("overwrite").parquet(f"{path}/cursor/slot={slot}")
-    return slot
+def read_replaced(
+    spark: SparkSession, path: str, name: str, schema: T.StructType, before: int | None = None
+) -> DataFrame:
+    """A replaced table as of the last finished batch (or of the last one before a batch)."""
+    slot = _last_slot(spark, path, before)
+    if slot is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/{name}/slot={slot}")
 
 
 def read_cursor(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """Cursor rows as of the last finished batch (or of the last one before a batch)."""
-    slot = _cursor_slot(spark, path, before)
-    if slot is None:
-        return spark.createDataFrame([], schemas.CURSOR)
-    return spark.read.schema(schemas.CURSOR).parquet(f"{path}/cursor/slot={slot}")
+    return read_replaced(spark, path, "cursor", schemas.CURSOR, before)
+
+
+def saved_cursor(spark: SparkSession, updates: DataFrame, batch_id: int, path: str) -> DataFrame:
+    """The cursor table to commit with a batch: that of the batch before, with ``updates``."""
+    return upsert_cursor(read_cursor(spark, path, before=batch_id), updates)

@@ -6,19 +6,17 @@ a new checkpoint replays the log from its beginning.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tallybook.functions.text import elapsed_millis
+from tallybook.operators import reconcile
+from tallybook.operators.ordering import HOT_ROWS
 from tallybook.operators.outbox import included, latest
-from tallybook.streaming.commit import commit_unit, committed
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from tallybook.streaming.commit import commit_unit, committed, read_replaced, saved_cursor
 
 
 def run_batches(
@@ -62,7 +60,8 @@ def ingest(
             ["source"],
             ["updated_at", "_token"],
         )
-        commit_unit({"rows": page}, batch_id, path, cursor=saved)
+        cursor = saved_cursor(df.sparkSession, saved, batch_id, path)
+        commit_unit({"rows": page}, batch_id, path, replaced={"cursor": cursor})
         page.unpersist()
 
     run_batches(stream, checkpoint, on_batch)
@@ -120,30 +119,14 @@ def round_trip(
 ) -> DataFrame:
     """Match messages with their consumption within a bound; unmatched ones come out as timed out.
 
-    Message ids are unique; repeats within ``delay`` are dropped on both sides, so a message meets
-    at most one consumption. The time bucket spreads a key that recurs over long times.
+    A message id is sent once; repeats within ``delay`` are dropped on both sides before they meet,
+    so no message is paired with more than one consumption.
     """
-    width = bound_seconds * 1_000_000
-    bucket = lambda time: F.floor(F.unix_micros(time) / width)
-    sent = (
-        published.withWatermark("published_at", delay)
-        .dropDuplicatesWithinWatermark([key])
-        .withColumn("_bucket", bucket(F.col("published_at")))
-        .alias("sent")
-    )
-    # A consumption can answer messages of its own bucket and of the one before.
-    seen = (
-        consumed.select(key, "consumed_at")
-        .withWatermark("consumed_at", delay)
-        .dropDuplicatesWithinWatermark([key])
-        .withColumn("_bucket", bucket(F.col("consumed_at")))
-        .withColumn("_bucket", F.explode(F.array("_bucket", F.col("_bucket") - 1)))
-        .alias("seen")
-    )
+    sent = dedup(published, key, "published_at", delay, spread=True).alias("sent")
+    seen = dedup(consumed.select(key, "consumed_at"), key, "consumed_at", delay, spread=True).alias("seen")
     limit = F.col("sent.published_at") + F.expr(f"INTERVAL {bound_seconds} SECONDS")
     match = (
         (F.col(f"sent.{key}") == F.col(f"seen.{key}"))
-        & (F.col("sent._bucket") == F.col("seen._bucket"))
         & (F.col("seen.consumed_at") >= F.col("sent.published_at"))
         & (F.col("seen.consumed_at") <= limit)
     )
@@ -173,49 +156,34 @@ def parse_strictly(df: DataFrame, schema: T.StructType, column: str = "payload")
     return df.withColumn("_body", body).select(*rest, "_body.*")
 
 
-class _ArrivalAudit(StatefulProcessor):
-    """Per key: how many events arrived, and the newest creation time among them."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        fields = [T.StructField("arrived", T.LongType()), T.StructField("newest", T.LongType())]
-        self._seen = handle.getValueState("seen", T.StructType(fields))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # A key's rows of one micro-batch, whose size the source's batch limit bounds.
-        batch = pd.concat(list(rows)).sort_values("arrival", kind="stable")
-        arrived, newest = self._seen.get() if self._seen.exists() else (0, None)
-        created = batch["created_us"]
-        before = created.cummax().shift(1).astype("Int64")
-        if newest is not None:
-            before = before.fillna(newest).clip(lower=newest)
-        late = (created < before).fillna(False).astype(bool)
-        gap = ((created - before) // 1000).mask(late)
-        yield pd.DataFrame({
-            "id": batch["id"],
-            "key": batch["key"],
-            "arrival_no": range(arrived + 1, arrived + len(batch) + 1),
-            "out_of_order": late,
-            "gap_ms": gap,
-        })
-        top = int(created.max())
-        self._seen.update((arrived + len(batch), top if newest is None else max(top, newest)))
-
-    def close(self) -> None:
-        pass
-
-
-_AUDIT_SCHEMA = "id string, key string, arrival_no long, out_of_order boolean, gap_ms long"
-
-
-def sequence_audit(df: DataFrame, identity: str, key: str, created: str, arrival: str) -> DataFrame:
-    """Streaming form of the arrival audit; each key's state is two numbers."""
-    narrow = df.select(
-        F.col(identity).cast("string").alias("id"),
-        F.col(key).cast("string").alias("key"),
-        F.unix_micros(created).alias("created_us"),
-        F.col(arrival).cast("bigint").alias("arrival"),
-    )
-    narrow.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return narrow.groupBy("key").transformWithStateInPandas(
-        _ArrivalAudit(), _AUDIT_SCHEMA, outputMode="append", timeMode="none"
-    )
+_ARRIVALS = T.StructType([
+    T.StructField("key", T.StringType()),
+    T.StructField("arrived", T.LongType()),
+    T.StructField("newest", T.TimestampType()),
+])
+
+
+def sequence_audit(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    key: str,
+    created: str,
+    arrival: str,
+    hot_rows: int = HOT_ROWS,
+) -> None:
+    """Run the arrival audit batch by batch into ``rows``, carrying two numbers per key along.
+
+    Each batch is audited as a table, so a key that fills a batch is split as in the batch form; what
+    arrived before enters as one row per key and is committed together with the audited rows.
+    """
+
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        events = df.withColumn(key, F.col(key).cast("string")).persist()
+        earlier = read_replaced(df.sparkSession, path, "arrivals", _ARRIVALS, before=batch_id)
+        audited = reconcile.sequence_audit(events, key, created, arrival, earlier, hot_rows)
+        total = reconcile.merge_summaries(earlier, reconcile.arrival_summary(events, key, created))
+        commit_unit({"rows": audited}, batch_id, path, replaced={"arrivals": total})
+        events.unpersist()
+
+    run_batches(stream, checkpoint, on_batch)

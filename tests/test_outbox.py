@@ -94,7 +94,7 @@ def test_latest_cursor_replaces_the_saved_one(spark):
     got = {r.source: r.last_token for r in outbox.upsert_cursor(old, new).collect()}
     assert got == {"it-source": "tok-2", "other": None, "new": "t"}
     keys = spark.createDataFrame([("it-source",), ("none",)], "source string")
-    assert [r.last_token for r in outbox.lookup(old, keys, ["source"]).collect()] == ["tok-1"]
+    assert [r.last_token for r in reconcile.lookup(old, keys, ["source"]).collect()] == ["tok-1"]
 
 
 def test_seen_events_are_dropped(sample):
@@ -102,6 +102,16 @@ def test_seen_events_are_dropped(sample):
     assert {r.id for r in got.collect()} == {"e1", "e2", "e3"}
 
 
+@pytest.mark.parametrize("hot_rows", [0, 4, 10**9])
+def test_copies_of_hot_ids_are_matched_alike(spark, sample, hot_rows):
+    copies = sample.crossJoin(spark.range(5).select()).unionByName(
+        sample.limit(4).withColumn("id", F.lit(None).cast("string"))
+    )
+    seen = copies.filter("id IN ('e1', 'e2') OR id IS NULL")
+    got = reconcile.drop_seen(copies, seen, ["id"], hot_rows).groupBy("id").count().collect()
+    assert {r.id: r["count"] for r in got} == {"e3": 5, "e4": 5, "e5": 5, "e6": 5, None: 4}
+
+
 def test_retention_reads_only_partitions_to_keep(spark, sample, tmp_path):
     old = sample.withColumn("created_at", F.col("created_at") - F.expr("INTERVAL 8 DAYS")).withColumn("id", F.concat("id", F.lit("-old")))
     both = sample.unionByName(old).withColumn("created_date", F.to_date("created_at"))
@@ -150,16 +160,21 @@ def test_a_batch_written_again_replaces_itself(spark, sample, tmp_path):
 
 def test_cursor_of_an_unfinished_batch_is_not_seen(spark, sample, tmp_path):
     path = str(tmp_path / "feed")
-    saved = lambda token, day: spark.createDataFrame([("s", token, T0 + timedelta(day))], schemas.CURSOR)
-    assert commit.read_cursor(spark, path).isEmpty()
-    commit.commit_unit({"rows": sample}, 0, path, cursor=saved("t0", 0))
+
+    def saved(batch):
+        row = spark.createDataFrame([("s", f"t{batch}", T0 + timedelta(batch))], schemas.CURSOR)
+        return {"cursor": commit.saved_cursor(spark, row, batch, path)}
+
+    tokens = lambda: [r.last_token for r in commit.read_cursor(spark, path).collect()]
+    assert tokens() == []
+    commit.commit_unit({"rows": sample}, 0, path, saved(0))
     commit.commit_unit({"rows": sample}, 1, path)
-    commit._write_cursor(spark, saved("t2", 2), 2, path)  # the batch dies before its marker
-    assert [r.last_token for r in commit.read_cursor(spark, path).collect()] == ["t0"]
-    commit.commit_unit({"rows": sample}, 2, path, cursor=saved("t2", 2))
-    commit.commit_unit({"rows": sample}, 3, path, cursor=saved("t3", 3))
-    commit.commit_unit({"rows": sample}, 3, path, cursor=saved("t3", 3))
-    assert [r.last_token for r in commit.read_cursor(spark, path).collect()] == ["t3"]
+    # Batch 2 writes its slot and dies before its marker.
+    saved(2)["cursor"].write.mode("overwrite").parquet(f"{path}/cursor/slot=0")
+    assert tokens() == ["t0"]
+    for batch in (2, 3, 3):
+        commit.commit_unit({"rows": sample}, batch, path, saved(batch))
+        assert tokens() == [f"t{batch}"]
 
 
 def test_quarantine_keeps_bad_syntax_and_bad_types(spark):

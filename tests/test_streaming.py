@@ -86,18 +86,17 @@ def test_stream_dedup_equals_batch(spark, landed, tmp_path, spread):
     assert rows(commit.committed(spark, path, "rows"), "id") == rows(adapters.outbox_like(spark, SF), "id")
 
 
-def test_stream_audit_equals_batch_across_batches(spark, landed, tmp_path):
+@pytest.mark.parametrize("hot_rows", [10**9, 3])
+def test_stream_audit_equals_batch_across_batches(spark, landed, tmp_path, hot_rows):
     path, checkpoint = paths(tmp_path)
-    audit = pipelines.sequence_audit(
-        queries._arrivals(stream(spark, landed)), "id", "aggregate_id", "created_at", "arrival"
-    )
-    pipelines.write_committed(audit, path, checkpoint)
-    batch = reconcile.sequence_audit(
-        queries._arrivals(adapters.table(spark, SF, "events")), "aggregate_id", "created_at", "arrival"
-    )
-    got = rows(commit.committed(spark, path, "rows"), "id", "arrival_no", "out_of_order", "gap_ms")
-    assert got == rows(batch, "id", "arrival_no", "out_of_order", "gap_ms")
-    assert any(r[2] for r in got) and commit.last_batch(spark, path) >= 3
+    arrivals = queries._arrivals(stream(spark, landed))
+    names = ("aggregate_id", "created_at", "arrival")
+    pipelines.sequence_audit(arrivals, path, checkpoint, *names, hot_rows)
+    batch = reconcile.sequence_audit(queries._arrivals(adapters.table(spark, SF, "events")), *names)
+    columns = ["id", "arrival_no", "out_of_order", "gap_ms"]
+    got = rows(commit.committed(spark, path, "rows"), *columns)
+    assert got == rows(batch, *columns)
+    assert any(r[2] for r in got) and commit.last_batch(spark, path) == 3
 
 
 def test_windows_in_update_mode_equal_batch(spark, landed, tmp_path):
