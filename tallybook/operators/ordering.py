@@ -13,6 +13,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from tallybook.session import new_table_path
 
@@ -23,6 +24,8 @@ MAX_HOT_KEYS = 10_000
 
 CHUNK = "_chunk"
 PLACE = "_place"
+COPIES = "_copies"
+COPY_BLOCK = 100_000  # copies of one row written out by one task at most
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row in the low 33 bits, the partition above
 
 
@@ -35,20 +38,47 @@ def with_file_position(df: DataFrame) -> DataFrame:
     )
 
 
+def collapsed(df: DataFrame) -> DataFrame:
+    """Distinct rows with their number of copies; each task combines its own copies first."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
+
+
+def expanded(
+    rows: DataFrame, cut: DataFrame, number: str | None = None, block: int = COPY_BLOCK
+) -> DataFrame:
+    """Undo ``collapsed``; ``number``, if given, is the first copy's number and counts on from there.
+
+    Very many copies of one row are shared among tasks in blocks. ``cut`` is the written table behind
+    ``rows``: its file statistics tell quickly whether there are any.
+    """
+    first, last = F.lit(0).cast("bigint"), F.col(COPIES) - 1
+    if not cut.filter(F.col(COPIES) > block).select(COPIES).isEmpty():
+        blocks = F.sequence(first, F.floor(last / block).cast("bigint"))
+        rows = rows.withColumn("_block", F.explode(blocks)).repartition(shuffle_partitions(rows))
+        first = F.col("_block") * block
+        last = F.least(last, first + (block - 1))
+    rows = rows.withColumn("_copy", F.explode(F.sequence(first, last)))
+    if number:
+        rows = rows.withColumn(number, F.col(number) + F.col("_copy"))
+    return rows.drop(COPIES, "_copy", "_block")
+
+
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def chunked(df: DataFrame, order: Sequence[Column | str], chunks: int | None = None) -> DataFrame:
     """Range-partition by ``order``, write once, and return with chunk number and place in chunk.
 
-    Chunks follow each other in order. Rows equal in every order column share a chunk, so end the
-    order with a column that tells copies apart where copies may be many.
+    Chunks follow each other in order. Rows equal in every order column share a chunk: where copies
+    may be many, collapse them first or end the order with a column that tells them apart.
     """
     spark = df.sparkSession
-    count = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = new_table_path(spark, "chunks")
-    position = F.monotonically_increasing_id()
     (
-        df.repartitionByRange(count, *order)
+        df.repartitionByRange(chunks or shuffle_partitions(df), *order)
         .sortWithinPartitions(*order)
-        .withColumn("_position", position)
+        .withColumn("_position", F.monotonically_increasing_id())
         .write.parquet(path)
     )
     return (
@@ -59,23 +89,44 @@ def chunked(df: DataFrame, order: Sequence[Column | str], chunks: int | None = N
     )
 
 
+def before(window: WindowSpec) -> WindowSpec:
+    """All rows of the window ahead of the current one."""
+    return window.rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _or_zero(column: Column) -> Column:
+    return F.coalesce(column, F.lit(0).cast("bigint"))
+
+
 def global_row_number(
-    df: DataFrame, order: Sequence[Column | str], out: str, chunks: int | None = None
+    df: DataFrame,
+    order: Sequence[Column | str],
+    out: str,
+    chunks: int | None = None,
+    copies: bool = True,
+    block: int = COPY_BLOCK,
 ) -> DataFrame:
-    """Zero-based position of every row in the total order, without a single-task window."""
-    rows = chunked(df, order, chunks)
+    """Zero-based position of every row in the total order, without a single-task window.
+
+    ``copies=False`` saves a shuffle where the order tells all rows apart.
+    """
+    rows = cut = chunked(collapsed(df) if copies else df, order, chunks)
+    size = F.sum(COPIES) if copies else F.count(F.lit(1))
     # One row per chunk: the un-partitioned window and the broadcast are bounded by their number.
-    before = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         rows.groupBy(CHUNK)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(CHUNK, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+        .agg(size.alias("_rows"))
+        .select(CHUNK, _or_zero(F.sum("_rows").over(before(Window.orderBy(CHUNK)))).alias("_start"))
     )
-    return (
+    if copies:
+        ahead = before(Window.partitionBy(CHUNK).orderBy(PLACE))
+        rows = rows.withColumn(PLACE, _or_zero(F.sum(COPIES).over(ahead)))
+    numbered = (
         rows.join(F.broadcast(starts), CHUNK)
         .withColumn(out, F.col("_start") + F.col(PLACE))
         .drop(CHUNK, PLACE, "_start")
     )
+    return expanded(numbered, cut, out, block) if copies else numbered
 
 
 def _key_hash(keys: Sequence[str]) -> Column:
@@ -117,6 +168,7 @@ def number_within(
     order: Sequence[str],
     out: str = "sequence",
     hot_rows: int = HOT_ROWS,
+    block: int = COPY_BLOCK,
 ) -> DataFrame:
     """One-based number of each row within its key, by a total order."""
 
@@ -125,26 +177,24 @@ def number_within(
         return rows.withColumn(out, F.row_number().over(w).cast("bigint"))
 
     def heavy(rows: DataFrame, _: Column) -> DataFrame:
-        cut = chunked(rows, [*keys, *order])
-        spans = span_summary(cut, keys, F.count(F.lit(1)).alias("_rows"))
-        before = span_window(keys).rowsBetween(Window.unboundedPreceding, -1)
-        starts = spans.withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-        place = F.row_number().over(chunk_window(keys))
-        return (
-            join_spans(cut.withColumn("_in_chunk", place), starts.drop("_rows"), keys)
-            .withColumn(out, (F.col("_start") + F.col("_in_chunk")).cast("bigint"))
-            .drop(CHUNK, PLACE, "_start", "_in_chunk")
-        )
+        cut = chunked(collapsed(rows), [*keys, *order])
+        spans = span_summary(cut, keys, F.sum(COPIES).alias("_rows"))
+        start = _or_zero(F.sum("_rows").over(before(span_window(keys))))
+        place = _or_zero(F.sum(COPIES).over(before(chunk_window(keys))))
+        numbered = join_spans(
+            cut.withColumn("_in_chunk", place), spans.withColumn("_start", start).drop("_rows"), keys
+        ).withColumn(out, F.col("_start") + F.col("_in_chunk") + 1)
+        return expanded(numbered.drop(CHUNK, PLACE, "_start", "_in_chunk"), cut, out, block)
 
     return split_hot(df, keys, usual, heavy, hot_rows)
 
 
-def chunk_window(keys: Sequence[str]):
+def chunk_window(keys: Sequence[str]) -> WindowSpec:
     """Window over one key inside one chunk, in order."""
     return Window.partitionBy(CHUNK, *keys).orderBy(PLACE)
 
 
-def span_window(keys: Sequence[str]):
+def span_window(keys: Sequence[str]) -> WindowSpec:
     """Window over the chunks of one key, in order."""
     return Window.partitionBy(*keys).orderBy(CHUNK)
 

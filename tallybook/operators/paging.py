@@ -28,6 +28,7 @@ def page(
     token: str | None,
     size: int,
     shallow_rows: int = SHALLOW_ROWS,
+    copies: bool = True,
 ) -> DataFrame:
     """The page a token names, with the next token on each row (null on the last page)."""
     offset, total = offset_of(df, token)
@@ -36,14 +37,19 @@ def page(
     if end <= shallow_rows:
         rows = df.orderBy(*order).offset(offset).limit(size)
     else:
-        numbered = global_row_number(df, order, "_position")
+        numbered = global_row_number(df, order, "_position", copies=copies)
         rows = numbered.filter(F.col("_position").between(offset, end - 1)).drop("_position")
     return rows.withColumn("next_token", following)
 
 
-def assign_pages(df: DataFrame, order: Sequence[Column | str], size: int) -> DataFrame:
-    """Every row with the number of its page and its place there: a whole walk in one job."""
-    numbered = global_row_number(df, order, "_position")
+def assign_pages(
+    df: DataFrame, order: Sequence[Column | str], size: int, copies: bool = True
+) -> DataFrame:
+    """Every row with the number of its page and its place there: a whole walk in one job.
+
+    Pass ``copies=False`` where the order tells all rows apart.
+    """
+    numbered = global_row_number(df, order, "_position", copies=copies)
     return numbered.select(
         *df.columns,
         F.floor(F.col("_position") / size).cast("bigint").alias("page"),

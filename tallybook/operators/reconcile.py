@@ -13,8 +13,11 @@ from tallybook.operators.ordering import (
     CHUNK,
     HOT_ROWS,
     PLACE,
+    before,
     chunk_window,
     chunked,
+    collapsed,
+    expanded,
     join_spans,
     span_summary,
     span_window,
@@ -135,10 +138,6 @@ def reservation_utilisation(usage: DataFrame, fees: DataFrame) -> DataFrame:
     )
 
 
-def _before(window):
-    return window.rowsBetween(Window.unboundedPreceding, -1)
-
-
 def round_trip(
     published: DataFrame,
     consumed: DataFrame,
@@ -172,18 +171,20 @@ def round_trip(
         return rows.withColumn("_next", F.min("_consumed").over(w))
 
     def heavy(rows: DataFrame, _: Column) -> DataFrame:
-        cut = chunked(rows, [*keys, *place])
+        cut = chunked(collapsed(rows), [*keys, *place])
         spans = span_summary(cut, keys, F.min("_consumed").alias("_first"))
         later = Window.partitionBy(*keys).orderBy(F.desc(CHUNK))
-        spans = spans.withColumn("_later", F.min("_first").over(_before(later))).drop("_first")
+        spans = spans.withColumn("_later", F.min("_first").over(before(later))).drop("_first")
         w = Window.partitionBy(CHUNK, *keys).orderBy(F.desc(PLACE))
         w = w.rowsBetween(Window.unboundedPreceding, 0)
         near = cut.withColumn("_near", F.min("_consumed").over(w))
-        return (
+        found = (
             join_spans(near, spans, keys)
+            .filter("_kind = 0")
             .withColumn("_next", F.coalesce("_near", "_later"))
             .drop("_near", "_later", CHUNK, PLACE)
         )
+        return expanded(found, cut)
 
     matched = split_hot(both, keys, usual, heavy, hot_rows).filter("_kind = 0")
     in_time = F.col("_next") <= F.col("published_at") + F.expr(f"INTERVAL {bound}")
@@ -213,16 +214,16 @@ def sequence_audit(
     keys = [key]
     rows = events.withColumn("_arrived", F.lit(1).cast("bigint"))
     if earlier is not None:
-        before = earlier.select(
+        summary = earlier.select(
             F.col("key").alias(key), F.col("newest").alias(created), F.col("arrived").alias("_arrived")
         ).join(events.select(key).distinct(), key, "left_semi")
-        rows = rows.unionByName(before, allowMissingColumns=True)
+        rows = rows.unionByName(summary, allowMissingColumns=True)
 
     def usual(rows: DataFrame) -> DataFrame:
         w = Window.partitionBy(key).orderBy(F.asc_nulls_first(arrival))
         return rows.withColumns({
             "arrival_no": F.sum("_arrived").over(w.rowsBetween(Window.unboundedPreceding, 0)),
-            "_newest": F.max(created).over(_before(w)),
+            "_newest": F.max(created).over(before(w)),
         })
 
     def heavy(rows: DataFrame, _: Column) -> DataFrame:
@@ -230,7 +231,7 @@ def sequence_audit(
         spans = span_summary(
             cut, keys, F.sum("_arrived").alias("_rows"), F.max(created).alias("_top")
         )
-        previous = _before(span_window(keys))
+        previous = before(span_window(keys))
         spans = spans.withColumns({
             "_rows_before": F.coalesce(F.sum("_rows").over(previous), F.lit(0)),
             "_top_before": F.max("_top").over(previous),
@@ -238,7 +239,7 @@ def sequence_audit(
         w = chunk_window(keys)
         near = cut.withColumns({
             "_row": F.sum("_arrived").over(w.rowsBetween(Window.unboundedPreceding, 0)),
-            "_near": F.max(created).over(_before(w)),
+            "_near": F.max(created).over(before(w)),
         })
         return (
             join_spans(near, spans, keys)

@@ -210,7 +210,8 @@ def _feed(spark, sf_dir):
 
 
 def _feed_pages(spark, sf_dir):
-    return paging.assign_pages(_feed(spark, sf_dir), FEED_ORDER, schemas.LINE_ITEM_PAGE_SIZE)
+    feed = _feed(spark, sf_dir)
+    return paging.assign_pages(feed, FEED_ORDER, schemas.LINE_ITEM_PAGE_SIZE, copies=False)
 
 
 @query
@@ -225,13 +226,15 @@ def feed_page_sizes(spark, sf_dir):
 
 @query
 def feed_page_n(spark, sf_dir):
-    page = paging.page(_feed(spark, sf_dir), FEED_ORDER, " 15 ", schemas.LINE_ITEM_PAGE_SIZE)
+    size = schemas.LINE_ITEM_PAGE_SIZE
+    page = paging.page(_feed(spark, sf_dir), FEED_ORDER, " 15 ", size, copies=False)
     return page.select(*LINE_ORDER, "next_token")
 
 
 @query
 def feed_page_deep(spark, sf_dir):
-    page = paging.page(_feed(spark, sf_dir), FEED_ORDER, "+5995", schemas.BILLING_ROW_PAGE_SIZE)
+    size = schemas.BILLING_ROW_PAGE_SIZE
+    page = paging.page(_feed(spark, sf_dir), FEED_ORDER, "+5995", size, copies=False)
     return page.select(*LINE_ORDER, "next_token")
 
 
@@ -271,8 +274,7 @@ def billing_row_pages(spark, sf_dir):
     """Nested feed landed as page envelopes, read back, flattened and costed."""
     size = schemas.BILLING_ROW_PAGE_SIZE
     rows = gcp_like(spark, sf_dir)
-    whole_row = F.xxhash64(*rows.columns)
-    order = [F.col("project.id"), F.col("sku.id"), F.col("usage_start_time"), F.col("cost"), whole_row]
+    order = [F.col(c) for c in ("project.id", "sku.id", "usage_start_time", "cost", *rows.columns)]
     paged = paging.assign_pages(rows, order, size)
     path = new_table_path(spark, "billing-row-pages")
     feeds.to_pages(paged, "page", "page_row", size, "rows", "nextPageToken").write.json(path)

@@ -19,14 +19,15 @@ def skewed(spark):
 
 
 def test_global_row_number(skewed):
-    got = ordering.global_row_number(skewed, ["t", "id"], "n", chunks=7).collect()
+    got = ordering.global_row_number(skewed, ["t", "id"], "n", chunks=7, copies=False).collect()
     expected = sorted((r.t, r.id) for r in skewed.collect())
     assert [(r.t, r.id) for r in sorted(got, key=lambda r: r.n)] == expected
     assert sorted(r.n for r in got) == list(range(3000))
 
 
-def _numbers(df, hot_rows):
-    return sorted(ordering.number_within(df, ["k"], ["t", "id"], "n", hot_rows).collect(), key=str)
+def _numbers(df, hot_rows, block=ordering.COPY_BLOCK):
+    numbered = ordering.number_within(df, ["k"], ["t", "id"], "n", hot_rows, block)
+    return sorted(numbered.collect(), key=str)
 
 
 def test_hot_keys_are_numbered_as_ordinary_ones(skewed):
@@ -35,6 +36,25 @@ def test_hot_keys_are_numbered_as_ordinary_ones(skewed):
     assert _numbers(skewed, 0) == usual
 
 
+@pytest.mark.parametrize("block", [7, 10**6])
+def test_copies_are_numbered_whole_and_spread_in_blocks(spark, skewed, block):
+    copies = skewed.filter("id % 50 = 0").crossJoin(spark.range(40).select())
+    hot = skewed.filter("k = 'hot'").limit(1).crossJoin(spark.range(900).select())
+    rows = copies.unionByName(hot)
+    usual = _numbers(rows, 10**9)
+    assert len(usual) == 60 * 40 + 900
+    assert _numbers(rows, 500, block) == usual
+    got = ordering.global_row_number(rows, ["t", "id", "k"], "n", 5, True, block).collect()
+    assert sorted(r.n for r in got) == list(range(len(usual)))
+    assert [(r.t, r.id) for r in sorted(got, key=lambda r: r.n)] == sorted((r.t, r.id) for r in usual)
+
+
+def test_copies_reach_the_sort_as_one_row(spark, skewed):
+    rows = skewed.limit(3).crossJoin(spark.range(500).select())
+    cut = ordering.chunked(ordering.collapsed(rows), ["k", "t", "id"], 2)
+    assert sorted(r[ordering.COPIES] for r in cut.collect()) == [500, 500, 500]
+
+
 def test_hot_keys_are_the_largest(skewed):
     hot = skewed.select(F.xxhash64(F.lit("hot"))).first()[0]
     assert ordering.hot_keys(skewed, ["k"], 900) == [hot]
@@ -60,7 +80,7 @@ def test_file_position_splits_exact_copies(spark, tmp_path):
     copies = ordering.with_file_position(spark.read.parquet(path))
     cut = ordering.chunked(copies, ["id", "_file", "_file_row"], chunks=4)
     assert max(r["count"] for r in cut.groupBy(ordering.CHUNK).count().collect()) < 2500
-    numbered = ordering.global_row_number(copies, ["id", "_file", "_file_row"], "n")
+    numbered = ordering.global_row_number(copies, ["id", "_file", "_file_row"], "n", copies=False)
     assert numbered.agg(F.count_distinct("n")).first()[0] == 4000
 
 
@@ -84,7 +104,8 @@ def _trips(spark, seed):
     rng = random.Random(seed)
     start = 1_700_000_000
     ids = ["hot"] * 6 + ["a", "b", None]
-    sent = [(rng.choice(ids), start + rng.randrange(400), n) for n in range(500)]
+    sent = [(rng.choice(ids), start + rng.randrange(400), n) for n in range(450)]
+    sent += [sent[0]] * 50
     back = [(rng.choice(ids), start + rng.randrange(400)) for _ in range(120)]
     published = spark.createDataFrame(sent, "id string, t long, n int").select("id", F.timestamp_seconds("t").alias("published_at"), "n")
     consumed = spark.createDataFrame(back, "id string, t long").select("id", F.timestamp_seconds("t").alias("consumed_at"))
@@ -101,6 +122,7 @@ def test_round_trip_takes_the_first_consumption_in_time(spark, hot_rows):
     got = reconcile.round_trip(published, consumed, ["id"], "5 SECONDS", hot_rows).collect()
     assert {r.n: r.latency_ms for r in got} == expected
     assert all(r.timed_out == (r.latency_ms is None) for r in got) and len(got) == 500
+    assert sum(r.n == 0 for r in got) == 51
 
 
 @pytest.mark.parametrize("hot_rows", [10**9, 900, 0])
