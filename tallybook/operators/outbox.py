@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -134,14 +134,25 @@ def retain(events: DataFrame, cutoff) -> DataFrame:
     return events.filter(F.col("created_at") >= F.lit(cutoff))
 
 
-def rewrite_retained(spark, path: str, cutoff, keep_path: str) -> None:
-    """Copy a table partitioned by ``created_date`` without what is older than ``cutoff``.
+def write_by_date(events: DataFrame, path: str) -> None:
+    """Append events to a table partitioned by day of creation; the partitions serve as time index.
 
-    Partitions wholly before the cutoff are never read.
+    The rebalance gathers each day into few files, and splits a day too large for one task.
     """
-    rows = spark.read.parquet(path)
-    kept = retain(rows.filter(F.col("created_date") >= F.lit(cutoff).cast("date")), cutoff)
-    kept.write.partitionBy("created_date").parquet(keep_path)
+    dated = events.withColumn("created_date", F.to_date("created_at"))
+    dated.hint("rebalance", F.col("created_date")).write.mode("append").partitionBy("created_date").parquet(path)
+
+
+def retained(spark: SparkSession, path: str, cutoff) -> DataFrame:
+    """Events of a table by date that are not older than ``cutoff``; earlier days are never read."""
+    days = spark.read.parquet(path).filter(F.col("created_date") >= F.lit(cutoff).cast("date"))
+    return retain(days, cutoff)
+
+
+def expired_days(spark: SparkSession, path: str, cutoff) -> DataFrame:
+    """Days wholly before ``cutoff``, whose partitions may be removed."""
+    days = spark.read.parquet(path).select("created_date").distinct()
+    return days.filter(F.col("created_date") < F.lit(cutoff).cast("date"))
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

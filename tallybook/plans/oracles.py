@@ -434,6 +434,7 @@ ORACLES: dict[str, str] = {
         FROM events""",
     "creation_order": "SELECT CAST(event_id AS VARCHAR) AS id, ts AS created_at FROM events ORDER BY ts, id",
     "retention_kept": f"SELECT {_EVENT_COLUMNS} FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'",
+    "retention_by_date": f"SELECT {_EVENT_COLUMNS} FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'",
     "cdc_capture": """SELECT CAST(event_id AS VARCHAR) AS id,
             CASE WHEN ts < TIMESTAMP '2024-01-20' THEN 'r' ELSE 'c' END AS op,
             event_type AS type, props AS payload, ts AS created_at

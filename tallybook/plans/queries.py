@@ -457,6 +457,15 @@ def retention_kept(spark, sf_dir):
     return outbox.retain(outbox_like(spark, sf_dir), cutoff)
 
 
+@query
+def retention_by_date(spark, sf_dir):
+    """The same from a table partitioned by day, of which earlier days are not read."""
+    path = new_table_path(spark, "events-by-date")
+    outbox.write_by_date(outbox_like(spark, sf_dir), path)
+    cutoff = F.lit(RETENTION_CUTOFF).cast("timestamp")
+    return outbox.retained(spark, path, cutoff).drop("created_date")
+
+
 @query
 def cdc_capture(spark, sf_dir):
     snapshot, changes = adapters.change_log(spark, sf_dir)

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 MONEY = T.DecimalType(18, 6)
 RATE = T.DecimalType(10, 6)
 QUANTITY = T.DecimalType(24, 6)
-TOTAL = T.DecimalType(28, 6)
+TOTAL = T.DecimalType(26, 6)  # a sum of money that a rate can still multiply exactly
 
 # Wire name, readable name and type of the 21 flat cost columns.
 LINE_ITEM_FIELDS: list[tuple[str, str, T.DataType]] = [

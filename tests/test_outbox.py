@@ -112,16 +112,16 @@ def test_copies_of_hot_ids_are_matched_alike(spark, sample, hot_rows):
     assert {r.id: r["count"] for r in got} == {"e3": 5, "e4": 5, "e5": 5, "e6": 5, None: 4}
 
 
-def test_retention_reads_only_partitions_to_keep(spark, sample, tmp_path):
-    old = sample.withColumn("created_at", F.col("created_at") - F.expr("INTERVAL 8 DAYS")).withColumn("id", F.concat("id", F.lit("-old")))
-    both = sample.unionByName(old).withColumn("created_date", F.to_date("created_at"))
-    path, kept = str(tmp_path / "all"), str(tmp_path / "kept")
-    both.write.partitionBy("created_date").parquet(path)
+def test_retention_reads_only_days_to_keep(spark, sample, tmp_path):
+    old = sample.withColumn("created_at", F.col("created_at") - F.expr("INTERVAL 8 DAYS"))
+    path = str(tmp_path / "all")
+    outbox.write_by_date(sample.unionByName(old.withColumn("id", F.concat("id", F.lit("-old")))), path)
     cutoff = T0 + timedelta(seconds=1)
-    outbox.rewrite_retained(spark, path, cutoff, kept)
-    assert {r.id for r in spark.read.parquet(kept).collect()} == {"e2", "e3", "e4", "e5", "e6"}
-    scan = spark.read.parquet(path).filter(F.col("created_date") >= F.lit(cutoff).cast("date"))
-    assert len(scan.inputFiles()) >= 2 and "PartitionFilters: [isnotnull" in scan._jdf.queryExecution().toString()
+    kept = outbox.retained(spark, path, cutoff)
+    assert {r.id for r in kept.collect()} == {"e2", "e3", "e4", "e5", "e6"}
+    assert "PartitionFilters: [isnotnull(created_date" in kept._jdf.queryExecution().toString()
+    expired = outbox.expired_days(spark, path, cutoff).collect()
+    assert [r.created_date for r in expired] == [(T0 - timedelta(8)).date()]
 
 
 @pytest.mark.parametrize(
