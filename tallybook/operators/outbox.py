@@ -66,9 +66,15 @@ def checked_events(events: DataFrame) -> DataFrame:
 
 
 def included(changes: DataFrame, tables: Iterable[str]) -> DataFrame:
-    """Change records of the listed ``schema.table`` names that carry a row (no updates, deletes)."""
-    name = F.concat_ws(".", "source_schema", "source_table")
-    return changes.filter(name.isin(*tables) & F.col("op").isin("r", "c"))
+    """Change records of the listed ``schema.table`` names that carry a row (no updates, deletes).
+
+    Schema and table are compared column by column, so that the scan can use the condition.
+    """
+    listed = F.lit(False)
+    for name in tables:
+        schema, _, table = name.partition(".")
+        listed = listed | ((F.col("source_schema") == schema) & (F.col("source_table") == table))
+    return changes.filter(listed & F.col("op").isin("r", "c"))
 
 
 def capture(snapshot: DataFrame, changes: DataFrame, tables: Iterable[str]) -> DataFrame:

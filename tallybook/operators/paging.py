@@ -59,14 +59,12 @@ def assign_pages(
 
 def page_sizes(pages: DataFrame, size: int) -> DataFrame:
     """Rows per page and the token that names the page after it (null on the last)."""
-    counts = pages.groupBy("page").agg(F.count(F.lit(1)).alias("page_rows"))
-    last = counts.agg(F.max("page").alias("last_page"))
-    return counts.crossJoin(F.broadcast(last)).select(
-        "page",
-        "page_rows",
-        F.when(
-            F.col("page") < F.col("last_page"), ((F.col("page") + 1) * size).cast("string")
-        ).alias("next_token"),
+    last = pages.agg(F.max("page")).first()[0]
+    following = ((F.col("page") + 1) * size).cast("string")
+    return (
+        pages.groupBy("page")
+        .agg(F.count(F.lit(1)).alias("page_rows"))
+        .withColumn("next_token", F.when(F.col("page") < F.lit(last), following))
     )
 
 

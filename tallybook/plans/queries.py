@@ -19,7 +19,7 @@ from tallybook.operators.ordering import with_file_position
 from tallybook.session import new_table_path, prepare
 from tallybook.sources import adapters, eventlog, feeds
 from tallybook.sources.adapters import cur_like, fees_like, gcp_like, outbox_like, table
-from tallybook.streaming import commit, pipelines
+from tallybook.streaming import commit, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -243,13 +243,12 @@ def page_walk_check(spark, sf_dir):
     """Rows and pages of a whole walk, and the keys it returned too often or not at all."""
     pages = _feed_pages(spark, sf_dir)
     source = table(spark, sf_dir, "lineitem")
-    differing = paging.page_walk_diff(pages, source, LINE_ORDER).agg(
-        F.count(F.lit(1)).alias("differing_keys")
+    differing = paging.page_walk_diff(pages, source, LINE_ORDER).count()
+    return pages.agg(
+        F.count(F.lit(1)).alias("walked_rows"),
+        (F.max("page") + 1).alias("pages"),
+        F.lit(differing).cast("bigint").alias("differing_keys"),
     )
-    walked = pages.agg(
-        F.count(F.lit(1)).alias("walked_rows"), (F.max("page") + 1).alias("pages")
-    )
-    return walked.crossJoin(differing)
 
 
 @query
@@ -303,12 +302,11 @@ def token_decode(spark, sf_dir):
         .when(F.col("value") > 10, F.concat(number, F.lit("99999999999")))
         .when(F.col("value") > 5, F.lit("  "))
     )
-    size = events.agg(F.count(F.lit(1)).alias("size"))
-    # One row: the size of the feed.
-    return events.select("event_id", token.alias("token")).crossJoin(F.broadcast(size)).select(
+    size = F.lit(events.count() - 100)
+    return events.select("event_id", token.alias("token")).select(
         "event_id",
         text.or_default(F.col("token"), "none").alias("token"),
-        text.decode_token(F.col("token"), F.col("size") - 100).alias("position"),
+        text.decode_token(F.col("token"), size).alias("position"),
     )
 
 
@@ -401,7 +399,7 @@ def resume_after_token(spark, sf_dir):
     """What is left to read once a cursor is at the middle of the feed."""
     events = table(spark, sf_dir, "events")
     middle = events.agg(F.floor(F.max("event_id") / 2)).first()[0]
-    return pipelines.after_token(events, "event_id", middle)
+    return streams.after_token(events, "event_id", middle)
 
 
 def _routed_columns(log):
@@ -545,7 +543,7 @@ def _with_faults(events):
 
 @query
 def quarantine_rows(spark, sf_dir):
-    good, bad = pipelines.quarantine(_with_faults(outbox_like(spark, sf_dir)), PAYLOAD)
+    good, bad = streams.quarantine(_with_faults(outbox_like(spark, sf_dir)), PAYLOAD)
     kept = good.select("id", F.lit(False).alias("quarantined"), "k", F.lit(None).cast("string").alias("payload"))
     held = bad.select("id", F.lit(True).alias("quarantined"), F.lit(None).cast("bigint").alias("k"), "payload")
     return kept.unionByName(held)
@@ -591,9 +589,9 @@ def spend_windows(spark, sf_dir):
     path, checkpoint = _paths(spark, "windows")
     events = adapters.event_stream(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
     value = F.col("value").cast(schemas.MONEY)
-    windows = pipelines.windowed_spend(events, "ts", value, ["event_type"], "1 hour", "1 day")
-    pipelines.write_committed(windows, path, checkpoint, mode="update")
-    return pipelines.latest_windows(spark, path, ["event_type"])
+    windows = streams.windowed_spend(events, "ts", value, ["event_type"], "1 hour", "1 day")
+    streams.write_committed(windows, path, checkpoint, mode="update")
+    return streams.latest_windows(spark, path, ["event_type"])
 
 
 @query
@@ -602,8 +600,8 @@ def stream_route_dedup(spark, sf_dir):
     path, checkpoint = _paths(spark, "routed")
     events = adapters.outbox_of(adapters.event_stream(spark, sf_dir))
     twice = events.withColumn("_delivery", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_delivery")
-    once = pipelines.dedup(twice, "id", "created_at", "1 day", spread=True)
-    pipelines.write_committed(outbox.route(once, TOPIC_PREFIX), path, checkpoint)
+    once = streams.dedup(twice, "id", "created_at", "1 day", spread=True)
+    streams.write_committed(outbox.route(once, TOPIC_PREFIX), path, checkpoint)
     return _routed_columns(commit.committed(spark, path, "rows"))
 
 
@@ -616,7 +614,7 @@ def stream_outbox_commit(spark, sf_dir):
         state = df.groupBy("user_id").agg(F.max("event_id").alias("last_event"))
         commit.append(state, adapters.outbox_of(df), batch_id, path)
 
-    pipelines.run_batches(adapters.event_stream(spark, sf_dir), checkpoint, on_batch)
+    streams.run_batches(adapters.event_stream(spark, sf_dir), checkpoint, on_batch)
     return commit.committed(spark, path, "events").drop("batch_id")
 
 
@@ -625,7 +623,7 @@ def stream_ingest(spark, sf_dir):
     """A feed landed batch by batch; the cursors saved with it."""
     path, checkpoint = _paths(spark, "ingest")
     c = F.col
-    pipelines.ingest(
+    streams.ingest(
         adapters.event_stream(spark, sf_dir), path, checkpoint,
         c("event_type"), c("event_id"), c("ts").cast("timestamp"),
     )
@@ -637,7 +635,7 @@ def stream_sequence(spark, sf_dir):
     """The arrival audit over a stream, batch by batch."""
     path, checkpoint = _paths(spark, "sequence")
     arrivals = _arrivals(adapters.event_stream(spark, sf_dir))
-    pipelines.sequence_audit(arrivals, path, checkpoint, "aggregate_id", "created_at", "arrival")
+    streams.sequence_audit(arrivals, path, checkpoint, "aggregate_id", "created_at", "arrival")
     return _audit_columns(commit.committed(spark, path, "rows"))
 
 
@@ -649,8 +647,8 @@ def stream_capture(spark, sf_dir):
     log = snapshot.withColumn("op", F.lit("r")).unionByName(changes)
     log.write.parquet(landed)
     stream = spark.readStream.schema(log.schema).parquet(landed)
-    once = pipelines.captured(stream, ["ingestion.outbox_event"], "created_at", "30 days")
-    pipelines.write_committed(once, path, checkpoint)
+    once = streams.captured(stream, ["ingestion.outbox_event"], "created_at", "30 days")
+    streams.write_committed(once, path, checkpoint)
     return commit.committed(spark, path, "rows").select("id", "type", "payload", "created_at")
 
 
@@ -686,8 +684,8 @@ def stream_round_trip(spark, sf_dir):
         consumed = eventlog.from_message(eventlog.read_log(spark, back)).select(
             "id", F.col("timestamp").alias("consumed_at")
         )
-        trips = pipelines.round_trip(published, consumed, "id", 5, "10 minutes")
-        pipelines.write_committed(trips, path, checkpoint)
+        trips = streams.round_trip(published, consumed, "id", 5, "10 minutes")
+        streams.write_committed(trips, path, checkpoint)
 
     publish(messages)
     match()

@@ -11,6 +11,7 @@ from tallybook.functions.costs import money
 from tallybook.functions.text import vendor_time
 
 SHARE = T.DecimalType(6, 4)
+FEW_SPLITS = 8  # about a gigabyte at the default split size
 
 # Fixed schema of the events table, needed to read it as a stream.
 EVENTS = T.StructType([
@@ -28,13 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Share rows among all cores where a table has fewer splits than there are cores.
+    """Share the rows of a small table among all cores.
 
     A file of one row group is read by a single task, which would then do all per-row work alone.
-    A large table has splits enough and is left as it is.
+    Only a table of very few splits is shuffled for that; a larger one keeps all cores busy as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, FEW_SPLITS) else df
 
 
 def _sold(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:

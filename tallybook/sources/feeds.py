@@ -79,9 +79,9 @@ def to_pages(paged: DataFrame, page_of: str, place: str, size: int, items: str,
     envelopes = paged.groupBy(page_of).agg(
         F.array_sort(F.collect_list(F.struct(place, F.struct(*rest).alias("item")))).alias("_sorted")
     )
-    last = paged.agg(F.max(page_of).alias("_last"))
+    last = paged.agg(F.max(page_of)).first()[0]
     following = ((F.col(page_of) + 1) * size).cast("string")
-    return envelopes.crossJoin(F.broadcast(last)).select(
+    return envelopes.select(
         F.transform("_sorted", lambda entry: entry["item"]).alias(items),
-        F.when(F.col(page_of) < F.col("_last"), following).alias(token),
+        F.when(F.col(page_of) < F.lit(last), following).alias(token),
     )

@@ -1,5 +1,8 @@
+import re
 from decimal import Decimal
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallybook import schemas
@@ -184,3 +187,28 @@ def test_token_table(spark):
 def test_content_id_separates_parts_and_nulls(spark):
     df = spark.createDataFrame([("ab", "c"), ("a", "bc"), ("", None), (None, "")], "x string, y string")
     assert df.select(text.content_id(F.col("x"), F.col("y"))).distinct().count() == 4
+
+
+@given(
+    st.lists(
+        st.one_of(
+            st.text(alphabet=" \t+-.0123456789ax", max_size=12),
+            st.integers(-20, 40).map(str),
+            st.none(),
+        ),
+        min_size=200,
+        max_size=200,
+    ),
+    st.integers(0, 30),
+)
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+def test_tokens_against_a_plain_parser(spark, tokens, size):
+    def parse(token):
+        text = (token or "").strip(" \t")
+        if not re.fullmatch(r"[+-]?[0-9]+", text):
+            return 0
+        return int(text) if 0 <= int(text) <= size else 0
+
+    df = spark.createDataFrame(list(enumerate(tokens)), "i int, t string")
+    got = df.select("i", text.decode_token(F.col("t"), F.lit(size)).alias("o")).collect()
+    assert {r.i: r.o for r in got} == {i: parse(t) for i, t in enumerate(tokens)}

@@ -7,7 +7,7 @@ from tallybook import schemas
 from tallybook.functions import costs
 from tallybook.operators import expectations, outbox, reconcile
 from tallybook.sources import eventlog
-from tallybook.streaming import commit, pipelines
+from tallybook.streaming import commit, streams
 
 T0 = datetime(2025, 11, 17, 10)
 
@@ -179,11 +179,11 @@ def test_cursor_of_an_unfinished_batch_is_not_seen(spark, sample, tmp_path):
 
 def test_quarantine_keeps_bad_syntax_and_bad_types(spark):
     df = spark.createDataFrame([("a", '{"k": 1}'), ("b", '{"k": '), ("c", '{"k": "x"}'), ("d", "{}"), ("e", None)], "id string, payload string")
-    good, bad = pipelines.quarantine(df, schemas.T.StructType.fromDDL("k long"))
+    good, bad = streams.quarantine(df, schemas.T.StructType.fromDDL("k long"))
     assert {r.id: r.k for r in good.collect()} == {"a": 1, "d": None}
     assert {r.id: r.payload for r in bad.collect()} == {"b": '{"k": ', "c": '{"k": "x"}', "e": None}
     with pytest.raises(Exception, match="MALFORMED|Malformed"):
-        pipelines.parse_strictly(df, schemas.T.StructType.fromDDL("k long")).collect()
+        streams.parse_strictly(df, schemas.T.StructType.fromDDL("k long")).collect()
 
 
 def test_checks_report_violations(line_items):

@@ -8,7 +8,7 @@ from tallybook import schemas
 from tallybook.operators import outbox, reconcile
 from tallybook.plans import queries
 from tallybook.sources import adapters, eventlog
-from tallybook.streaming import commit, pipelines
+from tallybook.streaming import commit, streams
 
 SF = "/root/testdata/sf0.001"
 
@@ -38,7 +38,7 @@ def paths(tmp_path, name="out"):
 def test_ingest_resumes_and_replays(spark, landed, tmp_path):
     path, checkpoint = paths(tmp_path)
     c = F.col
-    run = lambda ck: pipelines.ingest(
+    run = lambda ck: streams.ingest(
         stream(spark, landed), path, ck, c("event_type"), c("event_id"), c("ts").cast("timestamp")
     )
     run(checkpoint)
@@ -67,12 +67,12 @@ def test_a_crash_between_outputs_shows_nothing_of_the_batch(spark, landed, tmp_p
         commit.append(state, adapters.outbox_of(df), batch_id, path)
 
     with pytest.raises(Exception, match="lost between the outputs"):
-        pipelines.run_batches(stream(spark, landed), checkpoint, on_batch)
+        streams.run_batches(stream(spark, landed), checkpoint, on_batch)
     assert spark.read.parquet(f"{path}/state").count() == 750
     assert commit.committed(spark, path, "state").count() == 500
     assert commit.committed(spark, path, "events").count() == 500
     crash["at"] = None
-    pipelines.run_batches(stream(spark, landed), checkpoint, on_batch)
+    streams.run_batches(stream(spark, landed), checkpoint, on_batch)
     events = commit.committed(spark, path, "events")
     assert (events.count(), events.select("id").distinct().count()) == (1000, 1000)
     assert commit.committed(spark, path, "state").count() == 1000
@@ -82,7 +82,7 @@ def test_a_crash_between_outputs_shows_nothing_of_the_batch(spark, landed, tmp_p
 def test_stream_dedup_equals_batch(spark, landed, tmp_path, spread):
     path, checkpoint = paths(tmp_path)
     twice = adapters.outbox_of(stream(spark, landed)).withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(3)))).drop("_n")
-    pipelines.write_committed(pipelines.dedup(twice, "id", "created_at", "2 days", spread), path, checkpoint)
+    streams.write_committed(streams.dedup(twice, "id", "created_at", "2 days", spread), path, checkpoint)
     assert rows(commit.committed(spark, path, "rows"), "id") == rows(adapters.outbox_like(spark, SF), "id")
 
 
@@ -91,7 +91,7 @@ def test_stream_audit_equals_batch_across_batches(spark, landed, tmp_path, hot_r
     path, checkpoint = paths(tmp_path)
     arrivals = queries._arrivals(stream(spark, landed))
     names = ("aggregate_id", "created_at", "arrival")
-    pipelines.sequence_audit(arrivals, path, checkpoint, *names, hot_rows)
+    streams.sequence_audit(arrivals, path, checkpoint, *names, hot_rows)
     batch = reconcile.sequence_audit(queries._arrivals(adapters.table(spark, SF, "events")), *names)
     columns = ["id", "arrival_no", "out_of_order", "gap_ms"]
     got = rows(commit.committed(spark, path, "rows"), *columns)
@@ -103,9 +103,9 @@ def test_windows_in_update_mode_equal_batch(spark, landed, tmp_path):
     path, checkpoint = paths(tmp_path)
     value = F.col("value").cast(schemas.MONEY)
     timed = lambda df: df.withColumn("ts", F.col("ts").cast("timestamp"))
-    build = lambda df: pipelines.windowed_spend(timed(df), "ts", value, ["event_type"], "1 day", "1 hour")
-    pipelines.write_committed(build(stream(spark, landed)), path, checkpoint, mode="update")
-    got = pipelines.latest_windows(spark, path, ["event_type"])
+    build = lambda df: streams.windowed_spend(timed(df), "ts", value, ["event_type"], "1 day", "1 hour")
+    streams.write_committed(build(stream(spark, landed)), path, checkpoint, mode="update")
+    got = streams.latest_windows(spark, path, ["event_type"])
     batch = build(adapters.table(spark, SF, "events"))
     assert rows(got, "window_start", "event_type", "row_count", "total") == rows(
         batch, "window_start", "event_type", "row_count", "total"
@@ -121,8 +121,8 @@ def test_windows_in_append_mode_close_with_a_later_row(spark, landed, tmp_path):
 
     def run():
         timed = stream(spark, source, 100).withColumn("ts", F.col("ts").cast("timestamp"))
-        windows = pipelines.windowed_spend(timed, "ts", value, ["event_type"], "1 hour", "1 day")
-        pipelines.write_committed(windows, path, checkpoint)
+        windows = streams.windowed_spend(timed, "ts", value, ["event_type"], "1 hour", "1 day")
+        streams.write_committed(windows, path, checkpoint)
 
     run()
     closing = events.limit(1).withColumns({"ts": F.lit("2100-01-01").cast("timestamp_ntz"), "event_type": F.lit("closing")})
@@ -155,7 +155,7 @@ def test_log_is_read_from_the_beginning_and_replayed_by_a_new_checkpoint(spark,
     eventlog.write_log(eventlog.to_message(sent, "x.smoke", "id", ["id", "payload", "source"], "at"), conf)
     for name in ("first", "second"):
         path, checkpoint = paths(tmp_path, name)
-        pipelines.write_committed(eventlog.from_message(eventlog.read_log(spark, conf)), path, checkpoint)
+        streams.write_committed(eventlog.from_message(eventlog.read_log(spark, conf)), path, checkpoint)
         got = commit.committed(spark, path, "rows")
         assert rows(got, "id", "payload", "source") == rows(sent, "id", "payload", "source")
 
@@ -174,8 +174,8 @@ def test_stream_round_trip_equals_batch(spark, tmp_path):
 
     def run():
         read = lambda name: spark.readStream.schema(sides[name].schema).parquet(str(tmp_path / name))
-        trips = pipelines.round_trip(read("sent"), read("back"), "id", 5, "1 minute")
-        pipelines.write_committed(trips, path, checkpoint)
+        trips = streams.round_trip(read("sent"), read("back"), "id", 5, "1 minute")
+        streams.write_committed(trips, path, checkpoint)
 
     run()
     for name in sides:
