@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+_WRITTEN: list[str] = []
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -35,4 +36,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_table_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def written_paths() -> list[str]:
+    """Tables this process put into the shared folder, for its owner to clear once results are out."""
+    return list(_WRITTEN)

@@ -140,6 +140,8 @@ def test_sequence_audit_against_a_plain_loop(skewed, hot_rows):
 
 
 def test_shared_folder_is_the_named_one(spark):
-    from tallybook.session import new_table_path
+    from tallybook.session import new_table_path, written_paths
 
-    assert new_table_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir") + "/x-")
+    path = new_table_path(spark, "x")
+    assert path.startswith(spark.conf.get("spark.checkpoint.dir") + "/x-")
+    assert path in written_paths()
