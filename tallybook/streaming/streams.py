@@ -25,14 +25,25 @@ def run_batches(
     on_batch: Callable[[DataFrame, int], None],
     mode: str = "append",
 ) -> None:
-    """Run a stream to its current end, handing each micro-batch to ``on_batch``."""
-    query = (
-        stream.writeStream.outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(on_batch)
-        .start()
-    )
+    """Run a stream to its current end, handing each micro-batch to ``on_batch``.
+
+    Every shuffle partition of a stateful stream is a store with a fixed cost per batch, so a new
+    stream gets no more of them than two per core. A checkpoint keeps the number it began with.
+    """
+    spark = stream.sparkSession
+    setting = spark.conf.get("spark.sql.shuffle.partitions")
+    stores = min(int(setting), 2 * spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", stores)
+    try:
+        query = (
+            stream.writeStream.outputMode(mode)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .foreachBatch(on_batch)
+            .start()
+        )
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", setting)
     query.awaitTermination()
 
 
