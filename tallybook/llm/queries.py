@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import byte_bpe, chat_format, quality, token_counts
-from tallybook.llm.common import table
+from tallybook.llm import byte_bpe, chat_format, html_extract, language_id, quality, token_counts
+from tallybook.llm.common import table, written
 
 
 def _vocabulary(name: str) -> str:
@@ -30,6 +30,16 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_chats(turns.unionByName(more)))
 
 
+def language_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.held_out_languages(table(spark, sf_dir, "documents"))
+
+
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    rules = written(html_extract.infer_rules(pages), "wrappers")  # written: its size is then known to the join
+    return html_extract.extract_pages(pages, rules)
+
+
 def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_documents(table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
 
@@ -55,7 +65,9 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_chat_formatting": chat_formatting,
+    "op4_language_id": language_of,
     "op5_token_counts": token_count,
     "op6_byte_bpe": byte_level_bpe,
+    "op7_html_text": page_texts,
     "op9_quality_rules": quality_rules,
 }
