@@ -6,6 +6,69 @@ from tallybook.llm.quality import BOILERPLATE, MIN_WORDS, UNENDED_WORDS
 
 WORD = r"[^\x20\x09-\x0D]+"
 
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+LINE_DEDUP = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents
+), lines AS (
+    SELECT row, doc_id, generate_subscripts(l, 1) AS part, unnest(l) AS line
+    FROM (SELECT row, doc_id, string_split(text, chr(10)) AS l FROM docs)
+), worded AS (
+    SELECT row, doc_id, part, regexp_extract_all({_LOWER.format("line")}, '{WORD}') AS w FROM lines
+), shingled AS (
+    SELECT row, doc_id, part, list_sort(list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)])) AS s
+    FROM worded WHERE len(w) >= 5
+), sets AS (
+    SELECT row_number() OVER () AS id, s, min((doc_id, part)) AS first FROM shingled GROUP BY s
+), single AS (
+    SELECT id, len(s) AS n, unnest(s) AS token FROM sets
+), pairs AS (
+    SELECT a.id AS a, b.id AS b FROM single a JOIN single b USING (token) WHERE a.id <> b.id
+    GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), earliest AS (
+    SELECT x.id, least(x.first, min(y.first)) AS first
+    FROM sets x LEFT JOIN pairs ON x.id = a LEFT JOIN sets y ON y.id = b GROUP BY x.id, x.first
+), gone AS (
+    SELECT row, part FROM shingled JOIN sets USING (s) JOIN earliest e USING (id) WHERE (doc_id, part) <> e.first
+), kept AS (
+    SELECT row, string_agg(line, chr(10) ORDER BY part) AS text
+    FROM lines ANTI JOIN gone USING (row, part) GROUP BY row
+)
+SELECT doc_id, length(coalesce(k.text, '')) AS kept_chars, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept k USING (row)
+"""
+
+NGRAM_JACCARD = rf"""
+WITH RECURSIVE docs AS (
+    SELECT row_number() OVER () AS row, doc_id,
+        regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{WORD}') AS w
+    FROM documents
+), shingled AS (
+    SELECT row, doc_id, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE
+        list_sort(list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)])) END AS s
+    FROM docs WHERE len(w) > 0
+), sets AS (
+    SELECT row_number() OVER () AS id, s, min(doc_id) AS least, count(*) AS copies FROM shingled GROUP BY s
+), single AS (
+    SELECT id, len(s) AS n, unnest(s) AS token FROM sets
+), pairs AS (
+    SELECT a.id AS a, b.id AS b FROM single a JOIN single b USING (token) WHERE a.id <> b.id
+    GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reach AS (
+    SELECT id AS a, id AS b FROM sets UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON p.a = r.b
+), named AS (
+    SELECT a AS id, min(y.least) AS component_id FROM reach JOIN sets y ON y.id = b GROUP BY a
+), linked AS (
+    SELECT a AS id, sum(y.copies) AS n FROM pairs JOIN sets y ON y.id = b GROUP BY a
+)
+SELECT d.doc_id, coalesce(len(s.s), 0)::BIGINT AS n_shingles,
+    CASE WHEN s.s IS NULL THEN d.doc_id ELSE component_id END AS component_id,
+    coalesce(l.n + x.copies - 1, x.copies - 1, 0)::BIGINT AS n_links
+FROM docs d LEFT JOIN shingled s USING (row) LEFT JOIN sets x ON x.s = s.s
+    LEFT JOIN named USING (id) LEFT JOIN linked l USING (id)
+"""
+
 CHAT_FORMATTING = r"""
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -73,6 +136,8 @@ FROM counted
 """
 
 ORACLES = {
+    "op1_line_dedup": LINE_DEDUP,
+    "op2_ngram_jaccard": NGRAM_JACCARD,
     "op3_chat_formatting": CHAT_FORMATTING,
     "op9_quality_rules": QUALITY_RULES,
 }

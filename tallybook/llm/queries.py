@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import byte_bpe, chat_format, html_extract, language_id, quality, token_counts
+from tallybook.llm import byte_bpe, chat_format, html_extract, language_id, line_dedup, ngram_join, quality, token_counts
 from tallybook.llm.common import table, written
 
 
@@ -21,6 +21,20 @@ def _word_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def line_deduplication(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    text = F.coalesce("text", F.lit(""))
+    return kept.select(
+        "doc_id",
+        F.length(text).cast("long").alias("kept_chars"),
+        F.sha2(text.cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -64,6 +78,8 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": line_deduplication,
+    "op2_ngram_jaccard": ngram_jaccard,
     "op3_chat_formatting": chat_formatting,
     "op4_language_id": language_of,
     "op5_token_counts": token_count,
