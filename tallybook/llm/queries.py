@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import byte_bpe, chat_format, html_extract, language_id, line_dedup, ngram_join, quality, token_counts
+from tallybook.llm import (
+    byte_bpe,
+    chat_format,
+    decontaminate,
+    html_extract,
+    language_id,
+    line_dedup,
+    ngram_join,
+    quality,
+    suffix_dedup,
+    token_counts,
+)
 from tallybook.llm.common import table, written
 
 
@@ -73,6 +84,15 @@ def byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
 
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents"))
 
@@ -85,5 +105,7 @@ QUERIES = {
     "op5_token_counts": token_count,
     "op6_byte_bpe": byte_level_bpe,
     "op7_html_text": page_texts,
+    "op8_decontamination": decontamination,
     "op9_quality_rules": quality_rules,
+    "op10_suffix_dedup": suffix_array_dedup,
 }
