@@ -6,6 +6,8 @@ the pairs to verify. See ``set_join`` for the steps.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,7 +21,10 @@ WIDTH, PERCENT = 5, 75
 
 
 def line_sets(width: int = WIDTH) -> set_join.Sets:
-    """The lines of ``width`` words or more; a line's part is its number in the text, from 0."""
+    """The lines of ``width`` words or more.
+
+    A line's part holds its number in the text, from 0, above the text's checksum, which tells rows of one id apart.
+    """
 
     def sets(batch: pa.RecordBatch):
         for block in blocks(batch.column(1)):
@@ -35,26 +40,31 @@ def line_sets(width: int = WIDTH) -> set_join.Sets:
                 continue
             tokens, owner = shingles(block.data, at, width, whole=False)
             held, owner = np.unique(owner, return_inverse=True)
-            yield block.first + text[held], number[held], owner, tokens
+            cuts = zip(block.at[:-1].tolist(), block.at[1:].tolist())
+            checks = np.array([zlib.crc32(block.data[a:b]) for a, b in cuts], np.int64)
+            yield block.first + text[held], number[held] << 32 | checks[text[held]], owner, tokens
 
     return sets
 
 
 def repeated_lines(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, part`` of each line with an earlier match: a smaller doc_id, or an earlier line of the same text.
+    """``doc_id, line, checksum`` of each line with an earlier match, the checksum being that of the row's text.
 
-    Lines of under ``width`` words have no tokens and never match. All is judged on the input, so a line goes also
-    if the earlier one goes. Rows without doc_id stand behind all others. Rows that share a doc_id are told apart by
-    line number only.
+    Earlier is a line of a smaller doc_id, or further ahead under the same one; rows without doc_id come last and
+    count as one document, as do rows that share an id, of which equal lines at equal places don't remove each
+    other. Lines of under ``width`` words have no tokens and never match. All is judged on the input, so a line goes
+    also if the earlier one goes.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found, linked = set_join.similar(rows, line_sets(width), percent, False, "lines")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "part")
-    earliest = linked.where("doc_id IS NOT NULL").groupBy("set_id").agg(F.min(place).alias("linked"))
+    line = F.shiftright("part", 32)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", line.alias("line"))
+    earliest = linked.groupBy("set_id").agg(F.min(place).alias("linked"))
     first = found.groupBy("set_id").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
     first = first.join(earliest, "set_id", "left").where("copies > 1 OR linked < first")
     first = first.select("set_id", F.least("first", "linked").alias("least"))
-    return found.join(first, "set_id").where(place != F.col("least")).select("doc_id", "part")
+    gone = found.join(first, "set_id").where(place > F.col("least"))
+    return gone.select("doc_id", line.alias("line"), F.col("part").bitwiseAND(0xFFFFFFFF).alias("checksum"))
 
 
 def without_repeated_lines(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -62,8 +72,9 @@ def without_repeated_lines(documents: DataFrame, width: int = WIDTH, percent: in
 
     A text that loses no line keeps every byte; a null text stays null, one that loses all its lines is empty.
     """
-    gone = repeated_lines(documents, width, percent).groupBy("doc_id").agg(F.collect_set("part").alias("gone"))
-    key = documents["doc_id"].cast("long").eqNullSafe(gone["doc_id"])
+    gone = repeated_lines(documents, width, percent).groupBy("doc_id", "checksum").agg(F.collect_set("line").alias("gone"))
+    checksum = F.crc32(documents["text"].cast("string").cast("binary"))
+    key = documents["doc_id"].cast("long").eqNullSafe(gone["doc_id"]) & (checksum == gone["checksum"])
     joined = documents.join(gone, key, "left").select(*[documents[c] for c in documents.columns], gone["gone"])
     joined = joined.toDF(*[f"c{k}" for k in range(len(documents.columns))], "gone")  # names may clash
     place = documents.columns.index("text")

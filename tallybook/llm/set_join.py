@@ -329,9 +329,9 @@ OUT = {
 
 
 def links(sets: DataFrame, percent: int, label: str) -> DataFrame:
-    """For each set with a partner: ``set_id, n_links`` items linked, ``first`` of them; and ``other``, a linked set.
+    """For each set with a partner: ``set_id, n_links`` items linked, ``doc_id, part`` of the first of them.
 
-    A set has one row for each pair of blocks that it is linked in, and the rows' ``other`` span its component.
+    A set has one row for each pair of blocks that it is linked in; the links to ``others`` span its component.
     """
     postings = sets.select("set_id", F.explode(F.expr("slice(tokens, 1, int(prefix))")).alias("token"))
     hubs = postings.groupBy("token").agg(F.min("set_id").alias("b"), F.count("*").alias("size")).where("size > 1")
@@ -372,9 +372,8 @@ def links(sets: DataFrame, percent: int, label: str) -> DataFrame:
         def note(x, i, y, j, spans):
             row = linked.setdefault(int(x["set_id"][i]), [0, None, []])
             row[0] += int(y["copies"][j])
-            if y["doc_id"][j] is not None:
-                at = (y["doc_id"][j], y["part"][j])
-                row[1] = at if row[1] is None else min(row[1], at)
+            at = (y["doc_id"][j] is None, y["doc_id"][j] or 0, y["part"][j])
+            row[1] = at if row[1] is None else min(row[1], at)
             if spans:
                 row[2].append(int(y["set_id"][j]))
 
@@ -388,8 +387,8 @@ def links(sets: DataFrame, percent: int, label: str) -> DataFrame:
             {
                 "set_id": pa.array([k for k, _ in rows], pa.int64()),
                 "n_links": pa.array([v[0] for _, v in rows], pa.int64()),
-                "doc_id": pa.array([v[1][0] if v[1] else None for _, v in rows], pa.int64()),
-                "part": pa.array([v[1][1] if v[1] else None for _, v in rows], pa.int64()),
+                "doc_id": pa.array([None if v[1][0] else v[1][1] for _, v in rows], pa.int64()),
+                "part": pa.array([v[1][2] for _, v in rows], pa.int64()),
                 "others": pa.array([v[2] for _, v in rows], pa.list_(pa.int64())),
             }
         )
