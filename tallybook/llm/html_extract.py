@@ -51,6 +51,9 @@ MANY_CHILDREN = 64
 #: Pages that must agree on a text before it counts as the template's.
 TEMPLATE_PAGES = 5
 
+#: Elements nested deeper count to the level above.
+DEPTH = 150
+
 KEY, MANY, MAYBE, PAGES, CHARS, SAME, INSIDE = range(7)
 
 
@@ -122,7 +125,7 @@ def parse(page: str) -> Element:
                 break
         element = Element(name, key, aside, article)
         stack[-1].inside.append(element)
-        if name not in VOID and not tag.endswith("/>"):
+        if name not in VOID and not tag.endswith("/>") and len(stack) < DEPTH:
             stack.append(element)
     return root
 
@@ -134,14 +137,43 @@ def folded(text: str) -> str:
 # --- wrappers: [key, repeated, optional, pages, characters, constant text or None, children]
 
 
+def parts(element: Element) -> list:
+    """Texts and blocks in order; inline elements are no level of their own, those set aside are left out."""
+    out: list = []
+    for x in element.inside:
+        if isinstance(x, str):
+            out.append(x)
+        elif x.tag in INLINE:
+            if not x.aside:
+                out += parts(x)
+        else:
+            out.append(x)
+    return out
+
+
+def blocks_of(element: Element) -> list:
+    """The element's text blocks, each as one string with its white space folded, and its block elements."""
+    out: list = []
+    run: list[str] = []
+    for x in [*parts(element), None]:
+        if isinstance(x, str):
+            run.append(x)
+            continue
+        if text := folded("".join(run)):
+            out.append(text)
+        run.clear()
+        if x is not None and x.tag not in VOID and not x.aside:
+            out.append(x)
+    return out
+
+
 def expression(element: Element) -> list:
     """The element as an expression of its own; nothing inside an aside element matters."""
     children = []
-    for x in () if element.aside else element.inside:
+    for x in blocks_of(element):
         if isinstance(x, str):
-            if text := folded(x):
-                children.append(["#", False, False, 1, len(text), text if len(text) <= 200 else None, []])
-        elif x.tag not in VOID:
+            children.append(["#", False, False, 1, len(x), x if len(x) <= 200 else None, []])
+        else:
             children.append(expression(x))
     return [element.key, False, False, 1, sum(c[CHARS] for c in children), None, _repeats(children)]
 
@@ -224,6 +256,7 @@ def rule_of(wrapper: list) -> dict:
 
     for child in wrapper[INSIDE]:
         walk(child, "", False)
+    blocks.append((sum(c[CHARS] for c in wrapper[INSIDE] if c[KEY] == "#"), "", wrapper))
     if articles:
         most = max(x[0] for x in articles)
         chosen = [x for x in articles if 5 * x[0] >= most]
@@ -258,30 +291,15 @@ def extract(page: str, rule: str | None) -> str:
     for text in (rule, None):
         at, constant = _rule(text or json.dumps(rule_of(expression(root))))
         out: list[str] = []
-        current: list[str] = []
-
-        def close():
-            if block := folded("".join(current)):
-                out.append(block)
-            current.clear()
 
         def walk(element, path, inside):
             here = f"{path}/{element.key}" if element.tag else ""
-            if element.aside:
-                if element.tag not in INLINE:
-                    close()
-                return
             inside = inside or here in at
-            block = element.tag not in INLINE
-            if block:
-                close()
-            for x in element.inside:
+            for x in blocks_of(element):
                 if not isinstance(x, str):
                     walk(x, here, inside)
-                elif inside and not (constant and f"{here}\n{folded(x)}" in constant):
-                    current.append(x)
-            if block:
-                close()
+                elif inside and f"{here}\n{x}" not in constant:
+                    out.append(x)
 
         walk(root, "", False)
         if out or text is None:
