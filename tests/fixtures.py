@@ -1,4 +1,4 @@
-"""Small hand-built feeds whose totals are the known values of the two vendor shapes."""
+"""Small feeds of our own invention in the two vendor shapes; their totals are worked out by hand in the tests."""
 
 from __future__ import annotations
 
@@ -8,108 +8,76 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallybook import schemas
 
-ARN = "arn:aws:ec2:us-east-1:1002:reserved-instances/ri-77aa88"
-HOURS = {n: f"2025-11-17T{n:02d}:00:00Z" for n in range(24)}
-MONTH = ("2025-11-01T00:00:00Z", "2025-12-01T00:00:00Z")
-DAY = ("2025-11-17T00:00:00Z", "2025-11-18T00:00:00Z")
-
-
-def _item(number, kind, unblended, span, **more):
-    row = dict.fromkeys(schemas.LINE_ITEM.fieldNames())
-    row.update(
-        line_item_id=f"item-{number:02d}",
-        time_interval="/".join(span),
-        payer_account_id="1001",
-        usage_account_id="1002",
-        line_item_type=kind,
-        usage_start=span[0],
-        usage_end=span[1],
-        product_code="AmazonEC2",
-        usage_type=kind,
-        usage_amount=Decimal(0),
-        unblended_cost=Decimal(unblended),
-    )
-    row.update(more)
-    return row
-
-
-def _machine(number, kind, unblended, hour, machine, team, term, on_demand, **more):
-    return _item(
-        number, kind, unblended, (HOURS[hour], HOURS[hour + 1]),
-        usage_type=f"BoxUsage:{machine}", operation="RunInstances", resource_id=f"i-{number}",
-        usage_amount=Decimal(1), instance_type=machine, region="us-east-1", pricing_term=term,
-        on_demand_cost=Decimal(on_demand), tag_team=team, tag_cost_center=f"CC-{team}", **more,
-    )
+ARN = "arn:aws:ec2:eu-north-1:77:reserved-instances/ri-orchid"
+DAY = "2031-03-05"
+MONTH = ("2031-03-01T00:00:00Z", "2031-04-01T00:00:00Z")
 
 
-def line_items(spark: SparkSession) -> DataFrame:
-    reserved = {"reservation_effective_cost": Decimal("10.20"), "reservation_arn": ARN}
-    rows = [
-        _machine(1, "DiscountedUsage", "0", 10, "p3.16xlarge", "platform", "Reserved", "24.48", **reserved),
-        _machine(2, "DiscountedUsage", "0", 11, "p3.16xlarge", "platform", "Reserved", "24.48", **reserved),
-        *(
-            _machine(n, "Usage", "24.48", 7 + n, "p3.16xlarge", "ingestion", "OnDemand", "24.48")
-            for n in (3, 4, 5)
-        ),
-        *(_machine(n, "Usage", "43.16", 4 + n, "p5.48xlarge", "models", "OnDemand", "43.16") for n in (6, 7)),
-        _machine(8, "SavingsPlanCoveredUsage", "0.0598", 10, "t3.large", "api", "SavingsPlan", "0.0832"),
-        _item(
-            9, "RIFee", "7344.00", MONTH, usage_type="HeavyUsage:p3.16xlarge", operation="RunInstances",
-            usage_amount=Decimal(720), instance_type="p3.16xlarge", region="us-east-1",
-            pricing_term="Reserved", reservation_arn=ARN,
-        ),
-        _item(10, "Tax", "245.32", MONTH),
-        _item(11, "Credit", "-500.00", MONTH),
-        _item(
-            12, "Usage", "4.20", DAY, product_code="AmazonS3", usage_type="TimedStorage-ByteHrs",
-            operation="StandardStorage", resource_id="raw-bucket", usage_amount=Decimal("18253.6"),
-            region="us-east-1", pricing_term="OnDemand", on_demand_cost=Decimal("4.20"),
-            tag_team="ingestion", tag_cost_center="CC-ingestion",
-        ),
-    ]
-    names = schemas.LINE_ITEM.fieldNames()
-    return spark.createDataFrame([tuple(r[n] for n in names) for r in rows], schemas.LINE_ITEM)
+def hour(n: int) -> tuple[str, str]:
+    return f"{DAY}T{n:02d}:00:00Z", f"{DAY}T{n + 1:02d}:00:00Z"
 
 
-A2 = ("sku-a2", "A2 Instance Core running in Americas")
-A3 = ("sku-a3", "A3 Instance Core running in Americas")
+def _line(name: str, kind: str, cost: str, span: tuple[str, str], **fields) -> tuple:
+    row = {
+        "line_item_id": name, "time_interval": f"{span[0]}/{span[1]}", "payer_account_id": "70", "usage_account_id": "77",
+        "line_item_type": kind, "usage_start": span[0], "usage_end": span[1], "product_code": "Compute", "usage_type": kind,
+        "usage_amount": Decimal(0), "unblended_cost": Decimal(cost), **fields,
+    }
+    return tuple(row.get(column) for column in schemas.LINE_ITEM.fieldNames())
 
 
-def _row(team, sku, span, cost, usage, credits=(), currency="USD", rate="1", service="Compute Engine"):
-    labels = [("team", team), ("cost_center", f"CC-{team}")]
-    return (
-        "acct-1", (f"id-{service}", service), sku, span[0], span[1], (f"project-{team}", team), labels,
-        Decimal(cost), currency, Decimal(rate), usage,
-        [(name, Decimal(amount), kind) for name, amount, kind in credits], "regular",
-    )
+def _run(name: str, kind: str, cost: str, at: int, machine: str, team: str, list_price: str, **fields) -> tuple:
+    terms = {"DiscountedUsage": "Reserved", "Usage": "OnDemand", "SavingsPlanCoveredUsage": "SavingsPlan"}
+    return _line(
+        name, kind, cost, hour(at), usage_type=f"BoxUsage:{machine}", operation="Run", resource_id=f"vm-{name}",
+        usage_amount=Decimal(1), instance_type=machine, region="eu-north-1", pricing_term=terms[kind],
+        on_demand_cost=Decimal(list_price), tag_team=team, tag_cost_center=f"{team}-7", **fields,
+    )
 
 
-def billing_rows(spark: SparkSession) -> DataFrame:
-    hour = (Decimal(3600), "seconds", Decimal(1), "hour")
-    spans = [(HOURS[10], HOURS[11]), (HOURS[11], HOURS[12])]
-    committed = [("Committed", "-8.16", "COMMITTED_USAGE_DISCOUNT")]
-    sustained = [("Sustained", "-3.84", "SUSTAINED_USAGE_DISCOUNT")]
-    terabyte = (Decimal(2**40), "bytes", Decimal(1), "tebibyte")
+def line_items(spark: SparkSession) -> DataFrame:
+    """Thirteen line items: three reserved hours of a fee of 120, free use, a plan, storage, taxes and a credit."""
+    reserved = {"reservation_effective_cost": Decimal("0.30"), "reservation_arn": ARN}
     rows = [
-        *(_row("platform", A2, s, "12.24", hour, committed) for s in spans),
-        *(_row("ingestion", A2, s, "20.40", hour) for s in spans),
-        *(_row("models", A3, s, "38.40", hour, sustained) for s in spans),
-        _row(
-            "ingestion", ("sku-st", "Standard Storage"), DAY, "3.75",
-            (Decimal(187904819200), "byte-seconds", Decimal("0.1875"), "gibibyte month"),
-            service="Cloud Storage",
+        _line("fee", "RIFee", "36.00", MONTH, usage_amount=Decimal(120), reservation_arn=ARN, instance_type="m6.large"),
+        *(_run(f"res-{n}", "DiscountedUsage", "0", n, "m6.large", "orchid", "0.50", **reserved) for n in (1, 2, 3)),
+        *(_run(f"use-{n}", "Usage", "1.25", n, "c7.xlarge", "maple", "1.25") for n in (4, 5)),
+        _run("use-6", "Usage", "2.75", 6, "c7.2xlarge", "cedar", "2.75"),
+        *(_run(f"plan-{n}", "SavingsPlanCoveredUsage", "0.333333", n, "m6.large", "cedar", "0.50") for n in (7, 8)),
+        _line(
+            "disk", "Usage", "0.055555", hour(9), product_code="Disks", usage_type="Volume", usage_amount=Decimal("81.25"),
+            on_demand_cost=Decimal("0.055555"), tag_team="maple",
         ),
-        _row(
-            "api", ("sku-an", "Analysis usage"), spans[0], "6.25", terabyte,
-            [("Free Tier", "-6.25", "FREE_TIER")], service="BigQuery",
-        ),
-        _row(
-            "api", ("sku-eg", "Network Egress"), spans[0], "2.55",
-            (Decimal(21474836480), "bytes", Decimal(20), "gibibyte"), currency="EUR", rate="1.08",
-        ),
-        _row(
-            "platform", ("sku-cm", "Commitment v1: A2 Cpu in Americas for 1 Year"), MONTH, "5875.20",
+        _line("tax-1", "Tax", "3.10", MONTH),
+        _line("tax-2", "Tax", "0.90", MONTH),
+        _line("refund", "Credit", "-7.77", MONTH),
+    ]
+    return spark.createDataFrame(rows, schemas.LINE_ITEM)
+
+
+def billing_rows(spark: SparkSession) -> DataFrame:
+    """Nine billing rows of three teams; one in another currency, one commitment fee, one of two credits."""
+    core = (Decimal(3600), "seconds", Decimal(1), "hour")
+
+    def row(team, sku, span, cost, usage, credits=(), currency="USD", rate="1"):
+        return (
+            "acct-7", ("svc", "Cloud"), sku, span[0], span[1], (f"proj-{team}", team), [("team", team), ("floor", "3")],
+            Decimal(cost), currency, Decimal(rate), usage, [(n, Decimal(a), k) for n, a, k in credits], "regular",
+        )
+
+    e9 = ("sku-e9", "E9 Instance Core running in Europe")
+    n7 = ("sku-n7", "N7 Instance Core running in Europe")
+    free = ("Free", "-0.80", "FREE_TIER")
+    two = [("Steady", "-0.45", "SUSTAINED_USAGE_DISCOUNT"), ("Free", "-0.05", "FREE_TIER")]
+    rows = [
+        row("cedar", ("sku-box", "Object boxes"), hour(1), "4.00", (Decimal(9), "boxes", Decimal(9), "box"), (), "GBP", "1.25"),
+        row("cedar", n7, hour(2), "5.00", core, two),
+        *(row("maple", e9, hour(n), "3.10", core) for n in (3, 4)),
+        *(row("orchid", e9, hour(n), "2.00", core, [("Pledge", "-0.70", "COMMITTED_USAGE_DISCOUNT")]) for n in (1, 2, 3)),
+        row("orchid", ("sku-scan", "Scanned bytes"), hour(1), "0.80", (Decimal(2**41), "bytes", Decimal(2), "tebibyte"), [free]),
+        row(
+            "maple", ("sku-pledge", "Commitment v1: E9 Cpu in Europe for 3 Years"), MONTH, "90.00",
             (Decimal(0), "seconds", Decimal(0), "hour"),
         ),
-    ]
+    ]
     return spark.createDataFrame(rows, schemas.BILLING_ROW)
