@@ -55,18 +55,6 @@ def topic_name(prefix: str, family: Column) -> Column:
     return F.concat(F.lit(prefix + "."), family)
 
 
-def gcp_commitment_name(project: Column, region: Column, suffix: Column) -> Column:
-    return F.concat(
-        F.lit("projects/"), project,
-        F.lit("/regions/"), region,
-        F.lit("/commitments/cud-"), F.substring(suffix, 1, 8),
-    )
-
-
-def aws_reservation_id(suffix: Column) -> Column:
-    return F.concat(F.lit("ri-"), F.substring(suffix, 1, 12))
-
-
 def reservation_id(arn: Column) -> Column:
     return _extract(arn, r"/(ri-[^/]+)$")
 

@@ -100,21 +100,14 @@ def in_base(column: str) -> Column:
 
 
 def spend_by(df: DataFrame, keys: Sequence[str], grain: str | None = None) -> DataFrame:
-    """Row count and base-currency totals of canonical rows per ``keys`` and, if given, time grain.
-
-    Amounts are summed per rate first: few rates occur, so nearly all conversions are saved.
-    """
+    """Row count and base-currency totals of canonical rows per ``keys`` and, if given, time grain."""
     names = list(keys)
     if grain:
         df = df.withColumn(grain, F.date_trunc(grain, "usage_start"))
         names.append(grain)
     amounts = ["list_cost", "net_cost", "effective_cost"]
-    per_rate = df.groupBy(*names, "rate").agg(
-        F.count(F.lit(1)).alias("line_count"),
-        *(F.sum(a).cast(schemas.TOTAL).alias(a) for a in amounts),
-    )
-    return per_rate.groupBy(*names).agg(
-        F.sum("line_count").alias("line_count"), *(in_base(a).alias(a) for a in amounts)
+    return df.groupBy(*names).agg(
+        F.count(F.lit(1)).alias("line_count"), *(in_base(a).alias(a) for a in amounts)
     )
 
 

@@ -17,76 +17,54 @@ from pyspark.sql.window import WindowSpec
 
 from tallybook.session import new_table_path
 
-# A key above HOT_ROWS rows is handled in chunks. Only the MAX_HOT_KEYS largest are: that bounds what
-# is broadcast, and any key left to the window then holds under 1/MAX_HOT_KEYS of the rows.
+# A key above HOT_ROWS rows is handled in chunks; the result is the same either way.
 HOT_ROWS = 5_000_000
-MAX_HOT_KEYS = 10_000
+#: Bytes, as Spark estimates them, that one chunk is meant to hold.
+CHUNK_BYTES = 256 << 20
+_UNKNOWN_BYTES = 1 << 60  # Spark's estimate for what it can't tell is larger
 
 CHUNK = "_chunk"
 PLACE = "_place"
-COPIES = "_copies"
-COPY_BLOCK = 100_000  # copies of one row written out by one task at most
-_ROW_BITS = 33  # monotonically_increasing_id keeps the row in the low 33 bits, the partition above
+POSITION = "_position"
+_ROW = "_row_of_task"
+ROW_BITS = 33  # monotonically_increasing_id keeps the row in the low 33 bits, the partition above
 
 
-def with_file_position(df: DataFrame) -> DataFrame:
-    """Add the file and row a row was read from: a last order column that splits exact copies."""
-    return df.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.row_index").alias("_file_row"),
-    )
-
-
-def collapsed(df: DataFrame) -> DataFrame:
-    """Distinct rows with their number of copies; each task combines its own copies first."""
-    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
+def chunk_count(df: DataFrame) -> int:
+    """At least one chunk for each shuffle partition, more where the tables read hold over CHUNK_BYTES for each."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size())]
+    known = sum(size for size in sizes if size < _UNKNOWN_BYTES)
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-known // CHUNK_BYTES))
 
 
-def expanded(
-    rows: DataFrame, cut: DataFrame, number: str | None = None, block: int = COPY_BLOCK
+def chunked(
+    df: DataFrame, order: Sequence[Column | str], chunks: int | None = None, keep_position: bool = False
 ) -> DataFrame:
-    """Undo ``collapsed``; ``number``, if given, is the first copy's number and counts on from there.
-
-    Very many copies of one row are shared among tasks in blocks. ``cut`` is the written table behind
-    ``rows``: its file statistics tell quickly whether there are any.
-    """
-    first, last = F.lit(0).cast("bigint"), F.col(COPIES) - 1
-    if not cut.filter(F.col(COPIES) > block).select(COPIES).isEmpty():
-        blocks = F.sequence(first, F.floor(last / block).cast("bigint"))
-        rows = rows.withColumn("_block", F.explode(blocks)).repartition(shuffle_partitions(rows))
-        first = F.col("_block") * block
-        last = F.least(last, first + (block - 1))
-    rows = rows.withColumn("_copy", F.explode(F.sequence(first, last)))
-    if number:
-        rows = rows.withColumn(number, F.col(number) + F.col("_copy"))
-    return rows.drop(COPIES, "_copy", "_block")
-
-
-def shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def chunked(df: DataFrame, order: Sequence[Column | str], chunks: int | None = None) -> DataFrame:
     """Range-partition by ``order``, write once, and return with chunk number and place in chunk.
 
-    Chunks follow each other in order. Rows equal in every order column share a chunk: where copies
-    may be many, collapse them first or end the order with a column that tells them apart.
+    Chunks follow each other in order. Rows equal in every order column are told apart by the task and row
+    they come from, so that countless copies of one row still spread over chunks. ``POSITION``, kept on
+    request, is the chunk in its high bits and the place below: a filter on it skips the other chunks' files.
     """
     spark = df.sparkSession
     path = new_table_path(spark, "chunks")
+    order = [*order, F.col(_ROW)]
     (
-        df.repartitionByRange(chunks or shuffle_partitions(df), *order)
+        df.withColumn(_ROW, F.monotonically_increasing_id())
+        .repartitionByRange(chunks or chunk_count(df), *order)
         .sortWithinPartitions(*order)
-        .withColumn("_position", F.monotonically_increasing_id())
+        .withColumn(POSITION, F.monotonically_increasing_id())
+        .drop(_ROW)
         .write.parquet(path)
     )
-    return (
+    rows = (
         spark.read.parquet(path)
-        .withColumn(CHUNK, F.shiftright("_position", _ROW_BITS))
-        .withColumn(PLACE, F.col("_position") - F.shiftleft(CHUNK, _ROW_BITS))
-        .drop("_position")
+        .withColumn(CHUNK, F.shiftright(POSITION, ROW_BITS))
+        .withColumn(PLACE, F.col(POSITION) - F.shiftleft(CHUNK, ROW_BITS))
     )
+    return rows if keep_position else rows.drop(POSITION)
 
 
 def before(window: WindowSpec) -> WindowSpec:
@@ -98,68 +76,60 @@ def _or_zero(column: Column) -> Column:
     return F.coalesce(column, F.lit(0).cast("bigint"))
 
 
-def global_row_number(
-    df: DataFrame,
-    order: Sequence[Column | str],
-    out: str,
-    chunks: int | None = None,
-    copies: bool = True,
-    block: int = COPY_BLOCK,
-) -> DataFrame:
-    """Zero-based position of every row in the total order, without a single-task window.
-
-    ``copies=False`` saves a shuffle where the order tells all rows apart.
-    """
-    rows = cut = chunked(collapsed(df) if copies else df, order, chunks)
-    size = F.sum(COPIES) if copies else F.count(F.lit(1))
-    # One row per chunk: the un-partitioned window and the broadcast are bounded by their number.
-    starts = (
+def chunk_starts(rows: DataFrame) -> DataFrame:
+    """Number of rows ahead of each chunk: one row per chunk, which bounds the un-partitioned window."""
+    return (
         rows.groupBy(CHUNK)
-        .agg(size.alias("_rows"))
-        .select(CHUNK, _or_zero(F.sum("_rows").over(before(Window.orderBy(CHUNK)))).alias("_start"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select(CHUNK, "_rows", _or_zero(F.sum("_rows").over(before(Window.orderBy(CHUNK)))).alias("_start"))
     )
-    if copies:
-        ahead = before(Window.partitionBy(CHUNK).orderBy(PLACE))
-        rows = rows.withColumn(PLACE, _or_zero(F.sum(COPIES).over(ahead)))
-    numbered = (
-        rows.join(F.broadcast(starts), CHUNK)
+
+
+def global_row_number(
+    df: DataFrame, order: Sequence[Column | str], out: str, chunks: int | None = None
+) -> DataFrame:
+    """Zero-based position of every row in the total order, without a single-task window."""
+    rows = chunked(df, order, chunks)
+    return (
+        rows.join(F.broadcast(chunk_starts(rows).drop("_rows")), CHUNK)
         .withColumn(out, F.col("_start") + F.col(PLACE))
         .drop(CHUNK, PLACE, "_start")
     )
-    return expanded(numbered, cut, out, block) if copies else numbered
 
 
 def _key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[int]:
-    """Hashes of the MAX_HOT_KEYS largest keys among those with more than ``hot_rows`` rows.
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Hashes of all keys with more than ``hot_rows`` rows, as a written table.
 
-    Counts are combined per task first. A key that shares a hot key's hash is merely treated alike.
+    Counts are combined per task first. A key that shares a hot key's hash is merely treated alike. There are
+    at most as many rows as the input holds multiples of ``hot_rows``.
     """
     sizes = df.groupBy(_key_hash(keys).alias("_hash")).agg(F.count(F.lit(1)).alias("_rows"))
-    large = sizes.filter(F.col("_rows") > hot_rows).orderBy(F.desc("_rows"), "_hash")
-    return [row["_hash"] for row in large.limit(MAX_HOT_KEYS).collect()]
+    path = new_table_path(df.sparkSession, "hot-keys")
+    sizes.filter(F.col("_rows") > hot_rows).select("_hash").write.parquet(path)
+    return df.sparkSession.read.schema("_hash long").parquet(path)
 
 
 def split_hot(
     df: DataFrame,
     keys: Sequence[str],
     usual: Callable[[DataFrame], DataFrame],
-    heavy: Callable[[DataFrame, Column], DataFrame],
+    heavy: Callable[[DataFrame], DataFrame],
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Apply ``usual`` to rows of ordinary keys and ``heavy`` to rows of hot ones.
 
-    Both must return the same columns; ``heavy`` also gets the condition that selects hot keys.
-    Without hot keys, the plan is the usual one alone.
+    Both must return the same columns. Without hot keys, the plan is the usual one alone.
     """
     hot = hot_keys(df, keys, hot_rows)
-    if not hot:
+    if hot.isEmpty():
         return usual(df)
-    is_hot = _key_hash(keys).isin(hot)
-    return usual(df.filter(~is_hot)).unionByName(heavy(df.filter(is_hot), is_hot))
+    hashed = df.withColumn("_hash", _key_hash(keys))
+    part = lambda how: hashed.join(hot, "_hash", how).drop("_hash")
+    return usual(part("left_anti")).unionByName(heavy(part("left_semi")))
 
 
 def number_within(
@@ -168,7 +138,6 @@ def number_within(
     order: Sequence[str],
     out: str = "sequence",
     hot_rows: int = HOT_ROWS,
-    block: int = COPY_BLOCK,
 ) -> DataFrame:
     """One-based number of each row within its key, by a total order."""
 
@@ -176,15 +145,15 @@ def number_within(
         w = Window.partitionBy(*keys).orderBy(*order)
         return rows.withColumn(out, F.row_number().over(w).cast("bigint"))
 
-    def heavy(rows: DataFrame, _: Column) -> DataFrame:
-        cut = chunked(collapsed(rows), [*keys, *order])
-        spans = span_summary(cut, keys, F.sum(COPIES).alias("_rows"))
+    def heavy(rows: DataFrame) -> DataFrame:
+        cut = chunked(rows, [*keys, *order])
+        spans = span_summary(cut, keys, F.count(F.lit(1)).alias("_rows"))
         start = _or_zero(F.sum("_rows").over(before(span_window(keys))))
-        place = _or_zero(F.sum(COPIES).over(before(chunk_window(keys))))
+        place = F.row_number().over(chunk_window(keys))
         numbered = join_spans(
             cut.withColumn("_in_chunk", place), spans.withColumn("_start", start).drop("_rows"), keys
-        ).withColumn(out, F.col("_start") + F.col("_in_chunk") + 1)
-        return expanded(numbered.drop(CHUNK, PLACE, "_start", "_in_chunk"), cut, out, block)
+        ).withColumn(out, F.col("_start") + F.col("_in_chunk"))
+        return numbered.drop(CHUNK, PLACE, "_start", "_in_chunk")
 
     return split_hot(df, keys, usual, heavy, hot_rows)
 
@@ -207,7 +176,7 @@ def span_summary(cut: DataFrame, keys: Sequence[str], *aggregates: Column) -> Da
 def join_spans(cut: DataFrame, spans: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Bring chunk summaries back to the rows, matching null keys too."""
     names = {c: f"_span_{c}" for c in (CHUNK, *keys)}
-    small = F.broadcast(spans.withColumnsRenamed(names))
+    small = spans.withColumnsRenamed(names)
     match = None
     for c, name in names.items():
         same = F.col(c).eqNullSafe(F.col(name))

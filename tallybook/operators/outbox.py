@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,8 +90,11 @@ def capture(snapshot: DataFrame, changes: DataFrame, tables: Iterable[str]) -> D
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """Exact deduplication; the first copy by ``order`` survives."""
-    return first_per_key(df, keys, order)
+    """Exact deduplication; the first copy by ``order`` survives. Rows without a key are no copies and all stay."""
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    return first_per_key(df.filter(~missing), keys, order).unionByName(df.filter(missing))
 
 
 def route(events: DataFrame, prefix: str) -> DataFrame:
@@ -155,10 +159,42 @@ def retained(spark: SparkSession, path: str, cutoff) -> DataFrame:
     return retain(days, cutoff)
 
 
-def expired_days(spark: SparkSession, path: str, cutoff) -> DataFrame:
-    """Days wholly before ``cutoff``, whose partitions may be removed."""
-    days = spark.read.parquet(path).select("created_date").distinct()
-    return days.filter(F.col("created_date") < F.lit(cutoff).cast("date"))
+def _day_folders(spark: SparkSession, path: str) -> dict[str, str]:
+    """Day and folder of each partition, from the folders' names alone."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    names = {x.getPath().getName(): x.getPath().toString() for x in listed}
+    return {n.split("=", 1)[1]: p for n, p in names.items() if n.startswith("created_date=")}
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def expired_days(spark: SparkSession, path: str, cutoff: date) -> list[str]:
+    """Days wholly before the day of ``cutoff``, whose partitions may be removed; no file is opened."""
+    return sorted(day for day in _day_folders(spark, path) if day < cutoff.strftime("%Y-%m-%d"))
+
+
+def drop_expired(spark: SparkSession, path: str, cutoff: datetime) -> list[str]:
+    """Remove what is older than ``cutoff`` (in the session's zone): whole days, and the rows of its own day.
+
+    The rows to keep of that day are written before its old files go, so a crash may leave copies, never a gap.
+    """
+    days = _day_folders(spark, path)
+    expired = expired_days(spark, path, cutoff)
+    for day in expired:
+        _remove(spark, days[day])
+    today = cutoff.strftime("%Y-%m-%d")
+    if today in days:
+        old = spark.read.parquet(days[today])
+        if not old.filter(F.col("created_at") < F.lit(cutoff)).isEmpty():
+            files = old.inputFiles()
+            retain(old, cutoff).write.mode("append").parquet(days[today])
+            for file in files:
+                _remove(spark, file)
+    return expired
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -166,9 +202,25 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFram
     return first_per_key(df, keys, [F.col(c).desc() for c in order])
 
 
-def upsert_cursor(current: DataFrame, updates: DataFrame) -> DataFrame:
-    """Cursor table after saving ``updates``: one row per source, the newest wins."""
+def checked_cursor(cursor: DataFrame) -> DataFrame:
+    """Cursor rows that fail the job which reads them if a value is missing or too long."""
+    fault = F.when(F.col("source").isNull() | F.col("updated_at").isNull(), "missing value in cursor")
+    for name, limit in schemas.CURSOR_MAX_LENGTH.items():
+        fault = fault.when(F.length(name) > limit, f"{name} too long in cursor")
     columns = schemas.CURSOR.fieldNames()
-    both = current.select(*columns).unionByName(updates.select(*columns))
-    return latest(both, ["source"], ["updated_at", "last_token"])
+    source = F.when(fault.isNotNull(), F.raise_error(fault)).otherwise(F.col("source"))
+    return cursor.select(source.cast("string").alias("source"), *columns[1:])
 
+
+def upsert_cursor(current: DataFrame, updates: DataFrame) -> DataFrame:
+    """Cursor table after saving ``updates``: one row per source, the newest wins.
+
+    At an equal time an update beats the saved row, and among updates the higher token wins, compared as a number
+    where it is one.
+    """
+    columns = schemas.CURSOR.fieldNames()
+    saved = current.select(*columns, F.lit(0).alias("_new"))
+    both = saved.unionByName(updates.select(*columns, F.lit(1).alias("_new")))
+    both = both.withColumn("_number", F.expr("try_cast(last_token AS decimal(38, 0))"))
+    newest = latest(both, ["source"], ["updated_at", "_new", "_number", "last_token"])
+    return checked_cursor(newest.select(*columns))

@@ -3,53 +3,64 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions.text import decode_token
-from tallybook.operators.ordering import global_row_number
-
-# A sort with a limit sends offset + size rows per task through one last task. Beyond this offset
-# the page is cut from the numbered feed instead.
-SHALLOW_ROWS = 1_000
-
-
-def offset_of(df: DataFrame, token: str | None) -> tuple[int, int]:
-    """Offset a token names in this feed, and the feed's size."""
-    decoded = decode_token(F.lit(token).cast("string"), F.count(F.lit(1)))
-    row = df.agg(decoded.alias("offset"), F.count(F.lit(1)).alias("size")).first()
-    return row["offset"], row["size"]
-
-
-def page(
-    df: DataFrame,
-    order: Sequence[Column | str],
-    token: str | None,
-    size: int,
-    shallow_rows: int = SHALLOW_ROWS,
-    copies: bool = True,
-) -> DataFrame:
-    """The page a token names, with the next token on each row (null on the last page)."""
-    offset, total = offset_of(df, token)
-    end = min(offset + size, total)
-    following = F.lit(str(end) if end < total else None).cast("string")
-    if end <= shallow_rows:
-        rows = df.orderBy(*order).offset(offset).limit(size)
-    else:
-        numbered = global_row_number(df, order, "_position", copies=copies)
-        rows = numbered.filter(F.col("_position").between(offset, end - 1)).drop("_position")
-    return rows.withColumn("next_token", following)
-
-
-def assign_pages(
-    df: DataFrame, order: Sequence[Column | str], size: int, copies: bool = True
-) -> DataFrame:
-    """Every row with the number of its page and its place there: a whole walk in one job.
-
-    Pass ``copies=False`` where the order tells all rows apart.
+from tallybook.operators.ordering import CHUNK, PLACE, POSITION, ROW_BITS, chunk_starts, chunked, global_row_number
+
+
+@dataclass(frozen=True)
+class NumberedFeed:
+    """A feed in order, written once in chunks, with the number of rows ahead of each chunk."""
+
+    rows: DataFrame
+    starts: list[tuple[int, int, int]]  # chunk, rows ahead of it, rows in it
+
+    @property
+    def size(self) -> int:
+        return sum(rows for _, _, rows in self.starts)
+
+
+def number_feed(df: DataFrame, order: Sequence[Column | str], chunks: int | None = None) -> NumberedFeed:
+    """Sort and write a feed, so that any of its pages is read from the chunk that holds it.
+
+    The driver holds three numbers per chunk.
+    """
+    rows = chunked(df, order, chunks, keep_position=True)
+    starts = chunk_starts(rows).select(CHUNK, "_start", "_rows").orderBy(CHUNK).collect()
+    return NumberedFeed(rows, [tuple(row) for row in starts])
+
+
+def offset_of(feed: NumberedFeed, token: str | None) -> int:
+    """Offset a token names in this feed."""
+    spark = feed.rows.sparkSession
+    decoded = decode_token(F.lit(token).cast("string"), F.lit(feed.size).cast("bigint"))
+    return spark.range(1).select(decoded.alias("offset")).first()["offset"]
+
+
+def page(feed: NumberedFeed, token: str | None, size: int) -> DataFrame:
+    """The page a token names, with the next token on each row (null on the last page).
+
+    Chunks are stored in the order of their position, so the scan skips those that the page does not touch.
     """
-    numbered = global_row_number(df, order, "_position", copies=copies)
+    offset = offset_of(feed, token)
+    end = min(offset + size, feed.size)
+    following = F.lit(str(end) if end < feed.size else None).cast("string")
+    parts = F.lit(False)
+    for chunk, start, rows in feed.starts:
+        if start < end and offset < start + rows:
+            first, last = max(offset - start, 0), min(end - start, rows) - 1
+            position = chunk << ROW_BITS
+            parts = parts | F.col(POSITION).between(position + first, position + last)
+    return feed.rows.filter(parts).sort(POSITION).drop(CHUNK, PLACE, POSITION).withColumn("next_token", following)
+
+
+def assign_pages(df: DataFrame, order: Sequence[Column | str], size: int) -> DataFrame:
+    """Every row with the number of its page and its place there: a whole walk in one job."""
+    numbered = global_row_number(df, order, "_position")
     return numbered.select(
         *df.columns,
         F.floor(F.col("_position") / size).cast("bigint").alias("page"),

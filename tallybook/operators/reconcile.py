@@ -16,8 +16,6 @@ from tallybook.operators.ordering import (
     before,
     chunk_window,
     chunked,
-    collapsed,
-    expanded,
     join_spans,
     span_summary,
     span_window,
@@ -25,22 +23,12 @@ from tallybook.operators.ordering import (
 )
 
 
-def drop_seen(
-    df: DataFrame, seen: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Rows whose key is not among those already processed; all copies of a new key stay.
+def drop_seen(df: DataFrame, seen: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows whose key is not among those already processed; all copies of a new key stay, and null keys.
 
-    Rows of hot keys are matched where they are, against the few of those keys that were seen.
+    Left to adaptive execution, which splits the rows of a key that fills a task.
     """
-    ids = seen.select(*on)
-
-    def usual(rows: DataFrame) -> DataFrame:
-        return rows.join(ids.distinct(), list(on), "left_anti")
-
-    def heavy(rows: DataFrame, is_hot: Column) -> DataFrame:
-        return rows.join(F.broadcast(ids.filter(is_hot).distinct()), list(on), "left_anti")
-
-    return split_hot(df, on, usual, heavy, hot_rows)
+    return df.join(seen.select(*on), list(on), "left_anti")
 
 
 def lookup(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -151,7 +139,6 @@ def round_trip(
     and each message takes the next consumption of its key, so no pairs are formed: a key with
     many messages on both sides costs their sum, not their product.
     """
-    rest = [c for c in published.columns if c not in (*keys, "published_at")]
     null_time = F.lit(None).cast(consumed.schema["consumed_at"].dataType)
     # At the same instant, the message sorts before its consumption.
     sent = published.withColumns(
@@ -161,8 +148,12 @@ def round_trip(
         *keys, F.col("consumed_at").alias("_at"), F.lit(1).alias("_kind"),
         F.col("consumed_at").alias("_consumed"),
     )
-    both = sent.unionByName(received, allowMissingColumns=True)
-    place = ["_at", "_kind", *rest]
+    missing = None
+    for key in keys:
+        missing = F.col(key).isNull() if missing is None else missing | F.col(key).isNull()
+    # A null key matches nothing: such messages time out, such consumptions belong to none.
+    lost = sent.filter(missing).withColumn("_next", null_time)
+    both = sent.filter(~missing).unionByName(received.filter(~missing), allowMissingColumns=True)
 
     def usual(rows: DataFrame) -> DataFrame:
         # Latest first: a running minimum is then the nearest consumption that follows.
@@ -170,23 +161,22 @@ def round_trip(
         w = w.rowsBetween(Window.unboundedPreceding, 0)
         return rows.withColumn("_next", F.min("_consumed").over(w))
 
-    def heavy(rows: DataFrame, _: Column) -> DataFrame:
-        cut = chunked(collapsed(rows), [*keys, *place])
+    def heavy(rows: DataFrame) -> DataFrame:
+        cut = chunked(rows, [*keys, "_at", "_kind"])
         spans = span_summary(cut, keys, F.min("_consumed").alias("_first"))
         later = Window.partitionBy(*keys).orderBy(F.desc(CHUNK))
         spans = spans.withColumn("_later", F.min("_first").over(before(later))).drop("_first")
         w = Window.partitionBy(CHUNK, *keys).orderBy(F.desc(PLACE))
         w = w.rowsBetween(Window.unboundedPreceding, 0)
         near = cut.withColumn("_near", F.min("_consumed").over(w))
-        found = (
+        return (
             join_spans(near, spans, keys)
             .filter("_kind = 0")
             .withColumn("_next", F.coalesce("_near", "_later"))
             .drop("_near", "_later", CHUNK, PLACE)
         )
-        return expanded(found, cut)
 
-    matched = split_hot(both, keys, usual, heavy, hot_rows).filter("_kind = 0")
+    matched = split_hot(both, keys, usual, heavy, hot_rows).filter("_kind = 0").unionByName(lost)
     in_time = F.col("_next") <= F.col("published_at") + F.expr(f"INTERVAL {bound}")
     return matched.select(
         *published.columns, F.when(in_time, F.col("_next")).alias("consumed_at")
@@ -214,9 +204,10 @@ def sequence_audit(
     keys = [key]
     rows = events.withColumn("_arrived", F.lit(1).cast("bigint"))
     if earlier is not None:
-        summary = earlier.select(
+        here = events.select(F.col(key).alias("_here")).distinct()
+        summary = earlier.join(here, F.col("key").eqNullSafe(F.col("_here")), "left_semi").select(
             F.col("key").alias(key), F.col("newest").alias(created), F.col("arrived").alias("_arrived")
-        ).join(events.select(key).distinct(), key, "left_semi")
+        )
         rows = rows.unionByName(summary, allowMissingColumns=True)
 
     def usual(rows: DataFrame) -> DataFrame:
@@ -226,7 +217,7 @@ def sequence_audit(
             "_newest": F.max(created).over(before(w)),
         })
 
-    def heavy(rows: DataFrame, _: Column) -> DataFrame:
+    def heavy(rows: DataFrame) -> DataFrame:
         cut = chunked(rows, [F.col(key), F.asc_nulls_first(arrival)])
         spans = span_summary(
             cut, keys, F.sum("_arrived").alias("_rows"), F.max(created).alias("_top")

@@ -122,11 +122,11 @@ CANONICAL = f"""{CUR}, {GCP}, canonical AS (
 
 
 def _base(column: str) -> str:
-    return f"CAST(round(round(sum({column} * rate), 6), 4) AS DOUBLE)"
+    return f"CAST(round(round(sum({column} * rate), 6), 6) AS DOUBLE)"
 
 
 def _money(expression: str) -> str:
-    return f"CAST(round({expression}, 4) AS DOUBLE)"
+    return f"CAST(round({expression}, 6) AS DOUBLE)"
 
 
 def _spend(keys: str, group: str) -> str:
@@ -238,14 +238,16 @@ _TABLE_CHECKS = [
 
 _JSON_ITEM = """line_item_id, time_interval, payer_account_id, usage_account_id, line_item_type,
     usage_start, usage_end, product_code, usage_type, operation, resource_id,
-    CAST(round(usage_amount, 4) AS DOUBLE) AS usage_amount,
-    CAST(round(unblended_cost, 4) AS DOUBLE) AS unblended_cost, instance_type, region, pricing_term,
-    CAST(round(on_demand_cost, 4) AS DOUBLE) AS on_demand_cost,
-    CAST(round(reservation_effective_cost, 4) AS DOUBLE) AS reservation_effective_cost,
+    CAST(round(usage_amount, 6) AS DOUBLE) AS usage_amount,
+    CAST(round(unblended_cost, 6) AS DOUBLE) AS unblended_cost, instance_type, region, pricing_term,
+    CAST(round(on_demand_cost, 6) AS DOUBLE) AS on_demand_cost,
+    CAST(round(reservation_effective_cost, 6) AS DOUBLE) AS reservation_effective_cost,
     reservation_arn, tag_team, tag_cost_center"""
 
 _BACK_AT = "ts + to_microseconds(CAST(CAST(value AS DECIMAL(18,6)) / 2 * 1000000 AS BIGINT))"
 
+_PART = "CAST(floor(event_id * 4 / (SELECT max(event_id) + 1 FROM events)) AS BIGINT)"
+
 ORACLES: dict[str, str] = {
     "net_cost_by_team": f"""WITH {GCP}
         SELECT team, count(*) AS line_count, {_money('sum(cost * rate)')} AS cost_base,
@@ -301,8 +303,8 @@ ORACLES: dict[str, str] = {
             FROM split GROUP BY sku
         )
         SELECT sku, covered_rows, on_demand_rows,
-            CAST(round(round(covered_net, 6), 4) AS DOUBLE) AS covered_net,
-            CAST(round(round(on_demand_net, 6), 4) AS DOUBLE) AS on_demand_net,
+            CAST(round(round(covered_net, 6), 6) AS DOUBLE) AS covered_net,
+            CAST(round(round(on_demand_net, 6), 6) AS DOUBLE) AS on_demand_net,
             CAST(round(covered_net, 6) AS DOUBLE) / CAST(covered_units AS DOUBLE) AS covered_unit_cost,
             CAST(round(on_demand_net, 6) AS DOUBLE) / CAST(on_demand_units AS DOUBLE) AS on_demand_unit_cost
         FROM sums WHERE covered_rows > 0 AND on_demand_rows > 0""",
@@ -361,6 +363,18 @@ ORACLES: dict[str, str] = {
     "feed_page_deep": _page(5995, 4),
     "page_walk_check": """SELECT count(*) AS walked_rows, CAST(ceil(count(*) / 5.0) AS BIGINT) AS pages,
             CAST(0 AS BIGINT) AS differing_keys FROM lineitem""",
+    "page_walk_faults": """WITH numbered AS (
+            SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
+                l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) - 1 AS place FROM lineitem
+        ), walked AS (
+            SELECT * FROM numbered WHERE place % 5 < 4
+            UNION ALL SELECT * FROM numbered WHERE place % 5 < 4 AND (place // 5) % 3 = 0
+        ), keys AS (
+            SELECT * EXCLUDE (place, w, h), sum(w) AS walked, sum(h) AS held FROM (
+                SELECT *, 1 AS w, 0 AS h FROM walked UNION ALL SELECT *, 0, 1 FROM numbered) GROUP BY ALL
+        )
+        SELECT (SELECT count(*) FROM walked) AS walked_rows, (SELECT max(place) // 5 + 1 FROM walked) AS pages,
+            (SELECT count(*) FROM keys WHERE walked <> held) AS differing_keys""",
     "line_item_pages": f"""WITH {CUR}, numbered AS (
             SELECT *, row_number() OVER (ORDER BY line_item_id, time_interval, payer_account_id,
                 usage_account_id, line_item_type, usage_start, usage_end, product_code, usage_type,
@@ -368,7 +382,7 @@ ORACLES: dict[str, str] = {
                 pricing_term, on_demand_cost, reservation_effective_cost NULLS FIRST) - 1 AS place,
                 count(*) OVER () AS size
             FROM cur)
-        SELECT '2025-11' AS "billingPeriod",
+        SELECT (SELECT substr(max(usage_start), 1, 7) FROM cur) AS "billingPeriod",
             CASE WHEN (place // 5 + 1) * 5 < size THEN CAST((place // 5 + 1) * 5 AS VARCHAR) END AS "nextToken",
             place % 5 AS position, line_item_id, line_item_type, {_money('unblended_cost')} AS unblended_cost,
             {_money('reservation_effective_cost')} AS reservation_effective_cost, tag_team
@@ -473,18 +487,38 @@ ORACLES: dict[str, str] = {
             count(*) AS row_count, {_money('sum(CAST(value AS DECIMAL(18,6)))')} AS total
         FROM events GROUP BY 1, 2, 3""",
     "stream_route_dedup": _ROUTED,
-    "stream_outbox_commit": f"SELECT {_EVENT_COLUMNS} FROM events",
+    "stream_outbox_commit": f"""WITH parts AS (SELECT *, {_PART} AS batch_id FROM events)
+        SELECT 'state' AS output, CAST(user_id AS VARCHAR) AS key, CAST(max(event_id) AS VARCHAR) AS value, batch_id
+        FROM parts GROUP BY user_id, batch_id
+        UNION ALL SELECT 'events', CAST(event_id AS VARCHAR), props, batch_id FROM parts""",
+    "stream_replay": "SELECT * FROM events",
+    "stream_dedup_exact": f"SELECT {_EVENT_COLUMNS} FROM events",
+    "late_rows": f"""WITH parts AS (SELECT event_id, ts, 3 - {_PART} AS batch_id FROM events),
+        newest AS (SELECT b.n AS batch_id, max(p.ts) AS newest
+            FROM (VALUES (1), (2), (3)) b(n) JOIN parts p ON p.batch_id < b.n GROUP BY b.n)
+        SELECT event_id, batch_id,
+            CASE WHEN ts < newest - INTERVAL 10 DAY THEN 'late' ELSE 'rows' END AS output
+        FROM parts LEFT JOIN newest USING (batch_id)""",
+    "resume_from_cursor": """WITH half AS (SELECT * FROM events WHERE event_type <> 'error' AND event_id % 3 <> 0),
+        cursor AS (SELECT event_type, max(event_id) AS token FROM half
+            WHERE event_id <= (SELECT max(event_id) FROM half) / 2.0 GROUP BY event_type)
+        SELECT e.* FROM events e LEFT JOIN cursor c USING (event_type) WHERE token IS NULL OR event_id > token""",
+    "log_order_per_key": """SELECT 'billing.events.' || event_type AS topic, count(*) AS entries,
+            CAST(0 AS BIGINT) AS out_of_order
+        FROM events GROUP BY event_type""",
     "stream_ingest": """SELECT event_type AS source, CAST(arg_max(event_id, {'ts': ts, 'token': event_id})
             AS VARCHAR) AS last_token, max(ts) AS updated_at
         FROM events GROUP BY event_type""",
     "stream_sequence": _AUDIT,
-    "stream_capture": """SELECT CAST(event_id AS VARCHAR) AS id, event_type AS type, props AS payload,
-            ts AS created_at
+    "stream_capture": """SELECT CAST(event_id AS VARCHAR) AS id,
+            CASE WHEN ts < TIMESTAMP '2024-01-20' THEN 'r' ELSE 'c' END AS op,
+            event_type AS type, props AS payload, ts AS created_at
         FROM events
         WHERE event_type <> 'signup' AND (ts < TIMESTAMP '2024-01-20' OR event_type <> 'error')""",
     "stream_round_trip": f"""WITH trips AS (
-            SELECT CAST(event_id AS VARCHAR) AS id, ts AS published_at,
-                CASE WHEN event_type <> 'error' AND {_BACK_AT} <= ts + INTERVAL 5 SECOND
+            SELECT CASE WHEN event_type <> 'purchase' THEN CAST(event_id AS VARCHAR) END AS id, ts AS published_at,
+                event_id AS number,
+                CASE WHEN event_type NOT IN ('error', 'purchase') AND {_BACK_AT} <= ts + INTERVAL 5 SECOND
                     THEN {_BACK_AT} END AS consumed_at
             FROM events)
         SELECT *, (epoch_us(consumed_at) - epoch_us(published_at)) // 1000 AS latency_ms,

@@ -1,6 +1,6 @@
 """One query per operator, each over whole tables.
 
-Results leave the library flat: decimals as doubles rounded to four places, UTC times without zone.
+Results leave the library flat: decimals as doubles rounded to six places, UTC times without zone.
 """
 
 from __future__ import annotations
@@ -8,14 +8,13 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook import schemas
 from tallybook.functions import costs, text
 from tallybook.operators import expectations, normalize, outbox, paging, reconcile
-from tallybook.operators.ordering import with_file_position
 from tallybook.session import new_table_path, prepare
 from tallybook.sources import adapters, eventlog, feeds
 from tallybook.sources.adapters import cur_like, fees_like, gcp_like, outbox_like, table
@@ -45,7 +44,7 @@ def report(df: DataFrame) -> DataFrame:
     for field in df.schema:
         c = F.col(field.name)
         if isinstance(field.dataType, T.DecimalType):
-            c = F.round(c, 4).cast("double")
+            c = F.round(c, 6).cast("double")
         elif isinstance(field.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType)):
@@ -182,8 +181,10 @@ def commitment_names(spark, sf_dir):
     suffix = F.sha2(c("p_partkey").cast("string"), 256)
     names = table(spark, sf_dir, "part").select(
         "p_partkey",
-        text.aws_reservation_id(suffix).alias("reservation"),
-        text.gcp_commitment_name(c("p_brand"), c("p_type"), suffix).alias("commitment"),
+        F.concat(F.lit("ri-"), F.substring(suffix, 1, 12)).alias("reservation"),
+        F.concat(
+            F.lit("projects/"), c("p_brand"), F.lit("/regions/"), c("p_type"), F.lit("/commitments/cud-"), F.substring(suffix, 1, 8)
+        ).alias("commitment"),
     )
     return names.select(
         "*",
@@ -201,17 +202,15 @@ LINE_ORDER = [
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
 ]
-# The file position tells exact copies apart, so that no chunk has to hold all of them.
-FEED_ORDER = [*LINE_ORDER, "_file", "_file_row"]
 
 
-def _feed(spark, sf_dir):
-    return with_file_position(table(spark, sf_dir, "lineitem"))
+def _feed_pages(spark, sf_dir):
+    return paging.assign_pages(table(spark, sf_dir, "lineitem"), LINE_ORDER, schemas.LINE_ITEM_PAGE_SIZE)
 
 
-def _feed_pages(spark, sf_dir):
-    feed = _feed(spark, sf_dir)
-    return paging.assign_pages(feed, FEED_ORDER, schemas.LINE_ITEM_PAGE_SIZE, copies=False)
+def _feed_page(spark, sf_dir, token, size):
+    feed = paging.number_feed(table(spark, sf_dir, "lineitem"), LINE_ORDER)
+    return paging.page(feed, token, size).select(*LINE_ORDER, "next_token")
 
 
 @query
@@ -226,40 +225,48 @@ def feed_page_sizes(spark, sf_dir):
 
 @query
 def feed_page_n(spark, sf_dir):
-    size = schemas.LINE_ITEM_PAGE_SIZE
-    page = paging.page(_feed(spark, sf_dir), FEED_ORDER, " 15 ", size, copies=False)
-    return page.select(*LINE_ORDER, "next_token")
+    return _feed_page(spark, sf_dir, " 15 ", schemas.LINE_ITEM_PAGE_SIZE)
 
 
 @query
 def feed_page_deep(spark, sf_dir):
-    size = schemas.BILLING_ROW_PAGE_SIZE
-    page = paging.page(_feed(spark, sf_dir), FEED_ORDER, "+5995", size, copies=False)
-    return page.select(*LINE_ORDER, "next_token")
+    return _feed_page(spark, sf_dir, "+5995", schemas.BILLING_ROW_PAGE_SIZE)
 
 
 @query
 def page_walk_check(spark, sf_dir):
     """Rows and pages of a whole walk, and the keys it returned too often or not at all."""
     pages = _feed_pages(spark, sf_dir)
-    source = table(spark, sf_dir, "lineitem")
-    differing = paging.page_walk_diff(pages, source, LINE_ORDER).count()
-    return pages.agg(
-        F.count(F.lit(1)).alias("walked_rows"),
-        (F.max("page") + 1).alias("pages"),
-        F.lit(differing).cast("bigint").alias("differing_keys"),
-    )
+    return _walk_report(pages, table(spark, sf_dir, "lineitem"))
+
+
+@query
+def page_walk_faults(spark, sf_dir):
+    """The same of a walk that lost every page's last row and returned each third page twice."""
+    pages = _feed_pages(spark, sf_dir)
+    last = schemas.LINE_ITEM_PAGE_SIZE - 1
+    walked = pages.filter(F.col("page_row") < last)
+    walked = walked.unionByName(walked.filter(F.col("page") % 3 == 0))
+    return _walk_report(walked, table(spark, sf_dir, "lineitem"))
+
+
+def _walk_report(pages, source):
+    differing = paging.page_walk_diff(pages, source, LINE_ORDER).agg(F.count(F.lit(1)).alias("differing_keys"))
+    walk = pages.agg(F.count(F.lit(1)).alias("walked_rows"), (F.max("page") + 1).alias("pages"))
+    return walk.join(differing)  # one row each
 
 
 @query
 def line_item_pages(spark, sf_dir):
     """Flat feed landed as page envelopes in vendor JSON, read back and flattened."""
     size = schemas.LINE_ITEM_PAGE_SIZE
-    paged = paging.assign_pages(cur_like(spark, sf_dir), [*schemas.LINE_ITEM.fieldNames()], size)
+    items = cur_like(spark, sf_dir)
+    period = items.agg(F.substring(F.max("usage_start"), 1, 7)).first()[0]
+    paged = paging.assign_pages(items, [*schemas.LINE_ITEM.fieldNames()], size)
     renamed = feeds.wire_named(paged)
     path = new_table_path(spark, "line-item-pages")
     feeds.to_pages(renamed, "page", "page_row", size, "lineItems", "nextToken").withColumn(
-        "billingPeriod", F.lit("2025-11")
+        "billingPeriod", F.lit(period)
     ).write.json(path)
     rows = feeds.explode_pages(feeds.read_line_item_pages(spark, path), "lineItems")
     return feeds.readable(rows).select(
@@ -543,15 +550,26 @@ def _with_faults(events):
 
 @query
 def quarantine_rows(spark, sf_dir):
-    good, bad = streams.quarantine(_with_faults(outbox_like(spark, sf_dir)), PAYLOAD)
-    kept = good.select("id", F.lit(False).alias("quarantined"), "k", F.lit(None).cast("string").alias("payload"))
-    held = bad.select("id", F.lit(True).alias("quarantined"), F.lit(None).cast("bigint").alias("k"), "payload")
-    return kept.unionByName(held)
+    rows = streams.judged(_with_faults(outbox_like(spark, sf_dir)), PAYLOAD)
+    bad = F.col("_bad")
+    return rows.select(
+        "id", bad.alias("quarantined"), F.when(~bad, F.col("_body.k")).alias("k"),
+        F.when(bad, F.col("payload")).alias("payload"),
+    )
 
 
 # --- checks --------------------------------------------------------------------------------------
 
 
+def _line_ids(spark, sf_dir):
+    """The ids of the flat feed alone, without the joins that its other columns need."""
+    lines = table(spark, sf_dir, "lineitem")
+    fees = lines.filter("l_returnflag = 'R'").select("l_partkey").distinct()
+    return lines.filter("l_linestatus = 'O'").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line_item_id")).unionAll(
+        fees.select(F.concat(F.lit("fee-"), F.col("l_partkey").cast("string")))
+    )
+
+
 @query
 def table_checks(spark, sf_dir):
     """Line items and outbox rows against their rules, one pass each."""
@@ -571,7 +589,7 @@ def table_checks(spark, sf_dir):
     return (
         expectations.check(items, every, some)
         .unionByName(expectations.check(events, rules))
-        .unionByName(expectations.unique(items, "line_item_id_unique", ["line_item_id"]))
+        .unionByName(expectations.unique(_line_ids(spark, sf_dir), "line_item_id_unique", ["line_item_id"]))
         .unionByName(expectations.unique(events, "event_id_unique", ["id"]))
     )
 
@@ -600,22 +618,105 @@ def stream_route_dedup(spark, sf_dir):
     path, checkpoint = _paths(spark, "routed")
     events = adapters.outbox_of(adapters.event_stream(spark, sf_dir))
     twice = events.withColumn("_delivery", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_delivery")
-    once = streams.dedup(twice, "id", "created_at", "1 day", spread=True)
+    once = streams.dedup(twice, "id", "created_at", "1 day")
     streams.write_committed(outbox.route(once, TOPIC_PREFIX), path, checkpoint)
     return _routed_columns(commit.committed(spark, path, "rows"))
 
 
+def _parts(spark, sf_dir, parts=4):
+    """The events, and the quarter of the table, by id, that each belongs to."""
+    events = table(spark, sf_dir, "events")
+    top = events.agg(F.max("event_id") + 1).first()[0]
+    return events, F.floor(F.col("event_id") * parts / top)
+
+
 @query
 def stream_outbox_commit(spark, sf_dir):
-    """State and events of each batch written together; the events of finished batches."""
+    """State and events of each of four batches written together; both outputs of the finished ones."""
     path, checkpoint = _paths(spark, "outbox")
+    events, part = _parts(spark, sf_dir)
 
-    def on_batch(df, batch_id):
+    def on_batch(df, batch_id, run):
         state = df.groupBy("user_id").agg(F.max("event_id").alias("last_event"))
-        commit.append(state, adapters.outbox_of(df), batch_id, path)
+        commit.append(state, adapters.outbox_of(df), batch_id, run)
+
+    streams.run_committed(adapters.landed_stream(spark, events, part, 4), path, checkpoint, on_batch)
+    state = commit.committed(spark, path, "state").select(
+        F.lit("state").alias("output"), F.col("user_id").cast("string").alias("key"),
+        F.col("last_event").cast("string").alias("value"), "batch_id",
+    )
+    written = commit.committed(spark, path, "events").select(
+        F.lit("events").alias("output"), F.col("id").alias("key"), F.col("payload").alias("value"), "batch_id"
+    )
+    return state.unionByName(written)
+
+
+@query
+def stream_replay(spark, sf_dir):
+    """Four batches newest first, then a replay from a fresh checkpoint that is cut into one batch."""
+    path, checkpoint = _paths(spark, "replay")
+    events, part = _parts(spark, sf_dir)
+    streams.write_committed(adapters.landed_stream(spark, events, part, 4, True), path, checkpoint)
+    streams.write_committed(adapters.event_stream(spark, sf_dir), path, f"{checkpoint}-again")
+    return commit.committed(spark, path, "rows").drop("batch_id")
+
+
+@query
+def stream_dedup_exact(spark, sf_dir):
+    """Every event delivered twice, the copies in different batches, newest first; each comes out once."""
+    path, checkpoint = _paths(spark, "exact")
+    events = table(spark, sf_dir, "events")
+    top = events.agg(F.max("event_id") + 1).first()[0]
+    twice = adapters.outbox_of(events).withColumn("_part", F.floor(F.col("id").cast("bigint") * 4 / top))
+    twice = twice.unionByName(twice.withColumn("_part", (F.col("_part") + 2) % 4))
+    stream = adapters.landed_stream(spark, twice, F.col("_part"), 4, True).drop("_part")
+    streams.write_committed(streams.dedup_exact(stream, "id"), path, checkpoint)
+    return commit.committed(spark, path, "rows").drop("batch_id")
+
 
-    streams.run_batches(adapters.event_stream(spark, sf_dir), checkpoint, on_batch)
-    return commit.committed(spark, path, "events").drop("batch_id")
+@query
+def late_rows(spark, sf_dir):
+    """Newest files first: what is over ten days older than all that came before is put aside, not lost."""
+    path, checkpoint = _paths(spark, "late")
+    events, part = _parts(spark, sf_dir)
+    events = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    streams.split_late(adapters.landed_stream(spark, events, part, 4, True), "ts", "10 DAYS", path, checkpoint)
+    both = [
+        commit.committed(spark, path, name, events.schema).select("event_id", "batch_id", F.lit(name).alias("output"))
+        for name in ("rows", "late")
+    ]
+    return both[0].unionByName(both[1])
+
+
+@query
+def resume_from_cursor(spark, sf_dir):
+    """What is left of each source beyond its cursor; errors have none and are read from the start."""
+    events = table(spark, sf_dir, "events")
+    half = events.filter((F.col("event_type") != "error") & (F.col("event_id") % 3 != 0))
+    top = half.agg(F.max("event_id")).first()[0]
+    read = half.filter(F.col("event_id") <= F.lit(top) / 2).select(
+        F.col("event_type").alias("source"), F.col("event_id").cast("string").alias("last_token"),
+        F.lit("2024-02-01").cast("timestamp").alias("updated_at"),  # one time for all: the higher token wins
+    )
+    cursor = outbox.upsert_cursor(read.limit(0), read)
+    return streams.beyond_cursor(events, F.col("event_type"), F.col("event_id"), cursor)
+
+
+@query
+def log_order_per_key(spark, sf_dir):
+    """Per topic, the entries of a written log, and how many stand in their file ahead of one created earlier."""
+    conf = eventlog.LogConfig("files", new_table_path(spark, "ordered-log"))
+    eventlog.write_log(outbox.route(outbox_like(spark, sf_dir), TOPIC_PREFIX), conf)
+    log = eventlog.read_log(spark, conf, streaming=False)
+    placed = log.select(
+        "topic", "key", "timestamp", costs.tag(F.col("headers"), "id").alias("id"),
+        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place"),
+    )
+    w = Window.partitionBy("topic", "key").orderBy("file", "place")
+    created = F.struct("timestamp", "id")
+    return placed.withColumn("_wrong", F.lag(created).over(w) > created).groupBy("topic").agg(
+        F.count(F.lit(1)).alias("entries"), F.count_if("_wrong").alias("out_of_order")
+    )
 
 
 @query
@@ -634,7 +735,8 @@ def stream_ingest(spark, sf_dir):
 def stream_sequence(spark, sf_dir):
     """The arrival audit over a stream, batch by batch."""
     path, checkpoint = _paths(spark, "sequence")
-    arrivals = _arrivals(adapters.event_stream(spark, sf_dir))
+    events, part = _parts(spark, sf_dir)
+    arrivals = _arrivals(adapters.landed_stream(spark, events, part, 4))
     streams.sequence_audit(arrivals, path, checkpoint, "aggregate_id", "created_at", "arrival")
     return _audit_columns(commit.committed(spark, path, "rows"))
 
@@ -643,58 +745,49 @@ def stream_sequence(spark, sf_dir):
 def stream_capture(spark, sf_dir):
     """Snapshot and change stream as one log, each event once."""
     snapshot, changes = adapters.change_log(spark, sf_dir)
-    landed, (path, checkpoint) = new_table_path(spark, "changes"), _paths(spark, "captured")
-    log = snapshot.withColumn("op", F.lit("r")).unionByName(changes)
-    log.write.parquet(landed)
-    stream = spark.readStream.schema(log.schema).parquet(landed)
-    once = streams.captured(stream, ["ingestion.outbox_event"], "created_at", "30 days")
-    streams.write_committed(once, path, checkpoint)
-    return commit.committed(spark, path, "rows").select("id", "type", "payload", "created_at")
+    path, checkpoint = _paths(spark, "captured")
+    day = F.date_diff(F.col("created_at").cast("date"), F.lit("2024-01-10").cast("date"))
+    stream = adapters.landed_stream(spark, changes, F.least(F.floor(day / 6), F.lit(3)), 4, True)
+    streams.capture(snapshot, stream, ["ingestion.outbox_event"], path, checkpoint)
+    return streams.captured(spark, path).select("id", "op", "type", "payload", "created_at")
 
 
 @query
 def stream_round_trip(spark, sf_dir):
-    """Messages published to an event log and matched with their consumption within five seconds.
+    """Messages matched with their first consumption within five seconds, over four batches newest first.
 
-    A message's consumption follows after half its value in seconds; errors are never consumed.
+    A message's consumption follows after half its value in seconds, and again a second later, the later one
+    arriving first; errors are never consumed, purchases have no id, and each fifth message was seen too early.
     """
-    events = table(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp"))
-    names = schemas.topics()
+    events, part = _parts(spark, sf_dir)
+    c = F.col
+    at = c("ts").cast("timestamp")
+    after = lambda seconds: at + F.make_dt_interval(secs=(seconds).cast("decimal(18,6)"))
+    half = c("value").cast("decimal(18,6)") / 2
     messages = events.select(
-        F.col("event_id").cast("string").alias("id"),
-        F.col("props").alias("payload"),
-        F.col("event_type").alias("source"),
-        "at",
-        (F.col("at") + F.make_dt_interval(secs=F.col("value").cast("decimal(18,6)") / 2)).alias("back_at"),
+        F.when(c("event_type") != "purchase", c("event_id").cast("string")).alias("id"),
+        at.alias("published_at"), c("event_id").alias("number"), part.alias("_part"),
     )
+    answered = events.filter("event_type <> 'error'").select(
+        F.when(c("event_type") != "purchase", c("event_id").cast("string")).alias("id"), part.alias("_part"),
+        F.explode(F.array(after(half + 1), after(half), F.when(c("event_id") % 5 == 0, after(F.lit(-2))))).alias("consumed_at"),
+    ).filter("consumed_at IS NOT NULL")
     path, checkpoint = _paths(spark, "round-trip")
-    sent = eventlog.LogConfig("files", new_table_path(spark, "sent"))
-    back = eventlog.LogConfig("files", new_table_path(spark, "back"))
-
-    def publish(rows):
-        fields = schemas.MESSAGE.fieldNames()
-        eventlog.write_log(eventlog.to_message(rows, names["smoke"], "id", fields, "at"), sent)
-        answered = rows.filter("source <> 'error'")
-        eventlog.write_log(eventlog.to_message(answered, names["smoke"], "id", fields, "back_at"), back)
+    sent = adapters.land(messages, c("_part"), 4, newest_first=True)
+    back = adapters.land(answered, c("_part"), 4, newest_first=True)
 
     def match():
-        published = eventlog.from_message(eventlog.read_log(spark, sent)).select(
-            "id", F.col("timestamp").alias("published_at")
-        )
-        consumed = eventlog.from_message(eventlog.read_log(spark, back)).select(
-            "id", F.col("timestamp").alias("consumed_at")
-        )
-        trips = streams.round_trip(published, consumed, "id", 5, "10 minutes")
+        sides = (adapters.stream_of(spark, sent, messages.schema), adapters.stream_of(spark, back, answered.schema))
+        trips = streams.round_trip(sides[0].drop("_part"), sides[1].drop("_part"), "id", 5, "60 days")
         streams.write_committed(trips, path, checkpoint)
 
-    publish(messages)
     match()
     # A later message on both sides moves the watermark past the end; the same checkpoint resumes.
     later = F.lit("2100-01-01").cast("timestamp")
-    closing = spark.range(1).select(
-        F.lit("closing").alias("id"), F.lit("{}").alias("payload"), F.lit("closing").alias("source"),
-        later.alias("at"), later.alias("back_at"),
-    )
-    publish(closing)
+    named = {"id": F.lit("closing"), "_part": F.lit(0).cast(messages.schema["_part"].dataType)}
+    closing = messages.limit(1).withColumns({**named, "published_at": later})
+    closing.write.mode("append").parquet(sent)
+    closing.select("id", "_part", later.alias("consumed_at")).write.mode("append").parquet(back)
     match()
-    return commit.committed(spark, path, "rows").filter("id <> 'closing'").drop("batch_id")
+    rows = commit.committed(spark, path, "rows").filter("id IS DISTINCT FROM 'closing'")
+    return streams.earliest_trips(rows, "id").drop("batch_id")

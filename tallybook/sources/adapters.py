@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 from tallybook import schemas
 from tallybook.functions.costs import money
 from tallybook.functions.text import vendor_time
+from tallybook.session import new_table_path
 
 SHARE = T.DecimalType(6, 4)
-FEW_SPLITS = 8  # about a gigabyte at the default split size
 
 # Fixed schema of the events table, needed to read it as a stream.
 EVENTS = T.StructType([
@@ -28,19 +28,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share the rows of a small table among all cores.
-
-    A file of one row group is read by a single task, which would then do all per-row work alone.
-    Only a table of very few splits is shuffled for that; a larger one keeps all cores busy as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, FEW_SPLITS) else df
-
-
 def _sold(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
     """Line items of one status with their part, supplier and nation."""
-    items = spread(table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == status))
+    items = table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == status)
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
@@ -206,6 +196,28 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
+def land(rows: DataFrame, number: Column, parts: int, newest_first: bool = False) -> str:
+    """A folder with ``rows`` as ``parts`` files by ``number`` (0 to parts - 1), read by streams in written order.
+
+    Files are written one after the other, the highest number first if ``newest_first``.
+    """
+    path = new_table_path(rows.sparkSession, "landed")
+    for k in sorted(range(parts), reverse=newest_first):
+        rows.filter(number == k).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def stream_of(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A folder as a stream of one file per batch."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def landed_stream(
+    spark: SparkSession, rows: DataFrame, number: Column, parts: int, newest_first: bool = False
+) -> DataFrame:
+    return stream_of(spark, land(rows, number, parts, newest_first), rows.schema)
+
+
 def cursor_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a saved cursor of its source."""
     return table(spark, sf_dir, "events").select(

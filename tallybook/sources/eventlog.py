@@ -80,8 +80,15 @@ def _log_columns(df: DataFrame) -> DataFrame:
     return df.select(*schemas.EVENT_LOG.fieldNames())
 
 
+def delivery_order(df: DataFrame) -> DataFrame:
+    """Rows of one topic and key in one task, in order of creation, then id."""
+    ids = F.filter("headers", lambda h: h["key"] == "id")
+    return df.repartition("topic", "key").sortWithinPartitions("topic", "key", "timestamp", F.get(ids, F.lit(0))["value"])
+
+
 def write_log(df: DataFrame, conf: LogConfig) -> None:
-    """Append a batch; each row goes to the topic it names."""
+    """Append a batch; each row goes to the topic it names, those of one key in order of creation."""
+    df = delivery_order(df)
     if conf.format == "kafka":
         (
             _kafka_rows(df)

@@ -1,13 +1,19 @@
 """Several outputs of one batch become visible together, through a commit marker.
 
-A table folder holds ``<output>/batch_id=N`` folders, two slots for each small table that a batch
-replaces as a whole (the cursor, say), and one marker per finished batch. Everything of a batch is
-written first and its marker last; readers admit only batches with a marker. A batch that is run again replaces its own folders, so keep a stream's checkpoint together
-with its table: with a new checkpoint, batches must be cut as before.
+A table folder holds ``<output>/attempt=<id>`` folders, one marker per finished batch and one row per run. A run
+is one life of a stream: its id is kept with the checkpoint, so a resumed stream goes on with its run, while a
+replay from a fresh checkpoint begins another. Every attempt of a batch writes to a folder of its own and nothing
+is ever overwritten; the marker, written last, names the attempt that counts. A batch whose marker is there is not
+written again. Readers take the newest finished run, or the newest one as long as none is finished.
+
+Markers are gathered into a manifest now and then, so that a batch costs the same however many went before.
 """
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +22,20 @@ from pyspark.sql import types as T
 from tallybook import schemas
 from tallybook.operators.outbox import checked_events, upsert_cursor
 
+#: Batches after which their markers become one manifest.
+MANIFEST_BATCHES = 100
+#: The run of batches that belong to no stream.
+DIRECT = "direct"
+
 _MARKER = T.StructType([
-    T.StructField("committed_at", T.TimestampType()),
-    T.StructField("slot", T.IntegerType()),
     T.StructField("batch_id", T.LongType()),
+    T.StructField("attempt", T.StringType()),
+    T.StructField("committed_at", T.TimestampType()),
+])
+_RUN = T.StructType([
+    T.StructField("run", T.StringType()),
+    T.StructField("at", T.TimestampType()),
+    T.StructField("finished", T.BooleanType()),
 ])
 
 
@@ -36,79 +52,200 @@ def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> Data
         return spark.createDataFrame([], schema)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [x.getPath().getName() for x in files.listStatus(place)] if files.exists(place) else []
+
+
 def _require_batch(batch_id: int | None) -> int:
     if batch_id is None:
         raise NoBatchError("append needs the id of the batch it belongs to")
     return batch_id
 
 
-def markers(spark: SparkSession, path: str) -> DataFrame:
-    return _read_or_empty(spark, f"{path}/commits", _MARKER)
+@dataclass(frozen=True)
+class Run:
+    """One life of a stream into a table folder."""
+
+    spark: SparkSession
+    path: str
+    name: str = DIRECT
+
+    @property
+    def _markers(self) -> str:
+        return f"{self.path}/commits/run={self.name}"
+
+    def _marker(self, batch_id: int) -> str | None:
+        """The attempt of a batch that counts, by one look at its place."""
+        rows = _read_or_empty(self.spark, f"{self._markers}/batch={batch_id}", _MARKER).collect()
+        return rows[0]["attempt"] if rows else None
+
+    def attempts(self) -> dict[int, str]:
+        """The attempt of each finished batch: the last manifest and the markers after it."""
+        manifests = [n for n in _folders(self.spark, f"{self.path}/manifests/run={self.name}") if n.startswith("upto=")]
+        rows = _read_or_empty(self.spark, f"{self._markers}/batch=*", _MARKER).collect()
+        if manifests:
+            newest = max(int(n.removeprefix("upto=")) for n in manifests)
+            path = f"{self.path}/manifests/run={self.name}/upto={newest}"
+            rows += self.spark.read.schema(_MARKER).parquet(path).collect()
+        return {row["batch_id"]: row["attempt"] for row in rows}
+
+    def _attempt_before(self, batch_id: int) -> str | None:
+        """That of the batch before; batches follow each other, so it is mostly found at its place."""
+        found = self._marker(batch_id - 1) if batch_id else None
+        if found is None and batch_id:
+            earlier = {b: a for b, a in self.attempts().items() if b < batch_id}
+            found = earlier[max(earlier)] if earlier else None
+        return found
+
+    def commit(
+        self, outputs: dict[str, DataFrame], batch_id: int | None, replaced: dict[str, DataFrame] | None = None
+    ) -> None:
+        """Write every output of a batch and the tables it replaces, then the marker that counts them."""
+        batch_id = _require_batch(batch_id)
+        if self._marker(batch_id) is not None or self._gathered(batch_id):
+            return
+        attempt = f"{self.name}-{batch_id}-{uuid.uuid4().hex}"
+        for name, df in {**outputs, **(replaced or {})}.items():
+            df.write.parquet(f"{self.path}/{name}/attempt={attempt}")
+        marker = self.spark.range(1).select(
+            F.lit(batch_id).cast("long").alias("batch_id"),
+            F.lit(attempt).alias("attempt"),
+            F.current_timestamp().alias("committed_at"),
+        )
+        marker.coalesce(1).write.parquet(f"{self._markers}/batch={batch_id}")
+        if (batch_id + 1) % MANIFEST_BATCHES == 0:
+            self._gather(batch_id)
+
+    def _gathered(self, batch_id: int) -> bool:
+        """Whether a manifest has taken the place of the batch's marker."""
+        names = _folders(self.spark, f"{self.path}/manifests/run={self.name}")
+        return any(int(n[5:]) >= batch_id for n in names if n.startswith("upto=")) and batch_id in self.attempts()
+
+    def _gather(self, upto: int) -> None:
+        """One manifest of all markers so far; the markers it took in go, all but the last."""
+        done = [(b, a, None) for b, a in sorted(self.attempts().items())]
+        manifest = f"{self.path}/manifests/run={self.name}"
+        self.spark.createDataFrame(done, _MARKER).coalesce(1).write.mode("overwrite").parquet(f"{manifest}/upto={upto}")
+        for name in _folders(self.spark, manifest):
+            if name.startswith("upto=") and int(name[5:]) < upto:
+                _delete(self.spark, f"{manifest}/{name}")
+        for name in _folders(self.spark, self._markers):
+            if name.startswith("batch=") and int(name[6:]) < upto:
+                _delete(self.spark, f"{self._markers}/{name}")
+
+    def rows(self, output: str, schema: T.StructType | None = None, before: int | None = None) -> DataFrame:
+        """Rows of an output from finished batches only, with their ``batch_id``."""
+        attempts = {b: a for b, a in self.attempts().items() if before is None or b < before}
+        if not attempts:
+            if schema is None:
+                raise ValueError(f"no batch of {output} is finished; its schema is needed to read it as empty")
+            return self.spark.createDataFrame([], schema).withColumn("batch_id", F.lit(None).cast("long"))
+        reader = self.spark.read.option("basePath", f"{self.path}/{output}")
+        folders = [f"{self.path}/{output}/attempt={a}" for a in attempts.values()]
+        rows = (reader.schema(schema) if schema else reader).parquet(*folders)
+        number = F.regexp_extract(F.col("_metadata.file_path"), r"/attempt=[^/]*-(\d+)-[0-9a-f]{32}/", 1)
+        return rows.withColumn("batch_id", number.cast("long")).drop("attempt")
+
+    def replaced(self, name: str, schema: T.StructType, before: int | None = None) -> DataFrame:
+        """A replaced table as of the last finished batch (or of the last one before a batch)."""
+        if before is not None:
+            attempt = self._attempt_before(before)
+        else:
+            attempts = self.attempts()
+            attempt = attempts[max(attempts)] if attempts else None
+        if attempt is None:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}/attempt={attempt}")
+
+    def finish(self) -> None:
+        """From now on readers may take this run."""
+        if not _runs(self.spark, self.path).filter((F.col("run") == self.name) & F.col("finished")).isEmpty():
+            return
+        _note_run(self.spark, self.path, self.name, True)
+
+
+def _runs(spark: SparkSession, path: str) -> DataFrame:
+    return _read_or_empty(spark, f"{path}/runs", _RUN)
+
+
+def _note_run(spark: SparkSession, path: str, name: str, finished: bool) -> None:
+    row = spark.range(1).select(
+        F.lit(name).alias("run"), F.current_timestamp().alias("at"), F.lit(finished).alias("finished")
+    )
+    row.coalesce(1).write.mode("append").parquet(f"{path}/runs")
 
 
-def last_batch(spark: SparkSession, path: str) -> int | None:
-    return markers(spark, path).agg(F.max("batch_id")).first()[0]
+def stream_run(spark: SparkSession, path: str, checkpoint: str) -> Run:
+    """The run that a checkpoint belongs to; a fresh checkpoint begins a new one."""
+    place = f"{checkpoint}/run"
+    known = _read_or_empty(spark, place, T.StructType([T.StructField("run", T.StringType())])).collect()
+    if known:
+        return Run(spark, path, known[0]["run"])
+    name = uuid.uuid4().hex
+    spark.range(1).select(F.lit(name).alias("run")).coalesce(1).write.parquet(place)
+    _note_run(spark, path, name, False)
+    return Run(spark, path, name)
 
 
-def commit_unit(
-    outputs: dict[str, DataFrame],
-    batch_id: int | None,
-    path: str,
-    replaced: dict[str, DataFrame] | None = None,
-) -> None:
-    """Write every output of a batch, then the tables it replaces, then the marker that counts them."""
-    batch_id = _require_batch(batch_id)
-    spark = next(iter(outputs.values())).sparkSession
-    for name, df in outputs.items():
-        df.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
-    slot = None
-    if replaced:
-        # Two slots in turn: the one being written is never the one an earlier marker points to.
-        slot = 0 if _last_slot(spark, path, batch_id) == 1 else 1
-        for name, df in replaced.items():
-            df.write.mode("overwrite").parquet(f"{path}/{name}/slot={slot}")
-    marker = spark.range(1).select(
-        F.current_timestamp().alias("committed_at"), F.lit(slot).cast("int").alias("slot")
-    )
-    marker.write.mode("overwrite").parquet(f"{path}/commits/batch_id={batch_id}")
+def newest_run(spark: SparkSession, path: str) -> Run:
+    """The run readers take: of those finished the last begun, else the last begun."""
+    runs = _runs(spark, path).groupBy("run").agg(F.min("at").alias("begun"), F.max("finished").alias("finished"))
+    row = runs.orderBy(F.desc("finished"), F.desc("begun")).first()
+    return Run(spark, path, row["run"] if row else DIRECT)
 
 
-def append(state: DataFrame, events: DataFrame, batch_id: int | None, path: str) -> None:
+def append(state: DataFrame, events: DataFrame, batch_id: int | None, run: Run) -> None:
     """Record a state change and its outbox events, both or neither.
 
-    An event that breaks the outbox rules fails the whole unit; nothing of it becomes visible.
+    An event that breaks the outbox rules, or whose id was appended before or comes twice, fails the whole unit;
+    nothing of it becomes visible.
     """
     batch_id = _require_batch(batch_id)
-    commit_unit({"state": state, "events": checked_events(events)}, batch_id, path)
+    earlier = run.rows("events", schemas.OUTBOX, before=batch_id).select(F.col("id").alias("_id"))
+    held = earlier.unionAll(events.select(F.col("id").alias("_id")))
+    double = held.groupBy("_id").agg(F.count(F.lit(1)).alias("_copies")).filter("_copies > 1")
+    checked = checked_events(events)
+    message = F.concat(F.lit("duplicate id in outbox event "), F.col("_id"))
+    payload = F.when(F.col("_id").isNotNull(), F.raise_error(message)).otherwise(F.col("payload"))
+    unique = checked.join(double, F.col("id") == F.col("_id"), "left").withColumn("payload", payload.cast("string"))
+    run.commit({"state": state, "events": unique.select(*schemas.OUTBOX.fieldNames())}, batch_id)
 
 
-def committed(spark: SparkSession, path: str, output: str) -> DataFrame:
-    """Rows of an output from finished batches only."""
-    rows = spark.read.parquet(f"{path}/{output}")
-    return rows.join(markers(spark, path).select("batch_id"), "batch_id", "left_semi")
+def committed(spark: SparkSession, path: str, output: str, schema: T.StructType | None = None) -> DataFrame:
+    """Rows of an output of the newest run, from finished batches only."""
+    return newest_run(spark, path).rows(output, schema)
 
 
-def _last_slot(spark: SparkSession, path: str, before: int | None) -> int | None:
-    done = markers(spark, path).filter("slot IS NOT NULL")
-    if before is not None:
-        done = done.filter(F.col("batch_id") < before)
-    return done.agg(F.max_by("slot", "batch_id")).first()[0]
+def read_cursor(spark: SparkSession, path: str) -> DataFrame:
+    return newest_run(spark, path).replaced("cursor", schemas.CURSOR)
 
 
-def read_replaced(
-    spark: SparkSession, path: str, name: str, schema: T.StructType, before: int | None = None
-) -> DataFrame:
-    """A replaced table as of the last finished batch (or of the last one before a batch)."""
-    slot = _last_slot(spark, path, before)
-    if slot is None:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/{name}/slot={slot}")
-
+def saved_cursor(updates: DataFrame, batch_id: int, run: Run) -> DataFrame:
+    """The cursor table to commit with a batch: that of the batch before, with ``updates``."""
+    return upsert_cursor(run.replaced("cursor", schemas.CURSOR, batch_id), updates)
 
-def read_cursor(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    return read_replaced(spark, path, "cursor", schemas.CURSOR, before)
 
+def vacuum(spark: SparkSession, path: str, replaced: tuple[str, ...] = ()) -> int:
+    """Remove attempts that no finished batch of the newest run names, and replaced tables but the last.
 
-def saved_cursor(spark: SparkSession, updates: DataFrame, batch_id: int, path: str) -> DataFrame:
-    """The cursor table to commit with a batch: that of the batch before, with ``updates``."""
-    return upsert_cursor(read_cursor(spark, path, before=batch_id), updates)
+    Not while a stream writes to the folder. Returns the number of folders removed.
+    """
+    attempts = newest_run(spark, path).attempts()
+    last = {attempts[max(attempts)]} if attempts else set()
+    removed = 0
+    for output in _folders(spark, path):
+        if output in ("commits", "manifests", "runs"):
+            continue
+        keep = last if output in replaced else set(attempts.values())
+        for folder in _folders(spark, f"{path}/{output}"):
+            if folder.startswith("attempt=") and folder.removeprefix("attempt=") not in keep:
+                _delete(spark, f"{path}/{output}/{folder}")
+                removed += 1
+    return removed

@@ -12,11 +12,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallybook import schemas
 from tallybook.functions.text import elapsed_millis
 from tallybook.operators import reconcile
-from tallybook.operators.ordering import HOT_ROWS
-from tallybook.operators.outbox import included, latest
-from tallybook.streaming.commit import commit_unit, committed, read_replaced, saved_cursor
+from tallybook.operators.ordering import HOT_ROWS, first_per_key
+from tallybook.operators.outbox import checked_cursor, included
+from tallybook.operators.outbox import dedup as dedup_batch
+from tallybook.streaming.commit import DIRECT, Run, committed, stream_run
+
+
+class LateRowsError(RuntimeError):
+    """A stateful operator found rows later than its delay and left them out."""
 
 
 def run_batches(
@@ -24,16 +30,18 @@ def run_batches(
     checkpoint: str,
     on_batch: Callable[[DataFrame, int], None],
     mode: str = "append",
-) -> None:
+    state_partitions: int | None = None,
+) -> int:
     """Run a stream to its current end, handing each micro-batch to ``on_batch``.
 
-    Every shuffle partition of a stateful stream is a store with a fixed cost per batch, so a new
-    stream gets no more of them than two per core. A checkpoint keeps the number it began with.
+    Returns the rows that stateful operators left out as too late. Every shuffle partition of a stateful stream
+    is a store, whose number a checkpoint keeps for life: ``spark.sql.shuffle.partitions`` of them, or
+    ``state_partitions``.
     """
     spark = stream.sparkSession
     setting = spark.conf.get("spark.sql.shuffle.partitions")
-    stores = min(int(setting), 2 * spark.sparkContext.defaultParallelism)
-    spark.conf.set("spark.sql.shuffle.partitions", stores)
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", state_partitions)
     try:
         query = (
             stream.writeStream.outputMode(mode)
@@ -45,37 +53,62 @@ def run_batches(
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", setting)
     query.awaitTermination()
+    states = [state for progress in query.recentProgress for state in progress["stateOperators"]]
+    return sum(state["numRowsDroppedByWatermark"] for state in states)
+
+
+def run_committed(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    on_batch: Callable[[DataFrame, int, Run], None],
+    mode: str = "append",
+    state_partitions: int | None = None,
+) -> None:
+    """Run a stream whose batches commit to its run; rows left out as late fail it once the rest is committed."""
+    run = stream_run(stream.sparkSession, path, checkpoint)
+    late = run_batches(stream, checkpoint, lambda df, n: on_batch(df, n, run), mode, state_partitions)
+    run.finish()
+    if late:
+        raise LateRowsError(f"{late} rows came later than the stream's delay; see split_late")
 
 
 def write_committed(
-    stream: DataFrame, path: str, checkpoint: str, output: str = "rows", mode: str = "append"
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    output: str = "rows",
+    mode: str = "append",
+    state_partitions: int | None = None,
 ) -> None:
     """Run a stream into a committed output of a table folder."""
-    run_batches(stream, checkpoint, lambda df, n: commit_unit({output: df}, n, path), mode)
+    write = lambda df, n, run: run.commit({output: df}, n)
+    run_committed(stream, path, checkpoint, write, mode, state_partitions)
 
 
 def ingest(
     stream: DataFrame, path: str, checkpoint: str, source: Column, token: Column, updated: Column
 ) -> None:
-    """Land a feed batch by batch; each source's cursor moves only with the page it belongs to."""
+    """Land a feed batch by batch; each source's cursor moves only with the page it belongs to.
+
+    The cursor is the highest token read, compared in the token's own type, with the latest time seen.
+    """
+    kind = stream.select(token.alias("token")).schema["token"].dataType
 
-    def on_batch(df: DataFrame, batch_id: int) -> None:
+    def on_batch(df: DataFrame, batch_id: int, run: Run) -> None:
         page = df.persist()
-        saved = latest(
-            page.select(
-                source.cast("string").alias("source"),
-                token.cast("string").alias("last_token"),
-                updated.alias("updated_at"),
-                token.alias("_token"),
-            ),
-            ["source"],
-            ["updated_at", "_token"],
-        )
-        cursor = saved_cursor(df.sparkSession, saved, batch_id, path)
-        commit_unit({"rows": page}, batch_id, path, replaced={"cursor": cursor})
-        page.unpersist()
+        try:
+            read = page.select(source.cast("string").alias("source"), token.alias("_token"), updated.alias("updated_at"))
+            saved = run.replaced("cursor", schemas.CURSOR, batch_id)
+            saved = saved.select("source", F.col("last_token").cast(kind).alias("_token"), "updated_at")
+            cursor = saved.unionByName(read).groupBy("source").agg(
+                F.max("_token").cast("string").alias("last_token"), F.max("updated_at").alias("updated_at")
+            )
+            run.commit({"rows": page}, batch_id, {"cursor": checked_cursor(cursor)})
+        finally:
+            page.unpersist()
 
-    run_batches(stream, checkpoint, on_batch)
+    run_committed(stream, path, checkpoint, on_batch)
 
 
 def after_token(df: DataFrame, key: str, last_token) -> DataFrame:
@@ -83,22 +116,85 @@ def after_token(df: DataFrame, key: str, last_token) -> DataFrame:
     return df if last_token is None else df.filter(F.col(key) > F.lit(last_token))
 
 
-def captured(stream: DataFrame, tables: Sequence[str], time: str, delay: str) -> DataFrame:
-    """Change stream of the listed tables, each event once."""
-    return dedup(included(stream, tables), "id", time, delay)
+def beyond_cursor(df: DataFrame, source: Column, token: Column, cursor: DataFrame) -> DataFrame:
+    """Rows of each source beyond the token its cursor holds; all of a source without one.
+
+    Tokens are compared in the feed's own type.
+    """
+    kind = df.select(token.alias("token")).schema["token"].dataType
+    held = cursor.select(F.col("source").alias("_source"), F.col("last_token").cast(kind).alias("_token"))
+    joined = df.join(held, source.cast("string") == F.col("_source"), "left")
+    return joined.filter(F.col("_token").isNull() | (token > F.col("_token"))).select(*df.columns)
 
 
-def dedup(df: DataFrame, key: str, time: str, delay: str, spread: bool = False) -> DataFrame:
-    """Drop repeated keys that arrive within ``delay`` of each other.
+def capture(
+    snapshot: DataFrame, changes: DataFrame, tables: Sequence[str], path: str, checkpoint: str
+) -> None:
+    """The snapshot, then the change stream, as one committed log; each event once, the snapshot's copy first.
 
-    With ``spread``, copies are first dropped per input partition, so that a key with very many
-    copies reaches the second step as one row per partition; this keeps a second state store.
+    The snapshot is committed once, by itself, before the first change; changes it holds are left out, and so are
+    copies of a change, however far apart they come.
     """
+    read = included(snapshot.withColumn("op", F.lit("r")), tables)
+    first = Run(snapshot.sparkSession, f"{path}/snapshot", DIRECT)
+    first.commit({"rows": dedup_batch(read, ["id"], ["created_at", "payload"])}, 0)
+    held = first.rows("rows").select("id")
+    once = dedup_exact(included(changes, tables), "id")
+    add = lambda df, n, run: run.commit({"rows": reconcile.drop_seen(df, held, ["id"])}, n)
+    run_committed(once, path, checkpoint, add)
+
+
+def captured(spark: SparkSession, path: str) -> DataFrame:
+    """The log that ``capture`` wrote."""
+    snapshot = Run(spark, f"{path}/snapshot", DIRECT).rows("rows").drop("batch_id")
+    changes = committed(spark, path, "rows", snapshot.schema).drop("batch_id")
+    return snapshot.unionByName(changes.select(*snapshot.columns))
+
+
+def dedup_exact(stream: DataFrame, key: str) -> DataFrame:
+    """Each key's first copy, however late the others come; rows without a key all stay.
+
+    The state holds every key ever seen, so use the RocksDB state store on long streams: a batch then costs what it
+    brings, not what went before. Where copies are known to come close together, ``dedup`` forgets old keys.
+    """
+    return stream.filter(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(stream.filter(F.col(key).isNull()))
+
+
+def dedup(df: DataFrame, key: str | Sequence[str], time: str, delay: str) -> DataFrame:
+    """Drop repeated keys that arrive within ``delay`` of each other; rows without a key all stay.
+
+    A row later than ``delay`` may be a first copy. It is left out, and the run that writes the stream fails with
+    their number; ``split_late`` puts such rows aside first, ``dedup_exact`` has no such limit.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
     marked = df.withWatermark(time, delay)
-    if spread:
-        marked = marked.withColumn("_part", F.spark_partition_id())
-        marked = marked.dropDuplicatesWithinWatermark([key, "_part"]).drop("_part")
-    return marked.dropDuplicatesWithinWatermark([key])
+    missing = F.lit(False)
+    for name in keys:
+        missing = missing | F.col(name).isNull()
+    return marked.filter(~missing).dropDuplicatesWithinWatermark(keys).unionByName(marked.filter(missing))
+
+
+_NEWEST = T.StructType([T.StructField("newest", T.TimestampType())])
+
+
+def split_late(stream: DataFrame, time: str, delay: str, path: str, checkpoint: str) -> None:
+    """Commit each batch's rows as ``rows``, or as ``late`` where they are older than ``delay`` allows.
+
+    Late is a row older than the newest time of all earlier batches by more than ``delay``: what a watermark would
+    leave out. Nothing is lost: both outputs together are the input.
+    """
+
+    def on_batch(df: DataFrame, batch_id: int, run: Run) -> None:
+        saved = run.replaced("newest", _NEWEST, batch_id)
+        newest = saved.agg(F.max("newest").alias("_newest"))  # one row
+        marked = df.join(F.broadcast(newest)).withColumn(
+            "_late", F.coalesce(F.col(time) < F.col("_newest") - F.expr(f"INTERVAL {delay}"), F.lit(False))
+        )
+        now = saved.unionAll(df.agg(F.max(time).cast("timestamp"))).agg(F.max("newest").alias("newest"))
+        part = lambda which: marked.filter(which).drop("_late", "_newest")
+        run.commit({"rows": part(~F.col("_late")), "late": part(F.col("_late"))}, batch_id, {"newest": now})
+
+    run_committed(stream, path, checkpoint, on_batch)
 
 
 def windowed_spend(
@@ -122,42 +218,61 @@ def windowed_spend(
 def latest_windows(spark: SparkSession, path: str, keys: Sequence[str], output: str = "rows") -> DataFrame:
     """Current value of each window from an update-mode stream written by ``write_committed``."""
     rows = committed(spark, path, output)
-    return latest(rows, ["window_start", *keys], ["batch_id"]).drop("batch_id")
+    return first_per_key(rows, ["window_start", *keys], [F.desc("batch_id")]).drop("batch_id")
 
 
 def round_trip(
     published: DataFrame, consumed: DataFrame, key: str, bound_seconds: int, delay: str
 ) -> DataFrame:
-    """Match messages with their consumption within a bound; unmatched ones come out as timed out.
+    """Match messages with every consumption within a bound; unmatched ones come out as timed out.
 
-    A message id is sent once; repeats within ``delay`` are dropped on both sides before they meet,
-    so no message is paired with more than one consumption.
+    Exact copies within ``delay`` are dropped on both sides first. A message consumed several times comes out
+    several times, as a stream can't know whether an earlier consumption is still to come: ``earliest_trips`` keeps
+    the first one in time. A message without a key matches nothing.
     """
-    sent = dedup(published, key, "published_at", delay, spread=True).alias("sent")
-    seen = dedup(consumed.select(key, "consumed_at"), key, "consumed_at", delay, spread=True).alias("seen")
+    sent = dedup(published, [key, "published_at"], "published_at", delay)
+    seen = dedup(consumed.select(key, "consumed_at"), [key, "consumed_at"], "consumed_at", delay).alias("seen")
+    keyed = sent.filter(F.col(key).isNotNull()).alias("sent")
     limit = F.col("sent.published_at") + F.expr(f"INTERVAL {bound_seconds} SECONDS")
     match = (
         (F.col(f"sent.{key}") == F.col(f"seen.{key}"))
         & (F.col("seen.consumed_at") >= F.col("sent.published_at"))
         & (F.col("seen.consumed_at") <= limit)
     )
-    return sent.join(seen, match, "left_outer").select(
-        *(F.col(f"sent.{c}") for c in published.columns),
-        F.col("seen.consumed_at").alias("consumed_at"),
-        elapsed_millis(F.col("sent.published_at"), F.col("seen.consumed_at")).alias("latency_ms"),
-        F.col("seen.consumed_at").isNull().alias("timed_out"),
+    met = keyed.join(seen, match, "left_outer").select(
+        *(F.col(f"sent.{c}") for c in published.columns), F.col("seen.consumed_at").alias("consumed_at")
+    )
+    lone = published.filter(F.col(key).isNull())
+    met = met.unionByName(lone.withColumn("consumed_at", F.lit(None).cast("timestamp")))
+    return met.select(
+        "*",
+        elapsed_millis(F.col("published_at"), F.col("consumed_at")).alias("latency_ms"),
+        F.col("consumed_at").isNull().alias("timed_out"),
     )
 
 
+def earliest_trips(rows: DataFrame, key: str) -> DataFrame:
+    """One row per message of ``round_trip``, with its first consumption; rows without a key all stay."""
+    return dedup_batch(rows, [key, "published_at"], [F.asc_nulls_last("consumed_at")])
+
+
 def quarantine(df: DataFrame, schema: T.StructType, column: str = "payload") -> tuple[DataFrame, DataFrame]:
-    """Split rows into those whose JSON fits ``schema``, expanded, and those kept as they came."""
+    """Split rows into those whose JSON fits ``schema``, expanded, and those kept as they came.
+
+    ``judged`` gives both in one pass.
+    """
+    parsed = judged(df, schema, column)
+    rest = [c for c in df.columns if c != column]
+    good_rows = parsed.filter("NOT _bad").select(*rest, *(f"_body.{f.name}" for f in schema))
+    return good_rows, parsed.filter("_bad").select(*df.columns)
+
+
+def judged(df: DataFrame, schema: T.StructType, column: str = "payload") -> DataFrame:
+    """Rows with their JSON parsed as ``_body``, and ``_bad`` where it doesn't fit ``schema``."""
     with_fault = T.StructType([*schema.fields, T.StructField("_fault", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_fault"}
     parsed = df.withColumn("_body", F.from_json(column, with_fault, options))
-    bad = F.col("_body").isNull() | F.col("_body._fault").isNotNull()
-    rest = [c for c in df.columns if c != column]
-    good_rows = parsed.filter(~bad).select(*rest, *(f"_body.{f.name}" for f in schema))
-    return good_rows, parsed.filter(bad).select(*df.columns)
+    return parsed.withColumn("_bad", F.col("_body").isNull() | F.col("_body._fault").isNotNull())
 
 
 def parse_strictly(df: DataFrame, schema: T.StructType, column: str = "payload") -> DataFrame:
@@ -189,12 +304,14 @@ def sequence_audit(
     arrived before enters as one row per key and is committed together with the audited rows.
     """
 
-    def on_batch(df: DataFrame, batch_id: int) -> None:
+    def on_batch(df: DataFrame, batch_id: int, run: Run) -> None:
         events = df.withColumn(key, F.col(key).cast("string")).persist()
-        earlier = read_replaced(df.sparkSession, path, "arrivals", _ARRIVALS, before=batch_id)
-        audited = reconcile.sequence_audit(events, key, created, arrival, earlier, hot_rows)
-        total = reconcile.merge_summaries(earlier, reconcile.arrival_summary(events, key, created))
-        commit_unit({"rows": audited}, batch_id, path, replaced={"arrivals": total})
-        events.unpersist()
-
-    run_batches(stream, checkpoint, on_batch)
+        try:
+            earlier = run.replaced("arrivals", _ARRIVALS, batch_id)
+            audited = reconcile.sequence_audit(events, key, created, arrival, earlier, hot_rows)
+            total = reconcile.merge_summaries(earlier, reconcile.arrival_summary(events, key, created))
+            run.commit({"rows": audited}, batch_id, {"arrivals": total})
+        finally:
+            events.unpersist()
+
+    run_committed(stream, path, checkpoint, on_batch)

@@ -19,14 +19,14 @@ def skewed(spark):
 
 
 def test_global_row_number(skewed):
-    got = ordering.global_row_number(skewed, ["t", "id"], "n", chunks=7, copies=False).collect()
+    got = ordering.global_row_number(skewed, ["t", "id"], "n", chunks=7).collect()
     expected = sorted((r.t, r.id) for r in skewed.collect())
     assert [(r.t, r.id) for r in sorted(got, key=lambda r: r.n)] == expected
     assert sorted(r.n for r in got) == list(range(3000))
 
 
-def _numbers(df, hot_rows, block=ordering.COPY_BLOCK):
-    numbered = ordering.number_within(df, ["k"], ["t", "id"], "n", hot_rows, block)
+def _numbers(df, hot_rows):
+    numbered = ordering.number_within(df, ["k"], ["t", "id"], "n", hot_rows)
     return sorted(numbered.collect(), key=str)
 
 
@@ -36,29 +36,37 @@ def test_hot_keys_are_numbered_as_ordinary_ones(skewed):
     assert _numbers(skewed, 0) == usual
 
 
-@pytest.mark.parametrize("block", [7, 10**6])
-def test_copies_are_numbered_whole_and_spread_in_blocks(spark, skewed, block):
+def test_copies_are_numbered_and_spread_over_chunks(spark, skewed):
     copies = skewed.filter("id % 50 = 0").crossJoin(spark.range(40).select())
     hot = skewed.filter("k = 'hot'").limit(1).crossJoin(spark.range(900).select())
     rows = copies.unionByName(hot)
     usual = _numbers(rows, 10**9)
     assert len(usual) == 60 * 40 + 900
-    assert _numbers(rows, 500, block) == usual
-    got = ordering.global_row_number(rows, ["t", "id", "k"], "n", 5, True, block).collect()
+    assert _numbers(rows, 500) == usual
+    got = ordering.global_row_number(rows, ["t", "id", "k"], "n", 5).collect()
     assert sorted(r.n for r in got) == list(range(len(usual)))
     assert [(r.t, r.id) for r in sorted(got, key=lambda r: r.n)] == sorted((r.t, r.id) for r in usual)
+    one = spark.range(4000).select(F.lit(1).alias("id"))
+    sizes = ordering.chunked(one, ["id"], chunks=4).groupBy(ordering.CHUNK).count().collect()
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 2500
 
 
-def test_copies_reach_the_sort_as_one_row(spark, skewed):
-    rows = skewed.limit(3).crossJoin(spark.range(500).select())
-    cut = ordering.chunked(ordering.collapsed(rows), ["k", "t", "id"], 2)
-    assert sorted(r[ordering.COPIES] for r in cut.collect()) == [500, 500, 500]
+def test_hot_and_usual_path_agree_on_any_column(spark, skewed):
+    odd = skewed.withColumns({
+        "v": F.parse_json(F.concat(F.lit('{"a": '), F.col("id").cast("string"), F.lit("}"))),
+        "z": F.when(F.col("id") % 2 == 0, "-0.0").otherwise("0.0").cast("double"),
+    })
+    numbers = lambda hot: sorted(
+        ordering.number_within(odd, ["k"], ["t", "id"], "n", hot)
+        .select("id", "n", F.to_json("v").alias("v"), F.col("z").cast("string").alias("z")).collect()
+    )
+    assert numbers(500) == numbers(10**9) and {r.z for r in numbers(500)} == {"-0.0", "0.0"}
 
 
-def test_hot_keys_are_the_largest(skewed):
+def test_all_hot_keys_are_found(skewed):
     hot = skewed.select(F.xxhash64(F.lit("hot"))).first()[0]
-    assert ordering.hot_keys(skewed, ["k"], 900) == [hot]
-    assert len(ordering.hot_keys(skewed, ["k"], 0)) == 5
+    assert [r[0] for r in ordering.hot_keys(skewed, ["k"], 900).collect()] == [hot]
+    assert ordering.hot_keys(skewed, ["k"], 0).count() == 5
 
 
 def test_a_hot_key_spans_several_chunks(skewed):
@@ -74,16 +82,6 @@ def test_chunks_are_ordered_and_complete(skewed):
     assert len(rows) == 3000
 
 
-def test_file_position_splits_exact_copies(spark, tmp_path):
-    path = str(tmp_path / "copies")
-    spark.range(4000).select(F.lit(1).alias("id")).repartition(4).write.parquet(path)
-    copies = ordering.with_file_position(spark.read.parquet(path))
-    cut = ordering.chunked(copies, ["id", "_file", "_file_row"], chunks=4)
-    assert max(r["count"] for r in cut.groupBy(ordering.CHUNK).count().collect()) < 2500
-    numbered = ordering.global_row_number(copies, ["id", "_file", "_file_row"], "n", copies=False)
-    assert numbered.agg(F.count_distinct("n")).first()[0] == 4000
-
-
 def test_first_per_key_drops_copies_before_the_shuffle(skewed):
     first = ordering.first_per_key(skewed, ["k"], ["t", "id"])
     plan = first._jdf.queryExecution().toString()
@@ -96,8 +94,9 @@ def test_first_per_key_drops_copies_before_the_shuffle(skewed):
 
 
 def test_dedup_keeps_the_first_by_a_total_order(spark):
-    df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "z"), ("a", 1, "y"), ("b", 5, "q")], "id string, at int, v string")
-    assert sorted(tuple(r) for r in outbox.dedup(df, ["id"], ["at", "v"]).collect()) == [("a", 1, "y"), ("b", 5, "q")]
+    df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "z"), ("a", 1, "y"), ("b", 5, "q"), (None, 1, "m"), (None, 1, "m")], "id string, at int, v string")
+    got = [tuple(r) for r in outbox.dedup(df, ["id"], ["at", "v"]).collect()]
+    assert sorted(got, key=str) == [("a", 1, "y"), ("b", 5, "q"), (None, 1, "m"), (None, 1, "m")]
 
 
 def _trips(spark, seed):
@@ -111,7 +110,7 @@ def _trips(spark, seed):
     consumed = spark.createDataFrame(back, "id string, t long").select("id", F.timestamp_seconds("t").alias("consumed_at"))
     expected = {}
     for key, at, n in sent:
-        near = [t for k, t in back if k == key and at <= t <= at + 5]
+        near = [t for k, t in back if k == key and key is not None and at <= t <= at + 5]
         expected[n] = (min(near) - at) * 1000 if near else None
     return published, consumed, expected
 

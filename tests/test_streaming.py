@@ -1,3 +1,4 @@
+import json
 from datetime import datetime, timedelta
 from pathlib import Path
 
@@ -41,10 +42,9 @@ def test_ingest_resumes_and_replays(spark, landed, tmp_path):
     run = lambda ck: streams.ingest(
         stream(spark, landed), path, ck, c("event_type"), c("event_id"), c("ts").cast("timestamp")
     )
-    run(checkpoint)
-    assert commit.last_batch(spark, path) == 3
-    run(checkpoint)
-    assert commit.last_batch(spark, path) == 3
+    for _ in range(2):
+        run(checkpoint)
+        assert max(commit.newest_run(spark, path).attempts()) == 3
     events = adapters.table(spark, SF, "events")
     assert rows(commit.committed(spark, path, "rows"), "event_id") == rows(events, "event_id")
     cursor = rows(commit.read_cursor(spark, path), "source", "last_token")
@@ -55,37 +55,111 @@ def test_ingest_resumes_and_replays(spark, landed, tmp_path):
     assert rows(commit.read_cursor(spark, path), "source", "last_token") == rows(expected, "*")
 
 
+def test_a_replay_cut_differently_takes_the_place_of_the_first_run(spark, landed, tmp_path):
+    path, checkpoint = paths(tmp_path)
+    streams.write_committed(stream(spark, landed), path, checkpoint)
+    half = {"batches": 0}
+
+    def dies(df, batch_id, run):
+        half["batches"] += 1
+        if half["batches"] == 2:
+            raise RuntimeError("lost")
+        run.commit({"rows": df}, batch_id)
+
+    with pytest.raises(Exception, match="lost"):
+        streams.run_committed(stream(spark, landed, 2), path, f"{checkpoint}-2", dies)
+    assert commit.committed(spark, path, "rows").count() == 1000  # of the run that is finished
+    streams.write_committed(stream(spark, landed, 4), path, f"{checkpoint}-3")
+    rows = commit.committed(spark, path, "rows")
+    assert rows.count() == 1000 and rows.select("batch_id").distinct().count() == 1
+
+
 def test_a_crash_between_outputs_shows_nothing_of_the_batch(spark, landed, tmp_path):
     path, checkpoint = paths(tmp_path)
     crash = {"at": 2}
 
-    def on_batch(df, batch_id):
+    def on_batch(df, batch_id, run):
         state = df.select("user_id", "value")
         if batch_id == crash["at"]:
-            state.write.mode("overwrite").parquet(f"{path}/state/batch_id={batch_id}")
+            state.write.parquet(f"{path}/state/attempt={run.name}-{batch_id}-{'0' * 32}")
             raise RuntimeError("lost between the outputs")
-        commit.append(state, adapters.outbox_of(df), batch_id, path)
+        commit.append(state, adapters.outbox_of(df), batch_id, run)
 
     with pytest.raises(Exception, match="lost between the outputs"):
-        streams.run_batches(stream(spark, landed), checkpoint, on_batch)
+        streams.run_committed(stream(spark, landed), path, checkpoint, on_batch)
     assert spark.read.parquet(f"{path}/state").count() == 750
     assert commit.committed(spark, path, "state").count() == 500
     assert commit.committed(spark, path, "events").count() == 500
     crash["at"] = None
-    streams.run_batches(stream(spark, landed), checkpoint, on_batch)
+    streams.run_committed(stream(spark, landed), path, checkpoint, on_batch)
     events = commit.committed(spark, path, "events")
     assert (events.count(), events.select("id").distinct().count()) == (1000, 1000)
     assert commit.committed(spark, path, "state").count() == 1000
 
 
-@pytest.mark.parametrize("spread", [False, True])
-def test_stream_dedup_equals_batch(spark, landed, tmp_path, spread):
+def test_stream_dedup_equals_batch(spark, landed, tmp_path):
     path, checkpoint = paths(tmp_path)
     twice = adapters.outbox_of(stream(spark, landed)).withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(3)))).drop("_n")
-    streams.write_committed(streams.dedup(twice, "id", "created_at", "2 days", spread), path, checkpoint)
+    streams.write_committed(streams.dedup(twice, "id", "created_at", "2 days"), path, checkpoint)
     assert rows(commit.committed(spark, path, "rows"), "id") == rows(adapters.outbox_like(spark, SF), "id")
 
 
+@pytest.fixture(scope="module")
+def backwards(spark):
+    """The events in four files, the newest first."""
+    events = adapters.table(spark, SF, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    path = adapters.land(events, F.floor(F.col("event_id") / 250), 4, newest_first=True)
+    return lambda: adapters.stream_of(spark, path, events.schema)
+
+
+def test_exact_dedup_loses_no_first_copy(spark, backwards, tmp_path):
+    path, checkpoint = paths(tmp_path)
+    named = backwards().withColumn("event_id", F.when(F.col("event_id") % 10 > 0, F.col("event_id")))
+    streams.write_committed(streams.dedup_exact(named, "event_id"), path, checkpoint)
+    assert commit.committed(spark, path, "rows").count() == 1000  # a hundred of them without an id
+
+
+def test_late_rows_fail_a_run_or_are_put_aside(spark, backwards, tmp_path):
+    path, checkpoint = paths(tmp_path)
+    with pytest.raises(streams.LateRowsError, match=r"^\d+ rows came later"):
+        streams.write_committed(streams.dedup(backwards(), "event_id", "ts", "1 day"), path, checkpoint)
+    path, checkpoint = paths(tmp_path, "split")
+    streams.split_late(backwards(), "ts", "1 DAY", path, checkpoint)
+    parts = [rows(commit.committed(spark, path, name), "event_id") for name in ("rows", "late")]
+    assert sorted(parts[0] + parts[1], key=str) == rows(adapters.table(spark, SF, "events"), "event_id")
+    assert len(parts[1]) > 400
+
+
+def test_resume_goes_on_beyond_each_cursor(spark):
+    events = adapters.table(spark, SF, "events")
+    cursor = spark.createDataFrame([("view", "900", datetime(2025, 1, 1)), ("click", "99", datetime(2025, 1, 1))], schemas.CURSOR)
+    got = streams.beyond_cursor(events, F.col("event_type"), F.col("event_id"), cursor)
+    beyond = "(event_type = 'view' AND event_id > 900) OR (event_type = 'click' AND event_id > 99) OR event_type NOT IN ('view', 'click')"
+    assert rows(got, "event_id") == rows(events.filter(beyond), "event_id") and got.columns == events.columns
+
+
+def test_ingest_saves_the_highest_token_where_time_disagrees(spark, tmp_path):
+    path, checkpoint = paths(tmp_path)
+    feed = spark.createDataFrame([("s", 9, 30), ("s", 10, 10), ("s", 2, 40)], "source string, token long, t long")
+    landed = adapters.land(feed, (F.col("t") >= 40).cast("int"), 2, newest_first=True)
+    c = F.col
+    run = streams.ingest(adapters.stream_of(spark, landed, feed.schema), path, checkpoint, c("source"), c("token"), F.timestamp_seconds("t"))
+    assert run is None and [r.last_token for r in commit.read_cursor(spark, path).collect()] == ["10"]
+
+
+def test_each_key_is_delivered_in_order(spark, tmp_path):
+    conf = eventlog.LogConfig("files", str(tmp_path / "log"))
+    events = adapters.outbox_like(spark, SF).repartition(7)
+    eventlog.write_log(outbox.route(events, "x"), conf)
+    for file in Path(conf.path).glob("topic=*/part-*.json"):
+        seen = {}
+        for line in file.read_text().splitlines():
+            entry = json.loads(line)
+            at = (entry["timestamp"], next(h["value"] for h in entry["headers"] if h["key"] == "id"))
+            assert seen.get(entry["key"], at) <= at
+            seen[entry["key"]] = at
+
+
 @pytest.mark.parametrize("hot_rows", [10**9, 3])
 def test_stream_audit_equals_batch_across_batches(spark, landed, tmp_path, hot_rows):
     path, checkpoint = paths(tmp_path)
@@ -96,7 +170,7 @@ def test_stream_audit_equals_batch_across_batches(spark, landed, tmp_path, hot_r
     columns = ["id", "arrival_no", "out_of_order", "gap_ms"]
     got = rows(commit.committed(spark, path, "rows"), *columns)
     assert got == rows(batch, *columns)
-    assert any(r[2] for r in got) and commit.last_batch(spark, path) == 3
+    assert any(r[2] for r in got) and max(commit.newest_run(spark, path).attempts()) == 3
 
 
 def test_windows_in_update_mode_equal_batch(spark, landed, tmp_path):
@@ -163,7 +237,9 @@ def test_log_is_read_from_the_beginning_and_replayed_by_a_new_checkpoint(spark,
 def test_stream_round_trip_equals_batch(spark, tmp_path):
     start = datetime(2025, 11, 17)
     sent = [(f"m{i}", start + timedelta(seconds=7 * i)) for i in range(60)]
-    back = [(f"m{i}", start + timedelta(seconds=7 * i + i % 9)) for i in range(60) if i % 4]
+    sent += [(None, start), (None, start + timedelta(seconds=1))]
+    back = [(f"m{i}", start + timedelta(seconds=7 * i + k)) for i in range(60) if i % 4 for k in (i % 9 + 2, i % 9, i % 3 - 4)]
+    back += [(None, start + timedelta(seconds=1))]
     closing = ("closing", datetime(2100, 1, 1))
     sides = {}
     for name, data, column in (("sent", sent, "published_at"), ("back", back, "consumed_at")):
@@ -182,8 +258,11 @@ def test_stream_round_trip_equals_batch(spark, tmp_path):
         last = spark.createDataFrame([closing], sides[name].schema)
         last.write.mode("append").parquet(str(tmp_path / name))
     run()
-    got = commit.committed(spark, path, "rows").filter("id <> 'closing'")
-    batch = reconcile.round_trip(sides["sent"], sides["back"], ["id"], "5 SECONDS")
+    got = streams.earliest_trips(commit.committed(spark, path, "rows"), "id").filter("id IS DISTINCT FROM 'closing'")
+    # null messages are no copies of each other, so both copies of each stay
+    lone = sides["sent"].filter("id IS NULL")
+    keyed = sides["sent"].filter("id IS NOT NULL").unionByName(lone).unionByName(lone)
+    batch = reconcile.round_trip(keyed, sides["back"], ["id"], "5 SECONDS")
     columns = ["id", "published_at", "consumed_at", "latency_ms", "timed_out"]
     assert rows(got, *columns) == rows(batch, *columns)
 
