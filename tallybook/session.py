@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -44,3 +46,16 @@ def new_table_path(spark: SparkSession, label: str) -> str:
 def written_paths() -> list[str]:
     """Tables this process put into the shared folder, for its owner to clear once results are out."""
     return list(_WRITTEN)
+
+
+@contextmanager
+def owned_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end of the block, the tables that were written within it; read its results before."""
+    begun = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        for path in _WRITTEN[begun:]:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        del _WRITTEN[begun:]

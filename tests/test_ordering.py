@@ -52,10 +52,9 @@ def test_copies_are_numbered_and_spread_over_chunks(spark, skewed):
 
 
 def test_hot_and_usual_path_agree_on_any_column(spark, skewed):
-    odd = skewed.withColumns({
-        "v": F.parse_json(F.concat(F.lit('{"a": '), F.col("id").cast("string"), F.lit("}"))),
-        "z": F.when(F.col("id") % 2 == 0, "-0.0").otherwise("0.0").cast("double"),
-    })
+    signs = spark.createDataFrame([(i, -0.0 if i % 2 else 0.0) for i in range(3000)], "id int, z double")
+    value = F.parse_json(F.concat(F.lit('{"a": '), F.col("id").cast("string"), F.lit("}")))
+    odd = skewed.join(signs, "id").withColumn("v", value)
     numbers = lambda hot: sorted(
         ordering.number_within(odd, ["k"], ["t", "id"], "n", hot)
         .select("id", "n", F.to_json("v").alias("v"), F.col("z").cast("string").alias("z")).collect()
@@ -144,3 +143,16 @@ def test_shared_folder_is_the_named_one(spark):
     path = new_table_path(spark, "x")
     assert path.startswith(spark.conf.get("spark.checkpoint.dir") + "/x-")
     assert path in written_paths()
+
+
+def test_tables_are_cleared_by_their_owner(spark):
+    from pathlib import Path
+
+    from tallybook.session import owned_tables, written_paths
+
+    before = written_paths()
+    with owned_tables(spark):
+        cut = ordering.chunked(spark.range(10), ["id"], 2)
+        path = Path(written_paths()[-1])
+        assert cut.count() == 10 and path.exists()
+    assert not path.exists() and written_paths() == before
