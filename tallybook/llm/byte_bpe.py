@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from tallybook.llm.common import blocks
 
-BLOCK_BYTES = 8 << 20
-KNOWN_WORDS = 1_000_000
+BLOCK_BYTES = 2 << 20
+KNOWN_WORDS = 300_000
 _LOADED: dict[str, "Ranks"] = {}
 
 
@@ -49,7 +49,6 @@ class Ranks:
                 left, right = self.ranks.get(token[:k]), self.ranks.get(token[k:])
                 if left is not None and right is not None:
                     pairs[left << 32 | right] = rank
-        self.pairs = pairs
         self.keys = np.array(sorted(pairs), np.int64)
         self.values = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
 
@@ -61,14 +60,14 @@ class Ranks:
 
     def one_by_one(self, word: bytes) -> list[int]:
         """A word by itself: always the leftmost of the lowest pairs."""
-        ids = [int(self.bytes[b]) for b in word]
+        ids = self.bytes[np.frombuffer(word, np.uint8)]
         while len(ids) > 1:
-            ranked = [(self.pairs.get(a << 32 | b, 1 << 62), i) for i, (a, b) in enumerate(zip(ids, ids[1:]))]
-            rank, i = min(ranked)
-            if rank == 1 << 62:
+            ranked = self.of_pairs(ids[:-1], ids[1:])
+            if (ranked < 0).all():
                 break
-            ids[i : i + 2] = [rank]
-        return ids
+            i = int(np.where(ranked < 0, np.iinfo(np.int64).max, ranked).argmin())
+            ids = np.concatenate([ids[:i], ranked[i : i + 1], ids[i + 2 :]])
+        return ids.tolist()
 
     def replay(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words end to end, and the number of ids of each."""
@@ -190,26 +189,34 @@ def _binary(data: bytes, sizes: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
-def encode(documents: DataFrame, path: str, pattern: str) -> DataFrame:
+def _decoded(tokens: list[bytes], ids: bytes | None) -> bytes:
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+
+
+def encode(documents: DataFrame, path: str, pattern: str, decoded: bool = False) -> DataFrame:
     """``doc_id, ids``: the ids of the whole text, each as 4 bytes, little end first.
 
-    Reads ``doc_id, text`` only; null and empty texts have no ids, doc_id may be null, repeated rows are encoded
-    each. The path must lead to the same rank file on every executor.
+    With ``decoded`` there is also ``bytes``, what those ids stand for, by the same task. Reads ``doc_id, text``
+    only; null and empty texts have no ids, doc_id may be null, repeated rows are encoded each. The path must lead
+    to the same rank file on every executor.
     """
 
     def run(batches):
-        compiled, words = word_pattern(pattern), Words(load_ranks(path))
+        ranks = load_ranks(path)
+        compiled, words = word_pattern(pattern), Words(ranks)
         for batch in batches:
             for block in blocks(batch.column(1), BLOCK_BYTES):
                 here = batch.slice(block.first, block.last - block.first)
                 texts = [x or "" for x in here.column(1).to_pylist()]
                 ids, counts = words.encode(texts, compiled)
-                yield pa.RecordBatch.from_arrays(
-                    [here.column(0), _binary(ids.tobytes(), counts * 4)], ["doc_id", "ids"]
-                )
+                columns = {"doc_id": here.column(0), "ids": _binary(ids.tobytes(), counts * 4)}
+                if decoded:
+                    back = [_decoded(ranks.tokens, x) for x in columns["ids"].to_pylist()]
+                    columns["bytes"] = pa.array(back, pa.binary())
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids binary")
+    return rows.mapInArrow(run, "doc_id long, ids binary" + ", bytes binary" * decoded)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -220,14 +227,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 here = batch.slice(k, 512)
-                texts = [
-                    b"".join(map(tokens.__getitem__, np.frombuffer(x or b"", "<u4").tolist()))
-                    for x in here.column(1).to_pylist()
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [here.column(0), here.column(1), pa.array(texts, pa.binary())], ["doc_id", "ids", "bytes"]
-                )
+                texts = pa.array([_decoded(tokens, x) for x in here.column(1).to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([here.column(0), here.column(1), texts], ["doc_id", "ids", "bytes"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, bytes binary")
-
-

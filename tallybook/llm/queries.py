@@ -71,8 +71,8 @@ def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_digests(documents: DataFrame) -> DataFrame:
     path = _vocabulary("byte_bpe_50k.tiktoken")
-    decoded = byte_bpe.decode(byte_bpe.encode(documents, path, _word_pattern()), path)
-    return decoded.select(
+    encoded = byte_bpe.encode(documents, path, _word_pattern(), decoded=True)
+    return encoded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -50,6 +50,8 @@ def test_byte_bpe_equals_the_library(spark, tiktoken_encoding):
     rows = [*cases.documents(), *enumerate(ODD, 500)]
     encoded = byte_bpe.encode(cases.frame(spark, rows), RANKS, public_tokenizers.PATTERN)
     found = byte_bpe.decode(encoded, RANKS).collect()
+    at_once = byte_bpe.encode(cases.frame(spark, rows), RANKS, public_tokenizers.PATTERN, decoded=True).collect()
+    assert sorted(map(str, map(tuple, at_once))) == sorted(map(str, map(tuple, found)))
     wanted = [(i, np.array(tiktoken_encoding.encode_ordinary(t or ""), "<u4").tobytes(), (t or "").encode()) for i, t in rows]
     assert sorted(str((r[0], bytes(r[1]), bytes(r[2]))) for r in found) == sorted(map(str, wanted))
 
