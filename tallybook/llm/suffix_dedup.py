@@ -107,36 +107,35 @@ def _anchored(rows: DataFrame, length: int) -> DataFrame:
                 equal = same & (doc == doc[head]) & (lo == lo[head])
             else:
                 equal = same
+            # what is told already needs no gathering: each such row gets a key of its own
+            alone = mixed(mixed(doc.view(U64)) + lo.astype(U64))
+            told = same & ~equal
+            columns = {
+                "key": np.where(told, alone, anchor).view(np.int64), "context": context.view(np.int64), "doc": doc,
+                "tie": ties[row], "place": lo * (length + 1) + (hi - lo), "repeated": told,
+            }
             for k in range(0, len(row), 100_000):
-                cut = slice(k, k + 100_000)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(anchor[cut].view(np.int64)), pa.array(context[cut].view(np.int64)), pa.array(doc[cut]),
-                        pa.array(ties[row[cut]]), pa.array(lo[cut]), pa.array(hi[cut]), pa.array((same & ~equal)[cut]),
-                    ],
-                    ["anchor", "context", "doc", "tie", "lo", "hi", "repeated"],
-                )
+                cut = {name: pa.array(x[k : k + 100_000]) for name, x in columns.items()}
+                yield pa.RecordBatch.from_arrays(list(cut.values()), list(cut))
 
-    return rows.mapInArrow(run, f"anchor long, context long, {_PLACES}, repeated boolean")
+    return rows.mapInArrow(run, "key long, context long, doc long, tie long, place long, repeated boolean")
 
 
-def _sorted_out(anchored: DataFrame) -> DataFrame:
+def _sorted_out(anchored: DataFrame, length: int) -> DataFrame:
     """Contexts that are repeated as a whole, and those whose anchor has other contexts too (``repeated`` is false)."""
-    # what a task has told already needs no gathering
-    key = F.when(F.col("repeated"), F.xxhash64("doc", "lo")).otherwise(F.col("anchor"))
-    rows = anchored.withColumn("key", key)
     by_key = Window.partitionBy("key")
     by_context = Window.partitionBy("key", "context")
-    seen = rows.select(
-        "anchor", "context", "doc", "tie", "lo", "hi", "repeated",
-        F.min(F.struct("doc", "lo")).over(by_context).alias("first"),
+    seen = anchored.select(
+        "*",
+        F.min(F.struct("doc", "place")).over(by_context).alias("first"),
         (F.min("context").over(by_key) != F.max("context").over(by_key)).alias("several"),
-    )
-    later = F.struct("doc", "lo") != F.col("first")
-    told = F.col("repeated") | later
+    )
+    later = F.struct("doc", "place") != F.col("first")
+    lo = F.expr(f"place div {length + 1}")
     return seen.select(
-        "anchor", "context", "doc", "tie", "lo", "hi", told.alias("repeated"), "several"
-    ).where("repeated OR several")
+        F.col("key").alias("anchor"), "context", "doc", "tie", lo.alias("lo"),
+        (lo + F.col("place") % (length + 1)).alias("hi"), (F.col("repeated") | later).alias("repeated"), "several",
+    ).where("repeated OR several")
 
 
 # --- one shard
@@ -150,7 +149,7 @@ def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """
     n = len(data)
     first = _packed(data)
-    order = np.argsort(first, kind="stable")
+    order = np.argsort(first)
     new = np.append(True, first[order][1:] != first[order][:-1]) if n else np.zeros(0, bool)
     head = np.maximum.accumulate(np.where(new, np.arange(n), 0)) if n else order
     rank = np.empty(n + 1, np.int64)
@@ -164,7 +163,7 @@ def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         places = order[unsorted]
         follow = rank[np.minimum(places + sorted_to, n)]
         # within a group by what follows; groups stay where they are
-        sub = np.lexsort((follow, head[unsorted]))
+        sub = np.argsort(head[unsorted] * (n + 1) + follow + 1)
         places, follow, group = places[sub], follow[sub], head[unsorted]
         order[unsorted] = places
         split = np.append(True, (follow[1:] != follow[:-1]) | (group[1:] != group[:-1]))
@@ -175,7 +174,7 @@ def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, rank[:n]
 
 
-def common_prefixes(data: np.ndarray, order: np.ndarray, rank_of: np.ndarray, cap: int, lane: int = 256) -> np.ndarray:
+def common_prefixes(data: np.ndarray, order: np.ndarray, rank_of: np.ndarray, cap: int, lane: int = 64) -> np.ndarray:
     """Bytes, up to ``cap``, that each sorted suffix shares with the one ahead of it.
 
     Kasai: in the order of the text the value drops by one at most from place to place, so it is only ever extended.
@@ -236,10 +235,13 @@ class Shard:
         self.number = np.cumsum(new) - 1
         self.head = place[self.window[np.flatnonzero(new)]]  # a place that shows each class's bytes
         classes = int(self.number[-1]) + 1 if len(self.number) else 0
-        by_first = np.lexsort((self.lo[self.window], self.doc[self.window], self.number))
-        lead = np.searchsorted(self.number[by_first], np.arange(classes))
-        self.first_doc = self.doc[self.window][by_first][lead]
-        self.first_lo = self.lo[self.window][by_first][lead]
+        first = np.flatnonzero(new)
+        self.first_doc, self.first_lo = self.doc[self.window[first]], self.lo[self.window[first]]
+        again = np.flatnonzero(np.bincount(self.number, minlength=classes)[self.number] > 1)
+        number, window = self.number[again], self.window[again]
+        by_first = np.lexsort((self.lo[window], self.doc[window], number))
+        lead = by_first[np.append(True, number[1:] != number[:-1])] if len(number) else by_first
+        self.first_doc[number[lead]], self.first_lo[number[lead]] = self.doc[window[lead]], self.lo[window[lead]]
         self.length = length
 
     def later(self, doc: np.ndarray, lo: np.ndarray) -> np.ndarray:
@@ -348,7 +350,7 @@ def _sharded(edges: DataFrame, shard_contexts: int) -> DataFrame:
 
 def repeated_windows(rows: DataFrame, length: int = LENGTH, shard_contexts: int = SHARD_CONTEXTS) -> DataFrame:
     """``doc, tie, lo, hi``: first and last start of windows that occur earlier, in ``doc, tie, text``."""
-    told = written(_sorted_out(_anchored(rows, length)), "contexts")
+    told = written(_sorted_out(_anchored(rows, length), length), "contexts")
     whole = told.where("repeated").select("doc", "tie", "lo", "hi")
     edges = told.where("NOT repeated").select("anchor", "context", "doc", "tie", "lo", "hi")
     dealt = _sharded(edges, shard_contexts)
