@@ -80,7 +80,8 @@ def runs(inside: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     after = np.empty(n, bool)
     after[-1], after[:-1] = False, inside[1:]
     ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
-    return starts, ends, np.searchsorted(at, starts, "right") - 1
+    number = np.cumsum(np.bincount(at[:-1], minlength=n + 1)) - 1  # of the text that each byte belongs to
+    return starts, ends, number[starts]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -126,15 +127,26 @@ def window_hashes(values: np.ndarray, width: int) -> np.ndarray:
     return mixed(out)
 
 
+_OWNER_BITS = 20
+
+
 def token_sets(tokens: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct tokens of each owner, ascending in the owner, then in the token."""
-    order = np.lexsort((tokens, owner))
+    if not len(tokens):
+        return tokens, owner
+    order = None
+    if owner.max() < 1 << _OWNER_BITS:  # one key, sorted several times faster than two
+        key = owner.astype(U64) << U64(64 - _OWNER_BITS) | tokens >> U64(_OWNER_BITS)
+        order = np.argsort(key)
+        key, sorted_tokens = key[order], tokens[order]
+        if ((key[1:] == key[:-1]) & (sorted_tokens[1:] != sorted_tokens[:-1])).any():
+            order = None  # the key's bits don't tell all tokens apart
+    if order is None:
+        order = np.lexsort((tokens, owner))
     tokens, owner = tokens[order], owner[order]
-    if len(tokens):
-        new = np.ones(len(tokens), bool)
-        new[1:] = (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])
-        tokens, owner = tokens[new], owner[new]
-    return tokens, owner
+    new = np.ones(len(tokens), bool)
+    new[1:] = (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])
+    return tokens[new], owner[new]
 
 
 def shingles(data: np.ndarray, at: np.ndarray, width: int, whole: bool) -> tuple[np.ndarray, np.ndarray]:

@@ -81,14 +81,16 @@ def without_repeated_lines(documents: DataFrame, width: int = WIDTH, percent: in
 
     def cut(batches):
         for batch in batches:
-            texts, lost = batch.column(place).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
-            for i, parts in enumerate(lost):
-                if parts:
-                    away = set(parts)
-                    texts[i] = "\n".join(x for k, x in enumerate(texts[i].split("\n")) if k not in away)
-            columns = [*batch.columns[:-1]]
-            columns[place] = pa.array(texts, batch.schema.field(place).type)
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
+            for k in range(0, batch.num_rows, 512):
+                here = batch.slice(k, 512)
+                texts, lost = here.column(place).to_pylist(), here.column(here.num_columns - 1).to_pylist()
+                for i, parts in enumerate(lost):
+                    if parts:
+                        away = set(parts)
+                        texts[i] = "\n".join(x for n, x in enumerate(texts[i].split("\n")) if n not in away)
+                columns = [*here.columns[:-1]]
+                columns[place] = pa.array(texts, here.schema.field(place).type)
+                yield pa.RecordBatch.from_arrays(columns, here.schema.names[:-1])
 
     kept = T.StructType([T.StructField(f"c{k}", x.dataType) for k, x in enumerate(documents.schema)])
     return joined.mapInArrow(cut, kept).toDF(*documents.columns)

@@ -27,6 +27,10 @@ from tallybook.llm.common import U64, list_array, mixed, written
 
 #: Tokens of a block; a pair of blocks is held by one task.
 BLOCK_TOKENS = 400_000
+#: Tokens, on average, of the small families that are one group of work together.
+PACK_TOKENS = 50_000
+#: Edges of a file of the tables that ``components`` writes.
+EDGES_PER_FILE = 500_000
 #: Part of a set by which the screen's prefix is longer than the plain one.
 SCREEN_EXTRA = 1 / 12
 
@@ -80,10 +84,9 @@ def screened(rows: DataFrame, sets: Sets, percent: int) -> DataFrame:
     def run(batches):
         random = np.random.default_rng()
         for batch in batches:
-            parts = list(sets(batch))
             held_tokens, held_sets = [], []
             seen: set[int] = set()
-            for row, _, owner, tokens in parts:
+            for row, _, owner, tokens in sets(batch):
                 n, first = _counted(owner, len(row))
                 ids = set_ids(tokens, first, n)
                 fresh = np.array([i not in seen and not seen.add(i) for i in ids.tolist()], bool)
@@ -91,7 +94,6 @@ def screened(rows: DataFrame, sets: Sets, percent: int) -> DataFrame:
                 inside = np.arange(len(tokens)) - first[owner] < length[owner]
                 held_tokens.append(tokens[inside])
                 held_sets.append(ids[owner[inside]])
-            del parts
             tokens = np.concatenate(held_tokens) if held_tokens else np.zeros(0, U64)
             if not len(tokens):
                 continue
@@ -107,35 +109,24 @@ def screened(rows: DataFrame, sets: Sets, percent: int) -> DataFrame:
             asks = ~several
             answered, matches = np.unique(owner[several], return_counts=True)
             tag = int(random.integers(1, 1 << 31))
+            # an answered row has a place of its own, so that no task gathers them
+            alone = mixed(answered.view(U64) ^ U64(tag)).view(np.int64)
             out = [
-                (tokens[witness], owner[witness], np.zeros(int(witness.sum()), np.int64), 0),
-                (tokens[asks], owner[asks], np.full(int(asks.sum()), tag), 0),
-                (None, answered, np.full(len(answered), tag), matches),
+                (tokens[witness], owner[witness], np.zeros(int(witness.sum()), np.int64), np.zeros(1, np.int64)),
+                (tokens[asks], owner[asks], np.full(int(asks.sum()), tag), np.zeros(1, np.int64)),
+                (alone, answered, np.full(len(answered), tag), matches),
             ]
-            for token, own, tags, matched in out:
+            for place, own, tags, matched in out:
+                matched = np.broadcast_to(matched, len(own)) if len(matched) == 1 else matched
                 for k in range(0, len(own), 100_000):
-                    cut = slice(k, k + 100_000)
-                    size = len(own[cut])
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.nulls(size, pa.int64()) if token is None else pa.array(token[cut]),
-                            pa.array(own[cut]),
-                            pa.array(tags[cut]),
-                            pa.array(np.broadcast_to(matched, len(own))[cut].astype(np.int64)),
-                        ],
-                        ["token", "set_id", "tag", "matches"],
-                    )
-
-    sent = rows.mapInArrow(run, "token long, set_id long, tag long, matches long")
-    # an answered row has no token: it gets one of its own, so that no task gathers them
-    place = F.coalesce("token", F.xxhash64("set_id", "tag"))
+                    columns = [pa.array(x[k : k + 100_000]) for x in (place, own, tags, matched)]
+                    yield pa.RecordBatch.from_arrays(columns, ["place", "set_id", "tag", "matches"])
+
+    sent = rows.mapInArrow(run, "place long, set_id long, tag long, matches long")
     by_token = Window.partitionBy("place")
-    told = sent.withColumn("place", place).select(
-        "set_id",
-        "tag",
-        F.when(F.col("token").isNull(), F.col("matches"))
-        .otherwise((F.min("set_id").over(by_token) != F.max("set_id").over(by_token)).cast("long"))
-        .alias("matches"),
+    elsewhere = (F.min("set_id").over(by_token) != F.max("set_id").over(by_token)).cast("long")
+    told = sent.select(
+        "set_id", "tag", F.when(F.col("matches") > 0, F.col("matches")).otherwise(elsewhere).alias("matches")
     )
     return told.where("tag > 0 AND matches > 0").groupBy("set_id", "tag").agg(F.sum("matches").alias("matches"))
 
@@ -157,7 +148,8 @@ def survivors(item_rows: DataFrame, matches: DataFrame, percent: int) -> DataFra
 
 def token_table(rows: DataFrame, sets: Sets, left: DataFrame) -> DataFrame:
     """``set_id, tokens`` of the sets left, taken again from the rows that hold them first."""
-    wanted = left.select(F.col("doc_id").alias("at")).distinct()
+    # by shuffle at any size: the ids grow with the corpus
+    wanted = left.select(F.col("doc_id").alias("at")).distinct().hint("merge")
     here = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["at"]), "left_semi")
 
     def run(batches):
@@ -235,8 +227,7 @@ def ordered(tokens: DataFrame, left: DataFrame, percent: int, adaptive: bool) ->
 def components(edges: DataFrame, label: str) -> DataFrame:
     """``node, root``: the smallest node that each node of ``a, b`` is connected with.
 
-    Rounds of a large and a small star; each round is a written table, and only its size and checksum reach the
-    driver.
+    Rounds of a large and a small star; each round is a written table, and only two counts reach the driver.
     """
     sides = lambda e: e.union(e.select(F.col("b"), F.col("a")))
 
@@ -252,14 +243,18 @@ def components(edges: DataFrame, label: str) -> DataFrame:
             out = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).union(least.select("u", "m"))
         return out.where("a != b").distinct()
 
-    state = None
-    current = written(edges.select("a", "b").where("a != b").distinct(), label)
+    ordered = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    current = written(ordered.where("a != b").distinct(), label)
     while True:
-        current = written(star(star(current, True), False), label)
-        now = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
+        ends = current.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(
+            current.select("b", F.lit(0), F.lit(1))
+        )
+        nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        told = nodes.agg(F.sum("up").alias("edges"), F.count_if(F.expr("up > 1 OR (up = 1 AND down = 1)")).alias("open")).first()
+        if not told["open"]:  # every node hangs on one root, and no root hangs on another
             break
-        state = now
+        parts = told["edges"] // EDGES_PER_FILE + 1
+        current = written(star(star(current, True), False).coalesce(parts), label)
     return current.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         current.select("b", "b").distinct()
     )
@@ -346,8 +341,14 @@ def links(sets: DataFrame, percent: int, label: str) -> DataFrame:
     blocks = placed.groupBy("root").agg(F.max("block").alias("last"))
     placed = placed.join(blocks, "root").select("set_id", "block", "last")
     held = held.join(placed, "set_id").withColumn("with", F.explode(F.expr("sequence(0L, last)")))
+    # families of one block share a group with others, so that groups are not too small
+    total = sets.agg(F.sum(F.size("tokens"))).first()[0] or 0
+    packs = total // PACK_TOKENS + 1
+    pack = F.when(F.col("last") > 0, F.concat(F.lit("r"), F.col("root"))).otherwise(
+        F.concat(F.lit("p"), F.pmod(F.xxhash64("root"), F.lit(packs)))
+    )
     held = held.select(
-        "root", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block",
+        pack.alias("pack"), F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block",
         "set_id", "n", "copies", "doc_id", "part", "tokens", "asks", "prefix",
     )
 
@@ -394,7 +395,7 @@ def links(sets: DataFrame, percent: int, label: str) -> DataFrame:
         )
 
     schema = "set_id long, n_links long, doc_id long, part long, others array<long>"
-    return held.groupBy("root", "low", "high").applyInArrow(work, schema)
+    return held.groupBy("pack", "low", "high").applyInArrow(work, schema)
 
 
 def similar(rows: DataFrame, sets: Sets, percent: int, adaptive: bool, label: str) -> tuple[DataFrame, DataFrame]:
