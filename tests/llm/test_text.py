@@ -155,7 +155,7 @@ def page(k, more="", body=None):
 
 
 def test_pages(spark):
-    rows = [(k, "http://a.example/x" if k % 2 else "https://A.example:80/y", page(k, "<p>Read all our news</p>" * (k % 3))) for k in range(12)]
+    rows = [(k, "http://a.example/x" if k % 2 else "https://A.example:80/y", page(k, "<h4>Read all our news</h4>" * (k % 3))) for k in range(12)]
     rows += [(50, "http://b.example", page(50)), (51, None, page(51)), (52, "http://[odd", "plain words"), (53, "http://b.example", None)]
     rows += [(54, "http://c.example", "<div><ul><li><a>m</a></ul></div><div class=c1><p>one<p>two</div>"), (55, "", "<p>cut <b"), (50, "http://b.example", page(50))]
     table = spark.createDataFrame([(*r, "r", "h") for r in rows], "page_id long, url string, html string, rule string, host string")
