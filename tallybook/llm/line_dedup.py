@@ -75,7 +75,7 @@ def without_repeated_lines(documents: DataFrame, width: int = WIDTH, percent: in
     gone = repeated_lines(documents, width, percent).groupBy("doc_id", "checksum").agg(F.collect_set("line").alias("gone"))
     checksum = F.crc32(documents["text"].cast("string").cast("binary"))
     key = documents["doc_id"].cast("long").eqNullSafe(gone["doc_id"]) & (checksum == gone["checksum"])
-    joined = documents.join(gone, key, "left").select(*[documents[c] for c in documents.columns], gone["gone"])
+    joined = documents.join(gone.hint("shuffle_hash"), key, "left").select(*[documents[c] for c in documents.columns], gone["gone"])
     joined = joined.toDF(*[f"c{k}" for k in range(len(documents.columns))], "gone")  # names may clash
     place = documents.columns.index("text")
 

@@ -148,8 +148,8 @@ def survivors(item_rows: DataFrame, matches: DataFrame, percent: int) -> DataFra
 
 def token_table(rows: DataFrame, sets: Sets, left: DataFrame) -> DataFrame:
     """``set_id, tokens`` of the sets left, taken again from the rows that hold them first."""
-    # by shuffle at any size: the ids grow with the corpus
-    wanted = left.select(F.col("doc_id").alias("at")).distinct().hint("merge")
+    # by shuffle at any size, as the ids grow with the corpus; hashed, so that no text is sorted
+    wanted = left.select(F.col("doc_id").alias("at")).distinct().hint("shuffle_hash")
     here = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["at"]), "left_semi")
 
     def run(batches):
