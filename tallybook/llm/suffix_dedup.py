@@ -132,10 +132,15 @@ def _sorted_out(anchored: DataFrame, length: int) -> DataFrame:
     )
     later = F.struct("doc", "place") != F.col("first")
     lo = F.expr(f"place div {length + 1}")
-    return seen.select(
-        F.col("key").alias("anchor"), "context", "doc", "tie", lo.alias("lo"),
-        (lo + F.col("place") % (length + 1)).alias("hi"), (F.col("repeated") | later).alias("repeated"), "several",
+    found = seen.select(
+        "key", "context", "doc", "tie", lo.alias("lo"), (lo + F.col("place") % (length + 1)).alias("hi"),
+        (F.col("repeated") | later).alias("repeated"), "several",
     ).where("repeated OR several")
+    # a context that is repeated as a whole is not compared, so its hashes need not be written
+    still = lambda name: F.when(~F.col("repeated"), F.col(name))
+    return found.select(
+        still("key").alias("anchor"), still("context").alias("context"), "doc", "tie", "lo", "hi", "repeated"
+    )
 
 
 # --- one shard
