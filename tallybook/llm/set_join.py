@@ -19,6 +19,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -78,11 +80,23 @@ def _screen_length(n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]
     return np.minimum(n, n - needed(n, percent) + extra(n)), np.minimum(extra(n), extra(np.maximum(partner, 1)))
 
 
+def _tag(partition: np.uint64, doc_ids: pa.Array, sets: np.ndarray) -> int:
+    """A number from 1 to 2^31 - 1 by the partition, the ids of a batch's rows and the sets in them, in order."""
+    ids = pc.fill_null(doc_ids, -1).to_numpy(zero_copy_only=False)
+    told = np.concatenate([[partition, U64(len(ids))], ids.astype(np.int64).view(U64), sets.view(U64)]).astype(U64)
+    place = np.arange(1, len(told) + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)
+    return int(mixed(mixed(told + place).sum(keepdims=True))[0] % U64((1 << 31) - 1)) + 1
+
+
 def screened(rows: DataFrame, sets: Sets, percent: int) -> DataFrame:
-    """``set_id`` of the sets that can have a partner: a superset, but a small one."""
+    """``set_id, tag, matches``, the matches that a batch gives a set; the sets left by them are a small superset.
+
+    A batch's tag is a hash of its partition and its rows, so a task that runs again over the same rows, as those of
+    files are, sends the same rows again: its matches stay together whichever of its runs a later task has read.
+    """
 
     def run(batches):
-        random = np.random.default_rng()
+        partition = U64(TaskContext.get().partitionId())
         for batch in batches:
             held_tokens, held_sets = [], []
             seen: set[int] = set()
@@ -108,7 +122,7 @@ def screened(rows: DataFrame, sets: Sets, percent: int) -> DataFrame:
             witness = several & (start | second)
             asks = ~several
             answered, matches = np.unique(owner[several], return_counts=True)
-            tag = int(random.integers(1, 1 << 31))
+            tag = _tag(partition, batch.column(0), owner)
             # an answered row has a place of its own, so that no task gathers them
             alone = mixed(answered.view(U64) ^ U64(tag)).view(np.int64)
             out = [

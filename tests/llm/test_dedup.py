@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallybook.llm import line_dedup, ngram_join, set_join, suffix_dedup
@@ -99,3 +100,20 @@ def test_multi_match_level_lengthens_costly_prefixes():
     assert set_join._matches_asked(100, 10, np.full(90, 2), 75)[0] <= level
 
 
+
+
+def test_screen_sends_the_same_rows_again(spark):
+    """As a task does that is run again: matches under other tags would be told apart from those sent before."""
+    rows = cases.frame(spark).select("doc_id", "text").coalesce(1)
+    for sets in (ngram_join.document_sets(), line_dedup.line_sets()):
+        once, again = (sorted(map(tuple, set_join.screened(rows, sets, 75).collect())) for _ in range(2))
+        assert once == again and once and all(0 < tag < 1 << 31 for _, tag, _ in once)
+
+
+def test_a_batch_has_its_own_tag():
+    ids, sets = pa.array([1, None, 3]), np.array([5, -6], np.int64)
+    tags = [
+        set_join._tag(np.uint64(0), ids, sets), set_join._tag(np.uint64(1), ids, sets),
+        set_join._tag(np.uint64(0), pa.array([1, None, 4]), sets), set_join._tag(np.uint64(0), ids, sets[::-1]),
+    ]
+    assert len(set(tags)) == 4 and tags[0] == set_join._tag(np.uint64(0), ids, sets.copy())
