@@ -20,6 +20,8 @@ SEPARATORS = b"|>/\\"
 ENDS = b".!?:;\"')]"
 #: A line without an end mark passes from this many words.
 UNENDED_WORDS = 8
+#: A line of more words fails by boilerplate only if a tenth of its words are such phrases.
+SHORT_WORDS = 20
 BOILERPLATE = (
     "licensed under", "released under", "all rights reserved", "copyright ", "terms of use", "terms of service",
     "privacy policy", "cookie policy", "uses cookies", "javascript", "click here", "sign in", "log in", "subscribe",
@@ -46,8 +48,31 @@ def _sums(mark: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return total[ends] - total[starts]
 
 
+def _phrase_words(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Words of each line that belong to boilerplate phrases; a phrase starts and ends where a word does."""
+    held = np.zeros(len(first), np.int64)
+    folded = LOWER[data].tobytes()
+    for phrase in BOILERPLATE:
+        sought = phrase.encode()
+        k = folded.find(sought)
+        while k >= 0:
+            line, end = int(np.searchsorted(first, k, "right")) - 1, k + len(sought)
+            if line >= 0 and end <= last[line]:
+                before = folded[max(first[line], k - 4) : k].decode(errors="ignore")[-1:]
+                after = folded[end : min(last[line], end + 4)].decode(errors="ignore")[:1]
+                if not before.isalnum() and (phrase[-1] == " " or not after.isalnum()):
+                    held[line] += len(phrase.split())
+            k = folded.find(sought, k + 1)
+    return held
+
+
 def measure(block: Block) -> dict[str, np.ndarray]:
     """The base counts and the verdict of each text of a block."""
+    return _measured(block)[0]
+
+
+def _measured(block: Block) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """What ``measure`` gives, and of each failing line the number of its text and its first byte."""
     data, at = block.data, block.at
     n = len(at) - 1
     ink = ~WHITE[data]
@@ -92,19 +117,12 @@ def measure(block: Block) -> dict[str, np.ndarray]:
         | (3 * per_line(shout) > words)
         | (~_END[final] & (words < UNENDED_WORDS))
     )
-    folded = LOWER[data].tobytes()
-    for phrase in BOILERPLATE:
-        sought = phrase.encode()
-        k = folded.find(sought)
-        while k >= 0:
-            line = int(np.searchsorted(first, k, "right")) - 1
-            if line >= 0 and k + len(sought) <= last[line]:
-                failed[line] = True
-            k = folded.find(sought, k + 1)
+    phrases = _phrase_words(data, first, last)
+    failed |= (phrases > 0) & ((words <= SHORT_WORDS) | (10 * phrases >= words))
     n_repeat = per_text(owner[repeated])
     base_failed = (n_words < MIN_WORDS) | (100 * n_repeat > 50 * n_words)
     left = per_text(text, np.where(failed, 0, words))
-    return {
+    found = {
         "n_words": n_words,
         "word_chars": _sums(lead & ink, at[:-1], at[1:]),
         "n_symbols": _sums(_SYMBOL[data], at[:-1], at[1:]),
@@ -115,6 +133,7 @@ def measure(block: Block) -> dict[str, np.ndarray]:
         "n_words_left": left,
         "n_lines_removed": per_text(text[failed]),
     }
+    return found, text[failed], first[failed]
 
 
 COLUMNS = (

@@ -121,6 +121,21 @@ def test_quality(spark):
     assert quality.assess(cases.frame(spark, []).limit(0)).count() == 0
 
 
+def test_boilerplate_phrases_have_word_edges_and_a_share(spark):
+    prose = cases.prose(70, 60) + " {} " + cases.prose(71, 60) + "."
+    lines = cases.prose(72, 80) + ".\n{}"
+    clean = [prose.format(f"in her {p.strip()} in May") for p in quality.BOILERPLATE]
+    inner = ["The blog in her catalog in May.", "A design in blue.", "Subscribers came.", "Typescript and JavaScripts."]
+    edged = ["\u201cLog in\u201d here.", "Please sign in.", "Copyright \u00a9 us.", "(All Rights Reserved.)", "caf\u00e9 log in."]
+    glued = ["It \u00e9log in may.", "It is log in\u00e9dit."]
+    long = " ".join(["Terms of use and privacy policy as told."] * 6)
+    rows = [*enumerate(clean), *enumerate((lines.format(x) for x in [*inner, *glued]), 100)]
+    rows += enumerate((lines.format(x) for x in [*edged, long]), 200)
+    for r in quality.assess(cases.frame(spark, rows)).collect():
+        assert (r["kept"] or r["doc_id"] == 205), r  # the long line of phrases repeats itself
+        assert r["n_lines_removed"] == (r["doc_id"] >= 200), r
+
+
 def test_languages(spark):
     words = {"xx": "abc bcd cab", "yy": "mno nop omn", "zz": "ñéü üñé éüñ"}
     rows = [(k, f"{w} {k} " * 5, lang) for k in range(60) for lang, w in [list(words.items())[k % 3]]]
