@@ -174,3 +174,40 @@ def keep(documents: DataFrame) -> DataFrame:
                 yield batch.filter(pa.array(np.concatenate(good)))
 
     return documents.mapInArrow(run, columns)
+
+
+def cut_failed_lines(documents: DataFrame) -> DataFrame:
+    """The rows whose text is kept, with the failing lines cut from it; other columns untouched.
+
+    The lines are those that ``measure`` counts as removed. What is left of a text keeps its bytes and its order, lines
+    without a word included.
+    """
+    columns, names = documents.schema, documents.columns
+    place = next(i for i, name in enumerate(names) if name == "text")
+
+    def run(batches):
+        for batch in batches:
+            good, texts = [], []
+            for block in blocks(batch.column(place)):
+                found, text, first = _measured(block)
+                good.append(found["kept"])
+                gone: dict[int, list[int]] = {}
+                for i, byte in zip(text.tolist(), first.tolist()):
+                    if found["kept"][i]:
+                        gone.setdefault(i, []).append(byte - int(block.at[i]))
+                held = batch.column(place).slice(block.first, block.last - block.first).to_pylist()
+                for i, starts in gone.items():
+                    away, at, left = set(starts), 0, []
+                    for line in held[i].encode().split(b"\n"):
+                        if at not in away or not line:
+                            left.append(line)
+                        at += len(line) + 1
+                    held[i] = b"\n".join(left).decode()
+                texts += held
+            if good:
+                out = [*batch.columns]
+                out[place] = pa.array(texts, batch.schema.field(place).type)
+                out = pa.RecordBatch.from_arrays(out, schema=batch.schema)
+                yield out.filter(pa.array(np.concatenate(good)))
+
+    return documents.mapInArrow(run, columns)

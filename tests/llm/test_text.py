@@ -121,6 +121,26 @@ def test_quality(spark):
     assert quality.assess(cases.frame(spark, []).limit(0)).count() == 0
 
 
+def test_failed_lines_are_cut(spark):
+    good, more = cases.prose(50, 60) + ".", cases.prose(51, 40) + " é日本."
+    away = ["Licensed under the X License.", "Home | About | Contact | More", "All rights reserved."]
+    rows = [
+        (1, good), (2, f"{good}\n{away[0]}\n{more}"), (3, f"{away[1]}\n\n \n{good}\n{away[1]}\n\n"), (4, None), (5, ""),
+        (6, f"{away[2]}\n{good}\r\n{more}\n{away[0]}\n{away[2]}"), (7, away[0]), (8, f"\n{good}\n"), (None, f"{good}\n{away[2]}"),
+    ]
+    wanted = [(1, good), (2, f"{good}\n{more}"), (3, f"\n \n{good}\n\n"), (6, f"{good}\r\n{more}"), (8, f"\n{good}\n"), (None, good)]
+    table = cases.frame(spark, rows + cases.documents())
+    found = quality.cut_failed_lines(table)
+    assert found.columns == table.columns
+    got = [(r["doc_id"], r["text"]) for r in found.collect()]
+    assert not [x for x in wanted if x not in got]
+    told = quality.assess(table).where("kept").collect()
+    assert sorted(str(i) for i, _ in got) == sorted(str(r["doc_id"]) for r in told)
+    left = sorted((str(i), len(cases.WORD.findall(t))) for i, t in got)
+    assert left == sorted((str(r["doc_id"]), r["n_words_left"]) for r in told)
+    assert quality.cut_failed_lines(table.limit(0)).count() == 0
+
+
 def test_boilerplate_phrases_have_word_edges_and_a_share(spark):
     prose = cases.prose(70, 60) + " {} " + cases.prose(71, 60) + "."
     lines = cases.prose(72, 80) + ".\n{}"
