@@ -20,8 +20,8 @@ from tallybook.llm.common import blocks, runs, shingles
 WIDTH, PERCENT = 5, 75
 
 
-def line_sets(width: int = WIDTH) -> set_join.Sets:
-    """The lines of ``width`` words or more.
+def line_sets(width: int = WIDTH, whole: bool = False) -> set_join.Sets:
+    """The lines of ``width`` words or more; if ``whole``, shorter ones as well, each with all its words as its token.
 
     A line's part holds its number in the text, from 0, above the text's checksum, which tells rows of one id apart.
     """
@@ -38,7 +38,7 @@ def line_sets(width: int = WIDTH) -> set_join.Sets:
                 at, number, text = np.insert(at, 0, 0), np.insert(number, 0, 0), np.insert(text, 0, 0)
             if not len(starts):
                 continue
-            tokens, owner = shingles(block.data, at, width, whole=False)
+            tokens, owner = shingles(block.data, at, width, whole)
             held, owner = np.unique(owner, return_inverse=True)
             cuts = zip(block.at[:-1].tolist(), block.at[1:].tolist())
             checks = np.array([zlib.crc32(block.data[a:b]) for a, b in cuts], np.int64)
@@ -47,16 +47,19 @@ def line_sets(width: int = WIDTH) -> set_join.Sets:
     return sets
 
 
-def repeated_lines(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+def repeated_lines(
+    documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, whole: bool = False
+) -> DataFrame:
     """``doc_id, line, checksum`` of each line with an earlier match, the checksum being that of the row's text.
 
     Earlier is a line of a smaller doc_id, or further ahead under the same one; rows without doc_id come last and
     count as one document, as do rows that share an id, of which equal lines at equal places don't remove each
-    other. Lines of under ``width`` words have no tokens and never match. All is judged on the input, so a line goes
+    other. Lines of under ``width`` words match equal ones if ``whole``, else they have no tokens and never match, as
+    in the SQL of the registered query. Lines without a word never match. All is judged on the input, so a line goes
     also if the earlier one goes.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found, linked = set_join.similar(rows, line_sets(width), percent, False, "lines")
+    found, linked = set_join.similar(rows, line_sets(width, whole), percent, False, "lines")
     line = F.shiftright("part", 32)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", line.alias("line"))
     earliest = linked.groupBy("set_id").agg(F.min(place).alias("linked"))
@@ -67,12 +70,14 @@ def repeated_lines(documents: DataFrame, width: int = WIDTH, percent: int = PERC
     return gone.select("doc_id", line.alias("line"), F.col("part").bitwiseAND(0xFFFFFFFF).alias("checksum"))
 
 
-def without_repeated_lines(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+def without_repeated_lines(
+    documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, whole: bool = False
+) -> DataFrame:
     """The rows with the repeated lines cut from ``text``, other columns untouched.
 
     A text that loses no line keeps every byte; a null text stays null, one that loses all its lines is empty.
     """
-    gone = repeated_lines(documents, width, percent).groupBy("doc_id", "checksum").agg(F.collect_set("line").alias("gone"))
+    gone = repeated_lines(documents, width, percent, whole).groupBy("doc_id", "checksum").agg(F.collect_set("line").alias("gone"))
     checksum = F.crc32(documents["text"].cast("string").cast("binary"))
     key = documents["doc_id"].cast("long").eqNullSafe(gone["doc_id"]) & (checksum == gone["checksum"])
     joined = documents.join(gone.hint("shuffle_hash"), key, "left").select(*[documents[c] for c in documents.columns], gone["gone"])

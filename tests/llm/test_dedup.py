@@ -43,6 +43,19 @@ def test_repeated_lines(spark):
     same(found.select("doc_id", "text").collect(), cases.without_repeated_lines(rows))
 
 
+def test_repeated_short_lines(spark):
+    rows = [
+        (1, "Les.\nAll rights reserved.\nles.\n\n \none two three four"), (2, "All  Rights Reserved.\nLes\n\nLes."),
+        (3, None), (4, "one two three four five\none two three\nfour"), (5, "one two three four"), (None, "four\nfive"),
+    ]
+    found = line_dedup.without_repeated_lines(cases.frame(spark, rows), whole=True)
+    wanted = [
+        (1, "Les.\nAll rights reserved.\n\n \none two three four"), (2, "Les\n"), (3, None), (4, rows[3][1]), (5, ""),
+        (None, "five"),
+    ]
+    same(found.select("doc_id", "text").collect(), wanted)
+
+
 @pytest.mark.parametrize(("length", "shard"), [(100, 16_384), (20, 3), (9, 2)])
 def test_repeated_strings(spark, length, shard):
     found = suffix_dedup.remove_repeats(cases.frame(spark), length, shard).collect()
