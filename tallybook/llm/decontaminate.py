@@ -22,6 +22,8 @@ LEAST_TOKENS = 4
 COVERED = 13
 #: A template window holds so many words at least that are no placeholder.
 PLAIN_WORDS = 5
+#: Thinner windows, of so many such words at least, count only where an alignment covers the whole item.
+THIN_WORDS = 2
 #: Bits of the filter that tasks hold ahead of the join, whatever the benchmark's size.
 FILTER_BITS = 1 << 22
 UNITS = (
@@ -51,13 +53,16 @@ def _between(mark: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     return total[ends] - total[starts]
 
 
-def tokens(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each token: number of the text, hash of the word, hash of the word or its placeholder, is it a slot."""
+def tokens(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each token: number of the text, hash of the word, hash of the word or its placeholder, is it a slot.
+
+    The last array marks the words that may be names because they open a sentence with a capital letter.
+    """
     data, at = block.data, block.at
     n = len(data)
     none = np.zeros(0, np.int64)
     if not n:
-        return none, none.astype(U64), none.astype(U64), none.astype(bool)
+        return none, none.astype(U64), none.astype(U64), none.astype(bool), none.astype(bool)
     ahead = np.append(data[1:], 0).astype(np.uint8)
     back = np.append(0, data[:-1]).astype(np.uint8)
     folded = LOWER[data]
@@ -79,7 +84,7 @@ def tokens(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     owner = np.searchsorted(at, starts, "right") - 1
     words = span_hashes(folded, starts, ends)
     if not len(words):
-        return owner, words, words, np.zeros(0, bool)
+        return owner, words, words, np.zeros(0, bool), np.zeros(0, bool)
     follows = np.append(False, owner[1:] == owner[:-1])
     number = kind[starts] == _DIGIT
     unit = follows & np.append(False, number[:-1]) & ~number
@@ -90,32 +95,40 @@ def tokens(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     stops = np.append(1, _between(_STOP[data], ends[:-1], np.maximum(starts[1:], ends[:-1])))
     name = capital & (ends - starts > 1) & follows & (stops == 0)
     typed = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, words)))
-    return owner, words, typed, number | unit | name
+    slot = number | unit | name
+    return owner, words, typed, slot, capital & (ends - starts > 1) & ~slot
 
 
 def windows(block: Block, width: int) -> tuple[np.ndarray, ...]:
-    """Windows as (number of the text, place of the first token in the block, is it a template, hash)."""
-    owner, words, typed, slot = tokens(block)
-    plain, template = window_hashes(words, width), window_hashes(typed, width)
+    """Windows as (number of the text, place of the first token in the block, is it a template, level, hash, slots).
+
+    Templates of level 0 read a sentence's opening word as it is, those of level 1 as a name; level 2 are thin ones.
+    """
+    owner, words, typed, slot, opens = tokens(block)
+    plain = window_hashes(words, width)
     size = len(plain)
-    if not size:
-        none = np.zeros(0, np.int64)
-        return none, none, none.astype(bool), none.astype(U64), owner, words, slot
-    slots = _between(slot, np.arange(size), np.arange(size) + width)
-    inside = owner[:size] == owner[width - 1 :]
+    at = np.arange(size)
+    inside = owner[:size] == owner[width - 1 :] if size else np.zeros(0, bool)
     literal = np.flatnonzero(inside)
-    typed_at = np.flatnonzero(inside & (slots > 0) & (width - slots >= min(PLAIN_WORDS, width - 1)))
-    place = np.concatenate([literal, typed_at])
-    is_template = np.repeat([False, True], [len(literal), len(typed_at)])
-    key = np.concatenate([plain[literal], mixed(template[typed_at] + U64(1))]) ^ U64(width)
-    return owner[place], place, is_template, key, owner, words, slot
+    found = [(literal, np.zeros(len(literal), np.int64), plain[literal], np.zeros((len(literal), width), bool))]
+    for reading in range(2 if size else 0):
+        if reading:
+            typed, slot = np.where(opens, _NAME, typed), slot | opens
+            inside = inside & (_between(opens, at, at + width) > 0)
+        slots = _between(slot, at, at + width)
+        here = np.flatnonzero(inside & (slots > 0) & (width - slots >= min(THIN_WORDS, width - 1)))
+        thin = width - slots[here] < min(PLAIN_WORDS, width - 1)
+        key = mixed(window_hashes(typed, width)[here] + U64(1))
+        found.append((here, np.where(thin, 2, reading), key, slot[here[:, None] + np.arange(width)]))
+    place, level, key, slots = (np.concatenate(x) for x in zip(*found))
+    return owner[place], place, np.arange(len(place)) >= len(literal), level, key ^ U64(width), slots, owner, words
 
 
-_SCHEMA = "id long, place long, template boolean, width long, key long, slots array<long>, size long"
+_SCHEMA = "id long, place long, template boolean, level long, width long, key long, slots array<long>, size long"
 
 
 def _rows(batch, block, width, allowed=None, sizes=None):
-    text, place, is_template, key, owner, words, slot = windows(block, width)
+    text, place, is_template, level, key, slot, owner, words = windows(block, width)
     if not len(place):
         return None
     if allowed is not None:
@@ -126,20 +139,20 @@ def _rows(batch, block, width, allowed=None, sizes=None):
         held = np.ones(len(place), bool)
     if sizes is not None:
         held &= sizes[text]
-    text, place, is_template, key = text[held], place[held], is_template[held], key[held]
+    text, place, is_template, level, key, slot = (x[held] for x in (text, place, is_template, level, key, slot))
     first = np.searchsorted(owner, text, "left")
     size = np.searchsorted(owner, text, "right") - first
     values = words.view(np.int64)
     slots = [
-        values[p : p + width][slot[p : p + width]].tolist() if t else [] for p, t in zip(place.tolist(), is_template.tolist())
+        values[p : p + width][marked].tolist() for p, marked in zip(place.tolist(), slot)
     ]
     ids = batch.column(0).take(pa.array(block.first + text))
     return pa.RecordBatch.from_arrays(
         [
-            ids, pa.array(place - first), pa.array(is_template), pa.array(np.full(len(place), width)),
+            ids, pa.array(place - first), pa.array(is_template), pa.array(level), pa.array(np.full(len(place), width)),
             pa.array(key.view(np.int64)), pa.array(slots, pa.list_(pa.int64())), pa.array(size),
         ],
-        ["id", "place", "template", "width", "key", "slots", "size"],
+        ["id", "place", "template", "level", "width", "key", "slots", "size"],
     )
 
 
@@ -198,25 +211,31 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = documents.where("doc_id IS NOT NULL AND text IS NOT NULL")
     rows = rows.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     found = rows.mapInArrow(run, _SCHEMA).select(
-        F.col("id").alias("doc_id"), F.col("place").alias("at"), "template", "width", "key", F.col("slots").alias("theirs")
+        F.col("id").alias("doc_id"), F.col("place").alias("at"), "template", F.col("level").alias("their_level"), "width", "key", F.col("slots").alias("theirs")
     )
     items = items.withColumnRenamed("id", "item_id")
     met = found.join(items, ["key", "template", "width"])
+    met = met.withColumn("level", F.greatest("level", "their_level"))
     places = F.expr("sequence(place, place + width - 1)")
     pairs = F.arrays_zip(F.col("slots").alias("ours"), F.col("theirs").alias("theirs"))
+    held = lambda x, of: F.array_distinct(F.flatten(F.collect_set(F.when(of, x))))
     aligned = met.groupBy("doc_id", "item_id", (F.col("at") - F.col("place")).alias("shift")).agg(
         F.max("size").alias("size"),
-        F.size(F.array_distinct(F.flatten(F.collect_set(F.when(~F.col("template"), places))))).alias("plain"),
-        F.size(F.array_distinct(F.flatten(F.collect_set(places)))).alias("any"),
-        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
+        F.size(held(places, ~F.col("template"))).alias("plain"),
+        *[F.size(held(places, F.col("level") <= k)).alias(f"any{k}") for k in range(3)],
+        *[held(pairs, F.col("level") <= k).alias(f"pairs{k}") for k in range(3)],
     )
-    one_to_one = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["ours"])))
     need = F.least(F.lit(COVERED), F.col("size"))
     literal = F.col("plain") >= need
-    good = aligned.where(literal | (one_to_one & (F.col("any") >= need)))
+    # a level's windows come on top of those below, so none takes away what they show
+    one_to_one = [F.size(p) == F.size(F.array_distinct(F.transform(p, lambda x: x["ours"]))) for p in ("pairs0", "pairs1", "pairs2")]
+    shown = [one_to_one[k] & (F.col(f"any{k}") >= (F.col("size") if k == 2 else need)) for k in range(3)]
+    covered = F.greatest(
+        F.when(one_to_one[0], F.col("any0")).otherwise(F.col("plain")), *[F.when(shown[k], F.col(f"any{k}")) for k in (1, 2)]
+    )
+    good = aligned.where(literal | shown[0] | shown[1] | shown[2])
     return good.groupBy("doc_id", "item_id").agg(
-        F.max(F.when(one_to_one, F.col("any")).otherwise(F.col("plain"))).cast("long").alias("covered"),
-        F.max(literal).alias("literal"),
+        F.max(covered).cast("long").alias("covered"), F.max(literal).alias("literal")
     )
 
 

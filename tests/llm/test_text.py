@@ -239,6 +239,19 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(cases.frame(spark, []).limit(0), items).count() == 0
 
 
+def test_questions_with_opening_names_and_dense_numbers(spark):
+    around = lambda x: cases.prose(1, 30) + ". " + x + " " + cases.prose(2, 30)
+    bench = [(1, "Anna has 7 red apples and buys 9 more today."), (2, "What is 12 + 7 + 3 + 9"), (3, "Add 5 apples, 6 pears, 7 plums and 8 figs")]
+    rows = [
+        (1, around("Tom has 5 red apples and buys 3 more today.")), (2, around("What is 4 + 8 + 2 + 1?")),
+        (3, around("Add 1 apples, 2 pears, 3 plums and 4 figs.")), (4, around("What was 4 + 8 + 2 + 1?")),
+        (5, around("Tom has 5 red apples and sells 3 more today.")), (6, around("What is 4 + 8")),
+    ]
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    found = decontaminate.contaminated(cases.frame(spark, rows), items).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["literal"]) for r in found) == [(k, k, False) for k in (1, 2, 3)]
+
+
 def test_literal_leaks_of_the_small_tables(spark):
     """Brute force over whole tables: the items that a text holds word for word."""
     sf = "/root/testdata/sf0.001"
