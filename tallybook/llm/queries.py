@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from tallybook.llm import (
     byte_bpe,
     chat_format,
+    clustering,
     decontaminate,
     html_extract,
     language_id,
     line_dedup,
+    merkle,
     ngram_join,
     quality,
+    simhash,
     suffix_dedup,
     token_counts,
 )
@@ -97,6 +100,29 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents"))
 
 
+def simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return told.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = merkle.witnesses(table(spark, sf_dir, "documents"))
+    shown = held.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("others")).alias("proof_sha256"),
+        merkle.folded(F.coalesce("altered", "leaf"), F.col("at"), F.col("others")).alias("folded_root"),
+    )
+    return shown.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = clustering.clusters(table(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return found.select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256")
+    )
+
+
 QUERIES = {
     "op1_line_dedup": line_deduplication,
     "op2_ngram_jaccard": ngram_jaccard,
@@ -108,4 +134,7 @@ QUERIES = {
     "op8_decontamination": decontamination,
     "op9_quality_rules": quality_rules,
     "op10_suffix_dedup": suffix_array_dedup,
+    "op11_simhash": simhash_near_duplicates,
+    "op12_merkle_manifest": merkle_manifest,
+    "op13_centroid_clusters": centroid_clusters,
 }

@@ -20,13 +20,13 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry_module.queries())
-    assert len([q for q in QUERIES if q.startswith("op")]) == 10 and set(ORACLES) <= set(QUERIES)
+    assert len([q for q in QUERIES if q.startswith("op")]) == 13 and set(ORACLES) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "labels", "conversations"):
+    for table in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     result = duck.execute(ORACLES[name])
     wanted = check.sorted_rows([c[0] for c in result.description], result.fetchall())
