@@ -47,8 +47,8 @@ def to_events(
     )
 
 
-def checked_events(events: DataFrame) -> DataFrame:
-    """Outbox rows that fail the job which reads them if any breaks the table's rules."""
+def checked_payload() -> Column:
+    """The payload of an outbox row; it fails the job which reads it if the row breaks any of the table's rules."""
     c = F.col
     missing = None
     for name in schemas.OUTBOX.fieldNames():
@@ -62,8 +62,12 @@ def checked_events(events: DataFrame) -> DataFrame:
         .when(F.try_parse_json("payload").isNull(), "malformed payload")
     )
     message = F.concat(fault, F.lit(" in outbox event "), F.coalesce(c("id"), F.lit("without id")))
-    payload = F.when(fault.isNotNull(), F.raise_error(message)).otherwise(c("payload"))
-    return events.select(*schemas.OUTBOX.fieldNames()).withColumn("payload", payload.cast("string"))
+    return F.when(fault.isNotNull(), F.raise_error(message)).otherwise(c("payload")).cast("string")
+
+
+def checked_events(events: DataFrame) -> DataFrame:
+    """Outbox rows that fail the job which reads them if any breaks the table's rules."""
+    return events.select(*schemas.OUTBOX.fieldNames()).withColumn("payload", checked_payload())
 
 
 def included(changes: DataFrame, tables: Iterable[str]) -> DataFrame:

@@ -487,11 +487,11 @@ ORACLES: dict[str, str] = {
             count(*) AS row_count, {_money('sum(CAST(value AS DECIMAL(18,6)))')} AS total
         FROM events GROUP BY 1, 2, 3""",
     "stream_route_dedup": _ROUTED,
-    "stream_outbox_commit": f"""WITH parts AS (SELECT *, {_PART} AS batch_id FROM events)
-        SELECT 'state' AS output, CAST(user_id AS VARCHAR) AS key, CAST(max(event_id) AS VARCHAR) AS value, batch_id
-        FROM parts GROUP BY user_id, batch_id
-        UNION ALL SELECT 'events', CAST(event_id AS VARCHAR), props, batch_id FROM parts""",
-    "stream_replay": "SELECT * FROM events",
+    "stream_outbox_commit": """SELECT 'state' AS output, CAST(user_id AS VARCHAR) AS key,
+            CAST(max(event_id) AS VARCHAR) AS value
+        FROM events GROUP BY user_id
+        UNION ALL SELECT 'events', CAST(event_id AS VARCHAR), props FROM events""",
+    "stream_replay": "SELECT * FROM events, (VALUES ('first'), ('again')) t(log)",
     "stream_dedup_exact": f"SELECT {_EVENT_COLUMNS} FROM events",
     "late_rows": f"""WITH parts AS (SELECT event_id, ts, 3 - {_PART} AS batch_id FROM events),
         newest AS (SELECT b.n AS batch_id, max(p.ts) AS newest
@@ -506,6 +506,12 @@ ORACLES: dict[str, str] = {
     "log_order_per_key": """SELECT 'billing.events.' || event_type AS topic, count(*) AS entries,
             CAST(0 AS BIGINT) AS out_of_order
         FROM events GROUP BY event_type""",
+    "stream_log_order": f"""WITH placed AS (
+            SELECT *, max(ts) OVER (PARTITION BY event_type, user_id ORDER BY 3 - {_PART}, ts, CAST(event_id AS VARCHAR)
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > ts AS behind FROM events)
+        SELECT 'billing.events.' || event_type AS topic, count(*) AS entries, CAST(0 AS BIGINT) AS out_of_order,
+            CAST(0 AS BIGINT) AS misplaced, count(*) FILTER (WHERE behind) AS behind_later
+        FROM placed GROUP BY event_type""",
     "stream_ingest": """SELECT event_type AS source, CAST(arg_max(event_id, {'ts': ts, 'token': event_id})
             AS VARCHAR) AS last_token, max(ts) AS updated_at
         FROM events GROUP BY event_type""",

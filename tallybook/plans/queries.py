@@ -18,7 +18,7 @@ from tallybook.operators import expectations, normalize, outbox, paging, reconci
 from tallybook.session import new_table_path, prepare
 from tallybook.sources import adapters, eventlog, feeds
 from tallybook.sources.adapters import cur_like, fees_like, gcp_like, outbox_like, table
-from tallybook.streaming import commit, streams
+from tallybook.streaming import sinks, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -603,13 +603,14 @@ def _paths(spark, label):
 
 @query
 def spend_windows(spark, sf_dir):
-    """Hourly event counts and values per type from a stream."""
+    """Hourly event counts and values per type from a stream of four batches, one current row per window."""
     path, checkpoint = _paths(spark, "windows")
-    events = adapters.event_stream(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    events, part = _parts(spark, sf_dir)
+    timed = adapters.landed_stream(spark, events, part, 4).withColumn("ts", F.col("ts").cast("timestamp"))
     value = F.col("value").cast(schemas.MONEY)
-    windows = streams.windowed_spend(events, "ts", value, ["event_type"], "1 hour", "1 day")
-    streams.write_committed(windows, path, checkpoint, mode="update")
-    return streams.latest_windows(spark, path, ["event_type"])
+    windows = streams.windowed_spend(timed, "ts", value, ["event_type"], "1 hour", "1 day")
+    streams.keep_windows(windows, ["event_type"], path, checkpoint)
+    return streams.current_windows(spark, path, windows.schema)
 
 
 @query
@@ -619,8 +620,8 @@ def stream_route_dedup(spark, sf_dir):
     events = adapters.outbox_of(adapters.event_stream(spark, sf_dir))
     twice = events.withColumn("_delivery", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_delivery")
     once = streams.dedup(twice, "id", "created_at", "1 day")
-    streams.write_committed(outbox.route(once, TOPIC_PREFIX), path, checkpoint)
-    return _routed_columns(commit.committed(spark, path, "rows"))
+    sinks.write_rows(outbox.route(once, TOPIC_PREFIX), path, checkpoint)
+    return _routed_columns(sinks.written(spark, path))
 
 
 def _parts(spark, sf_dir, parts=4):
@@ -632,33 +633,32 @@ def _parts(spark, sf_dir, parts=4):
 
 @query
 def stream_outbox_commit(spark, sf_dir):
-    """State and events of each of four batches written together; both outputs of the finished ones."""
+    """State changes and their events of four batches, written together; each user's current state, and all events."""
     path, checkpoint = _paths(spark, "outbox")
     events, part = _parts(spark, sf_dir)
-
-    def on_batch(df, batch_id, run):
-        state = df.groupBy("user_id").agg(F.max("event_id").alias("last_event"))
-        commit.append(state, adapters.outbox_of(df), batch_id, run)
-
-    streams.run_committed(adapters.landed_stream(spark, events, part, 4), path, checkpoint, on_batch)
-    state = commit.committed(spark, path, "state").select(
+    stream = adapters.landed_stream(spark, events, part, 4)
+    state = F.struct(F.col("user_id"), F.col("event_id").alias("last_event"))
+    streams.append_units(adapters.outbox_of(stream, state.alias("state")), path, checkpoint)
+    current = streams.appended(spark, path, "state").groupBy("user_id").agg(F.max("last_event").alias("last_event"))
+    both = current.select(
         F.lit("state").alias("output"), F.col("user_id").cast("string").alias("key"),
-        F.col("last_event").cast("string").alias("value"), "batch_id",
+        F.col("last_event").cast("string").alias("value"),
     )
-    written = commit.committed(spark, path, "events").select(
-        F.lit("events").alias("output"), F.col("id").alias("key"), F.col("payload").alias("value"), "batch_id"
+    written = streams.appended(spark, path, "events")
+    return both.unionByName(
+        written.select(F.lit("events").alias("output"), F.col("id").alias("key"), F.col("payload").alias("value"))
     )
-    return state.unionByName(written)
 
 
 @query
 def stream_replay(spark, sf_dir):
-    """Four batches newest first, then a replay from a fresh checkpoint that is cut into one batch."""
+    """Four batches newest first, then a replay from a fresh checkpoint that is cut into one batch; both logs."""
     path, checkpoint = _paths(spark, "replay")
     events, part = _parts(spark, sf_dir)
-    streams.write_committed(adapters.landed_stream(spark, events, part, 4, True), path, checkpoint)
-    streams.write_committed(adapters.event_stream(spark, sf_dir), path, f"{checkpoint}-again")
-    return commit.committed(spark, path, "rows").drop("batch_id")
+    sinks.write_rows(adapters.landed_stream(spark, events, part, 4, True), f"{path}/first", checkpoint)
+    sinks.write_rows(adapters.event_stream(spark, sf_dir), f"{path}/again", f"{checkpoint}-again")
+    logs = [sinks.written(spark, f"{path}/{name}").withColumn("log", F.lit(name)) for name in ("first", "again")]
+    return logs[0].unionByName(logs[1])
 
 
 @query
@@ -670,8 +670,8 @@ def stream_dedup_exact(spark, sf_dir):
     twice = adapters.outbox_of(events).withColumn("_part", F.floor(F.col("id").cast("bigint") * 4 / top))
     twice = twice.unionByName(twice.withColumn("_part", (F.col("_part") + 2) % 4))
     stream = adapters.landed_stream(spark, twice, F.col("_part"), 4, True).drop("_part")
-    streams.write_committed(streams.dedup_exact(stream, "id"), path, checkpoint)
-    return commit.committed(spark, path, "rows").drop("batch_id")
+    sinks.write_rows(streams.dedup_exact(stream, "id"), path, checkpoint)
+    return sinks.written(spark, path)
 
 
 @query
@@ -682,7 +682,9 @@ def late_rows(spark, sf_dir):
     events = events.withColumn("ts", F.col("ts").cast("timestamp"))
     streams.split_late(adapters.landed_stream(spark, events, part, 4, True), "ts", "10 DAYS", path, checkpoint)
     both = [
-        commit.committed(spark, path, name, events.schema).select("event_id", "batch_id", F.lit(name).alias("output"))
+        streams.split_rows(spark, path, name).select(
+            "event_id", F.col("batch_id").cast("long").alias("batch_id"), F.lit(name).alias("output")
+        )
         for name in ("rows", "late")
     ]
     return both[0].unionByName(both[1])
@@ -702,23 +704,52 @@ def resume_from_cursor(spark, sf_dir):
     return streams.beyond_cursor(events, F.col("event_type"), F.col("event_id"), cursor)
 
 
+def _placed_entries(spark, conf):
+    """The entries of a log in files, and where each stands: in files by name, in a file by line."""
+    log = spark.read.schema(schemas.EVENT_LOG).option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(conf.path)
+    return log.select(
+        "topic", "key", "timestamp", eventlog.event_id().alias("id"), eventlog.position().alias("position"),
+        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"),
+        F.regexp_extract(F.col("_metadata.file_path"), r"/batch_id=(\d+)/", 1).alias("batch"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+
+
 @query
 def log_order_per_key(spark, sf_dir):
     """Per topic, the entries of a written log, and how many stand in their file ahead of one created earlier."""
     conf = eventlog.LogConfig("files", new_table_path(spark, "ordered-log"))
     eventlog.write_log(outbox.route(outbox_like(spark, sf_dir), TOPIC_PREFIX), conf)
-    log = eventlog.read_log(spark, conf, streaming=False)
-    placed = log.select(
-        "topic", "key", "timestamp", costs.tag(F.col("headers"), "id").alias("id"),
-        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place"),
-    )
     w = Window.partitionBy("topic", "key").orderBy("file", "place")
     created = F.struct("timestamp", "id")
-    return placed.withColumn("_wrong", F.lag(created).over(w) > created).groupBy("topic").agg(
+    return _placed_entries(spark, conf).withColumn("_wrong", F.lag(created).over(w) > created).groupBy("topic").agg(
         F.count(F.lit(1)).alias("entries"), F.count_if("_wrong").alias("out_of_order")
     )
 
 
+@query
+def stream_log_order(spark, sf_dir):
+    """A log delivered in four batches, the newest first: entries out of order within their batch, entries whose
+    position is not the next of their key, and entries behind a later one of an earlier batch."""
+    conf = eventlog.LogConfig("files", new_table_path(spark, "delivered-log"))
+    events, part = _parts(spark, sf_dir)
+    stream = adapters.outbox_of(adapters.landed_stream(spark, events, part, 4, True))
+    streams.deliver(outbox.route(stream, TOPIC_PREFIX), conf, new_table_path(spark, "delivered-checkpoint"))
+    key = Window.partitionBy("topic", "key")
+    stands = key.orderBy(F.col("batch").cast("int"), "file", "place")
+    batch = Window.partitionBy("topic", "key", "batch").orderBy("file", "place")
+    created = F.struct("timestamp", "id")
+    told = _placed_entries(spark, conf).withColumns({
+        "_wrong": F.lag(created).over(batch) > created,
+        "_jumps": F.col("position") != F.row_number().over(stands),
+        "_behind": F.max("timestamp").over(stands.rowsBetween(Window.unboundedPreceding, -1)) > F.col("timestamp"),
+    })
+    return told.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("entries"), F.count_if("_wrong").alias("out_of_order"),
+        F.count_if("_jumps").alias("misplaced"), F.count_if("_behind").alias("behind_later"),
+    )
+
+
 @query
 def stream_ingest(spark, sf_dir):
     """A feed landed batch by batch; the cursors saved with it."""
@@ -728,7 +759,7 @@ def stream_ingest(spark, sf_dir):
         adapters.event_stream(spark, sf_dir), path, checkpoint,
         c("event_type"), c("event_id"), c("ts").cast("timestamp"),
     )
-    return commit.read_cursor(spark, path)
+    return streams.read_cursor(spark, path)
 
 
 @query
@@ -738,7 +769,7 @@ def stream_sequence(spark, sf_dir):
     events, part = _parts(spark, sf_dir)
     arrivals = _arrivals(adapters.landed_stream(spark, events, part, 4))
     streams.sequence_audit(arrivals, path, checkpoint, "aggregate_id", "created_at", "arrival")
-    return _audit_columns(commit.committed(spark, path, "rows"))
+    return _audit_columns(sinks.written(spark, path))
 
 
 @query
@@ -779,7 +810,7 @@ def stream_round_trip(spark, sf_dir):
     def match():
         sides = (adapters.stream_of(spark, sent, messages.schema), adapters.stream_of(spark, back, answered.schema))
         trips = streams.round_trip(sides[0].drop("_part"), sides[1].drop("_part"), "id", 5, "60 days")
-        streams.write_committed(trips, path, checkpoint)
+        sinks.write_rows(trips, path, checkpoint)
 
     match()
     # A later message on both sides moves the watermark past the end; the same checkpoint resumes.
@@ -789,5 +820,4 @@ def stream_round_trip(spark, sf_dir):
     closing.write.mode("append").parquet(sent)
     closing.select("id", "_part", later.alias("consumed_at")).write.mode("append").parquet(back)
     match()
-    rows = commit.committed(spark, path, "rows").filter("id IS DISTINCT FROM 'closing'")
-    return streams.earliest_trips(rows, "id").drop("batch_id")
+    return sinks.written(spark, path).filter("id IS DISTINCT FROM 'closing'")

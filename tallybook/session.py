@@ -20,6 +20,16 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def release_shuffles(spark: SparkSession) -> SparkSession:
+    """Remove what a job has shuffled as soon as it is through, in this session from now on.
+
+    For jobs of many steps that each write a table: otherwise all steps' shuffle files stay until the driver happens
+    to collect its garbage. A job whose result is read a second time computes its shuffles again.
+    """
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 

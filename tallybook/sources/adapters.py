@@ -175,8 +175,8 @@ def gcp_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def outbox_of(events: DataFrame) -> DataFrame:
-    """Events, from a table or a stream, as outbox rows."""
+def outbox_of(events: DataFrame, *more: Column) -> DataFrame:
+    """Events, from a table or a stream, as outbox rows, with ``more`` columns behind."""
     return events.select(
         F.col("event_id").cast("string").alias("id"),
         F.col("event_type").alias("aggregate_type"),
@@ -184,6 +184,7 @@ def outbox_of(events: DataFrame) -> DataFrame:
         F.col("event_type").alias("type"),
         F.col("props").alias("payload"),
         F.col("ts").cast("timestamp").alias("created_at"),
+        *more,
     )
 
 

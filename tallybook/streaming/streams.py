@@ -1,12 +1,12 @@
-"""Streams over event logs: ingest, deduplicate, route, match, window, audit, quarantine.
+"""Streams over event logs: ingest, append, deduplicate, route, match, window, audit, quarantine.
 
-Every stream runs to the end of what is there (``availableNow``) and resumes from its checkpoint;
-a new checkpoint replays the log from its beginning.
+Every stream runs to the end of what is there (``availableNow``) and resumes from its checkpoint; a new checkpoint
+replays the log from its beginning, into a folder of its own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,100 +15,83 @@ from pyspark.sql import types as T
 from tallybook import schemas
 from tallybook.functions.text import elapsed_millis
 from tallybook.operators import reconcile
-from tallybook.operators.ordering import HOT_ROWS, first_per_key
-from tallybook.operators.outbox import checked_cursor, included
+from tallybook.operators.expectations import observed
+from tallybook.operators.ordering import HOT_ROWS, number_within
+from tallybook.operators.outbox import checked_cursor, checked_payload, included
 from tallybook.operators.outbox import dedup as dedup_batch
-from tallybook.streaming.commit import DIRECT, Run, committed, stream_run
-
-
-class LateRowsError(RuntimeError):
-    """A stateful operator found rows later than its delay and left them out."""
-
-
-def run_batches(
-    stream: DataFrame,
-    checkpoint: str,
-    on_batch: Callable[[DataFrame, int], None],
-    mode: str = "append",
-    state_partitions: int | None = None,
-) -> int:
-    """Run a stream to its current end, handing each micro-batch to ``on_batch``.
-
-    Returns the rows that stateful operators left out as too late. Every shuffle partition of a stateful stream
-    is a store, whose number a checkpoint keeps for life: ``spark.sql.shuffle.partitions`` of them, or
-    ``state_partitions``.
+from tallybook.sources import eventlog
+from tallybook.streaming.files import read_or_empty
+from tallybook.streaming.sinks import (
+    BATCH,
+    carried,
+    carry,
+    each_batch,
+    replace_partitions,
+    write_batch,
+    write_once,
+    write_rows,
+    written,
+)
+from tallybook.streaming.standing import ON_DISK, with_standing
+
+OUTPUT, DAY = "output", "window_day"
+
+
+def append_units(units: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None) -> None:
+    """Record state changes and their outbox events, each pair both or neither.
+
+    A unit is a row of the outbox's columns and a struct ``state``. Both parts are rows of one write, so a batch shows
+    both or none. A row that breaks the outbox's rules fails its batch, of which nothing becomes visible. A unit
+    whose id was appended before, in whichever batch, is left out with both parts, and the run fails with their
+    number; the ids are held by the state store on disk, where looking one up costs the same however many there are.
     """
-    spark = stream.sparkSession
-    setting = spark.conf.get("spark.sql.shuffle.partitions")
-    if state_partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", state_partitions)
-    try:
-        query = (
-            stream.writeStream.outputMode(mode)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .foreachBatch(on_batch)
-            .start()
-        )
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", setting)
-    query.awaitTermination()
-    states = [state for progress in query.recentProgress for state in progress["stateOperators"]]
-    return sum(state["numRowsDroppedByWatermark"] for state in states)
-
-
-def run_committed(
-    stream: DataFrame,
-    path: str,
-    checkpoint: str,
-    on_batch: Callable[[DataFrame, int, Run], None],
-    mode: str = "append",
-    state_partitions: int | None = None,
-) -> None:
-    """Run a stream whose batches commit to its run; rows left out as late fail it once the rest is committed."""
-    run = stream_run(stream.sparkSession, path, checkpoint)
-    late = run_batches(stream, checkpoint, lambda df, n: on_batch(df, n, run), mode, state_partitions)
-    run.finish()
-    if late:
-        raise LateRowsError(f"{late} rows came later than the stream's delay; see split_late")
+    events = [*schemas.OUTBOX.fieldNames()]
+    checked = units.withColumn("payload", checked_payload()).dropDuplicates(["id"])
+    state, event = F.col("state"), F.struct(*events)
+    none = lambda part: F.lit(None).cast(part)
+    state_type, event_type = units.schema["state"].dataType, units.select(event.alias("e")).schema["e"].dataType
+    parts = F.array(
+        F.struct(F.lit("state").alias(OUTPUT), state.alias("state"), none(event_type).alias("event")),
+        F.struct(F.lit("events").alias(OUTPUT), none(state_type).alias("state"), event.alias("event")),
+    )
+    tagged = checked.select(F.inline(parts))
+    write_rows(tagged, path, checkpoint, [OUTPUT], state_partitions, repeated_fail=True, settings=ON_DISK)
 
 
-def write_committed(
-    stream: DataFrame,
-    path: str,
-    checkpoint: str,
-    output: str = "rows",
-    mode: str = "append",
-    state_partitions: int | None = None,
-) -> None:
-    """Run a stream into a committed output of a table folder."""
-    write = lambda df, n, run: run.commit({output: df}, n)
-    run_committed(stream, path, checkpoint, write, mode, state_partitions)
+def appended(spark: SparkSession, path: str, output: str) -> DataFrame:
+    """The rows of one output (``state`` or ``events``) of finished batches; the other's files are not read."""
+    part = "event" if output == "events" else "state"
+    return written(spark, path).filter(F.col(OUTPUT) == output).select(f"{part}.*")
 
 
 def ingest(
     stream: DataFrame, path: str, checkpoint: str, source: Column, token: Column, updated: Column
 ) -> None:
-    """Land a feed batch by batch; each source's cursor moves only with the page it belongs to.
+    """Land a feed batch by batch; each source's cursor is saved after the page that it belongs to.
 
-    The cursor is the highest token read, compared in the token's own type, with the latest time seen.
+    The cursor is the highest token read, compared in the token's own type, with the latest time seen. It is taken
+    from the page as written, so it never names a row that is not there.
     """
+    spark, schema = stream.sparkSession, stream.schema
     kind = stream.select(token.alias("token")).schema["token"].dataType
 
-    def on_batch(df: DataFrame, batch_id: int, run: Run) -> None:
-        page = df.persist()
-        try:
-            read = page.select(source.cast("string").alias("source"), token.alias("_token"), updated.alias("updated_at"))
-            saved = run.replaced("cursor", schemas.CURSOR, batch_id)
-            saved = saved.select("source", F.col("last_token").cast(kind).alias("_token"), "updated_at")
-            cursor = saved.unionByName(read).groupBy("source").agg(
-                F.max("_token").cast("string").alias("last_token"), F.max("updated_at").alias("updated_at")
-            )
-            run.commit({"rows": page}, batch_id, {"cursor": checked_cursor(cursor)})
-        finally:
-            page.unpersist()
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        write_batch(df, f"{path}/rows", batch_id)
+        page = read_or_empty(spark, f"{path}/rows/{BATCH}={batch_id}", schema)
+        read = page.select(source.cast("string").alias("source"), token.alias("_token"), updated.alias("updated_at"))
+        saved = carried(spark, f"{path}/cursor", schemas.CURSOR, batch_id)
+        saved = saved.select("source", F.col("last_token").cast(kind).alias("_token"), "updated_at")
+        cursor = saved.unionByName(read).groupBy("source").agg(
+            F.max("_token").cast("string").alias("last_token"), F.max("updated_at").alias("updated_at")
+        )
+        carry(checked_cursor(cursor), f"{path}/cursor", batch_id)
 
-    run_committed(stream, path, checkpoint, on_batch)
+    each_batch(stream, path, checkpoint, on_batch)
+
+
+def read_cursor(spark: SparkSession, path: str) -> DataFrame:
+    """The cursors that ``ingest`` saved; none before its first batch."""
+    return carried(spark, f"{path}/cursor", schemas.CURSOR)
 
 
 def after_token(df: DataFrame, key: str, last_token) -> DataFrame:
@@ -130,24 +113,23 @@ def beyond_cursor(df: DataFrame, source: Column, token: Column, cursor: DataFram
 def capture(
     snapshot: DataFrame, changes: DataFrame, tables: Sequence[str], path: str, checkpoint: str
 ) -> None:
-    """The snapshot, then the change stream, as one committed log; each event once, the snapshot's copy first.
+    """The snapshot, then the change stream, as one log; each event once, the snapshot's copy first.
 
-    The snapshot is committed once, by itself, before the first change; changes it holds are left out, and so are
+    The snapshot is written once, by itself, before the first change; changes it holds are left out, and so are
     copies of a change, however far apart they come.
     """
+    spark = snapshot.sparkSession
     read = included(snapshot.withColumn("op", F.lit("r")), tables)
-    first = Run(snapshot.sparkSession, f"{path}/snapshot", DIRECT)
-    first.commit({"rows": dedup_batch(read, ["id"], ["created_at", "payload"])}, 0)
-    held = first.rows("rows").select("id")
+    write_once(dedup_batch(read, ["id"], ["created_at", "payload"]), f"{path}/snapshot")
+    held = written(spark, f"{path}/snapshot").select("id")
     once = dedup_exact(included(changes, tables), "id")
-    add = lambda df, n, run: run.commit({"rows": reconcile.drop_seen(df, held, ["id"])}, n)
-    run_committed(once, path, checkpoint, add)
+    write_rows(reconcile.drop_seen(once, held, ["id"]), f"{path}/changes", checkpoint)
 
 
 def captured(spark: SparkSession, path: str) -> DataFrame:
     """The log that ``capture`` wrote."""
-    snapshot = Run(spark, f"{path}/snapshot", DIRECT).rows("rows").drop("batch_id")
-    changes = committed(spark, path, "rows", snapshot.schema).drop("batch_id")
+    snapshot = written(spark, f"{path}/snapshot")
+    changes = written(spark, f"{path}/changes", snapshot.schema)
     return snapshot.unionByName(changes.select(*snapshot.columns))
 
 
@@ -178,23 +160,33 @@ _NEWEST = T.StructType([T.StructField("newest", T.TimestampType())])
 
 
 def split_late(stream: DataFrame, time: str, delay: str, path: str, checkpoint: str) -> None:
-    """Commit each batch's rows as ``rows``, or as ``late`` where they are older than ``delay`` allows.
+    """Write each batch's rows as ``rows``, or as ``late`` where they are older than ``delay`` allows.
 
     Late is a row older than the newest time of all earlier batches by more than ``delay``: what a watermark would
     leave out. Nothing is lost: both outputs together are the input.
     """
+    spark = stream.sparkSession
 
-    def on_batch(df: DataFrame, batch_id: int, run: Run) -> None:
-        saved = run.replaced("newest", _NEWEST, batch_id)
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        saved = carried(spark, f"{path}/newest", _NEWEST, batch_id)
         newest = saved.agg(F.max("newest").alias("_newest"))  # one row
-        marked = df.join(F.broadcast(newest)).withColumn(
-            "_late", F.coalesce(F.col(time) < F.col("_newest") - F.expr(f"INTERVAL {delay}"), F.lit(False))
-        )
+        late = F.coalesce(F.col(time) < F.col("_newest") - F.expr(f"INTERVAL {delay}"), F.lit(False))
+        marked = df.join(F.broadcast(newest)).withColumn(OUTPUT, F.when(late, "late").otherwise("rows")).drop("_newest")
+        write_batch(marked, f"{path}/rows", batch_id, [OUTPUT])
         now = saved.unionAll(df.agg(F.max(time).cast("timestamp"))).agg(F.max("newest").alias("newest"))
-        part = lambda which: marked.filter(which).drop("_late", "_newest")
-        run.commit({"rows": part(~F.col("_late")), "late": part(F.col("_late"))}, batch_id, {"newest": now})
+        carry(now, f"{path}/newest", batch_id)
+
+    each_batch(stream, path, checkpoint, on_batch)
+
+
+def split_rows(spark: SparkSession, path: str, output: str) -> DataFrame:
+    """The ``rows`` or the ``late`` rows that ``split_late`` wrote, with their batch."""
+    return written(spark, f"{path}/rows").filter(F.col(OUTPUT) == output).drop(OUTPUT)
 
-    run_committed(stream, path, checkpoint, on_batch)
+
+def checked_rows(stream: DataFrame, name: str, every: dict[str, Column], path: str, checkpoint: str) -> None:
+    """Append a stream whose rows must hold all checks; what breaks them is counted and fails the run at its end."""
+    write_rows(observed(stream, name, every), path, checkpoint)
 
 
 def windowed_spend(
@@ -215,21 +207,51 @@ def windowed_spend(
     )
 
 
-def latest_windows(spark: SparkSession, path: str, keys: Sequence[str], output: str = "rows") -> DataFrame:
-    """Current value of each window from an update-mode stream written by ``write_committed``."""
-    rows = committed(spark, path, output)
-    return first_per_key(rows, ["window_start", *keys], [F.desc("batch_id")]).drop("batch_id")
+def keep_windows(windows: DataFrame, keys: Sequence[str], path: str, checkpoint: str) -> None:
+    """Keep one current row per window and key, from an update-mode stream.
+
+    The table is partitioned by the day of the windows' start. A batch reads and overwrites the days of the windows
+    that it touches, and no others; a batch run again writes the same values.
+    """
+    spark, schema = windows.sparkSession, T.StructType([*windows.schema, T.StructField(DAY, T.DateType())])
+
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        changed = df.withColumn(DAY, F.to_date("window_start")).persist()
+        try:
+            span = changed.agg(F.min(DAY), F.max(DAY)).first()
+            if span[0] is None:
+                return
+            here = read_or_empty(spark, path, schema).filter(F.col(DAY).between(*map(F.lit, span)))
+            touched = changed.select(F.col(DAY).alias("_day")).distinct()
+            here = here.join(touched, F.col(DAY) == F.col("_day"), "left_semi")
+            again = changed.select("window_start", *keys).withColumnsRenamed({k: f"_{k}" for k in ("window_start", *keys)})
+            same = F.col("window_start") == F.col("_window_start")
+            for key in keys:
+                same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+            rest = here.join(again, same, "left_anti")
+            now = changed.unionByName(rest.select(*changed.columns))
+            replace_partitions(now.hint("rebalance", F.col(DAY)), path, [DAY])
+        finally:
+            changed.unpersist()
+
+    each_batch(windows, path, checkpoint, on_batch, mode="update")
+
+
+def current_windows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The windows that ``keep_windows`` keeps."""
+    return written(spark, path, schema)
 
 
 def round_trip(
     published: DataFrame, consumed: DataFrame, key: str, bound_seconds: int, delay: str
 ) -> DataFrame:
-    """Match messages with every consumption within a bound; unmatched ones come out as timed out.
+    """Each message once, with its first consumption within a bound, or as timed out.
 
-    Exact copies within ``delay`` are dropped on both sides first. A message consumed several times comes out
-    several times, as a stream can't know whether an earlier consumption is still to come: ``earliest_trips`` keeps
-    the first one in time. A message without a key matches nothing.
+    Exact copies within ``delay`` are dropped on both sides first. A message comes out when the watermark has passed
+    its bound, as until then an earlier consumption may still come; the consumptions that matched are reduced to
+    the first in time by a second stateful operator behind the join. A message without a key matches nothing.
     """
+    names = published.columns
     sent = dedup(published, [key, "published_at"], "published_at", delay)
     seen = dedup(consumed.select(key, "consumed_at"), [key, "consumed_at"], "consumed_at", delay).alias("seen")
     keyed = sent.filter(F.col(key).isNotNull()).alias("sent")
@@ -240,22 +262,21 @@ def round_trip(
         & (F.col("seen.consumed_at") <= limit)
     )
     met = keyed.join(seen, match, "left_outer").select(
-        *(F.col(f"sent.{c}") for c in published.columns), F.col("seen.consumed_at").alias("consumed_at")
+        *(F.col(f"sent.{c}") for c in names), F.col("seen.consumed_at").alias("_consumed")
+    )
+    # one group per message, as copies are gone: its other columns come along
+    rest = [c for c in names if c not in (key, "published_at")]
+    first = met.groupBy(key, "published_at").agg(
+        *(F.first(c).alias(c) for c in rest), F.min("_consumed").alias("consumed_at")
     )
-    lone = published.filter(F.col(key).isNull())
-    met = met.unionByName(lone.withColumn("consumed_at", F.lit(None).cast("timestamp")))
-    return met.select(
+    lone = published.filter(F.col(key).isNull()).withColumn("consumed_at", F.lit(None).cast("timestamp"))
+    return first.select(*names, "consumed_at").unionByName(lone).select(
         "*",
         elapsed_millis(F.col("published_at"), F.col("consumed_at")).alias("latency_ms"),
         F.col("consumed_at").isNull().alias("timed_out"),
     )
 
 
-def earliest_trips(rows: DataFrame, key: str) -> DataFrame:
-    """One row per message of ``round_trip``, with its first consumption; rows without a key all stay."""
-    return dedup_batch(rows, [key, "published_at"], [F.asc_nulls_last("consumed_at")])
-
-
 def quarantine(df: DataFrame, schema: T.StructType, column: str = "payload") -> tuple[DataFrame, DataFrame]:
     """Split rows into those whose JSON fits ``schema``, expanded, and those kept as they came.
 
@@ -282,13 +303,6 @@ def parse_strictly(df: DataFrame, schema: T.StructType, column: str = "payload")
     return df.withColumn("_body", body).select(*rest, "_body.*")
 
 
-_ARRIVALS = T.StructType([
-    T.StructField("key", T.StringType()),
-    T.StructField("arrived", T.LongType()),
-    T.StructField("newest", T.TimestampType()),
-])
-
-
 def sequence_audit(
     stream: DataFrame,
     path: str,
@@ -297,21 +311,50 @@ def sequence_audit(
     created: str,
     arrival: str,
     hot_rows: int = HOT_ROWS,
-) -> None:
-    """Run the arrival audit batch by batch into ``rows``, carrying two numbers per key along.
+    state_partitions: int | None = None,
+) -> dict[str, int]:
+    """Run the arrival audit over a stream, into a table of one partition per batch.
 
-    Each batch is audited as a table, so a key that fills a batch is split as in the batch form; what
-    arrived before enters as one row per key and is committed together with the audited rows.
+    What a key had before a batch comes from the state store (see ``with_standing``) with every row; the batch is then
+    audited as a table, so that a key which fills it is split as in the batch form.
     """
+    names = stream.columns
 
-    def on_batch(df: DataFrame, batch_id: int, run: Run) -> None:
-        events = df.withColumn(key, F.col(key).cast("string")).persist()
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        events = df.persist()
         try:
-            earlier = run.replaced("arrivals", _ARRIVALS, batch_id)
-            audited = reconcile.sequence_audit(events, key, created, arrival, earlier, hot_rows)
-            total = reconcile.merge_summaries(earlier, reconcile.arrival_summary(events, key, created))
-            run.commit({"rows": audited}, batch_id, {"arrivals": total})
+            earlier = events.groupBy(F.col(key).alias("key")).agg(
+                F.max("_arrived_before").alias("arrived"), F.max("_newest_before").alias("newest")
+            )
+            audited = reconcile.sequence_audit(events.select(*names), key, created, arrival, earlier, hot_rows)
+            write_batch(audited, path, batch_id)
         finally:
             events.unpersist()
 
-    run_committed(stream, path, checkpoint, on_batch)
+    standing = with_standing(stream.withColumn(key, F.col(key).cast("string")), [key], created)
+    return each_batch(standing, path, checkpoint, on_batch, state_partitions=state_partitions, settings=ON_DISK)
+
+
+def deliver(
+    log: DataFrame, conf: eventlog.LogConfig, checkpoint: str, hot_rows: int = HOT_ROWS, state_partitions: int | None = None
+) -> None:
+    """Write a stream of log entries into a log, those of one topic and key in order of creation within each batch.
+
+    Every entry gets its position within its key, which goes on from batch to batch: what the key had before comes
+    from the state store. A batch is delivered when it is there; an entry older than those of earlier batches comes
+    behind them, with a higher position.
+    """
+    keys = ["topic", "key"]
+
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        entries = df.persist()
+        try:
+            named = entries.withColumn("_id", eventlog.event_id())
+            numbered = number_within(named, keys, ["timestamp", "_id", "value"], "_number", hot_rows)
+            numbered = numbered.withColumn("_number", F.col("_number") + F.col("_arrived_before"))
+            eventlog.write_log(eventlog.placed(numbered, "_number"), conf, batch_id)
+        finally:
+            entries.unpersist()
+
+    standing = with_standing(log, keys, "timestamp")
+    each_batch(standing, conf.path or "", checkpoint, on_batch, state_partitions=state_partitions, settings=ON_DISK)

@@ -7,7 +7,7 @@ from tallybook import schemas
 from tallybook.functions import costs
 from tallybook.operators import expectations, outbox, reconcile
 from tallybook.sources import eventlog
-from tallybook.streaming import commit, streams
+from tallybook.streaming import streams, units
 
 T0 = datetime(2025, 11, 17, 10)
 
@@ -139,80 +139,24 @@ def test_retention_reads_only_days_to_keep(spark, sample, tmp_path):
 )
 def test_a_bad_event_fails_the_unit_and_leaves_no_rows(spark, sample, tmp_path, change, message):
     path = str(tmp_path / "box")
-    run = commit.Run(spark, path)
-    commit.append(sample.select("aggregate_id"), sample, 0, run)
+    state = sample.select("aggregate_id")
+    units.append(state, sample, 0, path)
     more = sample.withColumn("id", F.concat(F.lit("n"), "id"))
     with pytest.raises(Exception, match=message):
-        commit.append(sample.select("aggregate_id"), more.withColumn(change[0], F.expr(change[1])), 1, run)
-    assert commit.committed(spark, path, "state").count() == 6
-    assert commit.committed(spark, path, "events").count() == 6
-    commit.append(sample.select("aggregate_id"), more, 1, run)
-    assert commit.committed(spark, path, "events").count() == 12
+        units.append(state, more.withColumn(change[0], F.expr(change[1])), 1, path)
+    counts = lambda: [units.appended(spark, path, name).count() for name in ("state", "events")]
+    assert counts() == [6, 6]
+    for _ in range(2):  # a batch that is run again replaces itself
+        units.append(state, more, 1, path)
+        assert counts() == [12, 12]
 
 
 def test_append_outside_a_batch_is_rejected(spark, sample, tmp_path):
-    with pytest.raises(commit.NoBatchError):
-        commit.append(sample, sample, None, commit.Run(spark, str(tmp_path / "box")))
+    with pytest.raises(units.NoBatchError):
+        units.append(sample, sample, None, str(tmp_path / "box"))
     assert not (tmp_path / "box").exists()
 
 
-def test_a_committed_batch_survives_a_failing_second_run(spark, sample, tmp_path):
-    path = str(tmp_path / "box")
-    run = commit.Run(spark, path)
-    state = sample.select("aggregate_id")
-    commit.append(state, sample, 0, run)
-    lost = sample.withColumn("payload", F.raise_error(F.lit("lost")).cast("string"))
-    run.commit({"state": state.limit(1), "events": lost}, 0)  # its marker is there: nothing is written
-    assert commit.committed(spark, path, "state").count() == 6
-    with pytest.raises(Exception, match="lost"):
-        run.commit({"state": state.limit(1), "events": lost}, 1)
-    assert commit.committed(spark, path, "state").count() == 6
-    assert commit.committed(spark, path, "events").count() == 6
-    run.commit({"state": state, "events": sample.limit(2)}, 1)
-    assert sorted(r.batch_id for r in commit.committed(spark, path, "state").select("batch_id").distinct().collect()) == [0, 1]
-    assert commit.vacuum(spark, path) == 2  # what the failed attempt left of both outputs
-    assert commit.committed(spark, path, "events").count() == 8
-
-
-def test_manifests_take_the_place_of_markers(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(commit, "MANIFEST_BATCHES", 3)
-    path = str(tmp_path / "box")
-    run = commit.Run(spark, path)
-    for batch in (0, 1, 2, 3, 4, 5, 6, 1, 5):
-        run.commit({"rows": spark.range(batch, batch + 1)}, batch, {"last": spark.range(batch, batch + 1)})
-    assert sorted(tuple(r) for r in run.rows("rows").collect()) == [(n, n) for n in range(7)]
-    assert [r.id for r in run.replaced("last", spark.range(1).schema).collect()] == [6]
-    assert [r.id for r in run.replaced("last", spark.range(1).schema, 4).collect()] == [3]
-    assert sorted(p.name for p in (tmp_path / "box/commits/run=direct").iterdir()) == ["batch=5", "batch=6"]
-    assert [p.name for p in (tmp_path / "box/manifests/run=direct").iterdir()] == ["upto=5"]
-    assert commit.vacuum(spark, path, ("last",)) == 6 and run.rows("rows").count() == 7
-
-
-def test_nothing_committed_reads_as_empty(spark, tmp_path):
-    path = str(tmp_path / "none")
-    assert commit.committed(spark, path, "rows", schemas.OUTBOX).collect() == []
-    assert commit.read_cursor(spark, path).collect() == []
-
-
-def test_cursor_of_an_unfinished_batch_is_not_seen(spark, sample, tmp_path):
-    path = str(tmp_path / "feed")
-    run = commit.Run(spark, path)
-
-    def saved(batch):
-        row = spark.createDataFrame([("s", f"t{batch}", T0 + timedelta(batch))], schemas.CURSOR)
-        return {"cursor": commit.saved_cursor(row, batch, run)}
-
-    tokens = lambda: [r.last_token for r in commit.read_cursor(spark, path).collect()]
-    assert tokens() == []
-    run.commit({"rows": sample}, 0, saved(0))
-    # Batch 1 writes its cursor and dies before its marker.
-    saved(1)["cursor"].write.parquet(f"{path}/cursor/attempt=direct-1-{'0' * 32}")
-    assert tokens() == ["t0"]
-    for batch in (1, 2, 2):
-        run.commit({"rows": sample}, batch, saved(batch))
-        assert tokens() == [f"t{batch}"]
-
-
 def test_cursor_ties_and_limits(spark):
     cursor = lambda *rows: spark.createDataFrame([(s, t, T0 + timedelta(d)) for s, t, d in rows], schemas.CURSOR)
     after = lambda old, new: {r.source: r.last_token for r in outbox.upsert_cursor(old, new).collect()}
