@@ -1,9 +1,11 @@
 """Main text of web pages by wrappers inferred for each host.
 
-A page is read as a stream of tags and texts. Repeated siblings become a repeated group, and the streams of one
+A page is read as a stream of tags and texts; menus, notices, comments and the like are set aside by their names, but
+never what holds the article. Repeated siblings become a repeated group, and the streams of one
 host are aligned level by level: matching tags merge, tags on one side only become optional groups, texts become
 slots that stay constant as long as all pages agree. The result is a union-free expression of the host's pages.
-It tells where the article stands and which slots in it are the template's own words; a page is then cut by it.
+It tells where the article stands and which slots in it are the template's own words; a page is then cut by it. The
+article is what is marked as one, else the smallest element around all paragraphs, and the page's title.
 
 Tasks merge the pages they read and send one expression a host; those are merged in two steps, so no task ever
 holds the pages of a host.
@@ -45,29 +47,54 @@ ASIDE_WORDS = {
     "replies", "disqus", "respond", "related", "recommended", "breadcrumb", "breadcrumbs", "widget", "toolbar", "login",
     "search", "pager", "pagination", "complementary", "contentinfo", "alert", "hidden", "teaser",
 }
+#: Those of them that never hold the article.
+FIRM_WORDS = {
+    "ad", "ads", "advert", "adverts", "advertisement", "promo", "sponsor", "sponsored", "cookie", "cookies", "consent",
+    "gdpr", "newsletter", "comment", "comments", "disqus", "hidden",
+}
+#: Set aside by these names unless the article is found inside.
+LOOSE_TAGS = {"header", "form"}
+#: Parts of a class name that tell of a state or a subject: such a name says nothing about what the element is.
+STATE_WORDS = {"has", "have", "no", "not", "with", "without", "is", "category", "tag", "format", "type", "status"}
 ARTICLE_WORDS = {"articlebody", "article", "main"}
+PARAGRAPHS = {"p", "blockquote", "pre"}
+#: Text right inside these is no paragraph of its own.
+ENTRIES = {"li", "dt", "dd", "td", "th", "option", "caption", "h1", "h2", "h3", "h4", "h5", "h6"}
+HEADINGS = {"h1", "h2", "h3"}
 #: From this many different children an element's expression is one group of any of them.
 MANY_CHILDREN = 64
+#: A block counts towards the article's place if its paragraphs have this part of the longest block's.
+BLOCK_SHARE = 20
 #: Pages that must agree on a text before it counts as the template's.
 TEMPLATE_PAGES = 5
 
 #: Elements nested deeper count to the level above.
 DEPTH = 150
 
-KEY, MANY, MAYBE, PAGES, CHARS, SAME, INSIDE = range(7)
+KEY, MANY, MAYBE, PAGES, CHARS, SAME, INSIDE, SHORT = range(8)
+
+#: Why an element is set aside: it is not, by a header's name, by another loose name, for good.
+KEPT, HEADER, LOOSE, FIRM = range(4)
 
 
 class Element:
-    __slots__ = ("tag", "key", "aside", "article", "inside")
+    __slots__ = ("tag", "key", "aside", "article", "inside", "size", "paragraphs")
 
-    def __init__(self, tag: str, key: str, aside: bool, article: bool) -> None:
+    def __init__(self, tag: str, key: str, aside: int, article: bool) -> None:
         self.tag, self.key, self.aside, self.article, self.inside = tag, key, aside, article, []
+        self.size = self.paragraphs = 0
+
+
+def _names_aside(name: str, words: set[str] = ASIDE_WORDS) -> bool:
+    """Whether a class name is that of an aside: as a whole, or by its first or last part."""
+    parts = re.findall("[a-z]+", name)
+    return bool(parts) and STATE_WORDS.isdisjoint(parts) and not words.isdisjoint((parts[0], parts[-1]))
 
 
 @functools.lru_cache(4096)
-def _described(tag: str) -> tuple[str, str, bool, bool]:
+def _described(tag: str) -> tuple[str, str, int, bool]:
     name = NAME.match(tag).group(1).lower()
-    words, hidden = [], False
+    names, hidden = [], False
     for attribute, *values in ATTRIBUTE.findall(tag[len(name) + 1 :]):
         value = next((v for v in values if v), "").lower()
         attribute = attribute.lower()
@@ -76,15 +103,23 @@ def _described(tag: str) -> tuple[str, str, bool, bool]:
         elif attribute == "style":
             hidden |= re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value) is not None
         else:
-            words += [w for w in re.split(r"[^a-z]+", value) if w]
-    aside = name in ASIDE_TAGS or hidden or (name not in ("html", "body") and not ASIDE_WORDS.isdisjoint(words))
+            names += value.split()
+    words = {w for x in names for w in re.findall("[a-z]+", x)}
+    aside = KEPT
+    if name not in ("html", "body"):
+        named = [x for x in names if _names_aside(x)]
+        if named or name in LOOSE_TAGS:
+            header = name != "form" and all("header" in x for x in named)
+            aside = HEADER if header else FIRM if any(_names_aside(x, FIRM_WORDS) for x in named) else LOOSE
+    if hidden or name in ASIDE_TAGS and name not in LOOSE_TAGS:
+        aside = FIRM
     article = name in ("article", "main") or not ARTICLE_WORDS.isdisjoint(words)
-    return name, ".".join([name, *sorted(set(words))]), aside, article and not aside
+    return name, ".".join([name, *sorted(words)]), aside, article
 
 
 def parse(page: str) -> Element:
     """The page's elements; a text is a plain string inside its element."""
-    root = Element("", "", False, False)
+    root = Element("", "", KEPT, False)
     stack = [root]
     place, n = 0, len(page)
     while place < n:
@@ -127,14 +162,73 @@ def parse(page: str) -> Element:
         stack[-1].inside.append(element)
         if name not in VOID and not tag.endswith("/>") and len(stack) < DEPTH:
             stack.append(element)
+    _settle(root)
     return root
 
 
+def _measure(element: Element) -> None:
+    """Characters inside the element, and those in its paragraphs."""
+    for x in element.inside:
+        if isinstance(x, str):
+            element.size += len(x.strip())
+        else:
+            _measure(x)
+            element.size += x.size
+            element.paragraphs += x.paragraphs
+    if element.tag in PARAGRAPHS:
+        element.paragraphs = element.size
+
+
+def _settle(root: Element) -> None:
+    """Take back what the names alone set aside: an article's own header, and whatever holds the article itself."""
+    _measure(root)
+    outside = {"articles": 0, "text": 0, "paragraphs": 0}
+    within: list[tuple[int, list[Element]]] = []
+    loose: list[Element] = []
+
+    def look(element: Element, chain: list[Element], firm: bool, inside: bool) -> None:
+        if inside and element.aside == HEADER:
+            element.aside = KEPT
+        if element.aside:
+            if not chain and element.aside != FIRM:
+                loose.append(element)
+            chain, firm = [*chain, element], firm or element.aside == FIRM
+        if element.article and element.size:
+            if not chain:
+                outside["articles"] += 1
+            elif not firm:
+                within.append((element.size, chain))
+        inside = inside or element.article and element.tag != "main"
+        if not chain and element.tag in PARAGRAPHS:
+            outside["paragraphs"] += element.size
+        for x in element.inside:
+            if not isinstance(x, str):
+                look(x, chain, firm, inside)
+            elif not chain:
+                outside["text"] += len(x.strip())
+
+    look(root, [], False, False)
+    opened: list[Element] = []
+    if not outside["articles"]:
+        size, chain = max(within, key=lambda x: x[0], default=(0, []))
+        if size > (outside["paragraphs"] or outside["text"]):
+            opened = chain
+        elif not outside["text"] and loose:
+            opened = [max(loose, key=lambda x: (x.paragraphs, x.size))]
+    for element in opened:
+        element.aside = KEPT
+
+
 def folded(text: str) -> str:
     return " ".join(html.unescape(text).split())
 
 
-# --- wrappers: [key, repeated, optional, pages, characters, constant text or None, children]
+# --- wrappers: [key, repeated, optional, pages, characters, constant text or None, children, their keys' shortening]
+
+
+def named(key: str, short: int) -> str:
+    """The key of a child: tag and names, the tag alone, or any element at all."""
+    return key if not short or key == "#" else key.split(".")[0] if short == 1 else "*"
 
 
 def parts(element: Element) -> list:
@@ -172,13 +266,14 @@ def expression(element: Element) -> list:
     children = []
     for x in blocks_of(element):
         if isinstance(x, str):
-            children.append(["#", False, False, 1, len(x), x if len(x) <= 200 else None, []])
+            children.append(["#", False, False, 1, len(x), x if len(x) <= 200 else None, [], 0])
         else:
             children.append(expression(x))
-    return [element.key, False, False, 1, sum(c[CHARS] for c in children), None, _repeats(children)]
+    inside, short = _repeats(children)
+    return [element.key, False, False, 1, sum(c[CHARS] for c in children), None, inside, short]
 
 
-def _repeats(children: list) -> list:
+def _repeats(children: list) -> tuple[list, int]:
     """Neighbours of one key become one repeated group."""
     out: list = []
     for child in children:
@@ -188,33 +283,35 @@ def _repeats(children: list) -> list:
             out[-1][PAGES] = max(1, child[PAGES])
         else:
             out.append(child)
-    return _any_of(out) if len(out) > MANY_CHILDREN else out
+    return _any_of(out) if len(out) > MANY_CHILDREN else (out, 0)
 
 
-def _any_of(children: list) -> list:
-    """One group of any of the children, by key; by tag alone if that is still too many."""
-    for short in (False, True):
+def _any_of(children: list, short: int = 0) -> tuple[list, int]:
+    """One group of any of the children, by key; by a shorter key, which is told, if those are too many."""
+    while True:
         groups: dict[str, list] = {}
         for child in children:
-            key = child[KEY].split(".")[0] if short else child[KEY]
+            key = named(child[KEY], short)
             child = [key, True, True, *child[PAGES:]]
             groups[key] = merged(groups[key], child) if key in groups else child
-        if len(groups) <= MANY_CHILDREN:
-            break
-    return [groups[k] for k in sorted(groups)][: 4 * MANY_CHILDREN]
+        if len(groups) <= MANY_CHILDREN or short == 2:
+            return [groups[k] for k in sorted(groups)], short
+        short += 1
 
 
 def merged(a: list, b: list) -> list:
     return [
         a[KEY], a[MANY] or b[MANY], a[MAYBE] or b[MAYBE], a[PAGES] + b[PAGES], a[CHARS] + b[CHARS],
-        a[SAME] if a[SAME] == b[SAME] else None, aligned(a[INSIDE], b[INSIDE]),
+        a[SAME] if a[SAME] == b[SAME] else None, *aligned(a[INSIDE], b[INSIDE], max(a[SHORT], b[SHORT])),
     ]
 
 
-def aligned(a: list, b: list) -> list:
+def aligned(a: list, b: list, short: int = 0) -> tuple[list, int]:
     """Longest common order of keys; what stands on one side only becomes optional."""
+    if short:
+        return _any_of([*a, *b], short)
     if [x[KEY] for x in a] == [x[KEY] for x in b]:
-        return [merged(x, y) for x, y in zip(a, b)]
+        return [merged(x, y) for x, y in zip(a, b)], 0
     n, m = len(a), len(b)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
@@ -232,38 +329,55 @@ def aligned(a: list, b: list) -> list:
         else:
             out.append([*b[j][:MAYBE], True, *b[j][PAGES:]])
             j += 1
-    return _any_of(out) if len(out) > MANY_CHILDREN else out
+    return _any_of(out) if len(out) > MANY_CHILDREN else (out, 0)
+
+
+def _around(blocks: list[tuple[int, str]]) -> str | None:
+    """Path of the smallest element that holds all blocks of a fair size."""
+    most = max((size for size, _ in blocks), default=0)
+    if not most:
+        return None
+    paths = [path.split("/") for size, path in blocks if BLOCK_SHARE * size >= most]
+    shared = []
+    for names in zip(*paths):
+        if len(set(names)) > 1:
+            break
+        shared.append(names[0])
+    return "/".join(shared)
 
 
 def rule_of(wrapper: list) -> dict:
-    """Where the article stands in a host's pages, and the constant texts inside it."""
-    articles, blocks = [], []
+    """Where the article stands in a host's pages, the constant texts inside it, and where keys are short."""
+    articles, titles, short, nodes = [], [], {}, {}
+    blocks: tuple[list, list, list] = ([], [], [])  # by paragraphs, by text of other elements, by any text
 
     def walk(node, path, inside_article):
-        if node[KEY] == "#":
-            return
         name, *words = node[KEY].split(".")
-        here = f"{path}/{node[KEY]}"
-        if name in ASIDE_TAGS or (name not in ("html", "body") and not ASIDE_WORDS.isdisjoint(words)):
-            return
-        if not inside_article and (name in ("article", "main") or not ARTICLE_WORDS.isdisjoint(words)):
-            articles.append((node[CHARS], here, node))
+        nodes[path] = node
+        if node[SHORT]:
+            short[path] = node[SHORT]
+        if not inside_article and (name in ("article", "main") or not ARTICLE_WORDS.isdisjoint(words)) and node[CHARS]:
+            articles.append((node[CHARS], path))
             inside_article = True
-        own = sum(c[CHARS] for c in node[INSIDE] if c[KEY] == "#" or c[KEY].split(".")[0] in ("p", "blockquote", "pre"))
-        blocks.append((own, here, node))
+        if name == "h1":
+            titles.append(path)
+        direct = sum(c[CHARS] for c in node[INSIDE] if c[KEY] == "#")
+        blocks[0].append((sum(c[CHARS] for c in node[INSIDE] if c[KEY].split(".")[0] in PARAGRAPHS), path))
+        blocks[1].append((0 if name in ENTRIES else direct, path))
+        blocks[2].append((direct, path))
         for child in node[INSIDE]:
-            walk(child, here, inside_article)
+            if child[KEY] != "#":
+                walk(child, f"{path}/{child[KEY]}", inside_article)
 
-    for child in wrapper[INSIDE]:
-        walk(child, "", False)
-    blocks.append((sum(c[CHARS] for c in wrapper[INSIDE] if c[KEY] == "#"), "", wrapper))
+    walk(wrapper, "", False)
     if articles:
-        most = max(x[0] for x in articles)
-        chosen = [x for x in articles if 5 * x[0] >= most]
+        most = max(size for size, _ in articles)
+        chosen = [path for size, path in articles if 5 * size >= most]
     else:
-        chosen = [x for x in [max(blocks, key=lambda x: x[0], default=None)] if x]
+        place = next((p for p in map(_around, blocks) if p is not None), None)
+        chosen = [] if place is None else [place, *(t for t in titles if not f"{t}/".startswith(f"{place}/"))]
     constant = []
-    for _, path, node in chosen:
+    for path in chosen:
         slots: list[tuple[str, list]] = []
 
         def gather(node, path):
@@ -273,32 +387,37 @@ def rule_of(wrapper: list) -> dict:
                 else:
                     gather(child, f"{path}/{child[KEY]}")
 
-        gather(node, path)
+        gather(nodes[path], path)
         if any(s[SAME] is None and s[CHARS] for _, s in slots):  # copies of one page tell nothing
-            constant += [f"{p}\n{s[SAME]}" for p, s in slots if s[SAME] is not None and s[PAGES] >= TEMPLATE_PAGES]
-    return {"at": sorted({x[1] for x in chosen}), "constant": sorted(set(constant))}
+            constant += [
+                f"{p}\n{s[SAME]}"
+                for p, s in slots
+                if s[SAME] is not None and s[PAGES] >= TEMPLATE_PAGES
+                and p.rsplit("/", 1)[-1].split(".")[0] not in HEADINGS  # a title may recur
+            ]
+    return {"at": sorted(set(chosen)), "constant": sorted(set(constant)), "short": short}
 
 
 @functools.lru_cache(1024)
-def _rule(text: str) -> tuple[frozenset, frozenset]:
+def _rule(text: str) -> tuple[frozenset, frozenset, dict]:
     rule = json.loads(text)
-    return frozenset(rule["at"]), frozenset(rule["constant"])
+    return frozenset(rule["at"]), frozenset(rule["constant"]), rule["short"]
 
 
 def extract(page: str, rule: str | None) -> str:
     """The page's main text by its host's rule; a page that the rule doesn't fit is cut by its own expression."""
     root = parse(page)
     for text in (rule, None):
-        at, constant = _rule(text or json.dumps(rule_of(expression(root))))
+        at, constant, short = _rule(text or json.dumps(rule_of(expression(root))))
         out: list[str] = []
 
         def walk(element, path, inside):
-            here = f"{path}/{element.key}" if element.tag else ""
-            inside = inside or here in at
+            inside = inside or path in at
+            keys = short.get(path, 0)
             for x in blocks_of(element):
                 if not isinstance(x, str):
-                    walk(x, here, inside)
-                elif inside and f"{here}\n{x}" not in constant:
+                    walk(x, f"{path}/{named(x.key, keys)}", inside)
+                elif inside and f"{path}\n{x}" not in constant:
                     out.append(x)
 
         walk(root, "", False)

@@ -1,7 +1,7 @@
 """Line deduplication: an exact set-similarity join of lines, which removes the later of two matching lines.
 
-A line's tokens are its distinct five-word shingles, ordered by rarity; prefix, position and length filters leave
-the pairs to verify. See ``set_join`` for the steps.
+A line's tokens are its distinct five-word shingles, ordered by rarity; a shorter line has all its words as its one
+token. Prefix, position and length filters leave the pairs to verify. See ``set_join`` for the steps.
 """
 
 from __future__ import annotations
@@ -20,8 +20,8 @@ from tallybook.llm.common import blocks, runs, shingles
 WIDTH, PERCENT = 5, 75
 
 
-def line_sets(width: int = WIDTH, whole: bool = False) -> set_join.Sets:
-    """The lines of ``width`` words or more; if ``whole``, shorter ones as well, each with all its words as its token.
+def line_sets(width: int = WIDTH, whole: bool = True) -> set_join.Sets:
+    """The lines with a word; those of under ``width`` words with all of them as their token, or not if not ``whole``.
 
     A line's part holds its number in the text, from 0, above the text's checksum, which tells rows of one id apart.
     """
@@ -48,15 +48,14 @@ def line_sets(width: int = WIDTH, whole: bool = False) -> set_join.Sets:
 
 
 def repeated_lines(
-    documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, whole: bool = False
+    documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, whole: bool = True
 ) -> DataFrame:
     """``doc_id, line, checksum`` of each line with an earlier match, the checksum being that of the row's text.
 
     Earlier is a line of a smaller doc_id, or further ahead under the same one; rows without doc_id come last and
     count as one document, as do rows that share an id, of which equal lines at equal places don't remove each
-    other. Lines of under ``width`` words match equal ones if ``whole``, else they have no tokens and never match, as
-    in the SQL of the registered query. Lines without a word never match. All is judged on the input, so a line goes
-    also if the earlier one goes.
+    other. Lines of under ``width`` words match those of the same words, or none if not ``whole``; lines without a
+    word never match. All is judged on the input, so a line goes also if the earlier one goes.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found, linked = set_join.similar(rows, line_sets(width, whole), percent, False, "lines")
@@ -71,7 +70,7 @@ def repeated_lines(
 
 
 def without_repeated_lines(
-    documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, whole: bool = False
+    documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, whole: bool = True
 ) -> DataFrame:
     """The rows with the repeated lines cut from ``text``, other columns untouched.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallybook.llm.quality import BOILERPLATE, MIN_WORDS, UNENDED_WORDS
+from tallybook.llm.quality import BOILERPLATE, MIN_WORDS, SHORT_WORDS, UNENDED_WORDS
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -17,8 +17,9 @@ WITH docs AS (
 ), worded AS (
     SELECT row, doc_id, part, regexp_extract_all({_LOWER.format("line")}, '{WORD}') AS w FROM lines
 ), shingled AS (
-    SELECT row, doc_id, part, list_sort(list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)])) AS s
-    FROM worded WHERE len(w) >= 5
+    SELECT row, doc_id, part, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE
+        list_sort(list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)])) END AS s
+    FROM worded WHERE len(w) > 0
 ), sets AS (
     SELECT row_number() OVER () AS id, s, min((doc_id, part)) AS first FROM shingled GROUP BY s
 ), single AS (
@@ -92,6 +93,8 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+_PHRASES = ", ".join(f"{{'p': '{p}', 'n': {len(p.split())}}}" for p in BOILERPLATE)
+
 QUALITY_RULES = rf"""
 WITH docs AS (
     SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents
@@ -109,15 +112,22 @@ WITH docs AS (
     SELECT row, unnest(string_split(text, chr(10))) AS line FROM docs
 ), told AS (
     SELECT row, line, regexp_extract_all(line, '{WORD}') AS w FROM lines WHERE regexp_matches(line, '{WORD}')
+), phrased AS (
+    SELECT *, list_sum(list_transform([{_PHRASES}], lambda f: f.n * list_transform(
+        [string_split({_LOWER.format("line")}, f.p)], lambda x: len(list_filter(range(1, len(x)), lambda i:
+            NOT regexp_matches(right(CASE WHEN i = 1 OR x[i] <> '' THEN x[i] ELSE f.p END, 1), '[\p{{L}}\p{{N}}]')
+            AND (f.p[-1] = ' ' OR NOT regexp_matches(
+                left(CASE WHEN i = len(x) - 1 OR x[i + 1] <> '' THEN x[i + 1] ELSE f.p END, 1), '[\p{{L}}\p{{N}}]'))
+        )))[1])) AS phrases
+    FROM told
 ), judged AS (
     SELECT row, line, len(w) AS n,
         5 * len(list_filter(w, lambda x: regexp_full_match(x, '[|>/\\]+'))) >= len(w)
         OR 10 * length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) > length(array_to_string(w, ''))
         OR 3 * len(list_filter(w, lambda x: ends_with(x, '!!'))) > len(w)
         OR (NOT regexp_matches(w[-1], '[.!?:;"'')\]]$') AND len(w) < {UNENDED_WORDS})
-        OR regexp_matches(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-            '{"|".join(BOILERPLATE)}') AS failed
-    FROM told
+        OR phrases > 0 AND (len(w) <= {SHORT_WORDS} OR 10 * phrases >= len(w)) AS failed
+    FROM phrased
 ), by_row AS (
     SELECT row, sum(n) AS n_words, count(*) - count(DISTINCT line) AS n_dup_lines,
         coalesce(sum(n) FILTER (NOT failed), 0) AS n_words_left, count(*) FILTER (failed) AS n_lines_removed

@@ -7,6 +7,8 @@ All rules are counts over bytes, taken for a block of texts at a time.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -48,11 +50,14 @@ def _sums(mark: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return total[ends] - total[starts]
 
 
-def _phrase_words(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Words of each line that belong to boilerplate phrases; a phrase starts and ends where a word does."""
+def _phrase_words(data: np.ndarray, first: np.ndarray, last: np.ndarray, phrases: Sequence[str]) -> np.ndarray:
+    """Words of each line that belong to ``phrases``, in lower case; a phrase starts and ends where a word does.
+
+    One that ends with a space is followed by another word of the line.
+    """
     held = np.zeros(len(first), np.int64)
     folded = LOWER[data].tobytes()
-    for phrase in BOILERPLATE:
+    for phrase in phrases:
         sought = phrase.encode()
         k = folded.find(sought)
         while k >= 0:
@@ -66,12 +71,12 @@ def _phrase_words(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.n
     return held
 
 
-def measure(block: Block) -> dict[str, np.ndarray]:
+def measure(block: Block, boilerplate: Sequence[str] = BOILERPLATE) -> dict[str, np.ndarray]:
     """The base counts and the verdict of each text of a block."""
-    return _measured(block)[0]
+    return _measured(block, boilerplate)[0]
 
 
-def _measured(block: Block) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+def _measured(block: Block, boilerplate: Sequence[str]) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
     """What ``measure`` gives, and of each failing line the number of its text and its first byte."""
     data, at = block.data, block.at
     n = len(at) - 1
@@ -117,7 +122,7 @@ def _measured(block: Block) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarr
         | (3 * per_line(shout) > words)
         | (~_END[final] & (words < UNENDED_WORDS))
     )
-    phrases = _phrase_words(data, first, last)
+    phrases = _phrase_words(data, first, last, boilerplate)
     failed |= (phrases > 0) & ((words <= SHORT_WORDS) | (10 * phrases >= words))
     n_repeat = per_text(owner[repeated])
     base_failed = (n_words < MIN_WORDS) | (100 * n_repeat > 50 * n_words)
@@ -142,7 +147,7 @@ COLUMNS = (
 )
 
 
-def assess(documents: DataFrame) -> DataFrame:
+def assess(documents: DataFrame, boilerplate: Sequence[str] = BOILERPLATE) -> DataFrame:
     """``doc_id`` and the counts and verdict of every row.
 
     Reads ``doc_id, text`` only. A null or empty text has no words, fails the base rules and is not kept. doc_id
@@ -152,7 +157,7 @@ def assess(documents: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for block in blocks(batch.column(1)):
-                found = measure(block)
+                found = measure(block, boilerplate)
                 ids = batch.column(0).slice(block.first, block.last - block.first)
                 yield pa.RecordBatch.from_arrays(
                     [ids, *(pa.array(x) for x in found.values())], ["doc_id", *found]
@@ -162,21 +167,21 @@ def assess(documents: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id long, {COLUMNS}")
 
 
-def keep(documents: DataFrame) -> DataFrame:
+def keep(documents: DataFrame, boilerplate: Sequence[str] = BOILERPLATE) -> DataFrame:
     """The rows whose text is kept, with all their columns, texts untouched."""
     columns, names = documents.schema, documents.columns
     place = next(i for i, name in enumerate(names) if name == "text")
 
     def run(batches):
         for batch in batches:
-            good = [measure(block)["kept"] for block in blocks(batch.column(place))]
+            good = [measure(block, boilerplate)["kept"] for block in blocks(batch.column(place))]
             if good:
                 yield batch.filter(pa.array(np.concatenate(good)))
 
     return documents.mapInArrow(run, columns)
 
 
-def cut_failed_lines(documents: DataFrame) -> DataFrame:
+def cut_failed_lines(documents: DataFrame, boilerplate: Sequence[str] = BOILERPLATE) -> DataFrame:
     """The rows whose text is kept, with the failing lines cut from it; other columns untouched.
 
     The lines are those that ``measure`` counts as removed. What is left of a text keeps its bytes and its order, lines
@@ -189,7 +194,7 @@ def cut_failed_lines(documents: DataFrame) -> DataFrame:
         for batch in batches:
             good, texts = [], []
             for block in blocks(batch.column(place)):
-                found, text, first = _measured(block)
+                found, text, first = _measured(block, boilerplate)
                 good.append(found["kept"])
                 gone: dict[int, list[int]] = {}
                 for i, byte in zip(text.tolist(), first.tolist()):

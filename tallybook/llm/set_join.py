@@ -3,7 +3,8 @@
 1. Items with equal sets are one set, known by the hash of its tokens.
 2. Screen. Tokens are ordered by hash. Of two sets of a Jaccard of t or more, the first n - ceil(t n) + l tokens of
    both share l at least, so a set stays only if that many of its first tokens stand in another set as well. A
-   task answers the tokens that it meets twice itself and sends one row for each of the others.
+   task answers the tokens that it meets twice itself and sends one row for each of the others. A set so small that
+   no other set can come near it takes no part.
 3. Among the sets left, tokens are ordered by rarity. Tokens of one set only count towards n and nothing else; a
    set with too many of them has no partner and goes.
 4. Sets that share a prefix token form families, by a star to the smallest set of each token.
@@ -45,6 +46,11 @@ def needed(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * n // 100)
 
 
+def has_partners(n: np.ndarray, percent: int) -> np.ndarray:
+    """Whether a set of n can be linked with another one at all: at best with one that has a token more."""
+    return 100 * n >= percent * (n + 1)
+
+
 def set_ids(tokens: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(n), U64)
     if len(tokens):
@@ -80,40 +86,47 @@ def _screen_length(n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]
     return np.minimum(n, n - needed(n, percent) + extra(n)), np.minimum(extra(n), extra(np.maximum(partner, 1)))
 
 
+#: The tag of sets that one match lets stay, from whichever batch.
+ANY_BATCH = 1
+
+
 def _tag(partition: np.uint64, doc_ids: pa.Array, sets: np.ndarray) -> int:
-    """A number from 1 to 2^31 - 1 by the partition, the ids of a batch's rows and the sets in them, in order."""
+    """A number from 2 to 2^31 - 1 by the partition, the ids of a batch's rows and the sets in them, in order."""
     ids = pc.fill_null(doc_ids, -1).to_numpy(zero_copy_only=False)
     told = np.concatenate([[partition, U64(len(ids))], ids.astype(np.int64).view(U64), sets.view(U64)]).astype(U64)
     place = np.arange(1, len(told) + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)
-    return int(mixed(mixed(told + place).sum(keepdims=True))[0] % U64((1 << 31) - 1)) + 1
+    return int(mixed(mixed(told + place).sum(keepdims=True))[0] % U64((1 << 31) - 2)) + 2
 
 
 def screened(rows: DataFrame, sets: Sets, percent: int) -> DataFrame:
     """``set_id, tag, matches``, the matches that a batch gives a set; the sets left by them are a small superset.
 
     A batch's tag is a hash of its partition and its rows, so a task that runs again over the same rows, as those of
-    files are, sends the same rows again: its matches stay together whichever of its runs a later task has read.
+    files are, sends the same rows again: its matches stay together whichever of its runs a later task has read. Sets
+    that one match lets stay need no tag of their own.
     """
 
     def run(batches):
         partition = U64(TaskContext.get().partitionId())
         for batch in batches:
-            held_tokens, held_sets = [], []
+            held_tokens, held_sets, held_single = [], [], []
             seen: set[int] = set()
             for row, _, owner, tokens in sets(batch):
                 n, first = _counted(owner, len(row))
                 ids = set_ids(tokens, first, n)
                 fresh = np.array([i not in seen and not seen.add(i) for i in ids.tolist()], bool)
-                length = np.where(fresh, _screen_length(n, percent)[0], 0)
+                length, need = _screen_length(n, percent)
+                length = np.where(fresh & has_partners(n, percent), length, 0)
                 inside = np.arange(len(tokens)) - first[owner] < length[owner]
                 held_tokens.append(tokens[inside])
                 held_sets.append(ids[owner[inside]])
+                held_single.append(need[owner[inside]] == 1)
             tokens = np.concatenate(held_tokens) if held_tokens else np.zeros(0, U64)
             if not len(tokens):
                 continue
-            owner = np.concatenate(held_sets)
+            owner, single = np.concatenate(held_sets), np.concatenate(held_single)
             order = np.argsort(tokens, kind="stable")
-            tokens, owner = tokens[order].view(np.int64), owner[order]
+            tokens, owner, single = tokens[order].view(np.int64), owner[order], single[order]
             start = np.append(True, tokens[1:] != tokens[:-1])
             group = np.cumsum(start) - 1
             several = (np.bincount(group) > 1)[group]
@@ -121,19 +134,20 @@ def screened(rows: DataFrame, sets: Sets, percent: int) -> DataFrame:
             second = np.append(False, start[:-1])
             witness = several & (start | second)
             asks = ~several
-            answered, matches = np.unique(owner[several], return_counts=True)
+            answered, at, matches = np.unique(owner[several], return_index=True, return_counts=True)
             tag = _tag(partition, batch.column(0), owner)
+            tags = np.where(single, ANY_BATCH, tag)
             # an answered row has a place of its own, so that no task gathers them
             alone = mixed(answered.view(U64) ^ U64(tag)).view(np.int64)
             out = [
                 (tokens[witness], owner[witness], np.zeros(int(witness.sum()), np.int64), np.zeros(1, np.int64)),
-                (tokens[asks], owner[asks], np.full(int(asks.sum()), tag), np.zeros(1, np.int64)),
-                (alone, answered, np.full(len(answered), tag), matches),
+                (tokens[asks], owner[asks], tags[asks], np.zeros(1, np.int64)),
+                (alone, answered, tags[several][at], matches),
             ]
-            for place, own, tags, matched in out:
+            for place, own, given, matched in out:
                 matched = np.broadcast_to(matched, len(own)) if len(matched) == 1 else matched
                 for k in range(0, len(own), 100_000):
-                    columns = [pa.array(x[k : k + 100_000]) for x in (place, own, tags, matched)]
+                    columns = [pa.array(x[k : k + 100_000]) for x in (place, own, given, matched)]
                     yield pa.RecordBatch.from_arrays(columns, ["place", "set_id", "tag", "matches"])
 
     sent = rows.mapInArrow(run, "place long, set_id long, tag long, matches long")
@@ -161,22 +175,39 @@ def survivors(item_rows: DataFrame, matches: DataFrame, percent: int) -> DataFra
 
 
 def token_table(rows: DataFrame, sets: Sets, left: DataFrame) -> DataFrame:
-    """``set_id, tokens`` of the sets left, taken again from the rows that hold them first."""
+    """``set_id, tokens`` of the sets left, taken again from the rows that hold them first; no other set is sent.
+
+    A row is known by its id and its text's checksum, so the list that it meets has sets of such a text only.
+    """
     # by shuffle at any size, as the ids grow with the corpus; hashed, so that no text is sorted
-    wanted = left.select(F.col("doc_id").alias("at")).distinct().hint("shuffle_hash")
-    here = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["at"]), "left_semi")
+    checksum = F.col("part").bitwiseAND(0xFFFFFFFF)
+    wanted = left.groupBy(F.col("doc_id").alias("at"), checksum.alias("checksum")).agg(F.collect_list("set_id").alias("sets"))
+    same = rows["doc_id"].eqNullSafe(F.col("at")) & (F.crc32(rows["text"].cast("binary")) == F.col("checksum"))
+    here = rows.join(wanted.hint("shuffle_hash"), same).select(rows["doc_id"], rows["text"], "sets")
 
     def run(batches):
         for batch in batches:
+            lists = batch.column(2)
             for row, _, owner, tokens in sets(batch):
                 n, first = _counted(owner, len(row))
+                ids = set_ids(tokens, first, n)
+                asked = lists.take(pa.array(np.unique(row))).flatten().to_numpy()
+                keep = np.isin(ids, asked)
+                _, place = np.unique(ids, return_index=True)
+                once = np.zeros(len(ids), bool)
+                once[place] = True
+                keep &= once
+                inside = keep[owner]
+                number = np.cumsum(keep) - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(set_ids(tokens, first, n)), list_array(tokens.view(np.int64), owner, len(row), pa.int64())],
+                    [
+                        pa.array(ids[keep]),
+                        list_array(tokens[inside].view(np.int64), number[owner[inside]], int(keep.sum()), pa.int64()),
+                    ],
                     ["set_id", "tokens"],
                 )
 
     found = here.mapInArrow(run, "set_id long, tokens array<long>")
-    found = found.join(left.select("set_id"), "set_id", "left_semi")
     return found.groupBy("set_id").agg(F.any_value("tokens").alias("tokens"))
 
 

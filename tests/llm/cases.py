@@ -75,7 +75,7 @@ def near_duplicates(rows):
 
 def repeated_lines(rows):
     lines = [
-        (order(i), k, row, shingles(x, False)) for row, (i, t) in enumerate(rows) for k, x in enumerate((t or "").split("\n"))
+        (order(i), k, row, shingles(x, True)) for row, (i, t) in enumerate(rows) for k, x in enumerate((t or "").split("\n"))
     ]
     gone = set()
     for o, k, i, s in lines:
@@ -90,6 +90,43 @@ def without_repeated_lines(rows):
     return [(i, t if t is None else cut(row, t)) for row, (i, t) in enumerate(rows)]
 
 
+PHRASES = (
+    "licensed under", "released under", "all rights reserved", "copyright ", "terms of use", "terms of service",
+    "privacy policy", "cookie policy", "uses cookies", "javascript", "click here", "sign in", "log in", "subscribe",
+)
+
+
+def line_fails(line):
+    words = WORD.findall(line)
+    folded = "".join(c.lower() if "A" <= c <= "Z" else c for c in line)
+    held = 0
+    for phrase in PHRASES:
+        for at in range(len(folded)):
+            before, after = folded[at - 1 : at] if at else "", folded[at + len(phrase) :][:1]
+            if folded.startswith(phrase, at) and not before.isalnum() and (phrase[-1] == " " or not after.isalnum()):
+                held += len(phrase.split())
+    return (
+        5 * sum(not w.strip("|>/\\") for w in words) >= len(words)
+        or 10 * sum(c in "#*$%&|<>" for c in line) > sum(map(len, words))
+        or 3 * sum(w.endswith("!!") for w in words) > len(words)
+        or words[-1][-1] not in ".!?:;\"')]" and len(words) < 8
+        or held > 0 and (len(words) <= 20 or 10 * held >= len(words))
+    )
+
+
+def line_verdicts(text):
+    """Whether the text is kept, and what is left of it without the lines that fail."""
+    words = WORD.findall(text or "")
+    grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    counts: dict[tuple, int] = {}
+    for g in grams:
+        counts[g] = counts.get(g, 0) + 1
+    twice = {i + k for i, g in enumerate(grams) if counts[g] > 1 for k in range(3)}
+    left = [x for x in (text or "").split("\n") if not WORD.search(x) or not line_fails(x)]
+    kept = len(words) >= 50 and 2 * len(twice) <= len(words) and 2 * len(WORD.findall("\n".join(left))) >= len(words)
+    return kept, "\n".join(left)
+
+
 def removed(rows, length):
     first: dict[bytes, tuple] = {}
     texts = [(order(i), i, (t or "").encode()) for i, t in rows]

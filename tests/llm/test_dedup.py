@@ -48,7 +48,7 @@ def test_repeated_short_lines(spark):
         (1, "Les.\nAll rights reserved.\nles.\n\n \none two three four"), (2, "All  Rights Reserved.\nLes\n\nLes."),
         (3, None), (4, "one two three four five\none two three\nfour"), (5, "one two three four"), (None, "four\nfive"),
     ]
-    found = line_dedup.without_repeated_lines(cases.frame(spark, rows), whole=True)
+    found = line_dedup.without_repeated_lines(cases.frame(spark, rows))
     wanted = [
         (1, "Les.\nAll rights reserved.\n\n \none two three four"), (2, "Les\n"), (3, None), (4, rows[3][1]), (5, ""),
         (None, "five"),

@@ -43,8 +43,10 @@ def test_repeated_strings_of_the_small_table(spark):
 def test_pipeline_equals_its_stages_in_plain_python(spark):
     documents = spark.read.parquet(f"{SF}/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in documents.collect()}
+    told = {i: cases.line_verdicts(t) for i, t in texts.items()}
     verdicts = {r["doc_id"]: r["kept"] for r in QUERIES["op9_quality_rules"](spark, SF).collect()}
-    rows = cases.without_repeated_lines(sorted((i, t) for i, t in texts.items() if verdicts[i]))
+    assert verdicts == {i: kept for i, (kept, _) in told.items()}
+    rows = cases.without_repeated_lines(sorted((i, told[i][1]) for i in texts if verdicts[i]))
     told = cases.near_duplicates(rows)
     rows = [row for row, (i, n, component, _) in zip(rows, told) if n == 0 or component == i]
     table = spark.createDataFrame(rows, "doc_id long, text string")

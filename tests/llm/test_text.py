@@ -2,9 +2,11 @@
 
 import base64
 import hashlib
+import html
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -12,7 +14,9 @@ import pytest
 import sentencepiece
 import tiktoken
 
+import check
 from tallybook.llm import byte_bpe, chat_format, decontaminate, html_extract, language_id, quality, queries, token_counts
+from tallybook.llm.oracles import ORACLES
 from tallybook.llm.common import blocks, shingles, span_hashes, text_buffers
 from tests.llm import cases
 
@@ -154,6 +158,20 @@ def test_boilerplate_phrases_have_word_edges_and_a_share(spark):
     for r in quality.assess(cases.frame(spark, rows)).collect():
         assert (r["kept"] or r["doc_id"] == 205), r  # the long line of phrases repeats itself
         assert r["n_lines_removed"] == (r["doc_id"] >= 200), r
+    one_hit = cases.prose(73, 40) + " sign in sign in sign in log inlog in " + cases.prose(74, 20) + "."
+    rows += [(300, one_hit), (301, "Log in sign in."), (302, None), (303, cases.prose(75, 70) + " " + one_hit), *cases.documents()]
+    equals_sql(spark, rows)
+    own = quality.assess(cases.frame(spark, [(1, lines.format("Buy now, friends."))]), ["buy now"]).first()
+    assert own["n_lines_removed"] == 1
+
+
+def equals_sql(spark, rows):
+    duck = duckdb.connect()
+    duck.register("documents", pa.table({"doc_id": pa.array([i for i, _ in rows], pa.int64()), "text": [t for _, t in rows]}))
+    result = duck.execute(ORACLES["op9_quality_rules"])
+    wanted = check.sorted_rows([c[0] for c in result.description], result.fetchall())
+    df = quality.assess(cases.frame(spark, rows))
+    assert check.sorted_rows(df.columns, [tuple(r) for r in df.collect()]) == wanted
 
 
 def test_languages(spark):
@@ -205,6 +223,59 @@ def test_pages(spark):
     assert html_extract.extract_pages(nothing, html_extract.infer_rules(nothing)).count() == 0
 
 
+LONG = "Some words of the article that go on for a while, and then a few more of them."
+
+
+@pytest.mark.parametrize(
+    ("body", "wanted"),
+    [
+        ("<div class='site-content has-sidebar'><article><p>{0}</p></article></div>", "{0}"),
+        ("<article class='post no-comments'><p>{0}</p></article>", "{0}"),
+        ("<article class='post category-search'><p>{0}</p><div class='related'>R</div></article>", "{0}"),
+        ("".join(f"<div class='{chr(97 + k // 26)}{chr(97 + k % 26)}x'>{{0}}</div>" for k in range(400)), " ".join(["{0}"] * 400)),
+        ("<section><p>{0} 1</p></section><section><p>{0} 2</p></section><section><p>{0} 3</p></section>", "{0} 1 {0} 2 {0} 3"),
+        ("<article><header><h1>Title</h1></header><p>{0}</p><footer>F</footer></article>", "Title {0}"),
+        ("<div class='post'><h1>Title</h1><div class='entry'><p>{0}</p></div></div>", "Title {0}"),
+        ("<form id='f'><article><p>{0}</p></article></form>", "{0}"),
+        ("<div class='sidebar-layout'><article><p>{0}</p></article></div><p>Short.</p>", "{0}"),
+        ("<article><p>{0}</p></article><ol class='comment-list'><li><article class='comment'><p>{0}{0}</p></article></ol>", "{0}"),
+        ("<div class='content'><p>{0}</p></div><div id='comments'><article><p>Me too</p></article></div>", "{0}"),
+        ("<div class='search-page'><p>{0}</p></div>", "{0}"),
+        ("<div>{0}<br>{0}</div>", "{0} {0}"),
+        ("<nav>{0}</nav><aside><p>{0}</p></aside>", ""),
+    ],
+)
+def test_shapes_of_pages(spark, body, wanted):
+    """Alone, and as one of a host's pages that agree in their title and differ in their text."""
+    nav = "<header><h1>Site</h1></header><nav><ul><li><a>m</a></ul></nav><div class='ad-slot'><p>Buy</p></div>"
+    build = lambda k: f"<html><body>{nav}{body.format(LONG + f' {k}')}<footer>end</footer></body></html>"
+    for host in ("http://x.example/{0}", "http://{0}.example"):
+        rows = [(k, host.format(k), build(k)) for k in range(7)]
+        table = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2)
+        found = html_extract.extract_pages(table, html_extract.infer_rules(table)).collect()
+        assert {r["page_id"]: r["text"] for r in found} == {k: wanted.format(LONG + f" {k}") for k in range(7)}
+
+
+def test_title_that_recurs_stays(spark):
+    rows = [(k, "http://x.example", f"<article><h1>Weekly report</h1><p>{LONG} {k}</p><h4>Read on</h4></article>") for k in range(8)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = html_extract.extract_pages(table, html_extract.infer_rules(table)).collect()
+    assert sorted(r["text"] for r in found) == [f"Weekly report {LONG} {k}" for k in range(8)]
+
+
+def test_pages_of_the_small_table(spark):
+    """Against the article element cut out by hand, tag by tag."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()
+    wanted = {}
+    for r in rows:
+        article = re.search(r"<article>(.*?)</article>", r["html"] or "", re.S)
+        pieces = re.split(r"</?(?:h1|p|br)\b[^>]*>", article.group(1) if article else "")
+        texts = [" ".join(html.unescape(re.sub(r"</?[a-z][^>]*>", "", x)).split()) for x in pieces]
+        wanted[r["page_id"]] = " ".join(x for x in texts if x)
+    found = {r["page_id"]: r["text"] for r in queries.page_texts(spark, "/root/testdata/sf0.001").collect()}
+    assert found == wanted and all(found.values())
+
+
 def test_wrapper_is_union_free():
     tree = lambda x: html_extract.expression(html_extract.parse(x))
     one = tree("<ul><li>a</li><li>b</li></ul><p>same</p>")
