@@ -13,8 +13,8 @@ from tallybook.llm.queries import bpe_digests
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules, texts untouched."""
-    return quality.keep(docs)
+    """Documents that pass the quality rules, without the lines that fail; n_chars stays that of the source."""
+    return quality.cut_failed_lines(docs)
 
 
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
