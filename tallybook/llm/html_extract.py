@@ -190,7 +190,7 @@ def _settle(root: Element) -> None:
         if inside and element.aside == HEADER:
             element.aside = KEPT
         if element.aside:
-            if not chain and element.aside != FIRM:
+            if not chain and element.aside == LOOSE:
                 loose.append(element)
             chain, firm = [*chain, element], firm or element.aside == FIRM
         if element.article and element.size:

@@ -21,6 +21,7 @@ from tallybook.llm import (
     token_counts,
 )
 from tallybook.llm.common import table, written
+from tallybook.session import release_shuffles
 
 
 def _vocabulary(name: str) -> str:
@@ -36,6 +37,7 @@ def _word_pattern() -> str:
 
 
 def line_deduplication(spark: SparkSession, sf_dir: str) -> DataFrame:
+    release_shuffles(spark)  # a step's shuffle goes once its table is written
     kept = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     text = F.coalesce("text", F.lit(""))
     return kept.select(
