@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallybook.llm import decontaminate, line_dedup, ngram_join, quality
 from tallybook.llm.common import table, written
 from tallybook.llm.queries import bpe_digests
+from tallybook.session import release_shuffles
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,6 +20,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that match an earlier one; n_chars stays that of the source."""
+    release_shuffles(spark)
     return line_dedup.without_repeated_lines(docs)
 
 
