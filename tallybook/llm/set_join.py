@@ -88,6 +88,7 @@ def _screen_length(n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]
 
 #: The tag of sets that one match lets stay, from whichever batch.
 ANY_BATCH = 1
+_TAG_BITS = 32
 
 
 def _tag(partition: np.uint64, doc_ids: pa.Array, sets: np.ndarray) -> int:
@@ -125,7 +126,7 @@ def screened(rows: DataFrame, sets: Sets, percent: int) -> DataFrame:
             if not len(tokens):
                 continue
             owner, single = np.concatenate(held_sets), np.concatenate(held_single)
-            order = np.argsort(tokens, kind="stable")
+            order = np.argsort(tokens)
             tokens, owner, single = tokens[order].view(np.int64), owner[order], single[order]
             start = np.append(True, tokens[1:] != tokens[:-1])
             group = np.cumsum(start) - 1
@@ -134,28 +135,33 @@ def screened(rows: DataFrame, sets: Sets, percent: int) -> DataFrame:
             second = np.append(False, start[:-1])
             witness = several & (start | second)
             asks = ~several
-            answered, at, matches = np.unique(owner[several], return_index=True, return_counts=True)
             tag = _tag(partition, batch.column(0), owner)
             tags = np.where(single, ANY_BATCH, tag)
+            order = np.flatnonzero(several)
+            order = order[np.argsort(owner[order])]
+            first = np.flatnonzero(np.append(True, owner[order][1:] != owner[order][:-1])) if len(order) else order
+            answered, matches = owner[order[first]], np.diff(np.append(first, len(order)))
             # an answered row has a place of its own, so that no task gathers them
             alone = mixed(answered.view(U64) ^ U64(tag)).view(np.int64)
+            # the matches stand above the tag
             out = [
-                (tokens[witness], owner[witness], np.zeros(int(witness.sum()), np.int64), np.zeros(1, np.int64)),
-                (tokens[asks], owner[asks], tags[asks], np.zeros(1, np.int64)),
-                (alone, answered, tags[several][at], matches),
+                (tokens[witness], owner[witness], np.zeros(int(witness.sum()), np.int64)),
+                (tokens[asks], owner[asks], tags[asks]),
+                (alone, answered, tags[order[first]] | matches << _TAG_BITS),
             ]
-            for place, own, given, matched in out:
-                matched = np.broadcast_to(matched, len(own)) if len(matched) == 1 else matched
-                for k in range(0, len(own), 100_000):
-                    columns = [pa.array(x[k : k + 100_000]) for x in (place, own, given, matched)]
-                    yield pa.RecordBatch.from_arrays(columns, ["place", "set_id", "tag", "matches"])
+            for sent in out:
+                for k in range(0, len(sent[0]), 100_000):
+                    columns = [pa.array(x[k : k + 100_000]) for x in sent]
+                    yield pa.RecordBatch.from_arrays(columns, ["place", "set_id", "note"])
 
-    sent = rows.mapInArrow(run, "place long, set_id long, tag long, matches long")
+    sent = rows.mapInArrow(run, "place long, set_id long, note long")
     by_token = Window.partitionBy("place")
     elsewhere = (F.min("set_id").over(by_token) != F.max("set_id").over(by_token)).cast("long")
+    matches = F.shiftright("note", _TAG_BITS)
     told = sent.select(
-        "set_id", "tag", F.when(F.col("matches") > 0, F.col("matches")).otherwise(elsewhere).alias("matches")
-    )
+        "set_id", F.col("note").bitwiseAND((1 << _TAG_BITS) - 1).alias("tag"),
+        F.when(matches > 0, matches).otherwise(elsewhere).alias("matches"),
+    )
     return told.where("tag > 0 AND matches > 0").groupBy("set_id", "tag").agg(F.sum("matches").alias("matches"))
 
 
