@@ -129,3 +129,61 @@ def credit_types(rows: DataFrame) -> DataFrame:
         .groupBy(F.col("credit.type").alias("credit_type"))
         .agg(F.count(F.lit(1)).alias("credits"), F.sum("credit.amount").alias("amount"))
     )
+
+
+_SECONDS = {"hour": 3600, "day": 86400}
+_MILLION = 1_000_000
+
+
+def _largest_remainders(amount: Column, weights: Column, whole: Column) -> Column:
+    """An amount's parts by weight, as decimals of six places that sum to it; ``weights`` sum to ``whole``."""
+    units = (F.abs(amount) * _MILLION).cast("decimal(20,0)")
+
+    def share(weight: Column, place: Column) -> Column:
+        product = units * weight.cast("decimal(18,0)")
+        rest = product % whole
+        return F.struct((-rest).alias("rest"), place.alias("place"), ((product - rest) / whole).cast("bigint").alias("floor"))
+
+    # ordered by what the floor takes from them, the most first; then by place
+    shares = F.array_sort(F.transform(weights, share))
+    lacking = units.cast("bigint") - F.aggregate(shares, F.lit(0).cast("bigint"), lambda total, x: total + x["floor"])
+
+    def part(x: Column, order: Column) -> Column:
+        units = (x["floor"] + F.when(order < lacking, 1).otherwise(0)) * F.signum(amount).cast("bigint")
+        exact = units.cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(7,6)")
+        return F.struct(x["place"].alias("place"), exact.cast(schemas.MONEY).alias("amount"))
+
+    return F.transform(F.array_sort(F.transform(shares, part)), lambda x: x["amount"])
+
+
+def apportioned(
+    df: DataFrame, amounts: Sequence[str], grain: str, start: str = "usage_start", end: str = "usage_end"
+) -> DataFrame:
+    """Each row split over the hours or days (UTC) that it spans, with ``part_start`` and its part of each amount.
+
+    Amounts go by seconds, and what rounding leaves goes to the largest remainders, the earlier of equals first: the
+    parts sum to the whole in all six places. A row without a span is one part at its start; without a start, one
+    part without a time. Amounts are decimals of six places, null ones stay null.
+    """
+    unit = _SECONDS[grain]
+    c = F.col
+    rows = df.withColumns({"_s": F.unix_seconds(start), "_e": F.unix_seconds(end)})
+    first = c("_s") - F.pmod(c("_s"), F.lit(unit))
+    spans = F.coalesce(c("_e") > c("_s"), F.lit(False))
+    last = F.when(spans, c("_e") - 1 - F.pmod(c("_e") - 1, F.lit(unit))).otherwise(first)
+    rows = rows.withColumn("_starts", F.sequence(first, last, F.lit(unit).cast("bigint")))
+    weight = lambda t: F.least(c("_e"), t + unit) - F.greatest(c("_s"), t)
+    rows = rows.withColumns({
+        "_weights": F.when(spans, F.transform("_starts", weight)).otherwise(F.array(F.lit(1).cast("bigint"))),
+        "_whole": F.when(spans, c("_e") - c("_s")).otherwise(1).cast("decimal(18,0)"),
+    })
+    parts = {f"_parts_{k}": _largest_remainders(c(n), c("_weights"), c("_whole")) for k, n in enumerate(amounts)}
+    rows = rows.withColumns(parts)
+    zipped = F.arrays_zip(c("_starts").alias("at"), *(c(f"_parts_{k}").alias(f"p{k}") for k in range(len(amounts))))
+    rows = rows.withColumn("_part", F.explode_outer(zipped))
+    place = {n: k for k, n in enumerate(amounts)}
+    kept = [
+        F.when(c("_part").isNull(), c(n).cast(schemas.MONEY)).otherwise(c(f"_part.p{place[n]}")).alias(n) if n in place else c(n)
+        for n in df.columns
+    ]
+    return rows.select(*kept, F.timestamp_seconds("_part.at").alias("part_start"))

@@ -126,6 +126,82 @@ def reservation_utilisation(usage: DataFrame, fees: DataFrame) -> DataFrame:
     )
 
 
+#: Seconds of a bucket in which periods of a reservation meet.
+PERIOD_BUCKET = 32 * 86400
+#: Shares that a reservation of very many usage rows is cut into; its fees go to each.
+PERIOD_SHARES = 16
+
+
+def _share(amount: Column, part: Column, whole: Column) -> Column:
+    """The first ``part`` of ``whole`` seconds of an amount, floored in its sixth place."""
+    product = (amount * 1_000_000).cast("decimal(26,0)") * part.cast("decimal(12,0)")
+    seconds = whole.cast("decimal(12,0)")
+    return ((product - F.pmod(product, seconds)) / seconds).cast("decimal(26,0)")
+
+
+def _in_periods(usage: DataFrame, fees: DataFrame, hot_rows: int) -> DataFrame:
+    """Usage rows with every fee of their reservation whose period they overlap, by buckets of time.
+
+    Both sides go into each bucket that they touch, and a pair counts in the first bucket that it shares.
+    """
+    span = lambda start, end: F.sequence(
+        F.floor(F.col(start) / PERIOD_BUCKET), F.floor((F.col(end) - 1) / PERIOD_BUCKET)
+    )
+    fees = fees.withColumn("_bucket", F.explode(span("_from", "_to")))
+
+    def met(rows: DataFrame, fee_rows: DataFrame, more: list[str]) -> DataFrame:
+        joined = rows.withColumn("_bucket", F.explode(span("_s", "_e"))).join(fee_rows, ["reservation_arn", "_bucket", *more])
+        begins = F.greatest("_s", "_from")
+        return joined.filter(
+            (begins < F.least("_e", "_to")) & (F.col("_bucket") == F.floor(begins / PERIOD_BUCKET))
+        ).drop(*more)
+
+    def heavy(rows: DataFrame) -> DataFrame:
+        cut = rows.withColumn("_cut", F.pmod(F.xxhash64("line_item_id", "_s"), F.lit(PERIOD_SHARES)))
+        copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(PERIOD_SHARES - 1).cast("bigint")))
+        return met(cut, fees.withColumn("_cut", copies), ["_cut"])
+
+    return split_hot(usage, ["reservation_arn"], lambda rows: met(rows, fees, []), heavy, hot_rows)
+
+
+def reservation_by_period(usage: DataFrame, fees: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Per reservation fee, the hours and cost of its reservation's usage that fall into its own period.
+
+    Usage that reaches beyond a period counts in proportion of its seconds, floored in the sixth place such that
+    adjoining periods share it without loss. Where periods of one reservation overlap, usage counts in each: its
+    hours were bought twice. Usage without a span, and fees without a period, match nothing; a fee without usage
+    stays, with zero hours.
+    """
+    c = F.col
+    seconds = lambda column: F.unix_seconds(F.try_to_timestamp(column))
+    used = usage.filter("line_item_type = 'DiscountedUsage' AND reservation_arn IS NOT NULL").select(
+        "reservation_arn", "line_item_id", seconds("usage_start").alias("_s"), seconds("usage_end").alias("_e"),
+        c("usage_amount").alias("_hours"), c("reservation_effective_cost").alias("_cost"),
+    ).filter("_e > _s")
+    bought = fees.filter("line_item_type = 'RIFee'").select(
+        "reservation_arn", c("line_item_id").alias("fee_id"), c("usage_start").alias("period_start"),
+        c("usage_end").alias("period_end"), c("usage_amount").alias("fee_hours"), c("unblended_cost").alias("fee"),
+    )
+    periods = bought.select(
+        "reservation_arn", "fee_id", seconds("period_start").alias("_from"), seconds("period_end").alias("_to")
+    ).filter("_to > _from")
+    pairs = _in_periods(used, periods, hot_rows)
+    whole = c("_e") - c("_s")
+    until, since = F.least("_e", "_to") - c("_s"), F.greatest("_s", "_from") - c("_s")
+    part = lambda amount: _share(amount, until, whole) - _share(amount, since, whole)
+    sums = pairs.groupBy("fee_id").agg(
+        F.count(F.lit(1)).alias("usage_rows"), F.sum(part(c("_hours"))).alias("_h"), F.sum(part(c("_cost"))).alias("_c")
+    ).withColumnRenamed("fee_id", "_fee_id")
+    millionth = F.lit("0.000001").cast("decimal(7,6)")
+    money = lambda name: (F.coalesce(c(name), F.lit(0)).cast("decimal(31,0)") * millionth).cast("decimal(32,6)")
+    return bought.join(sums, c("fee_id") == c("_fee_id"), "left").select(
+        "fee_id", "reservation_arn", "period_start", "period_end",
+        F.coalesce("usage_rows", F.lit(0)).alias("usage_rows"), money("_h").alias("used_hours"),
+        money("_c").alias("used_cost"), "fee_hours", "fee",
+        F.try_divide(money("_h").cast("double"), c("fee_hours").cast("double")).alias("utilisation"),
+    )
+
+
 def round_trip(
     published: DataFrame,
     consumed: DataFrame,

@@ -329,6 +329,54 @@ ORACLES: dict[str, str] = {
             CAST(coalesce(used_hours, 0) AS DOUBLE) / CAST(fee_hours AS DOUBLE) AS utilisation,
             {_money('fee - coalesce(used_cost, 0)')} AS unused_cost
         FROM bought FULL JOIN used USING (reservation_arn)""",
+    "reservation_by_period": f"""WITH {CUR}, {FEES}, numbered AS (
+            SELECT *, CAST(regexp_extract(reservation_arn, '([0-9]+)$', 1) AS BIGINT) AS part FROM fees
+        ), periods AS (
+            SELECT line_item_id || '-a' AS fee_id, reservation_arn, TIMESTAMP '1995-01-01' AS starts,
+                TIMESTAMP '1998-03-01' + to_hours(31 * part % 977) AS ends, usage_amount, unblended_cost FROM numbered
+            UNION ALL SELECT line_item_id || '-b', reservation_arn, TIMESTAMP '1998-02-01' + to_hours(17 * part % 977),
+                TIMESTAMP '2002-01-01', usage_amount, unblended_cost FROM numbered
+        ), used AS (
+            SELECT reservation_arn, CAST(epoch(started_at) AS BIGINT) AS s, CAST(epoch(stopped_at) AS BIGINT) AS e,
+                CAST(usage_amount * 1000000 AS HUGEINT) AS h, CAST(reservation_effective_cost * 1000000 AS HUGEINT) AS c
+            FROM cur WHERE line_item_type = 'DiscountedUsage'
+        ), sums AS (
+            SELECT fee_id, count(*) AS n, sum(h * b // w - h * a // w) AS h, sum(c * b // w - c * a // w) AS c FROM (
+                SELECT fee_id, h, c, e - s AS w, least(e, CAST(epoch(ends) AS BIGINT)) - s AS b,
+                    greatest(s, CAST(epoch(starts) AS BIGINT)) - s AS a
+                FROM used JOIN periods USING (reservation_arn)
+                WHERE greatest(s, CAST(epoch(starts) AS BIGINT)) < least(e, CAST(epoch(ends) AS BIGINT))
+            ) GROUP BY fee_id
+        )
+        SELECT fee_id, reservation_arn, strftime(starts, '%Y-%m-%dT%H:%M:%SZ') AS period_start,
+            strftime(ends, '%Y-%m-%dT%H:%M:%SZ') AS period_end, coalesce(n, 0) AS usage_rows,
+            {_money("CAST(coalesce(h, 0) AS DECIMAL(32,6)) / 1000000")} AS used_hours,
+            {_money("CAST(coalesce(c, 0) AS DECIMAL(32,6)) / 1000000")} AS used_cost,
+            {_money('usage_amount')} AS fee_hours, {_money('unblended_cost')} AS fee,
+            {_money("CAST(coalesce(h, 0) AS DECIMAL(32,6)) / 1000000")} / CAST(usage_amount AS DOUBLE) AS utilisation
+        FROM periods LEFT JOIN sums USING (fee_id)""",
+    "apportioned_spend": f"""WITH {CANONICAL}, whole AS (
+            SELECT row_number() OVER () AS row, provider, rate, CAST(epoch(usage_start) AS BIGINT) AS s,
+                CAST(epoch(usage_end) AS BIGINT) AS e, CAST(abs(net_cost) * 1000000 AS HUGEINT) AS units,
+                CAST(sign(net_cost) AS INTEGER) AS sign FROM canonical
+        ), parts AS (
+            SELECT *, unnest(range(s - s % 86400, e, 86400)) AS t FROM whole
+        ), shares AS (
+            SELECT *, units * (least(e, t + 86400) - greatest(s, t)) // (e - s) AS f,
+                units * (least(e, t + 86400) - greatest(s, t)) % (e - s) AS r FROM parts
+        ), given AS (
+            SELECT *, f + CASE WHEN row_number() OVER (PARTITION BY row ORDER BY r DESC, t)
+                <= units - sum(f) OVER (PARTITION BY row) THEN 1 ELSE 0 END AS part FROM shares
+        )
+        SELECT provider, CAST(to_timestamp(t) AT TIME ZONE 'UTC' AS TIMESTAMP) AS day, count(*) AS parts,
+            {_base('CAST(sign * part * CAST(0.000001 AS DECIMAL(7,6)) AS DECIMAL(18,6))')} AS net_cost
+        FROM given GROUP BY provider, t""",
+    "restated_spend": f"WITH {CANONICAL}, restated AS (SELECT * REPLACE (CASE charge_class WHEN 'adjustment' "
+    "THEN CAST(net_cost * 2 AS DECIMAL(18,6)) ELSE net_cost END AS net_cost) FROM canonical WHERE charge_class <> 'tax') "
+    + _spend(
+        "provider, account, CAST(date_trunc('day', usage_start) AS TIMESTAMP) AS day",
+        "provider, account, date_trunc('day', usage_start)",
+    ).replace("FROM canonical", "FROM restated"),
     "non_base_currency": f"""WITH {GCP}
         SELECT currency, team, count(*) AS line_count, {_money('sum(net)')} AS net_local,
             {_base('net')} AS net_base

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tallybook import schemas
 from tallybook.functions import costs, text
-from tallybook.operators import expectations, normalize, outbox, paging, reconcile
+from tallybook.operators import expectations, normalize, outbox, paging, reconcile, restate
 from tallybook.session import new_table_path, prepare
 from tallybook.sources import adapters, eventlog, feeds
 from tallybook.sources.adapters import cur_like, fees_like, gcp_like, outbox_like, table
@@ -144,6 +144,51 @@ def reservation_utilisation(spark, sf_dir):
     return reconcile.reservation_utilisation(cur_like(spark, sf_dir), fees_like(spark, sf_dir))
 
 
+def _fees_by_period(spark, sf_dir):
+    """Two fees for each reservation: periods that overlap, and begin and end within usage."""
+    fees = fees_like(spark, sf_dir)
+    number = F.regexp_extract("reservation_arn", r"(\d+)$", 1).cast("bigint")
+    at = lambda day, hours: text.vendor_time(
+        F.lit(day).cast("timestamp") + F.make_dt_interval(hours=(number * hours % 977).cast("int"))
+    )
+    periods = F.explode(F.array(
+        F.struct(F.lit("a").alias("name"), F.lit("1995-01-01T00:00:00Z").alias("start"), at("1998-03-01", 31).alias("end")),
+        F.struct(F.lit("b").alias("name"), at("1998-02-01", 17).alias("start"), F.lit("2002-01-01T00:00:00Z").alias("end")),
+    ))
+    return fees.withColumn("_period", periods).withColumns({
+        "line_item_id": F.concat_ws("-", "line_item_id", "_period.name"),
+        "usage_start": F.col("_period.start"), "usage_end": F.col("_period.end"),
+    }).drop("_period")
+
+
+@query
+def reservation_by_period(spark, sf_dir):
+    return reconcile.reservation_by_period(cur_like(spark, sf_dir), _fees_by_period(spark, sf_dir))
+
+
+@query
+def apportioned_spend(spark, sf_dir):
+    """Spend per provider and day, each row split over the days that it spans."""
+    parts = normalize.apportioned(_canonical(spark, sf_dir), ["net_cost"], "day")
+    return parts.groupBy("provider", F.col("part_start").alias("day")).agg(
+        F.count(F.lit(1)).alias("parts"), normalize.in_base("net_cost").alias("net_cost")
+    )
+
+
+@query
+def restated_spend(spark, sf_dir):
+    """Daily spend after a second delivery, taken in twice, that doubles adjustments and withdraws taxes."""
+    path = new_table_path(spark, "restated")
+    keys = ["provider", "account"]
+    rows = _canonical(spark, sf_dir)
+    old = rows.filter(F.col("charge_class").isin("tax", "adjustment"))
+    new = rows.filter("charge_class = 'adjustment'").withColumn("net_cost", costs.money(F.col("net_cost") * 2))
+    restate.take_in(path, "first", None, rows, keys)
+    for _ in range(2):
+        restate.take_in(path, "second", old, new, keys)
+    return restate.spend(spark, path, keys)
+
+
 @query
 def non_base_currency(spark, sf_dir):
     rows = normalize.canonical_gcp(gcp_like(spark, sf_dir)).filter(costs.not_in_base(F.col("currency")))

@@ -239,7 +239,8 @@ def keep_windows(windows: DataFrame, keys: Sequence[str], path: str, checkpoint:
 
 def current_windows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The windows that ``keep_windows`` keeps."""
-    return written(spark, path, schema)
+    held = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
+    return written(spark, path, held).drop(DAY)
 
 
 def round_trip(

@@ -1,13 +1,15 @@
 import re
+from datetime import datetime, timedelta
 from decimal import Decimal
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallybook import schemas
 from tallybook.functions import costs, text
-from tallybook.operators import normalize, reconcile
+from tallybook.operators import normalize, reconcile, restate
 
 
 def _by(df, *keys):
@@ -200,3 +202,76 @@ def test_tokens_against_a_plain_parser(spark, tokens, size):
     df = spark.createDataFrame(list(enumerate(tokens)), "i int, t string")
     got = df.select("i", text.decode_token(F.col("t"), F.lit(size)).alias("o")).collect()
     assert {r.i: r.o for r in got} == {i: parse(t) for i, t in enumerate(tokens)}
+
+
+def test_parts_sum_to_the_whole(spark):
+    start = datetime(2025, 3, 1, 22, 30)
+    rows = [
+        (1, start, start + timedelta(hours=3), "10.000001", "-0.000002"),
+        (2, start, start + timedelta(days=3, seconds=1), "-7.000003", None),
+        (3, start, start, "5.5", "1"), (4, start, None, "2", "3"), (5, None, start, "1.25", "0"),
+        (6, datetime(2025, 3, 2), datetime(2025, 3, 3), "0.000001", "999999999999.999999"),
+    ]
+    kind = "id int, usage_start timestamp, usage_end timestamp, a decimal(18,6), b decimal(18,6), place string"
+    df = spark.createDataFrame([(*r[:3], *(x and Decimal(x) for x in r[3:]), "kept") for r in rows], kind)
+    for grain, length in (("hour", 3600), ("day", 86400)):
+        parts = normalize.apportioned(df, ["a", "b"], grain).collect()
+        for number, begins, ends, *amounts in rows:
+            mine = sorted((p for p in parts if p["id"] == number), key=lambda p: (p["part_start"] is not None, p["part_start"]))
+            for name, amount in zip("ab", amounts):
+                held = [p[name] for p in mine]
+                assert held == [None] * len(mine) if amount is None else sum(held) == Decimal(amount)
+            if begins and ends and ends > begins:
+                first = begins.replace(minute=0, hour=0 if grain == "day" else begins.hour)
+                spans = [first + timedelta(seconds=length * k) for k in range(len(mine))]
+                assert [p["part_start"] for p in mine] == spans and spans[-1] < ends <= spans[-1] + timedelta(seconds=length)
+                for p in mine:
+                    begin, end = max(begins, p["part_start"]), min(ends, p["part_start"] + timedelta(seconds=length))
+                    exact = Decimal(amounts[0]) * int((end - begin).total_seconds()) / int((ends - begins).total_seconds())
+                    assert abs(p["a"] - exact) < Decimal("0.000001")
+            else:
+                assert len(mine) == 1 and mine[0]["place"] == "kept"
+
+
+@pytest.mark.parametrize("hot_rows", [10**9, 2])
+def test_fees_meet_usage_by_period(spark, hot_rows):
+    day = lambda n: f"2025-01-{n:02d}T00:00:00Z"
+    usage = [("r1", "u1", day(1), day(3), "48", "4.8"), ("r1", "u2", day(9), day(12), "72", "1.000001"),
+             ("r2", "u3", day(1), day(2), "24", "2"), ("r1", "u4", day(5), day(5), "1", "1"), (None, "u5", day(1), day(2), "1", "1"),
+             ("r1", "u6", day(20), day(21), "24", "9")]
+    fees = [("r1", "f1", day(1), day(10), "216", "50"), ("r1", "f2", day(10), day(15), "120", "20"), ("r1", "f3", day(2), day(11), "216", "7"),
+            ("r3", "f4", day(1), day(9), "10", "1"), ("r2", "f5", day(1), day(1), "0", "1")]
+    one = spark.createDataFrame(
+        [(a, i, s, e, Decimal(h), Decimal(c), "DiscountedUsage") for a, i, s, e, h, c in usage],
+        "reservation_arn string, line_item_id string, usage_start string, usage_end string, usage_amount decimal(24,6), reservation_effective_cost decimal(18,6), line_item_type string",
+    )
+    two = spark.createDataFrame(
+        [(a, i, s, e, Decimal(h), Decimal(c), "RIFee") for a, i, s, e, h, c in fees],
+        "reservation_arn string, line_item_id string, usage_start string, usage_end string, usage_amount decimal(24,6), unblended_cost decimal(18,6), line_item_type string",
+    )
+    got = {r["fee_id"]: (r["usage_rows"], r["used_hours"], r["used_cost"]) for r in reconcile.reservation_by_period(one, two, hot_rows).collect()}
+    third = Decimal("0.333333")
+    assert got == {
+        "f1": (2, 72, Decimal("4.8") + third), "f2": (1, 48, Decimal("1.000001") - third),
+        "f3": (2, 72, Decimal("2.4") + Decimal("0.666667")), "f4": (0, 0, 0), "f5": (0, 0, 0),
+    }
+
+
+def test_restated_spend_follows_deliveries(spark, tmp_path):
+    at = datetime(2025, 3, 1, 5)
+    rows = [(f"a{k % 3}", at + timedelta(days=k % 4), Decimal(k), Decimal("1.5")) for k in range(40)]
+    schema = "account string, usage_start timestamp, net_cost decimal(18,6), rate decimal(10,6)"
+    frame = lambda x: spark.createDataFrame(x, schema).withColumns({n: F.col("net_cost") for n in ("list_cost", "effective_cost")})
+    path = str(tmp_path / "spend")
+    restate.take_in(path, "one", None, frame(rows), ["account"])
+    changed = [(*r[:2], r[2] + 1, r[3]) for r in rows[:9]]
+    for _ in range(2):
+        restate.take_in(path, "two", frame(rows[:10]), frame(changed), ["account"])  # the tenth row is withdrawn
+    whole = normalize.spend_by(frame(changed + rows[10:]), ["account"], "day")
+    names = ["account", "day", "line_count", "net_cost", "list_cost"]
+    shown = lambda df: sorted(map(tuple, df.select(*names).collect()))
+    assert shown(restate.spend(spark, path, ["account"])) == shown(whole)
+    last = frame(changed + rows[10:])
+    restate.take_in(path, "three", last, last.limit(0), ["account"])
+    assert restate.spend(spark, path, ["account"]).isEmpty()
+    assert restate.deltas(last, last, ["account"]).isEmpty()
