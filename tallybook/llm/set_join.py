@@ -275,10 +275,49 @@ def ordered(tokens: DataFrame, left: DataFrame, percent: int, adaptive: bool) ->
     )
 
 
+def joined_up(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Give linked places one label, the smallest."""
+    while True:
+        x, y = label[a], label[b]
+        differ = x != y
+        if not differ.any():
+            return
+        np.minimum.at(label, np.maximum(x, y)[differ], np.minimum(x, y)[differ])
+        while (label != label[label]).any():
+            label[:] = label[label]
+
+
+def contracted(edges: DataFrame) -> DataFrame:
+    """Edges ``a, b`` as stars: within every 500,000 that a task reads, each node hangs on the smallest it reaches."""
+
+    def stars(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        both = [np.concatenate([batch.column(k).to_numpy() for batch in held]) for k in (0, 1)]
+        nodes, at = np.unique(np.concatenate(both), return_inverse=True)
+        label = np.arange(len(nodes))
+        joined_up(label, at[: len(both[0])], at[len(both[0]) :])
+        own = np.flatnonzero(label != np.arange(len(nodes)))
+        return pa.RecordBatch.from_arrays([pa.array(nodes[own]), pa.array(nodes[label[own]])], ["a", "b"])
+
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= EDGES_PER_FILE:
+                yield stars(held)
+                held, n = [], 0
+        if held:
+            yield stars(held)
+
+    return edges.select("a", "b").mapInArrow(run, "a long, b long")
+
+
 def components(edges: DataFrame, label: str) -> DataFrame:
     """``node, root``: the smallest node that each node of ``a, b`` is connected with.
 
-    Rounds of a large and a small star; each round is a written table, and only two counts reach the driver.
+    Tasks contract the edges that they read; what is still open goes through rounds of a large and a small star, and
+    what fits one file is finished by one more contraction. Each round is a written table, and only two counts reach
+    the driver.
     """
     sides = lambda e: e.union(e.select(F.col("b"), F.col("a")))
 
@@ -294,8 +333,7 @@ def components(edges: DataFrame, label: str) -> DataFrame:
             out = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).union(least.select("u", "m"))
         return out.where("a != b").distinct()
 
-    ordered = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    current = written(ordered.where("a != b").distinct(), label)
+    current = written(contracted(edges.where("a != b")), label)
     while True:
         ends = current.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(
             current.select("b", F.lit(0), F.lit(1))
@@ -305,7 +343,8 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         if not told["open"]:  # every node hangs on one root, and no root hangs on another
             break
         parts = told["edges"] // EDGES_PER_FILE + 1
-        current = written(star(star(current, True), False).coalesce(parts), label)
+        left = current if parts == 1 else star(star(current, True), False)
+        current = written(contracted(left.coalesce(parts)), label)
     return current.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         current.select("b", "b").distinct()
     )

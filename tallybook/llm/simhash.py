@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm.common import BLOCK_BYTES, LOWER, U64, WHITE, blocks, runs, text_buffers, written
-from tallybook.llm.set_join import components
+from tallybook.llm.set_join import components, joined_up
 
 WIDTH, RADIUS, SEED = 3, 3, 42
 BITS = 64
@@ -229,24 +229,12 @@ class Forest:
         return np.concatenate(found_a), np.concatenate(found_b)
 
 
-def _joined_up(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Give linked places one label, the smallest."""
-    while True:
-        x, y = label[a], label[b]
-        open_ = x != y
-        if not open_.any():
-            return
-        np.minimum.at(label, np.maximum(x, y)[open_], np.minimum(x, y)[open_])
-        while (label != label[label]).any():
-            label[:] = label[label]
-
-
 def star_links(values: np.ndarray, bucket: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """For every place that is linked within its bucket: the place, and the smallest one that it is connected with."""
     forest = Forest(values, bucket)
     label = np.arange(len(values))
     for k in range(0, len(values), WALKERS):
-        _joined_up(label, *forest.near(np.arange(k, min(k + WALKERS, len(values))), radius))
+        joined_up(label, *forest.near(np.arange(k, min(k + WALKERS, len(values))), radius))
     linked = np.flatnonzero(label != np.arange(len(values)))
     return linked, label[linked]
 

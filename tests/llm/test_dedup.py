@@ -100,9 +100,14 @@ def test_binary_search_between_shards():
     assert one.find(two, step=7).tolist() == [place.get(shown(two, k), -1) for k in range(len(two.head))]
 
 
-def test_components_of_a_chain(spark):
+@pytest.mark.parametrize("held", [set_join.EDGES_PER_FILE, 3])
+def test_components_of_a_chain(spark, monkeypatch, held):
+    """At three edges a file, what a task contracts is little and rounds of stars do the rest."""
+    monkeypatch.setattr(set_join, "EDGES_PER_FILE", held)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", min(held, 10_000))
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (90, 95)], "a long, b long")
     found = {r["node"]: r["root"] for r in set_join.components(edges, "chain").collect()}
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert found == {**{i: 0 for i in range(41)}, 90: 90, 95: 90, 100: 90}
 
 
