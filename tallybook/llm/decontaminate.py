@@ -24,8 +24,10 @@ COVERED = 13
 PLAIN_WORDS = 5
 #: Thinner windows, of so many such words at least, count only where an alignment covers the whole item.
 THIN_WORDS = 2
-#: Bits of the filter that tasks hold ahead of the join, whatever the benchmark's size.
-FILTER_BITS = 1 << 22
+#: Bits of the filter that tasks hold ahead of the join, for each window of the benchmark, and at most: beyond some
+#: thirty million windows it lets more through, which the join then leaves out.
+BITS_PER_WINDOW = 16
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
 UNITS = (
     "mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms ton tons ounce ounces lb "
     "lbs pound pounds ml l liter liters litre litres gallon gallons second seconds sec minute minutes min hour hours h day "
@@ -127,16 +129,21 @@ def windows(block: Block, width: int) -> tuple[np.ndarray, ...]:
 _SCHEMA = "id long, place long, template boolean, level long, width long, key long, slots array<long>, size long"
 
 
+def _held(allowed: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether the filter lets a key through; ``allowed`` has eight of its bits a byte."""
+    last = U64(8 * len(allowed) - 1)
+    out = np.ones(len(key), bool)
+    for shift in (0, 34):
+        bit = (key >> U64(shift) & last).astype(np.int64)
+        out &= (allowed[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+    return out
+
+
 def _rows(batch, block, width, allowed=None, sizes=None):
     text, place, is_template, level, key, slot, owner, words = windows(block, width)
     if not len(place):
         return None
-    if allowed is not None:
-        low = (key & U64(FILTER_BITS - 1)).astype(np.int64)
-        high = (key >> U64(22) & U64(FILTER_BITS - 1)).astype(np.int64)
-        held = allowed[low] & allowed[high]
-    else:
-        held = np.ones(len(place), bool)
+    held = np.ones(len(place), bool) if allowed is None else _held(allowed, key)
     if sizes is not None:
         held &= sizes[text]
     text, place, is_template, level, key, slot = (x[held] for x in (text, place, is_template, level, key, slot))
@@ -173,17 +180,22 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
 
 
 def _filter(items: DataFrame) -> tuple[np.ndarray, list[int]]:
-    """Bits of the keys, gathered as at most FILTER_BITS / 32 words, and the widths that occur."""
-    bits = items.select(F.explode(F.array(F.col("key"), F.shiftrightunsigned("key", 22))).alias("key"))
-    bits = bits.select(F.col("key").bitwiseAND(FILTER_BITS - 1).alias("bit"))
-    words = bits.groupBy(F.shiftright("bit", 5).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, int(bit & 31))")).alias("bits")
+    """The filter over the windows' keys, sized by their number, and the widths that occur.
+
+    It is gathered in bitmaps of four kilobytes, 32 megabytes of them at most.
+    """
+    size = LEAST_BITS
+    while size < min(BITS_PER_WINDOW * items.count(), MOST_BITS):
+        size *= 2
+    probes = F.explode(F.array(F.col("key"), F.shiftrightunsigned("key", 34)))
+    bits = items.select(probes.alias("key")).select((F.col("key").bitwiseAND(size - 1) + 1).alias("bit"))
+    maps = bits.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map")
     )
-    allowed = np.zeros(FILTER_BITS, bool)
-    for row in words.collect():
-        for k in range(32):
-            if row["bits"] >> k & 1:
-                allowed[row["word"] * 32 + k] = True
+    allowed = np.zeros(size // 8, np.uint8)
+    for row in maps.collect():
+        held = np.frombuffer(row["map"], np.uint8)
+        allowed[(row["bucket"] - 1) * len(held) :][: len(held)] = held
     return allowed, [r[0] for r in items.select("width").distinct().collect()]
 
 
@@ -195,12 +207,15 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     left out; rows that share a doc_id count as one document, its best alignment is told. Items of under four tokens
     are never found.
     """
+    return _found(documents.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), "text"), benchmark)
+
+
+def _found(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``contaminated`` of rows of ``id, text``."""
     items = written(benchmark_windows(benchmark.where("item_id IS NOT NULL")), "benchmark-windows")
     allowed, widths = _filter(items)
-    packed = np.packbits(allowed)
 
     def run(batches):
-        allowed = np.unpackbits(packed).astype(bool)
         for batch in batches:
             for block in blocks(batch.column(1)):
                 for width in widths:
@@ -208,8 +223,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
                     if out is not None and out.num_rows:
                         yield out
 
-    rows = documents.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    rows = rows.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    rows = documents.where("text IS NOT NULL").select("id", F.col("text").cast("string").alias("text"))
     found = rows.mapInArrow(run, _SCHEMA).select(
         F.col("id").alias("doc_id"), F.col("place").alias("at"), "template", F.col("level").alias("their_level"), "width", "key", F.col("slots").alias("theirs")
     )
@@ -240,6 +254,12 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``documents`` that hold no item, with all their columns; rows without doc_id stay."""
-    held = contaminated(documents, benchmark).select(F.col("doc_id").alias("held")).distinct()
-    return documents.join(held, documents["doc_id"].cast("long") == held["held"], "left_anti")
+    """The rows of ``documents`` that hold no item, with all their columns.
+
+    Each row is judged by its own text, whether or not it has a doc_id or shares it: rows are known by the hash of
+    both.
+    """
+    key = F.xxhash64(documents["doc_id"].cast("long"), documents["text"].cast("string"))
+    found = _found(documents.select(key.alias("id"), documents["text"]), benchmark)
+    held = found.select(F.col("doc_id").alias("held")).distinct()
+    return documents.join(held, key == held["held"], "left_anti")

@@ -21,6 +21,8 @@ DIMENSIONS = 512
 #: Letters below this code point have a vector of their own, others share those left, by code point.
 OWN_LETTERS = 0x530
 SLOTS = 4096
+#: Distinct trigrams whose vectors are held at once.
+SLICE = 20_000
 _BITS = 12
 
 
@@ -97,8 +99,10 @@ def learn(documents: DataFrame) -> dict[str, np.ndarray]:
                 distinct, place = np.unique(grams, return_inverse=True)
                 size = len(names) * len(distinct)
                 table = np.bincount(lang[own] * len(distinct) + place, counts, size).reshape(len(names), -1)
-                for name, vector in zip(names.tolist(), table @ gram_vectors(distinct).astype(float)):
-                    sums[name] = sums.get(name, 0) + vector
+                for k in range(0, len(distinct), SLICE):
+                    bound = gram_vectors(distinct[k : k + SLICE]).astype(float)
+                    for name, vector in zip(names.tolist(), table[:, k : k + SLICE] @ bound):
+                        sums[name] = sums.get(name, 0) + vector
         if sums:
             yield pa.RecordBatch.from_pydict({"lang": list(sums), "vector": [v.tolist() for v in sums.values()]})
 
@@ -128,17 +132,20 @@ def identify(documents: DataFrame, vectors: dict[str, np.ndarray]) -> DataFrame:
                 best, score = np.full(n, -1), np.zeros(n)
                 if len(own) and names:
                     distinct, place = np.unique(grams, return_inverse=True)
-                    bound = gram_vectors(distinct).astype(np.float32)
                     texts, row = np.unique(own, return_inverse=True)
-                    for k in range(0, len(texts), 512):
-                        here = (row >= k) & (row < k + 512)
-                        table = np.zeros((min(512, len(texts) - k), len(distinct)), np.float32)
-                        table[row[here] - k, place[here]] = counts[here]
-                        bundled = table @ bound
-                        cosines = bundled @ profiles.T
-                        cosines /= np.maximum(np.linalg.norm(bundled, axis=1), 1e-9)[:, None]
-                        best[texts[k : k + 512]] = cosines.argmax(axis=1)
-                        score[texts[k : k + 512]] = np.clip(cosines.max(axis=1), 0, 1)
+                    bundled = np.zeros((len(texts), DIMENSIONS))
+                    for m in range(0, len(distinct), SLICE):
+                        bound = gram_vectors(distinct[m : m + SLICE]).astype(np.float32)
+                        some = (place >= m) & (place < m + SLICE)
+                        for k in range(0, len(texts), 512):
+                            here = some & (row >= k) & (row < k + 512)
+                            table = np.zeros((min(512, len(texts) - k), len(bound)), np.float32)
+                            table[row[here] - k, place[here] - m] = counts[here]
+                            bundled[k : k + 512] += table @ bound
+                    cosines = bundled @ profiles.T
+                    cosines /= np.maximum(np.linalg.norm(bundled, axis=1), 1e-9)[:, None]
+                    best[texts] = cosines.argmax(axis=1)
+                    score[texts] = np.clip(cosines.max(axis=1), 0, 1)
                 ids = batch.column(0).slice(block.first, n)
                 found = pa.array([names[i] if i >= 0 else "und" for i in best.tolist()], pa.string())
                 yield pa.RecordBatch.from_arrays([ids, found, pa.array(score)], ["doc_id", "lang_pred", "score"])

@@ -190,6 +190,41 @@ def test_languages(spark):
     assert {r["lang_pred"] for r in language_id.identify(table, {}).collect()} == {"und"}
 
 
+def bundled(text):
+    """The text's vector, letter by letter."""
+    slots, plain = language_id.letter_slots(), language_id.letter_vectors()[0].astype(int)
+    row = [0]
+    for letter in text or "":
+        slot = int(slots[ord(letter)])
+        if slot or row[-1]:
+            row.append(slot)
+    row += [0] * (row[-1] != 0)
+    out = np.zeros(language_id.DIMENSIONS)
+    for a, b, c in zip(row, row[1:], row[2:]):
+        out += np.roll(plain[a], 2) * np.roll(plain[b], 1) * plain[c]
+    return out
+
+
+@pytest.mark.parametrize("slice_", [language_id.SLICE, 7])
+def test_languages_by_plain_bundling(spark, monkeypatch, slice_):
+    monkeypatch.setattr(language_id, "SLICE", slice_)
+    texts = ["The cat sat.", "Le chat, 2 chats!", "Der Hund ß", "日本語 です", "a", "Straße über été", "the the the", "12", "", None, " x  y "]
+    rows = [(k, t, ["en", "fr", "de", None][k % 4]) for k, t in enumerate(texts * 3)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sums: dict[str, np.ndarray] = {}
+    for _, text, lang in rows:
+        if lang and text is not None and bundled(text).any():
+            sums[lang] = sums.get(lang, 0) + bundled(text)
+    vectors = language_id.learn(table)
+    assert set(vectors) == set(sums) and all((vectors[k] == sums[k]).all() for k in sums)
+    for row in language_id.identify(table, vectors).collect():
+        own = bundled(rows[row["doc_id"]][1])
+        cosines = {k: own @ v / np.linalg.norm(own) / np.linalg.norm(v) for k, v in sums.items()} if own.any() else {}
+        best = max(cosines.values(), default=0)
+        assert row["score"] == pytest.approx(max(best, 0), abs=1e-5)
+        assert (row["lang_pred"] == "und") == (not cosines) and cosines.get(row["lang_pred"], 0) == pytest.approx(best, abs=1e-5)
+
+
 def test_held_out_accuracy(spark):
     documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     truth = {r["doc_id"]: r["lang"] for r in documents.select("doc_id", "lang").collect()}
@@ -304,12 +339,29 @@ def test_decontamination(spark):
     }
     assert (4, 100) not in found
     kept = decontaminate.clean(cases.frame(spark, rows), items)
-    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["4", "5", "6", "7", "8", "None"])
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["4", "5", "6", "7", "8"])
     assert kept.columns == cases.frame(spark).columns
     assert decontaminate.contaminated(cases.frame(spark, rows), items.limit(0)).count() == 0
     assert decontaminate.contaminated(cases.frame(spark, []).limit(0), items).count() == 0
 
 
+def test_the_filter_holds_every_key_and_few_others(spark):
+    own = np.random.default_rng(4)
+    keys = own.integers(-(1 << 63), 1 << 63, 90_000)
+    items = spark.createDataFrame([(int(k), 8) for k in keys[:30_000]], "key long, width long")
+    allowed, widths = decontaminate._filter(items)
+    held = decontaminate._held(allowed, keys.view(np.uint64))
+    assert widths == [8] and held[:30_000].all() and held[30_000:].mean() < 0.02 and len(allowed) == 1 << 17
+
+
+def test_rows_without_id_are_judged_by_their_text(spark):
+    around = lambda x: cases.prose(1, 30) + ". " + x + " " + cases.prose(2, 30)
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    rows = [(None, around(ITEM)), (None, cases.prose(5, 60)), (7, around(ITEM)), (7, cases.prose(6, 60)), (None, None), (8, "")]
+    kept = decontaminate.clean(cases.frame(spark, rows), items).select("doc_id", "text").collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(str(r) for r in rows if ITEM not in (r[1] or ""))
+
+
 def test_questions_with_opening_names_and_dense_numbers(spark):
     around = lambda x: cases.prose(1, 30) + ". " + x + " " + cases.prose(2, 30)
     bench = [(1, "Anna has 7 red apples and buys 9 more today."), (2, "What is 12 + 7 + 3 + 9"), (3, "Add 5 apples, 6 pears, 7 plums and 8 figs")]
