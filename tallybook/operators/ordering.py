@@ -27,6 +27,7 @@ CHUNK = "_chunk"
 PLACE = "_place"
 POSITION = "_position"
 _ROW = "_row_of_task"
+_CONTENT = "_content_hash"
 ROW_BITS = 33  # monotonically_increasing_id keeps the row in the low 33 bits, the partition above
 
 
@@ -44,19 +45,21 @@ def chunked(
 ) -> DataFrame:
     """Range-partition by ``order``, write once, and return with chunk number and place in chunk.
 
-    Chunks follow each other in order. Rows equal in every order column are told apart by the task and row
-    they come from, so that countless copies of one row still spread over chunks. ``POSITION``, kept on
+    Chunks follow each other in order. Rows equal in every order column follow a hash of all their columns, and only
+    equal rows are told apart by the task and row they come from, so that countless copies of one row still spread
+    over chunks, and a task that runs again can't move other rows across a border. ``POSITION``, kept on
     request, is the chunk in its high bits and the place below: a filter on it skips the other chunks' files.
     """
     spark = df.sparkSession
     path = new_table_path(spark, "chunks")
-    order = [*order, F.col(_ROW)]
+    order = [*order, F.col(_CONTENT), F.col(_ROW)]
+    hashed = [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
     (
-        df.withColumn(_ROW, F.monotonically_increasing_id())
+        df.withColumns({_CONTENT: F.xxhash64(*hashed), _ROW: F.monotonically_increasing_id()})
         .repartitionByRange(chunks or chunk_count(df), *order)
         .sortWithinPartitions(*order)
         .withColumn(POSITION, F.monotonically_increasing_id())
-        .drop(_ROW)
+        .drop(_ROW, _CONTENT)
         .write.parquet(path)
     )
     rows = (

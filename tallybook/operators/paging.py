@@ -58,6 +58,20 @@ def page(feed: NumberedFeed, token: str | None, size: int) -> DataFrame:
     return feed.rows.filter(parts).sort(POSITION).drop(CHUNK, PLACE, POSITION).withColumn("next_token", following)
 
 
+def early_page(df: DataFrame, order: Sequence[Column | str], token: str | None, size: int) -> DataFrame:
+    """The page a token names, for pages near the feed's start: tasks keep the rows up to the page's end, no more.
+
+    The same as ``page``, without sorting and writing the feed; a deep page costs all rows ahead of it.
+    """
+    spark = df.sparkSession
+    rows = df.count()
+    decoded = decode_token(F.lit(token).cast("string"), F.lit(rows).cast("bigint"))
+    offset = spark.range(1).select(decoded.alias("offset")).first()["offset"]
+    end = min(offset + size, rows)
+    following = F.lit(str(end) if end < rows else None).cast("string")
+    return df.orderBy(*order).offset(offset).limit(size).withColumn("next_token", following)
+
+
 def assign_pages(df: DataFrame, order: Sequence[Column | str], size: int) -> DataFrame:
     """Every row with the number of its page and its place there: a whole walk in one job."""
     numbered = global_row_number(df, order, "_position")

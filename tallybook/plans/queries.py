@@ -270,7 +270,8 @@ def feed_page_sizes(spark, sf_dir):
 
 @query
 def feed_page_n(spark, sf_dir):
-    return _feed_page(spark, sf_dir, " 15 ", schemas.LINE_ITEM_PAGE_SIZE)
+    items = table(spark, sf_dir, "lineitem")
+    return paging.early_page(items, LINE_ORDER, " 15 ", schemas.LINE_ITEM_PAGE_SIZE).select(*LINE_ORDER, "next_token")
 
 
 @query

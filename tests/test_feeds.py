@@ -63,6 +63,7 @@ def test_page_walk_returns_every_row_once(spark, line_items, billing_rows, feed,
     numbered = paging.number_feed(rows, order, chunks=3)
     while True:
         page = paging.page(numbered, token, size).collect()
+        assert page == paging.early_page(rows, order, token, size).collect()
         walked.append(len(page))
         seen += page
         token = page[0].next_token

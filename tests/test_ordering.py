@@ -156,3 +156,14 @@ def test_tables_are_cleared_by_their_owner(spark):
         path = Path(written_paths()[-1])
         assert cut.count() == 10 and path.exists()
     assert not path.exists() and written_paths() == before
+
+
+def test_rows_equal_in_order_follow_their_content(spark):
+    """Whichever task a row comes from: chunks of one input dealt in two ways hold the same rows."""
+    rows = spark.range(400).select((F.col("id") % 2).alias("k"), (F.col("id") % 100).alias("v"))
+    dealt = [rows.repartition(n, "v") for n in (3, 7)]
+    told = [
+        sorted((r["_chunk"], r["_place"], r["k"], r["v"]) for r in ordering.chunked(df, ["k"], 5).collect()) for df in dealt
+    ]
+    content = lambda x: [(k, v) for _, _, k, v in x]
+    assert content(told[0]) == content(told[1])
