@@ -2,9 +2,9 @@
 
 1. Items with equal sets are one set, known by the hash of its tokens.
 2. Screen. Tokens are ordered by hash. Of two sets of a Jaccard of t or more, the first n - ceil(t n) + l tokens of
-   both share l at least, so a set stays only if that many of its first tokens stand in another set as well. A
-   task answers the tokens that it meets twice itself and sends one row for each of the others. A set so small that
-   no other set can come near it takes no part.
+   both share l at least, so a set stays only if that many of its first tokens stand in another set as well. The pass
+   that takes the sets keeps these tokens, so texts are not read again for it. A set so small that no other set can
+   come near it takes no part.
 3. Among the sets left, tokens are ordered by rarity. Tokens of one set only count towards n and nothing else; a
    set with too many of them has no partner and goes.
 4. Sets that share a prefix token form families, by a star to the smallest set of each token.
@@ -20,8 +20,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -64,19 +62,28 @@ def _counted(owner: np.ndarray, items: int) -> tuple[np.ndarray, np.ndarray]:
     return n, np.cumsum(n) - n
 
 
-def items(rows: DataFrame, sets: Sets) -> DataFrame:
-    """``doc_id, part, n, set_id`` of every item of ``doc_id, text``."""
+def items(rows: DataFrame, sets: Sets, percent: int) -> DataFrame:
+    """``doc_id, part, n, set_id`` of every item of ``doc_id, text``, and of those that send it the screen's prefix.
+
+    Of the items of one set in an Arrow batch the first sends it, the others an empty one.
+    """
 
     def run(batches):
         for batch in batches:
+            seen: set[int] = set()
             for row, part, owner, tokens in sets(batch):
                 n, first = _counted(owner, len(row))
+                ids = set_ids(tokens, first, n)
+                fresh = np.array([i not in seen and not seen.add(i) for i in ids.tolist()], bool)
+                length = np.where(fresh & has_partners(n, percent), _screen_length(n, percent)[0], 0)
+                inside = np.arange(len(tokens)) - first[owner] < length[owner]
+                prefix = list_array(tokens[inside].view(np.int64), owner[inside], len(row), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(row)), pa.array(part), pa.array(n), pa.array(set_ids(tokens, first, n))],
-                    ["doc_id", "part", "n", "set_id"],
+                    [batch.column(0).take(pa.array(row)), pa.array(part), pa.array(n), pa.array(ids), pa.array(length > 0), prefix],
+                    ["doc_id", "part", "n", "set_id", "sends", "prefix"],
                 )
 
-    return rows.mapInArrow(run, "doc_id long, part long, n long, set_id long")
+    return rows.mapInArrow(run, "doc_id long, part long, n long, set_id long, sends boolean, prefix array<long>")
 
 
 def _screen_length(n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -86,96 +93,29 @@ def _screen_length(n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]
     return np.minimum(n, n - needed(n, percent) + extra(n)), np.minimum(extra(n), extra(np.maximum(partner, 1)))
 
 
-#: The tag of sets that one match lets stay, from whichever batch.
-ANY_BATCH = 1
-_TAG_BITS = 32
+def screened(item_rows: DataFrame) -> DataFrame:
+    """``set_id, matches``: the tokens of the sets' prefixes that stand in another set, over all items that send them."""
+    sent = item_rows.where("sends").select("set_id", F.explode("prefix").alias("token"))
+    by_token = Window.partitionBy("token")
+    elsewhere = F.min("set_id").over(by_token) != F.max("set_id").over(by_token)
+    return sent.select("set_id", elsewhere.alias("elsewhere")).where("elsewhere").groupBy("set_id").agg(F.count("*").alias("matches"))
 
 
-def _tag(partition: np.uint64, doc_ids: pa.Array, sets: np.ndarray) -> int:
-    """A number from 2 to 2^31 - 1 by the partition, the ids of a batch's rows and the sets in them, in order."""
-    ids = pc.fill_null(doc_ids, -1).to_numpy(zero_copy_only=False)
-    told = np.concatenate([[partition, U64(len(ids))], ids.astype(np.int64).view(U64), sets.view(U64)]).astype(U64)
-    place = np.arange(1, len(told) + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)
-    return int(mixed(mixed(told + place).sum(keepdims=True))[0] % U64((1 << 31) - 2)) + 2
-
-
-def screened(rows: DataFrame, sets: Sets, percent: int) -> DataFrame:
-    """``set_id, tag, matches``, the matches that a batch gives a set; the sets left by them are a small superset.
+def survivors(item_rows: DataFrame, matches: DataFrame, percent: int) -> DataFrame:
+    """``set_id, n, copies, doc_id, part``: each set left, how many items have it, and the first of them.
 
-    A batch's tag is a hash of its partition and its rows, so a task that runs again over the same rows, as those of
-    files are, sends the same rows again: its matches stay together whichever of its runs a later task has read. Sets
-    that one match lets stay need no tag of their own.
+    All items that send one set's prefix match alike, so a set's matches are those of one item times their number.
     """
-
-    def run(batches):
-        partition = U64(TaskContext.get().partitionId())
-        for batch in batches:
-            held_tokens, held_sets, held_single = [], [], []
-            seen: set[int] = set()
-            for row, _, owner, tokens in sets(batch):
-                n, first = _counted(owner, len(row))
-                ids = set_ids(tokens, first, n)
-                fresh = np.array([i not in seen and not seen.add(i) for i in ids.tolist()], bool)
-                length, need = _screen_length(n, percent)
-                length = np.where(fresh & has_partners(n, percent), length, 0)
-                inside = np.arange(len(tokens)) - first[owner] < length[owner]
-                held_tokens.append(tokens[inside])
-                held_sets.append(ids[owner[inside]])
-                held_single.append(need[owner[inside]] == 1)
-            tokens = np.concatenate(held_tokens) if held_tokens else np.zeros(0, U64)
-            if not len(tokens):
-                continue
-            owner, single = np.concatenate(held_sets), np.concatenate(held_single)
-            order = np.argsort(tokens)
-            tokens, owner, single = tokens[order].view(np.int64), owner[order], single[order]
-            start = np.append(True, tokens[1:] != tokens[:-1])
-            group = np.cumsum(start) - 1
-            several = (np.bincount(group) > 1)[group]
-            # what is met twice is answered here, and two of its sets stand for it elsewhere
-            second = np.append(False, start[:-1])
-            witness = several & (start | second)
-            asks = ~several
-            tag = _tag(partition, batch.column(0), owner)
-            tags = np.where(single, ANY_BATCH, tag)
-            order = np.flatnonzero(several)
-            order = order[np.argsort(owner[order])]
-            first = np.flatnonzero(np.append(True, owner[order][1:] != owner[order][:-1])) if len(order) else order
-            answered, matches = owner[order[first]], np.diff(np.append(first, len(order)))
-            # an answered row has a place of its own, so that no task gathers them
-            alone = mixed(answered.view(U64) ^ U64(tag)).view(np.int64)
-            # the matches stand above the tag
-            out = [
-                (tokens[witness], owner[witness], np.zeros(int(witness.sum()), np.int64)),
-                (tokens[asks], owner[asks], tags[asks]),
-                (alone, answered, tags[order[first]] | matches << _TAG_BITS),
-            ]
-            for sent in out:
-                for k in range(0, len(sent[0]), 100_000):
-                    columns = [pa.array(x[k : k + 100_000]) for x in sent]
-                    yield pa.RecordBatch.from_arrays(columns, ["place", "set_id", "note"])
-
-    sent = rows.mapInArrow(run, "place long, set_id long, note long")
-    by_token = Window.partitionBy("place")
-    elsewhere = (F.min("set_id").over(by_token) != F.max("set_id").over(by_token)).cast("long")
-    matches = F.shiftright("note", _TAG_BITS)
-    told = sent.select(
-        "set_id", F.col("note").bitwiseAND((1 << _TAG_BITS) - 1).alias("tag"),
-        F.when(matches > 0, matches).otherwise(elsewhere).alias("matches"),
-    )
-    return told.where("tag > 0 AND matches > 0").groupBy("set_id", "tag").agg(F.sum("matches").alias("matches"))
-
-
-def survivors(item_rows: DataFrame, matches: DataFrame, percent: int) -> DataFrame:
-    """``set_id, n, copies, doc_id, part``: each set left, how many items have it, and the first of them."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "part")).alias("first")
-    grouped = item_rows.where("n > 0").groupBy("set_id").agg(F.max("n").alias("n"), F.count("*").alias("copies"), first)
-    most = matches.groupBy("set_id").agg(F.max("matches").alias("matches"))
+    grouped = item_rows.where("n > 0").groupBy("set_id").agg(
+        F.max("n").alias("n"), F.count("*").alias("copies"), F.count_if("sends").alias("senders"), first
+    )
     partner = F.ceil(F.col("n") * percent / 100)
     extra = lambda m: F.greatest(F.lit(1), F.floor(m * F.lit(SCREEN_EXTRA)))
     need = F.least(extra(F.col("n")), extra(F.greatest(partner, F.lit(1))))
     return (
-        grouped.join(most, "set_id")
-        .where(F.col("matches") >= need)
+        grouped.join(matches.hint("shuffle_hash"), "set_id")
+        .where(F.col("matches") >= need * F.col("senders"))
         .select("set_id", "n", "copies", F.col("first.doc_id").alias("doc_id"), F.col("first.part").alias("part"))
     )
 
@@ -241,7 +181,8 @@ def ordered(tokens: DataFrame, left: DataFrame, percent: int, adaptive: bool) ->
     """The sets with their shared tokens, the rarest first, the level ``asks`` and its ``prefix``."""
     single = tokens.select("set_id", F.explode("tokens").alias("token"))
     shared = single.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    lists = single.join(shared, "token").groupBy("set_id").agg(
+    # hashed rather than sorted: the tokens' rows are many, those of shared tokens fewer
+    lists = single.join(shared.hint("shuffle_hash"), "token").groupBy("set_id").agg(
         F.sort_array(F.collect_list(F.struct("df", "token"))).alias("found")
     )
     lists = lists.join(left.select("set_id", "n", "copies", "doc_id", "part"), "set_id").select(
@@ -490,9 +431,8 @@ def links(sets: DataFrame, percent: int, label: str) -> DataFrame:
 
 def similar(rows: DataFrame, sets: Sets, percent: int, adaptive: bool, label: str) -> tuple[DataFrame, DataFrame]:
     """All items, and the links of their sets as ``links`` gives them; both as written tables."""
-    all_items = written(items(rows, sets), f"{label}-items")
-    matches = screened(rows, sets, percent)
-    left = written(survivors(all_items, matches, percent), f"{label}-left")
+    all_items = written(items(rows, sets, percent), f"{label}-items")
+    left = written(survivors(all_items, screened(all_items), percent), f"{label}-left")
     tokens = written(token_table(rows, sets, left), f"{label}-tokens")
     ready = written(ordered(tokens, left, percent, adaptive), f"{label}-sets")
     return all_items, written(links(ready, percent, label), f"{label}-links")

@@ -3,8 +3,8 @@
 import random
 
 import numpy as np
-import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tallybook.llm import line_dedup, ngram_join, set_join, suffix_dedup
 from tests.llm import cases
@@ -119,19 +119,23 @@ def test_multi_match_level_lengthens_costly_prefixes():
 
 
 
-
-def test_screen_sends_the_same_rows_again(spark):
-    """As a task does that is run again: matches under other tags would be told apart from those sent before."""
-    rows = cases.frame(spark).select("doc_id", "text").coalesce(1)
+def test_screen_keeps_every_set_with_a_partner(spark):
+    """Whatever the batches, and the same when a task runs again."""
+    rows = cases.frame(spark).select("doc_id", "text")
     for sets in (ngram_join.document_sets(), line_dedup.line_sets()):
-        once, again = (sorted(map(tuple, set_join.screened(rows, sets, 75).collect())) for _ in range(2))
-        assert once == again and once and all(0 < tag < 1 << 31 for _, tag, _ in once)
-
-
-def test_a_batch_has_its_own_tag():
-    ids, sets = pa.array([1, None, 3]), np.array([5, -6], np.int64)
-    tags = [
-        set_join._tag(np.uint64(0), ids, sets), set_join._tag(np.uint64(1), ids, sets),
-        set_join._tag(np.uint64(0), pa.array([1, None, 4]), sets), set_join._tag(np.uint64(0), ids, sets[::-1]),
-    ]
-    assert len(set(tags)) == 4 and tags[0] == set_join._tag(np.uint64(0), ids, sets.copy())
+        told = []
+        for parts in (1, 1, 7):
+            found = set_join.items(rows.repartition(parts, "doc_id"), sets, 75)
+            matches = {r["set_id"]: r["matches"] for r in set_join.screened(found).collect()}
+            senders = {r["set_id"]: r["n"] for r in found.where("sends").groupBy("set_id").agg(F.count("*").alias("n")).collect()}
+            assert all(matches[i] % senders[i] == 0 for i in matches)
+            told.append({i: n // senders[i] for i, n in matches.items()})
+        assert told[0] == told[1] == told[2] and told[0]
+        left = {r["set_id"] for r in set_join.survivors(found, set_join.screened(found), 75).collect()}
+        _, linked = set_join.similar(rows, sets, 75, True, "screen-test")
+        assert {r["set_id"] for r in linked.collect()} <= left
+
+
+def test_a_set_of_one_or_two_tokens_has_no_partner():
+    assert set_join.has_partners(np.arange(1, 6), 75).tolist() == [False, False, True, True, True]
+    assert set_join.has_partners(np.arange(1, 4), 50).tolist() == [True, True, True]
