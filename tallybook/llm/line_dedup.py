@@ -63,9 +63,9 @@ def repeated_lines(
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", line.alias("line"))
     earliest = linked.groupBy("set_id").agg(F.min(place).alias("linked"))
     first = found.groupBy("set_id").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
-    first = first.join(earliest, "set_id", "left").where("copies > 1 OR linked < first")
+    first = first.join(earliest.hint("shuffle_hash"), "set_id", "left").where("copies > 1 OR linked < first")
     first = first.select("set_id", F.least("first", "linked").alias("least"))
-    gone = found.join(first, "set_id").where(place > F.col("least"))
+    gone = found.join(first.hint("shuffle_hash"), "set_id").where(place > F.col("least"))
     return gone.select("doc_id", line.alias("line"), F.col("part").bitwiseAND(0xFFFFFFFF).alias("checksum"))
 
 

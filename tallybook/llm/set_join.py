@@ -185,7 +185,7 @@ def ordered(tokens: DataFrame, left: DataFrame, percent: int, adaptive: bool) ->
     lists = single.join(shared.hint("shuffle_hash"), "token").groupBy("set_id").agg(
         F.sort_array(F.collect_list(F.struct("df", "token"))).alias("found")
     )
-    lists = lists.join(left.select("set_id", "n", "copies", "doc_id", "part"), "set_id").select(
+    lists = lists.join(left.select("set_id", "n", "copies", "doc_id", "part").hint("shuffle_hash"), "set_id").select(
         "set_id", "n", "copies", "doc_id", "part", "found.df", "found.token"
     )
 
