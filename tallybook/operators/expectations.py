@@ -46,6 +46,22 @@ def unique(df: DataFrame, name: str, key: Sequence[str]) -> DataFrame:
     return _as_rows(surplus, [name])
 
 
+def unique_number(df: DataFrame, name: str, column: str) -> DataFrame:
+    """``unique`` for one integer column, exact, without moving the ids.
+
+    Ids meet as bitmaps of 32,768 numbers, which tasks build before the shuffle: four kilobytes per bitmap and task,
+    whatever the number of ids in it. Made for ids that are dealt densely; where under one number in 500 is used,
+    ``unique`` moves less.
+    """
+    number = F.col(column).cast("bigint")
+    maps = df.groupBy(F.bitmap_bucket_number(number).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("_bits"), F.count(F.lit(1)).alias("_rows")
+    )
+    different = F.when(F.col("_bucket").isNull(), 1).otherwise(F.bitmap_count("_bits"))  # a null is an id like any other
+    surplus = maps.agg(F.coalesce(F.sum(F.col("_rows") - different), F.lit(0)).alias(name))
+    return _as_rows(surplus, [name])
+
+
 def repeated(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their number of copies."""
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")

@@ -578,3 +578,4 @@ ORACLES: dict[str, str] = {
         SELECT *, (epoch_us(consumed_at) - epoch_us(published_at)) // 1000 AS latency_ms,
             consumed_at IS NULL AS timed_out FROM trips""",
 }
+ORACLES["stream_pages"] = ORACLES["line_item_pages"]

@@ -16,7 +16,7 @@ from tallybook import schemas
 from tallybook.functions import costs, text
 from tallybook.operators import expectations, normalize, outbox, paging, reconcile, restate
 from tallybook.session import new_table_path, prepare
-from tallybook.sources import adapters, eventlog, feeds
+from tallybook.sources import adapters, eventlog, feeds, landed
 from tallybook.sources.adapters import cur_like, fees_like, gcp_like, outbox_like, table
 from tallybook.streaming import sinks, streams
 
@@ -302,25 +302,53 @@ def _walk_report(pages, source):
     return walk.join(differing)  # one row each
 
 
-@query
-def line_item_pages(spark, sf_dir):
-    """Flat feed landed as page envelopes in vendor JSON, read back and flattened."""
+def _line_item_envelopes(spark, sf_dir):
     size = schemas.LINE_ITEM_PAGE_SIZE
     items = cur_like(spark, sf_dir)
     period = items.agg(F.substring(F.max("usage_start"), 1, 7)).first()[0]
-    paged = paging.assign_pages(items, [*schemas.LINE_ITEM.fieldNames()], size)
-    renamed = feeds.wire_named(paged)
-    path = new_table_path(spark, "line-item-pages")
-    feeds.to_pages(renamed, "page", "page_row", size, "lineItems", "nextToken").withColumn(
-        "billingPeriod", F.lit(period)
-    ).write.json(path)
-    rows = feeds.explode_pages(feeds.read_line_item_pages(spark, path), "lineItems")
+    paged = feeds.wire_named(paging.assign_pages(items, [*schemas.LINE_ITEM.fieldNames()], size))
+    envelopes = feeds.to_pages(paged, "page", "page_row", size, "lineItems", "nextToken")
+    return envelopes.withColumn("billingPeriod", F.lit(period))
+
+
+def _paged_items(rows):
     return feeds.readable(rows).select(
         "billingPeriod", "nextToken", "position", "line_item_id", "line_item_type",
         "unblended_cost", "reservation_effective_cost", "tag_team",
     )
 
 
+@query
+def line_item_pages(spark, sf_dir):
+    """Flat feed landed as page envelopes in vendor JSON, read back and flattened."""
+    path = new_table_path(spark, "line-item-pages")
+    _line_item_envelopes(spark, sf_dir).write.json(path)
+    return _paged_items(feeds.explode_pages(feeds.read_line_item_pages(spark, path), "lineItems"))
+
+
+@query
+def stream_pages(spark, sf_dir):
+    """The same feed landed in quarters and followed by its tokens, the third quarter there before the second.
+
+    Three runs: one up to the gap, one when it is filled, one for the rest.
+    """
+    size, (path, checkpoint) = schemas.LINE_ITEM_PAGE_SIZE, _paths(spark, "followed-pages")
+    pages_path, landings = new_table_path(spark, "envelopes"), new_table_path(spark, "landings")
+    _line_item_envelopes(spark, sf_dir).write.parquet(pages_path)
+    pages = spark.read.parquet(pages_path)
+    held = pages.agg(F.count(F.lit(1)), F.sum(F.size("lineItems"))).first()
+    edges = sorted({held[0] * k // 4 * size for k in range(4)} | {held[1] or 0})
+    quarters = list(zip(edges, edges[1:]))
+    following = F.coalesce(F.col("nextToken").cast("bigint"), F.lit(held[1]))
+    for run in (quarters[:1] + quarters[2:3], quarters[1:2], quarters[3:]):
+        for first, end in run:
+            landed.land(pages.filter((following > first) & (following <= end)), landings, first, end)
+        envelopes = feeds.parse_pages(landed.follow(spark, landings), schemas.LINE_ITEM_PAGE)
+        items = _paged_items(feeds.explode_pages(envelopes, "lineItems"))
+        sinks.write_rows(items, path, checkpoint)
+    return sinks.written(spark, path, items.schema)
+
+
 @query
 def billing_row_pages(spark, sf_dir):
     """Nested feed landed as page envelopes, read back, flattened and costed."""
@@ -636,7 +664,7 @@ def table_checks(spark, sf_dir):
         expectations.check(items, every, some)
         .unionByName(expectations.check(events, rules))
         .unionByName(expectations.unique(_line_ids(spark, sf_dir), "line_item_id_unique", ["line_item_id"]))
-        .unionByName(expectations.unique(events, "event_id_unique", ["id"]))
+        .unionByName(expectations.unique_number(table(spark, sf_dir, "events"), "event_id_unique", "event_id"))
     )
 
 

@@ -37,6 +37,12 @@ def read_billing_row_pages(spark: SparkSession, path: str, array_file: bool = Fa
     return _json(spark, path, schemas.BILLING_ROW_PAGE, array_file)
 
 
+def parse_pages(values: DataFrame, schema, column: str = "value") -> DataFrame:
+    """Page envelopes from JSON text; one malformed page fails the job."""
+    parsed = F.from_json(column, schema, {"mode": "FAILFAST"})
+    return values.select(parsed.alias("page")).select("page.*")
+
+
 def explode_pages(pages: DataFrame, items: str) -> DataFrame:
     """One row per item of every page, keeping the page's other fields and the item's place."""
     envelope = [c for c in pages.columns if c != items]
