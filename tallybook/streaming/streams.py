@@ -40,28 +40,32 @@ OUTPUT, DAY = "output", "window_day"
 def append_units(units: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None) -> None:
     """Record state changes and their outbox events, each pair both or neither.
 
-    A unit is a row of the outbox's columns and a struct ``state``. Both parts are rows of one write, so a batch shows
-    both or none. A row that breaks the outbox's rules fails its batch, of which nothing becomes visible. A unit
+    A unit is a row of the outbox's columns and a struct ``state``; what other columns it has, as the delivery that it
+    came with, go along with both parts. Both parts are rows of one write, so a batch shows both or none. A row that
+    breaks the outbox's rules fails its batch, of which nothing becomes visible. A unit
     whose id was appended before, in whichever batch, is left out with both parts, and the run fails with their
     number; the ids are held by the state store on disk, where looking one up costs the same however many there are.
     """
     events = [*schemas.OUTBOX.fieldNames()]
     checked = units.withColumn("payload", checked_payload()).dropDuplicates(["id"])
     state, event = F.col("state"), F.struct(*events)
+    along = [name for name in units.columns if name not in (*events, "state")]
     none = lambda part: F.lit(None).cast(part)
     state_type, event_type = units.schema["state"].dataType, units.select(event.alias("e")).schema["e"].dataType
     parts = F.array(
         F.struct(F.lit("state").alias(OUTPUT), state.alias("state"), none(event_type).alias("event")),
         F.struct(F.lit("events").alias(OUTPUT), none(state_type).alias("state"), event.alias("event")),
     )
-    tagged = checked.select(F.inline(parts))
+    tagged = checked.select(F.inline(parts), *along)
     write_rows(tagged, path, checkpoint, [OUTPUT], state_partitions, repeated_fail=True, settings=ON_DISK)
 
 
 def appended(spark: SparkSession, path: str, output: str) -> DataFrame:
     """The rows of one output (``state`` or ``events``) of finished batches; the other's files are not read."""
     part = "event" if output == "events" else "state"
-    return written(spark, path).filter(F.col(OUTPUT) == output).select(f"{part}.*")
+    rows = written(spark, path)
+    along = [name for name in rows.columns if name not in (OUTPUT, "state", "event")]
+    return rows.filter(F.col(OUTPUT) == output).select(f"{part}.*", *along)
 
 
 def ingest(

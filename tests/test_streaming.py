@@ -145,6 +145,26 @@ def test_an_id_appended_before_is_left_out_with_its_state(spark, landed, tmp_pat
     assert streams.appended(spark, path, "state").filter("event_id = 990").isEmpty()
 
 
+def test_each_batch_keeps_its_own_state(spark, tmp_path):
+    """A user's state of an earlier batch stays beside that of a later one, and each row tells its batch."""
+    path, checkpoint = paths(tmp_path)
+    events = adapters.table(spark, SF, "events").withColumn("batch_id", F.floor(F.col("event_id") / 250))
+    stream = adapters.landed_stream(spark, events, F.col("batch_id"), 4)
+    state = F.struct("user_id", "event_id").alias("state")
+    streams.append_units(adapters.outbox_of(stream, state, F.col("batch_id")), path, checkpoint)
+    got = streams.appended(spark, path, "state")
+    assert rows(got, "event_id", "user_id", "batch_id") == rows(events, "event_id", "user_id", "batch_id")
+    got = streams.appended(spark, path, "events")
+    assert rows(got, "id", "batch_id") == rows(events, F.col("event_id").cast("string"), "batch_id")
+    # the sink's own log: the files of a batch hold that delivery and no other
+    for n in range(4):
+        log = [json.loads(x) for x in Path(f"{path}/_spark_metadata/{n}").read_text().splitlines()[1:]]
+        held = spark.read.option("basePath", path).parquet(*[x["path"] for x in log])
+        assert rows(held.select("batch_id", "output").distinct(), "*") == [(n, "events"), (n, "state")]
+    by_batch = queries.stream_outbox_commit(spark, SF).filter("output = 'state'").groupBy("key").count()
+    assert by_batch.agg(F.max("count")).first()[0] == 4
+
+
 def test_a_replay_cut_differently_goes_to_its_own_folder(spark, landed, tmp_path):
     path, checkpoint = paths(tmp_path)
     sinks.write_rows(stream(spark, landed), path, checkpoint)
