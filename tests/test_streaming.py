@@ -175,6 +175,32 @@ def test_a_replay_cut_differently_goes_to_its_own_folder(spark, landed, tmp_path
         assert rows(sinks.written(spark, folder), "event_id") == rows(adapters.table(spark, SF, "events"), "event_id")
 
 
+def test_readers_change_over_to_a_replay_once_it_is_through(spark, landed, tmp_path):
+    path, checkpoint = paths(tmp_path)
+    every = rows(adapters.table(spark, SF, "events"), "event_id")
+    with pytest.raises(ValueError, match="no run of .* is through"):
+        sinks.current(spark, path)
+    sinks.write_run(stream(spark, landed), path, "first", checkpoint)
+    assert rows(sinks.current(spark, path), "event_id") == every
+    stops = F.when(F.col("event_id") == 990, F.raise_error(F.lit("stopped on its way"))).otherwise(F.col("props"))
+    with pytest.raises(Exception, match="stopped on its way"):
+        sinks.write_run(stream(spark, landed).withColumn("props", stops.cast("string")), path, "again", f"{checkpoint}-2")
+    assert sinks.written(spark, f"{path}/again").count() == 750  # three batches of the replay are there
+    assert rows(sinks.current(spark, path), "event_id") == every and sinks.current(spark, path).filter("props = 'new'").isEmpty()
+    changed = stream(spark, landed).withColumn("props", F.lit("new"))
+    sinks.write_run(changed, path, "again", f"{checkpoint}-2")
+    assert rows(sinks.current(spark, path), "event_id") == every
+    assert sinks.current(spark, path).filter("props = 'new'").count() == 250
+    sinks.write_run(stream(spark, landed), path, "first", checkpoint)  # goes on, with nothing new
+    assert sinks.current(spark, path).filter("props = 'new'").count() == 250
+
+
+def test_the_replayed_log_has_each_event_once(spark):
+    events = adapters.table(spark, SF, "events")
+    got = queries.stream_replay(spark, SF)
+    assert got.columns == events.columns and rows(got, "*") == rows(events, "*")
+
+
 def test_a_batch_run_again_replaces_itself(spark, tmp_path):
     path = str(tmp_path / "table")
     sinks.write_batch(spark.range(3), path, 0)
