@@ -362,7 +362,8 @@ def links(sets: DataFrame, percent: int, label: str) -> DataFrame:
     postings = sets.select("set_id", F.explode(F.expr("slice(tokens, 1, int(prefix))")).alias("token"))
     hubs = postings.groupBy("token").agg(F.min("set_id").alias("b"), F.count("*").alias("size")).where("size > 1")
     edges = postings.join(hubs, "token").select(F.col("set_id").alias("a"), "b")
-    family = components(edges, f"{label}-families").withColumnRenamed("node", "set_id")
+    # all edges of a set in one task, which makes one of them; by token, each of the set's tokens would leave one
+    family = components(edges.repartition("a"), f"{label}-families").withColumnRenamed("node", "set_id")
     held = sets.join(family, "set_id")
     running = Window.partitionBy("root").orderBy("set_id").rowsBetween(Window.unboundedPreceding, -1)
     placed = sets.select("set_id", F.size("tokens").alias("size")).join(family, "set_id")

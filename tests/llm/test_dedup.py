@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallybook.llm import line_dedup, ngram_join, set_join, suffix_dedup
+from tallybook.llm import line_dedup, ngram_join, queries, set_join, suffix_dedup
 from tests.llm import cases
 
 
@@ -136,6 +136,31 @@ def test_screen_keeps_every_set_with_a_partner(spark):
         assert {r["set_id"] for r in linked.collect()} <= left
 
 
+def test_a_family_is_contracted_to_a_row_a_set(spark, monkeypatch):
+    """However many tokens its sets share, and however many tasks read them."""
+    told, real = [], set_join.contracted
+    monkeypatch.setattr(set_join, "contracted", lambda edges: told.append(real(edges).count()) or real(edges))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    own = [(i, 40, 1, i, 0, [*range(30), *range(1000 + 10 * i, 1010 + 10 * i)], 1, 30) for i in range(200)]
+    kind = "set_id long, n long, copies long, doc_id long, part long, tokens array<long>, asks long, prefix long"
+    linked = set_join.links(spark.createDataFrame(own, kind), 60, "family-test").collect()
+    for name in settings:
+        spark.conf.unset(name)
+    assert {r["set_id"] for r in linked} == set(range(200)) and all(r["n_links"] == 199 for r in linked)
+    assert told[0] == 199
+
+
+def test_the_joins_of_sets_release_their_shuffles(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    for name in ("op1_line_dedup", "op2_ngram_jaccard"):
+        spark.conf.unset(key)
+        queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+        assert spark.conf.get(key) == "true"
+    spark.conf.unset(key)
+
+
 def test_a_set_of_one_or_two_tokens_has_no_partner():
     assert set_join.has_partners(np.arange(1, 6), 75).tolist() == [False, False, True, True, True]
     assert set_join.has_partners(np.arange(1, 4), 50).tolist() == [True, True, True]
