@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,9 +30,8 @@ def line_sets(width: int = WIDTH, whole: bool = True) -> set_join.Sets:
     def sets(batch: pa.RecordBatch):
         for block in blocks(batch.column(1)):
             starts, ends, text = runs(block.data != 0x0A, block.at)
-            feeds = np.zeros(len(block.data) + 1, np.int64)
-            np.cumsum(block.data == 0x0A, out=feeds[1:])
-            number = feeds[starts] - feeds[block.at[text]]
+            feeds = np.flatnonzero(block.data == 0x0A)
+            number = np.searchsorted(feeds, starts) - np.searchsorted(feeds, block.at)[text]
             # each line as a text of its own: from its start to the next one's, the feed between is no word
             at = np.append(starts, len(block.data))
             if len(starts) and starts[0] > 0:
@@ -47,6 +47,15 @@ def line_sets(width: int = WIDTH, whole: bool = True) -> set_join.Sets:
     return sets
 
 
+def wanted_lines(texts: pa.Array, parts: pa.Array) -> pa.Array:
+    """The texts with those of their lines only that ``parts`` number."""
+    out = []
+    for text, own in zip(texts.to_pylist(), parts.to_pylist()):
+        lines = text.split("\n")
+        out.append("\n".join(lines[part >> 32] for part in own if part >> 32 < len(lines)))
+    return pa.array(out, texts.type)
+
+
 def repeated_lines(
     documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, whole: bool = True
 ) -> DataFrame:
@@ -58,7 +67,7 @@ def repeated_lines(
     word never match. All is judged on the input, so a line goes also if the earlier one goes.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found, linked = set_join.similar(rows, line_sets(width, whole), percent, False, "lines")
+    found, linked = set_join.similar(rows, line_sets(width, whole), percent, False, "lines", wanted_lines)
     line = F.shiftright("part", 32)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", line.alias("line"))
     earliest = linked.groupBy("set_id").agg(F.min(place).alias("linked"))
@@ -87,13 +96,13 @@ def without_repeated_lines(
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 here = batch.slice(k, 512)
-                texts, lost = here.column(place).to_pylist(), here.column(here.num_columns - 1).to_pylist()
-                for i, parts in enumerate(lost):
-                    if parts:
-                        away = set(parts)
-                        texts[i] = "\n".join(x for n, x in enumerate(texts[i].split("\n")) if n not in away)
-                columns = [*here.columns[:-1]]
-                columns[place] = pa.array(texts, here.schema.field(place).type)
+                *columns, lost = here.columns
+                loses = lost.is_valid()
+                texts = columns[place].filter(loses).to_pylist()
+                for i, parts in enumerate(lost.filter(loses).to_pylist()):
+                    away = set(parts)
+                    texts[i] = "\n".join(x for n, x in enumerate(texts[i].split("\n")) if n not in away)
+                columns[place] = pc.replace_with_mask(columns[place], loses, pa.array(texts, columns[place].type))
                 yield pa.RecordBatch.from_arrays(columns, here.schema.names[:-1])
 
     kept = T.StructType([T.StructField(f"c{k}", x.dataType) for k, x in enumerate(documents.schema)])

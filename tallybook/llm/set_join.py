@@ -4,7 +4,7 @@
 2. Screen. Tokens are ordered by hash. Of two sets of a Jaccard of t or more, the first n - ceil(t n) + l tokens of
    both share l at least, so a set stays only if that many of its first tokens stand in another set as well. The pass
    that takes the sets keeps these tokens, so texts are not read again for it. A set so small that no other set can
-   come near it takes no part.
+   come near it takes no part. Tasks sort the tokens by bucket, and what they find in several sets goes on once.
 3. Among the sets left, tokens are ordered by rarity. Tokens of one set only count towards n and nothing else; a
    set with too many of them has no partner and goes.
 4. Sets that share a prefix token form families, by a star to the smallest set of each token.
@@ -20,6 +20,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -32,11 +33,17 @@ BLOCK_TOKENS = 400_000
 PACK_TOKENS = 50_000
 #: Edges of a file of the tables that ``components`` writes.
 EDGES_PER_FILE = 500_000
+#: Tokens, on average, of the sets of a bucket.
+BUCKET_TOKENS = 1 << 18
+#: Tokens that a task sorts into buckets at once.
+SORTED_TOKENS = 1 << 20
 #: Part of a set by which the screen's prefix is longer than the plain one.
 SCREEN_EXTRA = 1 / 12
 
 #: Gives, for a batch, (row of the batch, part of the row, owner of each token, tokens): the last two ascending.
 Sets = Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]]
+#: Gives texts with what holds the wanted parts only, from the texts and each one's list of parts.
+Cut = Callable[[pa.Array, pa.Array], pa.Array]
 
 
 def needed(n: np.ndarray, percent: int) -> np.ndarray:
@@ -93,12 +100,90 @@ def _screen_length(n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]
     return np.minimum(n, n - needed(n, percent) + extra(n)), np.minimum(extra(n), extra(np.maximum(partner, 1)))
 
 
+def _elsewhere(tokens: np.ndarray, sets: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of ascending tokens, which are of several sets or ``known`` to be, and which of the distinct ones are."""
+    first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1])[: len(tokens)])
+    if not len(first):
+        return np.zeros(0, bool), np.zeros(0, bool)
+    several = np.minimum.reduceat(sets, first) != np.maximum.reduceat(sets, first)
+    several |= np.isin(tokens[first], known)
+    return np.repeat(several, np.diff(np.append(first, len(tokens)))), several
+
+
+#: Rows of the screen: tokens and their sets; tokens known to be of several sets; sets and their matches.
+OPEN, KNOWN, SETTLED = 0, 1, 2
+
+
+def _buckets(tokens: int) -> int:
+    """The bits that number the buckets of so many tokens."""
+    return max(1, (tokens // BUCKET_TOKENS).bit_length())
+
+
+def _dealt(kind: int, by: np.ndarray, bits: int, *columns: np.ndarray) -> pa.RecordBatch:
+    """``bucket, kind`` and lists of the columns, a row for each of the buckets of ``by``, which ascends."""
+    bucket = (by >> U64(64 - bits)).view(np.int64)
+    filled, owner = np.unique(bucket, return_inverse=True)
+    lists = [list_array(x.view(np.int64), owner[: len(x)], len(filled), pa.int64()) for x in columns]
+    kinds = pa.array(np.full(len(filled), kind))
+    return pa.RecordBatch.from_arrays([pa.array(filled), kinds, *lists], ["bucket", "kind", *"abc"[: len(lists)]])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], size: Callable[[pa.RecordBatch], int]) -> Iterator[list[pa.RecordBatch]]:
+    """Batches of about ``SORTED_TOKENS`` tokens at a time."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += size(batch)
+        if n >= SORTED_TOKENS:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
+def _bucketed(batches: list[pa.RecordBatch], bits: int) -> list[pa.RecordBatch]:
+    """The prefixes of ``set_id, prefix`` by bucket of their tokens, those of several sets settled here.
+
+    Such a token's sets have their match, and other tasks need its name only, so no token brings a row of each set.
+    """
+    lists = [(batch.column(0).to_numpy(), batch.column(1)) for batch in batches]
+    sets = np.concatenate([np.repeat(ids, np.diff(own.offsets.to_numpy())) for ids, own in lists])
+    tokens = mixed(np.concatenate([own.flatten().to_numpy() for _, own in lists]).view(U64))  # prefixes hold small ones
+    order = np.argsort(tokens)
+    tokens, sets = tokens[order], sets[order]
+    here, several = _elsewhere(tokens, sets, tokens[:0])
+    known = tokens[np.append(True, tokens[1:] != tokens[:-1])[: len(tokens)]][several]
+    found, matches = np.unique(sets[here], return_counts=True)
+    spread = mixed(found.view(U64))
+    order = np.argsort(spread)
+    return [
+        _dealt(OPEN, tokens[~here], bits, tokens[~here], sets[~here]),
+        _dealt(KNOWN, known, bits, known, known[:0]),
+        _dealt(SETTLED, spread[order], bits, found[order], matches[order]),
+    ]
+
+
 def screened(item_rows: DataFrame) -> DataFrame:
     """``set_id, matches``: the tokens of the sets' prefixes that stand in another set, over all items that send them."""
-    sent = item_rows.where("sends").select("set_id", F.explode("prefix").alias("token"))
-    by_token = Window.partitionBy("token")
-    elsewhere = F.min("set_id").over(by_token) != F.max("set_id").over(by_token)
-    return sent.select("set_id", elsewhere.alias("elsewhere")).where("elsewhere").groupBy("set_id").agg(F.count("*").alias("matches"))
+    sent = item_rows.where("sends")
+    bits = _buckets(sent.agg(F.sum("n")).first()[0] or 0)
+
+    def deal(batches):
+        for held in _gathered(batches, lambda batch: len(batch.column(1).flatten())):
+            yield from _bucketed(held, bits)
+
+    def settle(table: pa.Table) -> pa.Table:
+        part = lambda kind, name: table.filter(pc.equal(table["kind"], kind))[name].combine_chunks().flatten().to_numpy()
+        tokens, sets = part(OPEN, "a"), part(OPEN, "b")
+        order = np.argsort(tokens)
+        here, _ = _elsewhere(tokens[order], sets[order], part(KNOWN, "a"))
+        found, matches = np.unique(sets[order][here], return_counts=True)
+        ids = np.concatenate([found, part(SETTLED, "a")])
+        return pa.table({"set_id": ids, "matches": np.concatenate([matches, part(SETTLED, "b")])})
+
+    dealt = sent.select("set_id", "prefix").mapInArrow(deal, "bucket long, kind long, a array<long>, b array<long>")
+    settled = dealt.groupBy("bucket").applyInArrow(settle, "set_id long, matches long")
+    return settled.groupBy("set_id").agg(F.sum("matches").alias("matches"))
 
 
 def survivors(item_rows: DataFrame, matches: DataFrame, percent: int) -> DataFrame:
@@ -120,20 +205,26 @@ def survivors(item_rows: DataFrame, matches: DataFrame, percent: int) -> DataFra
     )
 
 
-def token_table(rows: DataFrame, sets: Sets, left: DataFrame) -> DataFrame:
+def token_table(rows: DataFrame, sets: Sets, left: DataFrame, cut: Cut | None = None) -> DataFrame:
     """``set_id, tokens`` of the sets left, taken again from the rows that hold them first; no other set is sent.
 
-    A row is known by its id and its text's checksum, so the list that it meets has sets of such a text only.
+    A row is known by its id and its text's checksum, so the list that it meets has sets of such a text only. Where a
+    row holds many sets, ``cut`` leaves of its text what holds the wanted ones.
     """
     # by shuffle at any size, as the ids grow with the corpus; hashed, so that no text is sorted
     checksum = F.col("part").bitwiseAND(0xFFFFFFFF)
-    wanted = left.groupBy(F.col("doc_id").alias("at"), checksum.alias("checksum")).agg(F.collect_list("set_id").alias("sets"))
+    wanted = left.groupBy(F.col("doc_id").alias("at"), checksum.alias("checksum")).agg(
+        F.collect_list("set_id").alias("sets"), *([F.collect_list("part").alias("parts")] if cut else [])
+    )
     same = rows["doc_id"].eqNullSafe(F.col("at")) & (F.crc32(rows["text"].cast("binary")) == F.col("checksum"))
-    here = rows.join(wanted.hint("shuffle_hash"), same).select(rows["doc_id"], rows["text"], "sets")
+    here = rows.join(wanted.hint("shuffle_hash"), same).select(rows["doc_id"], rows["text"], *wanted.columns[2:])
 
     def run(batches):
         for batch in batches:
             lists = batch.column(2)
+            if cut:
+                texts = cut(batch.column(1), batch.column(3))
+                batch = pa.RecordBatch.from_arrays([batch.column(0), texts], ["doc_id", "text"])
             for row, _, owner, tokens in sets(batch):
                 n, first = _counted(owner, len(row))
                 ids = set_ids(tokens, first, n)
@@ -179,36 +270,54 @@ def _matches_asked(n: int, alone: int, frequency: np.ndarray, percent: int) -> t
 
 def ordered(tokens: DataFrame, left: DataFrame, percent: int, adaptive: bool) -> DataFrame:
     """The sets with their shared tokens, the rarest first, the level ``asks`` and its ``prefix``."""
-    single = tokens.select("set_id", F.explode("tokens").alias("token"))
-    shared = single.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    # one shuffle for the count and the join, as both read the same columns of it
+    single = tokens.select("set_id", F.explode("tokens").alias("token")).repartition("token")
+    shared = single.groupBy("token").agg(F.count("set_id").alias("df")).where("df > 1")
     # hashed rather than sorted: the tokens' rows are many, those of shared tokens fewer
-    lists = single.join(shared.hint("shuffle_hash"), "token").groupBy("set_id").agg(
-        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("found")
-    )
+    single = single.join(shared.hint("shuffle_hash"), "token").select("set_id", "df", "token")
+    bits = _buckets(left.agg(F.sum("n")).first()[0] or 0)
+
+    def deal(batches):
+        for held in _gathered(batches, lambda batch: batch.num_rows):
+            sets, df, token = (np.concatenate([batch.column(k).to_numpy() for batch in held]) for k in range(3))
+            spread = mixed(sets.view(U64))
+            order = np.argsort(spread)
+            yield _dealt(0, spread[order], bits, sets[order], df[order], token[order])
+
+    def listed(table: pa.Table) -> pa.Table:
+        sets, df, token = (table[name].combine_chunks().flatten().to_numpy() for name in "abc")
+        order = np.lexsort((token, df, sets))
+        own, owner = np.unique(sets[order], return_inverse=True)
+        df, token = (list_array(x[order], owner, len(own), pa.int64()) for x in (df, token))
+        return pa.table({"set_id": pa.array(own), "df": df, "token": token})
+
+    # sorted in tasks by bucket of sets: a group of its own for each set costs more than its few tokens
+    dealt = single.mapInArrow(deal, "bucket long, kind long, a array<long>, b array<long>, c array<long>")
+    lists = dealt.groupBy("bucket").applyInArrow(listed, "set_id long, df array<long>, token array<long>")
     lists = lists.join(left.select("set_id", "n", "copies", "doc_id", "part").hint("shuffle_hash"), "set_id").select(
-        "set_id", "n", "copies", "doc_id", "part", "found.df", "found.token"
+        "set_id", "n", "copies", "doc_id", "part", "df", "token"
     )
 
     def run(batches):
         for batch in batches:
             n = batch.column(1).to_numpy()
-            frequency, level, prefix = batch.column(5), [], []
-            for i in range(batch.num_rows):
-                own = frequency[i].values.to_numpy()
-                alone = int(n[i]) - len(own)
-                if adaptive:
-                    asks, length = _matches_asked(int(n[i]), alone, own, percent)
-                else:
-                    asks = 1
-                    length = max(0, int(n[i] - needed(n[i : i + 1], percent)[0]) + 1 - alone)
-                level.append(asks)
-                prefix.append(min(length, len(own)))
+            frequency = batch.column(5)
+            shared = np.diff(frequency.offsets.to_numpy()).astype(np.int64)
+            if adaptive:
+                told = (
+                    _matches_asked(int(n[i]), int(n[i] - shared[i]), frequency[i].values.to_numpy(), percent)
+                    for i in range(batch.num_rows)
+                )
+                level, length = np.array(list(told), np.int64).reshape(-1, 2).T
+            else:
+                level, length = np.ones(len(n), np.int64), np.maximum(0, shared - needed(n, percent) + 1)
+            prefix = np.minimum(length, shared)
             columns = [batch.column(k) for k in (0, 1, 2, 3, 4, 6)]
             out = pa.RecordBatch.from_arrays(
-                [*columns, pa.array(level, pa.int64()), pa.array(prefix, pa.int64())],
+                [*columns, pa.array(level), pa.array(prefix)],
                 ["set_id", "n", "copies", "doc_id", "part", "tokens", "asks", "prefix"],
             )
-            yield out.filter(pa.array(np.array(prefix) > 0))
+            yield out.filter(pa.array(prefix > 0))
 
     return lists.mapInArrow(
         run,
@@ -430,10 +539,12 @@ def links(sets: DataFrame, percent: int, label: str) -> DataFrame:
     return held.groupBy("pack", "low", "high").applyInArrow(work, schema)
 
 
-def similar(rows: DataFrame, sets: Sets, percent: int, adaptive: bool, label: str) -> tuple[DataFrame, DataFrame]:
+def similar(
+    rows: DataFrame, sets: Sets, percent: int, adaptive: bool, label: str, cut: Cut | None = None
+) -> tuple[DataFrame, DataFrame]:
     """All items, and the links of their sets as ``links`` gives them; both as written tables."""
     all_items = written(items(rows, sets, percent), f"{label}-items")
     left = written(survivors(all_items, screened(all_items), percent), f"{label}-left")
-    tokens = written(token_table(rows, sets, left), f"{label}-tokens")
+    tokens = written(token_table(rows, sets, left, cut), f"{label}-tokens")
     ready = written(ordered(tokens, left, percent, adaptive), f"{label}-sets")
     return all_items, written(links(ready, percent, label), f"{label}-links")

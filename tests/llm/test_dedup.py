@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,6 +162,40 @@ def test_the_joins_of_sets_release_their_shuffles(spark):
     spark.conf.unset(key)
 
 
+@pytest.mark.parametrize("bucket_tokens", [set_join.BUCKET_TOKENS, 40])
+def test_screen_counts_the_tokens_of_other_sets(spark, monkeypatch, bucket_tokens):
+    monkeypatch.setattr(set_join, "BUCKET_TOKENS", bucket_tokens)
+    rows = cases.frame(spark).select("doc_id", "text").repartition(5, "doc_id")
+    found = set_join.items(rows, line_dedup.line_sets(), 75)
+    sent = [(r["set_id"], t) for r in found.where("sends").collect() for t in r["prefix"]]
+    owners: dict[int, set] = {}
+    for own, token in sent:
+        owners.setdefault(token, set()).add(own)
+    wanted: dict[int, int] = {}
+    for own, token in sent:
+        if len(owners[token]) > 1:
+            wanted[own] = wanted.get(own, 0) + 1
+    assert {r["set_id"]: r["matches"] for r in set_join.screened(found).collect()} == wanted and wanted
+
+
+def test_a_token_of_many_sets_leaves_a_task_once():
+    """Its bucket gets the token alone, and the matches of its sets go by buckets of sets."""
+    sets = pa.array(range(3000), pa.int64())
+    prefixes = pa.array([[7, 100 + k] for k in range(3000)], pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([sets, prefixes], ["set_id", "prefix"])
+    rows = pa.Table.from_batches(set_join._bucketed([batch], 3)).to_pylist()
+    part = lambda kind, name: [x for r in rows if r["kind"] == kind for x in r[name]]
+    assert len(part(set_join.KNOWN, "a")) == 1 and len(part(set_join.OPEN, "a")) == 3000
+    assert sorted(part(set_join.SETTLED, "a")) == list(range(3000)) and set(part(set_join.SETTLED, "b")) == {1}
+    assert len({r["bucket"] for r in rows if r["kind"] == set_join.SETTLED}) == 8
+
+
+def test_only_wanted_lines_are_taken_again():
+    texts = pa.array(["a\n\nb c\nd\n", "x"])
+    got = line_dedup.wanted_lines(texts, pa.array([[2 << 32 | 5, 3 << 32 | 5], [4 << 32, 0]], pa.list_(pa.int64())))
+    assert got.to_pylist() == ["b c\nd", "x"]
+
+
 def test_a_set_of_one_or_two_tokens_has_no_partner():
     assert set_join.has_partners(np.arange(1, 6), 75).tolist() == [False, False, True, True, True]
     assert set_join.has_partners(np.arange(1, 4), 50).tolist() == [True, True, True]
