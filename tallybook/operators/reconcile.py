@@ -16,6 +16,7 @@ from tallybook.operators.ordering import (
     before,
     chunk_window,
     chunked,
+    hot_keys,
     join_spans,
     span_summary,
     span_window,
@@ -128,6 +129,8 @@ def reservation_utilisation(usage: DataFrame, fees: DataFrame) -> DataFrame:
 
 #: Seconds of a bucket in which periods of a reservation meet.
 PERIOD_BUCKET = 32 * 86400
+#: Fees of a reservation up to which its usage is compared with every one of them.
+FEW_PERIODS = 32
 #: Shares that a reservation of very many usage rows is cut into; its fees go to each.
 PERIOD_SHARES = 16
 
@@ -139,32 +142,52 @@ def _share(amount: Column, part: Column, whole: Column) -> Column:
     return ((product - F.pmod(product, seconds)) / seconds).cast("decimal(26,0)")
 
 
-def _in_periods(usage: DataFrame, fees: DataFrame, hot_rows: int) -> DataFrame:
-    """Usage rows with every fee of their reservation whose period they overlap, by buckets of time.
+def _in_periods(usage: DataFrame, fees: DataFrame, hot_rows: int, few_periods: int) -> DataFrame:
+    """Usage rows with every fee of their reservation whose period they overlap.
 
-    Both sides go into each bucket that they touch, and a pair counts in the first bucket that it shares.
+    A reservation of up to ``few_periods`` fees meets its usage as it is. Where it has more, both sides go into each
+    bucket of time that they touch, and a pair counts in the first bucket that it shares. What is copied for a join is
+    never broadcast: Spark judges its size from before it was copied.
     """
     span = lambda start, end: F.sequence(
         F.floor(F.col(start) / PERIOD_BUCKET), F.floor((F.col(end) - 1) / PERIOD_BUCKET)
     )
-    fees = fees.withColumn("_bucket", F.explode(span("_from", "_to")))
+    begins = F.greatest("_s", "_from")
 
     def met(rows: DataFrame, fee_rows: DataFrame, more: list[str]) -> DataFrame:
-        joined = rows.withColumn("_bucket", F.explode(span("_s", "_e"))).join(fee_rows, ["reservation_arn", "_bucket", *more])
-        begins = F.greatest("_s", "_from")
-        return joined.filter(
-            (begins < F.least("_e", "_to")) & (F.col("_bucket") == F.floor(begins / PERIOD_BUCKET))
-        ).drop(*more)
+        joined = rows.join(fee_rows, ["reservation_arn", *more]).filter(begins < F.least("_e", "_to"))
+        if "_bucket" in more:
+            joined = joined.filter(F.col("_bucket") == F.floor(begins / PERIOD_BUCKET))
+        return joined.drop(*more)
 
-    def heavy(rows: DataFrame) -> DataFrame:
-        cut = rows.withColumn("_cut", F.pmod(F.xxhash64("line_item_id", "_s"), F.lit(PERIOD_SHARES)))
-        copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(PERIOD_SHARES - 1).cast("bigint")))
-        return met(cut, fees.withColumn("_cut", copies), ["_cut"])
+    def shared(rows: DataFrame, fee_rows: DataFrame, more: list[str]) -> DataFrame:
+        usual_fees = fee_rows.hint("merge") if more else fee_rows
+
+        def heavy(hot: DataFrame) -> DataFrame:
+            cut = hot.withColumn("_cut", F.pmod(F.xxhash64("line_item_id", "_s"), F.lit(PERIOD_SHARES)))
+            copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(PERIOD_SHARES - 1).cast("bigint")))
+            return met(cut, fee_rows.withColumn("_cut", copies).hint("merge"), [*more, "_cut"])
+
+        return split_hot(rows, ["reservation_arn"], lambda usual: met(usual, usual_fees, more), heavy, hot_rows)
 
-    return split_hot(usage, ["reservation_arn"], lambda rows: met(rows, fees, []), heavy, hot_rows)
+    def direct(rows: DataFrame, fee_rows: DataFrame) -> DataFrame:
+        return shared(rows, fee_rows, [])
 
+    def bucketed(rows: DataFrame, fee_rows: DataFrame) -> DataFrame:
+        in_buckets = lambda df, start, end: df.withColumn("_bucket", F.explode(span(start, end)))
+        return shared(in_buckets(rows, "_s", "_e"), in_buckets(fee_rows, "_from", "_to"), ["_bucket"])
 
-def reservation_by_period(usage: DataFrame, fees: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    many = hot_keys(fees, ["reservation_arn"], few_periods)
+    if many.isEmpty():
+        return direct(usage, fees)
+    hashed = [df.withColumn("_hash", F.xxhash64("reservation_arn")) for df in (usage, fees)]
+    part = lambda how: [df.join(many, "_hash", how).drop("_hash") for df in hashed]
+    return direct(*part("left_anti")).unionByName(bucketed(*part("left_semi")))
+
+
+def reservation_by_period(
+    usage: DataFrame, fees: DataFrame, hot_rows: int = HOT_ROWS, few_periods: int = FEW_PERIODS
+) -> DataFrame:
     """Per reservation fee, the hours and cost of its reservation's usage that fall into its own period.
 
     Usage that reaches beyond a period counts in proportion of its seconds, floored in the sixth place such that
@@ -185,7 +208,7 @@ def reservation_by_period(usage: DataFrame, fees: DataFrame, hot_rows: int = HOT
     periods = bought.select(
         "reservation_arn", "fee_id", seconds("period_start").alias("_from"), seconds("period_end").alias("_to")
     ).filter("_to > _from")
-    pairs = _in_periods(used, periods, hot_rows)
+    pairs = _in_periods(used, periods, hot_rows, few_periods)
     whole = c("_e") - c("_s")
     until, since = F.least("_e", "_to") - c("_s"), F.greatest("_s", "_from") - c("_s")
     part = lambda amount: _share(amount, until, whole) - _share(amount, since, whole)

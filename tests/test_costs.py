@@ -257,6 +257,41 @@ def test_fees_meet_usage_by_period(spark, hot_rows):
     }
 
 
+def _periods(spark, fees_of):
+    """Daily usage of three reservations over a year, and fees whose periods of five years begin a day after another."""
+    usage = spark.range(3 * 365).select(
+        F.concat(F.lit("r"), (F.col("id") % 3).cast("string")).alias("reservation_arn"), F.col("id").cast("string").alias("line_item_id"),
+        *(F.date_format(F.timestamp_seconds(1735689600 + F.col("id") * 28800 + more), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias(name)
+          for name, more in (("usage_start", 0), ("usage_end", 7 * 86400))),
+        F.lit(2).cast("decimal(24,6)").alias("usage_amount"), F.lit(1).cast("decimal(18,6)").alias("reservation_effective_cost"),
+        F.lit("DiscountedUsage").alias("line_item_type"),
+    )
+    fees = spark.range(3 * fees_of).select(
+        F.concat(F.lit("r"), (F.col("id") % 3).cast("string")).alias("reservation_arn"), F.concat(F.lit("f"), F.col("id")).alias("line_item_id"),
+        *(F.date_format(F.timestamp_seconds(1738368000 + F.col("id") * 86400 + more), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias(name)
+          for name, more in (("usage_start", 0), ("usage_end", 5 * 365 * 86400))),
+        F.lit(2).cast("decimal(24,6)").alias("usage_amount"), F.lit(1).cast("decimal(18,6)").alias("unblended_cost"),
+        F.lit("RIFee").alias("line_item_type"),
+    )
+    return usage, fees
+
+
+@pytest.mark.parametrize("fees_of", [2, 40])
+def test_periods_are_not_copied_into_a_broadcast(spark, fees_of):
+    by_period = reconcile.reservation_by_period(*_periods(spark, fees_of))
+    assert by_period.filter("usage_rows > 200").count() == 3 * fees_of
+    plan = by_period._jdf.queryExecution().optimizedPlan().toString()
+    assert ("explode(sequence(" in plan) == (fees_of == 40)  # more than reconcile.FEW_PERIODS
+    joins = by_period._jdf.queryExecution().sparkPlan().toString()
+    assert not re.search(r"BroadcastHashJoin \[[^]]*_bucket", joins)
+
+
+def test_periods_meet_alike_however_many_they_are(spark):
+    shown = lambda *how: sorted(map(tuple, reconcile.reservation_by_period(*_periods(spark, 3), *how).collect()), key=str)
+    wanted = shown(10**9, 10**9)
+    assert shown(10**9, 2) == shown(100, 2) == shown(100, 10**9) == wanted
+
+
 def test_restated_spend_follows_deliveries(spark, tmp_path):
     at = datetime(2025, 3, 1, 5)
     rows = [(f"a{k % 3}", at + timedelta(days=k % 4), Decimal(k), Decimal("1.5")) for k in range(40)]
