@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook import schemas
 
 
+#: Vendor text repeats its field names in every row and is some thirty times as large as the tables it comes from.
+CODEC = "gzip"
+#: Rows of a written file: one task reads it whole, as a packed file can't be split.
+FILE_ROWS = 500_000
+
+
+def landing(df: DataFrame, items: int = 1) -> DataFrameWriter:
+    """Writer of packed JSON lines, absent fields left out; ``items`` is how many rows of a feed one of ``df`` holds."""
+    most = max(1, FILE_ROWS // items)
+    return df.write.options(compression=CODEC, maxRecordsPerFile=most, ignoreNullFields=True)
+
+
 def _json(spark: SparkSession, path: str, schema, array_file: bool) -> DataFrame:
     # An array file is one task; land feeds as one object per line to read them in parallel.
     return spark.read.schema(schema).option("multiLine", array_file).option("mode", "FAILFAST").json(path)
@@ -69,7 +81,7 @@ def parse_line_items(values: DataFrame, column: str = "value") -> DataFrame:
 
 def write_line_items(df: DataFrame, path: str) -> None:
     """Write line items as JSON lines under their wire names."""
-    wire_named(df.select(*schemas.TO_WIRE)).write.json(path, ignoreNullFields=True)
+    landing(wire_named(df.select(*schemas.TO_WIRE))).json(path)
 
 
 def write_billing_rows(df: DataFrame, path: str) -> None:

@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -24,6 +25,24 @@ def test_line_items_round_trip_through_files(spark, line_items, tmp_path):
     assert back.exceptAll(line_items).isEmpty() and line_items.exceptAll(back).isEmpty()
 
 
+def _stored(path):
+    """Files of a landed feed with rows in them, and the bytes that they take."""
+    files = [f for f in Path(path).rglob("part-*")]
+    return len(files), sum(f.stat().st_size for f in files)
+
+
+def test_landed_line_items_take_a_fraction_of_their_text(spark, line_items, tmp_path, monkeypatch):
+    rows = line_items.crossJoin(spark.range(500).select("id")).withColumn("resource_id", F.sha2(F.col("id").cast("string"), 256))
+    rows = rows.select(*line_items.columns).coalesce(1)
+    text = feeds.to_vendor_json(rows).agg(F.sum(F.length("value"))).first()[0]
+    monkeypatch.setattr(feeds, "FILE_ROWS", 2000, raising=False)
+    feeds.write_line_items(rows, path := str(tmp_path / "items"))
+    files, stored = _stored(path)
+    assert files == 4 and stored < text / 5  # 6,500 rows
+    back = feeds.read_line_items(spark, path)
+    assert back.exceptAll(rows).isEmpty() and rows.exceptAll(back).isEmpty()
+
+
 def test_array_file(spark, line_items, tmp_path):
     texts = [json.loads(r.value) for r in feeds.to_vendor_json(line_items).collect()]
     path = tmp_path / "items.json"
