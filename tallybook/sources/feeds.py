@@ -85,7 +85,7 @@ def write_line_items(df: DataFrame, path: str) -> None:
 
 
 def write_billing_rows(df: DataFrame, path: str) -> None:
-    df.select(*schemas.BILLING_ROW.fieldNames()).write.json(path, ignoreNullFields=True)
+    landing(df.select(*schemas.BILLING_ROW.fieldNames())).json(path)
 
 
 def to_pages(paged: DataFrame, page_of: str, place: str, size: int, items: str, token: str) -> DataFrame:

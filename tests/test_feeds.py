@@ -43,6 +43,18 @@ def test_landed_line_items_take_a_fraction_of_their_text(spark, line_items, tmp_
     assert back.exceptAll(rows).isEmpty() and rows.exceptAll(back).isEmpty()
 
 
+def test_landed_billing_rows_take_a_fraction_of_their_text(spark, billing_rows, tmp_path, monkeypatch):
+    rows = billing_rows.crossJoin(spark.range(500).select("id")).withColumn("billing_account_id", F.sha2(F.col("id").cast("string"), 256))
+    rows = rows.select(*billing_rows.columns).coalesce(1)
+    text = rows.agg(F.sum(F.length(feeds.vendor_json("*")))).first()[0]
+    monkeypatch.setattr(feeds, "FILE_ROWS", 2000, raising=False)
+    feeds.write_billing_rows(rows, path := str(tmp_path / "rows"))
+    files, stored = _stored(path)
+    assert files == 3 and stored < text / 5  # 4,500 rows
+    back = feeds.read_billing_rows(spark, path)
+    assert back.exceptAll(rows).isEmpty() and rows.exceptAll(back).isEmpty()
+
+
 def test_array_file(spark, line_items, tmp_path):
     texts = [json.loads(r.value) for r in feeds.to_vendor_json(line_items).collect()]
     path = tmp_path / "items.json"
