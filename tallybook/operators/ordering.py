@@ -13,14 +13,20 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
-from tallybook.session import new_table_path
+from tallybook.session import new_table_path, released_shuffles, remove_table
 
 # A key above HOT_ROWS rows is handled in chunks; the result is the same either way.
 HOT_ROWS = 5_000_000
 #: Bytes, as Spark estimates them, that one chunk is meant to hold.
 CHUNK_BYTES = 256 << 20
+#: Bytes read, by the same estimate, above which rows are ordered in so many slices, each shuffled by itself.
+SLICED_BYTES = 128 << 20
+SLICES = 4
+#: Values of the first order column, at most about, that slices are cut by.
+_SAMPLED = 4000
 _UNKNOWN_BYTES = 1 << 60  # Spark's estimate for what it can't tell is larger
 
 CHUNK = "_chunk"
@@ -31,13 +37,35 @@ _CONTENT = "_content_hash"
 ROW_BITS = 33  # monotonically_increasing_id keeps the row in the low 33 bits, the partition above
 
 
-def chunk_count(df: DataFrame) -> int:
-    """At least one chunk for each shuffle partition, more where the tables read hold over CHUNK_BYTES for each."""
+def _read_bytes(df: DataFrame) -> int:
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     sizes = [int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size())]
-    known = sum(size for size in sizes if size < _UNKNOWN_BYTES)
+    return sum(size for size in sizes if size < _UNKNOWN_BYTES)
+
+
+def chunk_count(df: DataFrame) -> int:
+    """At least one chunk for each shuffle partition, more where the tables read hold over CHUNK_BYTES for each."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, -(-known // CHUNK_BYTES))
+    return max(least, -(-_read_bytes(df) // CHUNK_BYTES))
+
+
+def _cuts(df: DataFrame, first: Column | str) -> list[Column]:
+    """Conditions that hold for the rows of one slice each: slices follow each other by the first order column.
+
+    They come of a sample; a value with many rows makes its slice larger, no more. A column in another order than
+    Spark's own, or of a nested type, does not cut.
+    """
+    if not isinstance(first, str) and first._jc.node().getClass().getSimpleName() == "SortOrder":
+        return []
+    values = df.select((F.col(first) if isinstance(first, str) else first).alias("value"))
+    if not isinstance(values.schema["value"].dataType, T.AtomicType):
+        return []
+    rows = values.count()
+    drawn = values.sample(min(1.0, _SAMPLED / max(rows, 1)), 1).filter("value IS NOT NULL").sort("value").collect()
+    bounds = sorted({drawn[len(drawn) * k // SLICES]["value"] for k in range(1, SLICES)}) if drawn else []
+    value = F.col(first) if isinstance(first, str) else first
+    above = [F.lit(True), *(F.coalesce(value > F.lit(x), F.lit(False)) for x in bounds)]  # null comes first
+    return [low & ~high for low, high in zip(above, [*above[1:], F.lit(False)])]
 
 
 def chunked(
@@ -47,21 +75,38 @@ def chunked(
 
     Chunks follow each other in order. Rows equal in every order column follow a hash of all their columns, and only
     equal rows are told apart by the task and row they come from, so that countless copies of one row still spread
-    over chunks, and a task that runs again can't move other rows across a border. ``POSITION``, kept on
+    over chunks, and a task that runs again can't move other rows across a border. Much input is written as it comes and
+    then ordered slice by slice, so that the disk never holds the shuffle of all rows. ``POSITION``, kept on
     request, is the chunk in its high bits and the place below: a filter on it skips the other chunks' files.
     """
     spark = df.sparkSession
     path = new_table_path(spark, "chunks")
     order = [*order, F.col(_CONTENT), F.col(_ROW)]
     hashed = [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
-    (
-        df.withColumns({_CONTENT: F.xxhash64(*hashed), _ROW: F.monotonically_increasing_id()})
-        .repartitionByRange(chunks or chunk_count(df), *order)
-        .sortWithinPartitions(*order)
-        .withColumn(POSITION, F.monotonically_increasing_id())
-        .drop(_ROW, _CONTENT)
-        .write.parquet(path)
-    )
+    number = chunks or chunk_count(df)
+
+    def write(part: DataFrame, ahead: int, partitions: int) -> None:
+        (
+            part.withColumns({_CONTENT: F.xxhash64(*hashed), _ROW: F.monotonically_increasing_id()})
+            .repartitionByRange(partitions, *order)
+            .sortWithinPartitions(*order)
+            .withColumn(POSITION, F.monotonically_increasing_id() + F.lit(ahead << ROW_BITS))
+            .drop(_ROW, _CONTENT)
+            .write.mode("append").option("compression", "zstd").parquet(path)
+        )
+
+    with released_shuffles(spark):  # the table holds the rows from here on
+        if _read_bytes(df) <= SLICED_BYTES:
+            write(df, 0, number)
+        else:
+            unordered = new_table_path(spark, "unordered")
+            df.write.option("compression", "zstd").parquet(unordered)
+            held = spark.read.schema(df.schema).parquet(unordered)
+            cuts = _cuts(held, order[0]) or [F.lit(True)]
+            each = -(-number // len(cuts))
+            for k, cut in enumerate(cuts):
+                write(held.filter(cut), k * each, each)
+            remove_table(spark, unordered)
     rows = (
         spark.read.parquet(path)
         .withColumn(CHUNK, F.shiftright(POSITION, ROW_BITS))

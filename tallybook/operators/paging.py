@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +12,10 @@ from tallybook.functions.text import decode_token
 from tallybook.operators.ordering import CHUNK, PLACE, POSITION, ROW_BITS, chunk_starts, chunked, global_row_number
 
 
+#: Rows of the pages that are regrouped at once.
+RANGE_ROWS = 20_000_000
+
+
 @dataclass(frozen=True)
 class NumberedFeed:
     """A feed in order, written once in chunks, with the number of rows ahead of each chunk."""
@@ -82,6 +86,17 @@ def assign_pages(df: DataFrame, order: Sequence[Column | str], size: int) -> Dat
     )
 
 
+def page_ranges(pages: DataFrame, size: int, rows: int | None = None) -> Iterator[DataFrame]:
+    """The pages of a walk, a range of about ``rows`` rows after the other: what regroups them moves no more at once."""
+    last = pages.agg(F.max("page")).first()[0] or 0
+    most = max(1, (rows or RANGE_ROWS) // size)
+    if last < most:
+        yield pages
+        return
+    for first in range(0, last + 1, most):
+        yield pages.filter(F.col("page").between(first, first + most - 1))
+
+
 def page_sizes(pages: DataFrame, size: int) -> DataFrame:
     """Rows per page and the token that names the page after it (null on the last)."""
     last = pages.agg(F.max("page")).first()[0]

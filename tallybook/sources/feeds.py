@@ -88,16 +88,18 @@ def write_billing_rows(df: DataFrame, path: str) -> None:
     landing(df.select(*schemas.BILLING_ROW.fieldNames())).json(path)
 
 
-def to_pages(paged: DataFrame, page_of: str, place: str, size: int, items: str, token: str) -> DataFrame:
+def to_pages(
+    paged: DataFrame, page_of: str, place: str, size: int, items: str, token: str, whole: DataFrame | None = None
+) -> DataFrame:
     """Page envelopes from rows that carry their page number and place; ``size`` rows at most each.
 
-    The next token is the next offset, absent on the last page.
+    The next token is the next offset, absent on the last page: that of ``whole``, if ``paged`` is a range of its pages.
     """
     rest = [c for c in paged.columns if c not in (page_of, place)]
     envelopes = paged.groupBy(page_of).agg(
         F.array_sort(F.collect_list(F.struct(place, F.struct(*rest).alias("item")))).alias("_sorted")
     )
-    last = paged.agg(F.max(page_of)).first()[0]
+    last = (paged if whole is None else whole).agg(F.max(page_of)).first()[0]
     following = ((F.col(page_of) + 1) * size).cast("string")
     return envelopes.select(
         F.transform("_sorted", lambda entry: entry["item"]).alias(items),
