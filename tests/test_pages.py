@@ -64,6 +64,16 @@ def test_line_item_pages_keep_packed_pages_only(spark, tables, monkeypatch):
         assert _run(spark, tables, "line_item_pages")[0] == whole
 
 
+def test_billing_row_pages_keep_packed_pages_only(spark, tables, monkeypatch):
+    with owned_tables(spark):
+        whole, kept = _run(spark, tables, "billing_row_pages")
+        assert _labels(kept) == ["billing-row-pages"]
+        held, kinds = _held(kept)
+        assert kinds == {".json.gz"} and held < 150 * LINES / 2  # of about 670 a row as text
+        _in_parts(monkeypatch)
+        assert _run(spark, tables, "billing_row_pages")[0] == whole
+
+
 @pytest.mark.parametrize("rows", [0, 1, 7, 20, 21, 1000])
 def test_page_ranges_are_the_walk(spark, rows):
     pages = paging.assign_pages(spark.range(50), ["id"], 4)
