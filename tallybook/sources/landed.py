@@ -1,7 +1,7 @@
 """Feed pages as they were landed, read as a stream whose offset is the feed's resume token.
 
-A landing is a folder ``pages-<first>-<next>`` of page envelopes, one JSON object per line: the pages from token ``first``
-on, of which the last is followed by token ``next``. The stream walks from landing to landing by their tokens, so pages
+A landing is a folder ``pages-<first>-<next>`` of page envelopes, one JSON object per line, in files that may be packed as
+their names tell: the pages from token ``first`` on, of which the last is followed by token ``next``. The stream walks from landing to landing by their tokens, so pages
 that come before those ahead of them wait, and its checkpoint alone tells where to go on.
 """
 
@@ -16,6 +16,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
+from tallybook.sources.feeds import landing
+
 #: Bytes of a file that a task holds at once, beside a line that is longer.
 BLOCK = 4 << 20
 
@@ -118,9 +120,12 @@ def _lines(stream) -> Iterator[list[bytes]]:
         yield [line]
 
 
-def land(envelopes: DataFrame, path: str, first: int, following: int) -> None:
-    """Write the pages from token ``first`` up to the one that ``following`` names; readers see them once whole."""
-    envelopes.write.mode("overwrite").json(f"{path}/pages-{first}-{following}")
+def land(envelopes: DataFrame, path: str, first: int, following: int, items: int = 1) -> None:
+    """Write the pages of up to ``items`` rows from token ``first`` up to the one that ``following`` names.
+
+    The files are packed; readers see them once whole.
+    """
+    landing(envelopes, items).mode("overwrite").json(f"{path}/pages-{first}-{following}")
 
 
 def follow(spark: SparkSession, path: str, start: int = 0) -> DataFrame:

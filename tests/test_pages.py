@@ -74,6 +74,17 @@ def test_billing_row_pages_keep_packed_pages_only(spark, tables, monkeypatch):
         assert _run(spark, tables, "billing_row_pages")[0] == whole
 
 
+def test_followed_pages_are_packed_and_their_chunks_go(spark, tables, monkeypatch):
+    with owned_tables(spark):
+        whole, _ = _run(spark, tables, "line_item_pages")
+        _in_parts(monkeypatch)
+        followed, kept = _run(spark, tables, "stream_pages")
+        assert followed == whole
+        assert not {"chunks", "unordered"} & {*_labels(kept)}
+        held, kinds = _held([path for path in kept if "/landings-" in path])
+        assert kinds == {".json.gz"} and held < 150 * len(whole)
+
+
 @pytest.mark.parametrize("rows", [0, 1, 7, 20, 21, 1000])
 def test_page_ranges_are_the_walk(spark, rows):
     pages = paging.assign_pages(spark.range(50), ["id"], 4)
