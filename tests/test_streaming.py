@@ -1,9 +1,12 @@
 import json
 import os
+import random
 from datetime import datetime, timedelta
 from decimal import Decimal
 from pathlib import Path
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +14,7 @@ from tallybook import schemas
 from tallybook.operators import outbox, reconcile
 from tallybook.plans import queries
 from tallybook.sources import adapters, eventlog
-from tallybook.streaming import ledger, sinks, streams
+from tallybook.streaming import ledger, sinks, standing, streams
 from tallybook.streaming.standing import ON_DISK, with_standing
 
 SF = "/root/testdata/sf0.001"
@@ -351,6 +354,66 @@ def test_standing_keeps_types_and_counts_over_restarts(spark, tmp_path):
     assert got.filter("_arrived_before = 0 AND _newest_before IS NULL").count() == 3
 
 
+class _Store:
+    """What a cell asks of the state store, and how often."""
+
+    def __init__(self):
+        self.parts, self.held, self.asked = None, {}, 0
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return SimpleNamespace(exists=lambda: self.parts is not None, get=lambda: self.parts, update=lambda x: setattr(self, "parts", x))
+
+    def getMapState(self, name, key, value):  # noqa: N802
+        def get(key):
+            self.asked += 1
+            return self.held[key]
+
+        return SimpleNamespace(containsKey=self.held.__contains__, getValue=get, updateValue=self.held.__setitem__)
+
+
+def test_a_cell_of_many_keys_is_held_in_parts(monkeypatch):
+    monkeypatch.setattr(standing, "PART_KEYS", 8)
+    store, rng, wanted = _Store(), random.Random(3), {}
+    for batch in range(12):
+        cell = standing._Standing()
+        cell.init(store)
+        sent = [(f"k{rng.randrange(20 * (batch + 1))}", rng.choice([None, str(rng.randrange(10**6))])) for _ in range(200)]
+        frames = [pd.DataFrame({"keys": [k for k, _ in cut], "row": [str(k) for k, _ in cut], "micros": [t for _, t in cut]}) for cut in (sent[:90], sent[90:])]
+        got = pd.concat(cell.handleInputRows((1,), iter(frames), None))
+        held = [wanted.get(k, (0, None)) for k, _ in sent]
+        assert list(got["row"]) == [k for k, _ in sent] and list(got["arrived"]) == [n for n, _ in held]
+        assert list(got["newest"]) == [None if t is None else str(t) for _, t in held]
+        for k, t in sent:
+            n, top = wanted.get(k, (0, None))
+            wanted[k] = (n + 1, max((int(x) for x in (t, top) if x is not None), default=None))
+    assert len(store.held) == store.parts[0] >= len(wanted) / 8
+    store.asked = 0
+    list(cell.handleInputRows((1,), iter([pd.DataFrame({"keys": ["k1"] * 3, "row": ["x"] * 3, "micros": [None] * 3})]), None))
+    assert store.asked == 1
+
+
+def test_keys_are_called_up_in_cells(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(standing, "CELLS", 3, raising=False)
+    sent = spark.range(400).select(F.col("id").cast("string").alias("k"), F.timestamp_seconds("id").alias("t"))
+    for cut in (F.col("t") < "1970-01-01 00:05:00", F.col("t") >= "1970-01-01 00:03:20"):
+        sent.filter(cut).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    path, checkpoint = paths(tmp_path)
+    stream = with_standing(adapters.stream_of(spark, str(tmp_path / "in"), sent.schema), ["k"], "t")
+    told = []
+    each = lambda df, batch_id: told.append((df.filter("_arrived_before = 1 AND _newest_before = t").count(), df.count()))
+    query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    for key, value in ON_DISK.items():
+        spark.conf.set(key, value)
+    try:
+        query = query.start()
+        query.awaitTermination()
+    finally:
+        for key in ON_DISK:
+            spark.conf.unset(key)
+    assert told == [(0, 300), (100, 200)]
+    assert query.recentProgress[-1].stateOperators[0].numRowsTotal <= 4 * 3  # of a cell: its parts, one part, and what Spark adds to them
+
+
 def test_windows_in_update_mode_equal_batch(spark, landed, tmp_path):
     path, checkpoint = paths(tmp_path)
     value = F.col("value").cast(schemas.MONEY)
